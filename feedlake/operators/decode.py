@@ -103,7 +103,7 @@ def decode(raw: DataFrame) -> DataFrame:
         *[F.when(stored, c).alias(name) for name, c in _stored_cols().items()])
 
 
-def decode_messages(raw: DataFrame) -> DataFrame:
+def decode_messages(raw: DataFrame, with_channel: bool = False) -> DataFrame:
     """Stored rows straight from frames: classify, keep stored, then build payloads.
 
     The "keep stored rows" step is a generator (``inline`` of a 0- or 1-element
@@ -113,7 +113,10 @@ def decode_messages(raw: DataFrame) -> DataFrame:
     rows, and still lets filters on ``symbol`` or ``arrival_ts`` reach the scan.
     """
     keep = [c for c in ("event_id", "symbol") if c in raw.columns]
-    row = F.struct(*[c.alias(name) for name, c in _stored_cols().items()])
+    cols = _stored_cols()
+    if with_channel:
+        cols["channel"] = F.col("_channel")
+    row = F.struct(*[c.alias(name) for name, c in cols.items()])
     stored = F.when(F.col("outcome") == "stored", F.array(row))
     return _classify(raw).select(*keep, F.inline(stored))
 

@@ -67,3 +67,368 @@ def q_feed_outcomes(spark, sf_dir):
 def q_count_by_type(spark, sf_dir):
     """A3 O3."""
     return stats.count_by_type(msgs(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- helpers
+
+def as_of(df: DataFrame) -> "F.Column":
+    """Fixed "now" of the fixture: the latest message time (a scalar subquery)."""
+    return df.select(F.max("ts")).scalar()
+
+
+def rn_long(df: DataFrame) -> DataFrame:
+    return df.withColumn("rn", F.col("rn").cast("long"))
+
+
+def events(spark, sf_dir):
+    from feedlake.sources.tables import read_table
+    return read_table(spark, sf_dir, "events")
+
+
+# ---------------------------------------------------------------- decode / payload
+
+@query("subscribed_feed")
+def q_subscribed_feed(spark, sf_dir):
+    """Stored messages whose (symbol, channel kind) is in the subscription set."""
+    from feedlake.schema import subscriptions_df
+    subs = subscriptions_df(spark).select(
+        F.col("base_name").alias("symbol"), F.regexp_replace("method", r"^sub\.", "").alias("kind"))
+    m = dec.decode_messages(feed(spark, sf_dir), with_channel=True)
+    m = m.withColumn("kind", F.regexp_replace("channel", r"^push\.", ""))
+    # The subscription set is configuration (9 rows): a proven size bound.
+    return m.join(F.broadcast(subs), ["symbol", "kind"], "left_semi").select("event_id", "symbol", "ts", "mt", "m")
+
+
+@query("quarantine_split")
+def q_quarantine_split(spark, sf_dir):
+    """Per symbol, rows for the table and rows for quarantine."""
+    d = decoded(spark, sf_dir)
+    return d.groupBy("symbol").agg(
+        F.count_if(F.col("outcome") == "stored").cast("long").alias("stored"),
+        F.count_if(F.col("outcome").isin("malformed", "error")).cast("long").alias("quarantined"),
+        F.count(F.lit(1)).alias("frames"))
+
+
+def _by_type(mt):
+    def run(spark, sf_dir):
+        return msgs(spark, sf_dir).where(F.col("mt") == mt).select("event_id", "symbol", "m")
+    return run
+
+
+for _key, _mt in (("encode_ticker", "t"), ("encode_deal", "d"), ("encode_depth", "dp"), ("encode_deadletter", "dl")):
+    query(_key)(_by_type(_mt))
+
+
+@query("depth_split")
+def q_depth_split(spark, sf_dir):
+    """F8."""
+    from feedlake.functions.payload import depth_split
+    return depth_split(msgs(spark, sf_dir).where(F.col("mt") == "dp")).select("event_id", "symbol", "bids", "asks")
+
+
+@query("parse_ticker")
+def q_parse_ticker(spark, sf_dir):
+    """F9 ticker."""
+    from feedlake.functions.payload import parse_ticker
+    return parse_ticker(msgs(spark, sf_dir).where(F.col("mt") == "t").drop("mt"))
+
+
+@query("parse_deal")
+def q_parse_deal(spark, sf_dir):
+    """F9 deal."""
+    from feedlake.functions.payload import parse_deal
+    return parse_deal(msgs(spark, sf_dir).where(F.col("mt") == "d").drop("mt"))
+
+
+@query("parse_depth_levels")
+def q_parse_depth_levels(spark, sf_dir):
+    """F9 depth: one row per level."""
+    from feedlake.functions.payload import parse_depth_levels
+    return parse_depth_levels(msgs(spark, sf_dir).where(F.col("mt") == "dp").drop("mt"))
+
+
+@query("union_symbols")
+def q_union_symbols(spark, sf_dir):
+    """Per-symbol tables read as one (unionByName with a symbol literal)."""
+    m = msgs(spark, sf_dir)
+    parts = [m.where(F.col("symbol") == s).drop("symbol").withColumn("symbol", F.lit(s)) for s in ("btc", "eth", "sol")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("event_id", "symbol", "ts", "mt", "m")
+
+
+# ---------------------------------------------------------------- counts and activity
+
+@query("count_per_symbol")
+def q_count_per_symbol(spark, sf_dir):
+    return stats.count_per_symbol(msgs(spark, sf_dir))
+
+
+@query("count_rollup")
+def q_count_rollup(spark, sf_dir):
+    return stats.count_rollup(msgs(spark, sf_dir))
+
+
+@query("recent_activity")
+def q_recent_activity(spark, sf_dir):
+    """A4 / P9 / F17 over the last 10 minutes before the latest message."""
+    from feedlake.schema import symbols_df
+    m = msgs(spark, sf_dir)
+    return stats.activity(m, as_of(m), symbols_df(spark), "10 minutes")
+
+
+@query("symbol_liveness")
+def q_symbol_liveness(spark, sf_dir):
+    from feedlake.schema import symbols_df
+    m = msgs(spark, sf_dir)
+    return stats.liveness(m, as_of(m), symbols_df(spark), "5 minutes")
+
+
+@query("flush_check")
+def q_flush_check(spark, sf_dir):
+    m = msgs(spark, sf_dir)
+    return stats.flush_check(m, as_of(m), expected=1, window="10 seconds")
+
+
+@query("type_breakdown")
+def q_type_breakdown(spark, sf_dir):
+    return stats.type_breakdown(msgs(spark, sf_dir))
+
+
+@query("collection_rate")
+def q_collection_rate(spark, sf_dir):
+    return stats.collection_rate(msgs(spark, sf_dir))
+
+
+@query("median_split")
+def q_median_split(spark, sf_dir):
+    return stats.median_split(msgs(spark, sf_dir))
+
+
+@query("integrity_audit")
+def q_integrity_audit(spark, sf_dir):
+    """A10 A11 A12 A21 J3 on the hour-truncated copy (duplicates exist there)."""
+    from feedlake.sources.fixtures import dup_ts
+    return stats.integrity_audit(dup_ts(msgs(spark, sf_dir)))
+
+
+@query("stats_15s")
+def q_stats_15s(spark, sf_dir):
+    return stats.stats_windows(msgs(spark, sf_dir), "15 seconds")
+
+
+# ---------------------------------------------------------------- order, latest-k, gaps
+
+@query("table_scan_ordered")
+def q_table_scan_ordered(spark, sf_dir):
+    """Ts-ordered scan per symbol with its 0-based position."""
+    from feedlake.operators.ordering import positions
+    m = msgs(spark, sf_dir)
+    return (positions(m, ["symbol"], [F.col("ts"), F.col("event_id")])
+            .select("symbol", "pos", "ts", "mt", "m").orderBy("symbol", "pos"))
+
+
+def _latest(mt):
+    def run(spark, sf_dir):
+        out = stats.latest_k(msgs(spark, sf_dir), 3, ("symbol",), mt)
+        if mt == "dp":
+            return rn_long(stats.depth_display(out)).select("symbol", "rn", "ts", "bids", "asks").orderBy("symbol", F.desc("rn"))
+        return rn_long(out).select("symbol", "rn", "ts", "m").orderBy("symbol", F.desc("rn"))
+    return run
+
+
+for _key, _mt in (("latest_ticker", "t"), ("latest_deal", "d"), ("latest_depth", "dp")):
+    query(_key)(_latest(_mt))
+
+
+@query("latest_overall")
+def q_latest_overall(spark, sf_dir):
+    """O2: newest 3 rows of one symbol (btc), any type."""
+    from pyspark.sql import Window
+    top = (msgs(spark, sf_dir).where(F.col("symbol") == "btc")
+           .orderBy(F.desc("ts"), F.desc("event_id")).limit(3))
+    w = Window.partitionBy("symbol").orderBy(F.desc("ts"), F.desc("event_id"))
+    return top.withColumn("rn", F.row_number().over(w).cast("long")).select("symbol", "rn", "ts", "mt", "m")
+
+
+@query("head_sample")
+def q_head_sample(spark, sf_dir):
+    """First 3 rows per symbol."""
+    return rn_long(stats.first_k(msgs(spark, sf_dir), 3)).select("symbol", "rn", "ts", "mt", "m")
+
+
+@query("latest_per_type")
+def q_latest_per_type(spark, sf_dir):
+    """Newest 3 per (export file, type), ms timestamp text, message cut at 80."""
+    from feedlake.operators.export import export_units
+    u = export_units(msgs(spark, sf_dir))
+    top = stats.latest_k(u, 3, ("file_label", "mt"))
+    return rn_long(top).select(
+        F.col("file_label").alias("file_name"), F.upper(F.split_part("file_label", F.lit("_"), F.lit(1))).alias("asset"),
+        "mt", "rn", stats.ts_text(F.col("ts")).alias("ts_text"), stats.truncate_text(F.col("m"), 77, 80).alias("message"))
+
+
+@query("time_gaps")
+def q_time_gaps(spark, sf_dir):
+    return stats.time_gaps(msgs(spark, sf_dir))
+
+
+@query("gap_summary")
+def q_gap_summary(spark, sf_dir):
+    return stats.gap_summary(stats.time_gaps(msgs(spark, sf_dir)), 5.0)
+
+
+# ---------------------------------------------------------------- quality
+
+@query("mt_repair")
+def q_mt_repair(spark, sf_dir):
+    """P11 on the damaged copy."""
+    from feedlake.operators.quality import mt_repair
+    from feedlake.sources.fixtures import repair_input
+    r = repair_input(msgs(spark, sf_dir))
+    return r.select("event_id", "symbol", F.col("mt").alias("mt_in"), mt_repair(F.col("mt")).alias("mt"))
+
+
+@query("mt_null_rows")
+def q_mt_null_rows(spark, sf_dir):
+    """Rows whose type is NULL, with their 0-based position in the ts-ordered symbol table."""
+    from feedlake.operators.ordering import positions
+    from feedlake.sources.fixtures import repair_input
+    r = repair_input(msgs(spark, sf_dir))
+    return (positions(r, ["symbol"], [F.col("ts"), F.col("event_id")])
+            .where(F.col("mt").isNull()).select("symbol", "event_id", "ts", "pos"))
+
+
+@query("null_profile")
+def q_null_profile(spark, sf_dir):
+    """A14 on the damaged copy."""
+    from feedlake.operators.quality import null_profile
+    from feedlake.sources.fixtures import repair_input
+    return null_profile(repair_input(msgs(spark, sf_dir)))
+
+
+def _bad_files(spark, sf_dir):
+    from feedlake.operators.export import export_units
+    from feedlake.sources.fixtures import export_copy_bad
+    return export_units(export_copy_bad(msgs(spark, sf_dir))).withColumnRenamed("file_label", "file_name")
+
+
+@query("file_mt_health")
+def q_file_mt_health(spark, sf_dir):
+    """A15 / V3 per export file of the damaged copy."""
+    from feedlake.operators.quality import file_mt_health
+    return file_mt_health(_bad_files(spark, sf_dir))
+
+
+@query("file_summary")
+def q_file_summary(spark, sf_dir):
+    """A18 over the per-file health rows."""
+    from feedlake.operators.quality import file_mt_health, file_summary
+    return file_summary(file_mt_health(_bad_files(spark, sf_dir)))
+
+
+@query("type_count_compare")
+def q_type_count_compare(spark, sf_dir):
+    """Damaged export copy against the message table."""
+    from feedlake.operators.quality import type_count_compare
+    from feedlake.sources.fixtures import export_copy_bad
+    m = msgs(spark, sf_dir)
+    return type_count_compare(export_copy_bad(m), m)
+
+
+@query("verify_export")
+def q_verify_export(spark, sf_dir):
+    """V1 per (symbol, hour): damaged copy against the source."""
+    from feedlake.operators.quality import verify_export
+    from feedlake.sources.fixtures import export_copy_bad, hour_of
+    m = msgs(spark, sf_dir).withColumn("hour", hour_of(F.col("ts")))
+    return verify_export(m, export_copy_bad(m))
+
+
+@query("reconcile_report")
+def q_reconcile_report(spark, sf_dir):
+    """V2 per symbol: damaged copy against the source."""
+    from feedlake.operators.quality import reconcile_report
+    from feedlake.sources.fixtures import export_copy_bad
+    m = msgs(spark, sf_dir)
+    return reconcile_report(m, export_copy_bad(m))
+
+
+@query("identity_valid")
+def q_identity_valid(spark, sf_dir):
+    """F18 over observed source addresses."""
+    from feedlake.operators.quality import identity_valid
+    from feedlake.sources.fixtures import source_identity
+    o = source_identity(events(spark, sf_dir))
+    return o.select("event_id", "source", "ip", identity_valid(F.col("ip")).alias("valid"))
+
+
+@query("identity_distinct")
+def q_identity_distinct(spark, sf_dir):
+    """A19 per day."""
+    from feedlake.operators.quality import identity_distinct
+    from feedlake.sources.fixtures import source_identity
+    return identity_distinct(source_identity(events(spark, sf_dir)), "day")
+
+
+# ---------------------------------------------------------------- export and log
+
+@query("period_bounds")
+def q_period_bounds(spark, sf_dir):
+    from feedlake.operators.export import period_bounds
+    return period_bounds(msgs(spark, sf_dir))
+
+
+@query("export_file_label")
+def q_export_file_label(spark, sf_dir):
+    from feedlake.operators.export import file_labels
+    return file_labels(msgs(spark, sf_dir))
+
+
+@query("file_asset")
+def q_file_asset(spark, sf_dir):
+    """Asset from an export file name and symbol from a table name."""
+    from feedlake.operators.export import export_units
+    u = export_units(msgs(spark, sf_dir)).select("symbol", "file_label").distinct()
+    table = F.concat(F.col("symbol"), F.lit("_current"))
+    return u.select(F.col("file_label").alias("file_name"),
+                    F.upper(F.split_part("file_label", F.lit("_"), F.lit(1))).alias("asset"),
+                    table.alias("table_name"), F.upper(F.replace(table, F.lit("_current"), F.lit(""))).alias("table_symbol"))
+
+
+@query("export_roundtrip")
+def q_export_roundtrip(spark, sf_dir):
+    """Write the message table as hourly Parquet, read it back, summarise."""
+    from feedlake.operators.export import read_export, readback_summary, write_export
+    from feedlake.session import shared_path
+    path = shared_path(spark, "export")
+    write_export(msgs(spark, sf_dir), path)
+    return readback_summary(read_export(spark, path))
+
+
+def _export_log(spark, sf_dir):
+    from feedlake.sources.fixtures import export_log
+    return export_log(msgs(spark, sf_dir))
+
+
+@query("export_log_lines")
+def q_export_log_lines(spark, sf_dir):
+    from feedlake.operators.export import log_lines
+    return log_lines(_export_log(spark, sf_dir))
+
+
+@query("export_log_parse")
+def q_export_log_parse(spark, sf_dir):
+    """Log lines written as text, read back with spark.read.text and parsed."""
+    from feedlake.operators.export import log_lines, parse_log_lines
+    from feedlake.session import shared_path
+    path = shared_path(spark, "export-log")
+    log_lines(_export_log(spark, sf_dir)).select("line").write.mode("overwrite").text(path)
+    return parse_log_lines(spark.read.text(path))
+
+
+@query("export_log_rollup")
+def q_export_log_rollup(spark, sf_dir):
+    from feedlake.operators.export import log_rollup
+    return log_rollup(_export_log(spark, sf_dir))

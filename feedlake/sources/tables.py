@@ -35,7 +35,7 @@ def read_parquet_any(spark: SparkSession, *paths: str, ts_cols: tuple[str, ...]
         spark.conf.set(key, old)
     for c in ts_cols:
         if c in df.columns and dict(df.dtypes)[c] == "bigint":
-            df = df.withColumn(c, F.timestamp_micros(F.col(c).cast("long").__floordiv__(1000)))
+            df = df.withColumn(c, F.timestamp_micros(F.expr(f"`{c}` div 1000")))
     return df
 
 
