@@ -134,3 +134,54 @@ def log_rollup(log: DataFrame) -> DataFrame:
     return log.groupBy("symbol").agg(F.count(F.lit(1)).alias("exported_hours"),
                                      F.min("period_start").alias("first_export"),
                                      F.max("period_start").alias("last_export"))
+
+
+EXPORT_SCHEMA = "symbol STRING, period STRING, ts TIMESTAMP, mt STRING, m STRING"
+
+
+def _read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    from pyspark.sql import types as T
+    from pyspark.sql.utils import AnalysisException
+    from feedlake.schema import EXPORT_LOG_SCHEMA
+    schema = T.StructType(list(EXPORT_LOG_SCHEMA.fields) + [T.StructField("period", T.StringType())])
+    try:
+        return spark.read.schema(schema).parquet(log_path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def hourly_export_cycle(spark: SparkSession, msgs: DataFrame, export_path: str, log_path: str,
+                        as_of: Column, grace: str = "1 minute") -> DataFrame:
+    """One export run for all symbols at once.
+
+    Closed hours (hour end + grace <= ``as_of``) not yet in the export log are
+    written (S7), read back and counted per unit (V1), and logged (S10) only
+    when the counts agree, with the size taken from the written files. A unit
+    already in the log is never rewritten; a failed unit is simply retried
+    by the next run. Returns one status row per symbol: units attempted,
+    units passed and whether all passed.
+    """
+    hour = F.date_trunc("hour", F.col("ts"))
+    closed = export_units(msgs).where(hour + F.expr("INTERVAL 1 HOUR") + F.expr(f"INTERVAL {grace}") <= as_of)
+    done = _read_log(spark, log_path).select("symbol", "period")
+    todo = closed.join(done, ["symbol", "period"], "left_anti").drop("period", "file_label")
+    write_export(todo, export_path)
+    todo_units = export_units(todo).groupBy("symbol", "period", "file_label").agg(
+        F.count(F.lit(1)).alias("source_rows"), F.min(F.date_trunc("hour", "ts")).alias("hour"))
+    back = (spark.read.schema(EXPORT_SCHEMA).parquet(export_path)
+            .select("symbol", "period", F.col("_metadata.file_path").alias("fp"), F.col("_metadata.file_size").alias("fs")))
+    files = back.groupBy("symbol", "period", "fp", "fs").agg(F.count(F.lit(1)).alias("n"))
+    per_unit = files.groupBy("symbol", "period").agg(F.sum("n").alias("exported_rows"), F.sum("fs").alias("size_bytes"))
+    checked = todo_units.join(per_unit, ["symbol", "period"], "left").withColumn(
+        "passed", F.coalesce(F.col("exported_rows") == F.col("source_rows"), F.lit(False)))
+    run_at = as_of
+    start, _ = period_label(F.col("hour") + F.expr("INTERVAL 1 HOUR") + F.expr(f"INTERVAL {grace}"))
+    log_rows = checked.where("passed").select(
+        run_at.alias("export_time"), "symbol", start.alias("period_start"),
+        F.col("file_label").alias("file_name"), F.col("source_rows").cast("long").alias("row_count"),
+        F.col("size_bytes").cast("long").alias("size_bytes"), "period")
+    log_rows.write.mode("append").parquet(log_path)
+    return checked.groupBy("symbol").agg(F.count(F.lit(1)).alias("units"),
+                                         F.count_if("passed").cast("long").alias("units_passed"),
+                                         F.sum("source_rows").cast("long").alias("rows")) \
+        .withColumn("ok", F.col("units") == F.col("units_passed"))
