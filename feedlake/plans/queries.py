@@ -47,14 +47,36 @@ def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dec.decode(feed(spark, sf_dir))
 
 
-def msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def decoded_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames decoded on the fly (the decode path itself)."""
     return dec.decode_messages(feed(spark, sf_dir))
 
 
+_SILVER: dict[tuple[str, str], str] = {}
+
+
+def msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver message table for ``sf_dir``: decoded once, written, then read.
+
+    Reports read the written table (column pruning and ``symbol`` partition
+    pruning apply) instead of re-decoding frames for every pass; the table
+    lives in the shared checkpoint folder, so it survives executor loss.
+    """
+    import os
+    from feedlake.session import shared_path
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _SILVER.get(key)
+    if path is None:
+        path = shared_path(spark, "silver")
+        decoded_messages(spark, sf_dir).write.mode("overwrite").partitionBy("symbol").parquet(path)
+        _SILVER[key] = path
+    return spark.read.parquet(path).select("event_id", "symbol", "ts", "mt", "m")
+
+
 @query("decode_messages")
 def q_decode_messages(spark, sf_dir):
     """The stored message rows."""
-    return msgs(spark, sf_dir)
+    return decoded_messages(spark, sf_dir)
 
 
 @query("feed_outcomes")
@@ -66,7 +88,7 @@ def q_feed_outcomes(spark, sf_dir):
 @query("count_by_type")
 def q_count_by_type(spark, sf_dir):
     """A3 O3."""
-    return stats.count_by_type(msgs(spark, sf_dir))
+    return stats.count_by_type(decoded_messages(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- helpers
@@ -111,7 +133,7 @@ def q_quarantine_split(spark, sf_dir):
 
 def _by_type(mt):
     def run(spark, sf_dir):
-        return msgs(spark, sf_dir).where(F.col("mt") == mt).select("event_id", "symbol", "m")
+        return decoded_messages(spark, sf_dir).where(F.col("mt") == mt).select("event_id", "symbol", "m")
     return run
 
 

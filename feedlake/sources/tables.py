@@ -11,6 +11,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it has fewer input splits than cores.
+
+    A single small file (one row group) is one split, so a CPU-heavy step
+    after it (frame decode) would run on one core. Below the core count the
+    rows are dealt round-robin; at cluster scale the scan already has far
+    more splits than cores and this is a no-op (no shuffle is added).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def read_parquet_any(spark: SparkSession, *paths: str, ts_cols: tuple[str, ...] = ("ts",)) -> DataFrame:
     """Read Parquet files, also those written with nanosecond timestamps.
 
