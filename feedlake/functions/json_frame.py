@@ -125,7 +125,8 @@ _JSON_ELEM = r'(?:"(?:[^"\\]|\\.)*"|null)'
 # A level with two or more elements: keep the first two.
 _LEVEL_RE = r'\[(' + _JSON_ELEM + r'),(' + _JSON_ELEM + r')(?:,' + _JSON_ELEM + r')*\]'
 # A level with fewer than two elements (levels start after '[' or ',').
-_SHORT_LEVEL_RE = r'(?:^\[|,)\[' + _JSON_ELEM + r'?\]'
+# A level that is not a list converts to a NULL level: that is an error too.
+_SHORT_LEVEL_RE = r'(?:^\[|,)\[' + _JSON_ELEM + r'?\]' + r'|(?:^\[|\],)null(?:,|\]$)'
 _QUOTED_RE = r'"((?:[^"\\]|\\.)*)"'
 
 

@@ -19,8 +19,23 @@ from feedlake.session import shared_path
 
 
 def write_landing(raw: DataFrame, path: str, files: int = 4) -> str:
-    """Land a batch of frames as ``files`` JSON-lines files, each a contiguous arrival-time range."""
-    raw.repartitionByRange(files, "arrival_ts").sortWithinPartitions("arrival_ts").write.mode("append").json(path)
+    """Land frames as ``files`` JSON-lines files, each a contiguous arrival-time range.
+
+    The file source takes files in modification-time order, so the ranges
+    are written one after another (oldest first), as a feed would land them.
+    Range bounds come from approximate quantiles of ``arrival_ts``.
+    """
+    us = F.unix_micros("arrival_ts")
+    qs = [i / files for i in range(1, files)]
+    bounds = raw.select(F.percentile_approx(us, qs, 10000).alias("b")).first()["b"] if files > 1 else []
+    edges = [None, *bounds, None]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (us > lo)
+        if hi is not None:
+            cond = cond & (us <= hi)
+        raw.where(cond).repartition(1).sortWithinPartitions("arrival_ts").write.mode("append").json(path)
     return path
 
 
