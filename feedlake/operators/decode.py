@@ -106,19 +106,22 @@ def decode(raw: DataFrame) -> DataFrame:
 def decode_messages(raw: DataFrame, with_channel: bool = False) -> DataFrame:
     """Stored rows straight from frames: classify, keep stored, then build payloads.
 
-    The "keep stored rows" step is a generator (``inline`` of a 0- or 1-element
-    array) rather than a filter: a filter on ``outcome`` would be pushed below
-    the projections and re-evaluate the parse inside the predicate. The
-    generator keeps one parse per frame, builds payload text only for stored
-    rows, and still lets filters on ``symbol`` or ``arrival_ts`` reach the scan.
+    The "keep stored rows" step is a generator (``explode`` of a 0- or
+    1-element array) rather than a filter: a filter on ``outcome`` would be
+    pushed below the projections and re-evaluate the parse inside the
+    predicate. The generator emits only a marker; ``ts, mt, m`` are built in
+    the projection above it, so the parse runs once per frame, payload text
+    is built only for stored rows and only when a consumer reads ``m``
+    (column pruning), and filters on ``symbol`` or ``arrival_ts`` still reach
+    the scan.
     """
     keep = [c for c in ("event_id", "symbol") if c in raw.columns]
     cols = _stored_cols()
     if with_channel:
         cols["channel"] = F.col("_channel")
-    row = F.struct(*[c.alias(name) for name, c in cols.items()])
-    stored = F.when(F.col("outcome") == "stored", F.array(row))
-    return _classify(raw).select(*keep, F.inline(stored))
+    marker = F.explode(F.when(F.col("outcome") == "stored", F.array(F.lit(True)))).alias("_stored")
+    kept = _classify(raw).select("*", marker)
+    return kept.select(*keep, *[c.alias(name) for name, c in cols.items()])
 
 
 def messages(decoded: DataFrame) -> DataFrame:

@@ -127,12 +127,14 @@ def median_split(msgs: DataFrame) -> DataFrame:
     from feedlake.operators.ordering import exact_median_micros
     med = exact_median_micros(msgs, ["symbol"])
     x2 = F.unix_micros(F.col("ts")) * 2
-    counts = (msgs.join(med.select("symbol", "median_us_x2"), "symbol")
-              .groupBy("symbol").agg(F.count_if(x2 < F.col("median_us_x2")).alias("older"),
-                                     F.count_if(x2 >= F.col("median_us_x2")).alias("recent")))
-    return (med.join(counts, "symbol")
+    # One row per symbol joins back to the rows (AQE broadcasts it from its
+    # measured size); the median is computed once and carried as group keys.
+    return (msgs.select("symbol", "ts").join(med, "symbol")
+            .groupBy("symbol", "n", "median_us")
+            .agg(F.count_if(x2 < F.col("median_us_x2")).cast("long").alias("older"),
+                 F.count_if(x2 >= F.col("median_us_x2")).cast("long").alias("recent"))
             .select("symbol", "n", F.timestamp_micros(F.floor(F.col("median_us")).cast("long")).alias("median_ts"),
-                    F.col("older").cast("long").alias("older"), F.col("recent").cast("long").alias("recent")))
+                    "older", "recent"))
 
 
 def time_gaps(msgs: DataFrame, bucket: str = "1 minute") -> DataFrame:
