@@ -151,15 +151,18 @@ def _read_log(spark: SparkSession, log_path: str) -> DataFrame:
 
 
 def hourly_export_cycle(spark: SparkSession, msgs: DataFrame, export_path: str, log_path: str,
-                        as_of: Column, grace: str = "1 minute") -> DataFrame:
+                        as_of: Column, grace: str = "1 minute", preserve: bool = True,
+                        source_table: str | None = None) -> DataFrame:
     """One export run for all symbols at once.
 
     Closed hours (hour end + grace <= ``as_of``) not yet in the export log are
     written (S7), read back and counted per unit (V1), and logged (S10) only
     when the counts agree, with the size taken from the written files. A unit
     already in the log is never rewritten; a failed unit is simply retried
-    by the next run. Returns one status row per symbol: units attempted,
-    units passed and whether all passed.
+    by the next run. With ``preserve=False`` the verified hour partitions are
+    dropped from ``source_table`` (a message table partitioned by ``period``).
+    Returns one status row per symbol: units attempted, units passed and
+    whether all passed.
     """
     hour = F.date_trunc("hour", F.col("ts"))
     closed = export_units(msgs).where(hour + F.expr("INTERVAL 1 HOUR") + F.expr(f"INTERVAL {grace}") <= as_of)
@@ -174,6 +177,12 @@ def hourly_export_cycle(spark: SparkSession, msgs: DataFrame, export_path: str,
     per_unit = files.groupBy("symbol", "period").agg(F.sum("n").alias("exported_rows"), F.sum("fs").alias("size_bytes"))
     checked = todo_units.join(per_unit, ["symbol", "period"], "left").withColumn(
         "passed", F.coalesce(F.col("exported_rows") == F.col("source_rows"), F.lit(False)))
+    # Materialise the per-unit verdicts before the log and the source change:
+    # everything after this reads the written run table, not the lineage.
+    import uuid
+    run_path = f"{log_path.rstrip('/')}_runs/run={uuid.uuid4().hex[:12]}"
+    checked.write.mode("overwrite").parquet(run_path)
+    checked = spark.read.parquet(run_path)
     run_at = as_of
     start, _ = period_label(F.col("hour") + F.expr("INTERVAL 1 HOUR") + F.expr(f"INTERVAL {grace}"))
     log_rows = checked.where("passed").select(
@@ -181,6 +190,11 @@ def hourly_export_cycle(spark: SparkSession, msgs: DataFrame, export_path: str,
         F.col("file_label").alias("file_name"), F.col("source_rows").cast("long").alias("row_count"),
         F.col("size_bytes").cast("long").alias("size_bytes"), "period")
     log_rows.write.mode("append").parquet(log_path)
+    if not preserve and source_table:
+        # Drop only verified units from the source (a bounded list of units, not rows).
+        from feedlake.operators.tables import drop_partitions
+        done_units = [r["period"] for r in checked.where("passed").select("period").distinct().collect()]
+        drop_partitions(spark, source_table, done_units)
     return checked.groupBy("symbol").agg(F.count(F.lit(1)).alias("units"),
                                          F.count_if("passed").cast("long").alias("units_passed"),
                                          F.sum("source_rows").cast("long").alias("rows")) \

@@ -139,3 +139,12 @@ def identity_distinct(obs: DataFrame, period: str = "day") -> DataFrame:
     verdict = (F.when((F.col("unique_ips") == F.col("sources")) & (F.col("sources") >= 2), "separated")
                .when(F.col("unique_ips") < F.col("sources"), "shared").otherwise("single"))
     return agg.select("period", "sources", "unique_ips", verdict.alias("verdict"))
+
+
+REQUIRED_COLUMNS = ("ts", "mt", "m")
+
+
+def required_columns(spark, df: DataFrame, required: tuple[str, ...] = REQUIRED_COLUMNS) -> DataFrame:
+    """One status row: which required columns are missing and whether the frame can be checked."""
+    missing = [c for c in required if c not in df.columns]
+    return spark.createDataFrame([(",".join(missing), not missing)], "missing STRING, ok BOOLEAN")

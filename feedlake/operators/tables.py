@@ -91,3 +91,15 @@ def drop_segment(spark: SparkSession, table: str) -> int:
     n = spark.table(table).count()
     drop_table(spark, table)
     return n
+
+
+def drop_partitions(spark: SparkSession, table: str, periods: list[str]) -> None:
+    """L7 / L8 (drop mode): remove exported hour partitions from a partitioned message table.
+
+    The list holds export units (one per symbol and closed hour of a run),
+    not rows; one statement drops them all.
+    """
+    if not periods:
+        return
+    specs = ", ".join(f"PARTITION (period = '{p}')" for p in sorted(set(periods)))
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
