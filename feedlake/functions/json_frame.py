@@ -130,6 +130,35 @@ _SHORT_LEVEL_RE = r'(?:^\[|,)\[' + _JSON_ELEM + r'?\]' + r'|(?:^\[|\],)null(?:,|
 _QUOTED_RE = r'"((?:[^"\\]|\\.)*)"'
 
 
+# Fast path for depth sides whose JSON text is a list of flat lists with no
+# strings (the normal feed): regular expressions over the side's JSON text.
+_FLAT_SIDE_RE = r'^\[(?:\[[^\[\]"]*\](?:,\[[^\[\]"]*\])*)?\]$'
+_FIRST_LEVELS_RE = r'^\[((?:\[[^\[\]]*\],){0,%d}\[[^\[\]]*\])' % (MAX_DEPTH_LEVELS - 1)
+_FIRST_TWO_RE = r'\[([^,\[\]]*),([^,\[\]]*)(?:,[^\[\]]*)?\]'
+_FLAT_SHORT_RE = r'(?:^|,)\[[^,\[\]]*\]'
+
+
+def depth_side_first_levels(data: Column, side: str) -> Column:
+    """Fast path: text of the first 20 levels (``[p,q,c],[p,q,c]``), '' for an empty side.
+
+    NULL when the side is absent or not a list of flat, string-free lists;
+    those frames take the general path (``depth_side_json``).
+    """
+    txt = vget(data, f"$.{side}", "string")
+    first = F.regexp_extract(txt, _FIRST_LEVELS_RE, 1)
+    return F.when(txt.rlike(_FLAT_SIDE_RE), first)
+
+
+def depth_fast_text(first: Column) -> Column:
+    """Fast path text: first two elements of each level."""
+    return F.regexp_replace(first, _FIRST_TWO_RE, "[$1,$2]")
+
+
+def depth_fast_short(first: Column) -> Column:
+    """Fast path rule 9: one of the first 20 levels has fewer than two elements."""
+    return first.rlike(_FLAT_SHORT_RE)
+
+
 def depth_side_json(data: Column, side: str) -> Column:
     """The first 20 levels of a side as JSON text of ``array<array<string>>``.
 

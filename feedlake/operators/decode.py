@@ -16,6 +16,17 @@ from feedlake.schema import ERROR_BUDGET
 MESSAGE_COLS = ("event_id", "symbol", "ts", "mt", "m")
 
 
+def _side_error(data, side: str):
+    fast = F.col(f"_{side}_fast")
+    return (F.when(fast.isNotNull(), jf.depth_fast_short(fast))
+            .otherwise(jf.depth_side_error(data, side, F.col(f"_{side}"))))
+
+
+def _side_text(side: str):
+    fast = F.col(f"_{side}_fast")
+    return F.when(fast.isNotNull(), jf.depth_fast_text(fast)).otherwise(jf.depth_side_text(F.col(f"_{side}")))
+
+
 def _classify(raw: DataFrame) -> DataFrame:
     """Parse each frame once and add ``outcome`` plus internal ``_*`` columns."""
     value = F.col("value")
@@ -51,8 +62,13 @@ def _classify(raw: DataFrame) -> DataFrame:
     })
     is_depth = (F.col("_kind") == "dp") & F.col("_data_obj")
     step3 = step3.withColumns({
-        "_bids": F.when(is_depth, jf.depth_side_json(data, "bids")),
-        "_asks": F.when(is_depth, jf.depth_side_json(data, "asks")),
+        "_bids_fast": F.when(is_depth, jf.depth_side_first_levels(data, "bids")),
+        "_asks_fast": F.when(is_depth, jf.depth_side_first_levels(data, "asks")),
+    })
+    # General path only for depth sides the fast path does not cover.
+    step3 = step3.withColumns({
+        "_bids": F.when(is_depth & F.col("_bids_fast").isNull(), jf.depth_side_json(data, "bids")),
+        "_asks": F.when(is_depth & F.col("_asks_fast").isNull(), jf.depth_side_json(data, "asks")),
     })
     kind = F.col("_kind")
     ts_v = F.col("_ts_v")
@@ -64,8 +80,7 @@ def _classify(raw: DataFrame) -> DataFrame:
         | jf.text_contains_ts_key(data, data_type))
     payload_shape_error = (kind != "dl") & data.isNotNull() & ~data_is_object
     error = (data_lookup_error | jf.event_time_error(ts_v) | payload_shape_error
-             | ((kind == "dp") & data_is_object & (jf.depth_side_error(data, "bids", F.col("_bids"))
-                                                   | jf.depth_side_error(data, "asks", F.col("_asks")))))
+             | ((kind == "dp") & data_is_object & (_side_error(data, "bids") | _side_error(data, "asks"))))
     outcome = (F.when(F.col("_control"), "control")
                .when(j.isNull() | F.col("_trailing"), "malformed")
                .when(F.col("_ch").isNull(), "not_envelope")
@@ -84,7 +99,7 @@ def _stored_cols() -> dict:
     data = F.col("_data")
     payload = (F.when(kind == "t", jf.ticker_text(data))
                .when(kind == "d", jf.deal_text(data))
-               .when(kind == "dp", jf.depth_text(F.col("_bids"), F.col("_asks")))
+               .when(kind == "dp", F.concat(_side_text("bids"), F.lit("|"), _side_text("asks")))
                .otherwise(jf.deadletter_text(F.col("value"))))
     return {"ts": jf.event_time(F.col("_ts_v"), F.col("arrival_ts")), "mt": kind, "m": payload}
 
