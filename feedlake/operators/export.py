@@ -85,9 +85,19 @@ def write_export(msgs: DataFrame, path: str, partitions: int | None = None,
      .parquet(path))
 
 
-def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """Read an export back (nanosecond timestamps from other writers included)."""
-    return read_parquet_any(spark, path)
+def read_export(spark: SparkSession, *paths: str) -> DataFrame:
+    """Read exports back from one or more locations (nanosecond timestamps included).
+
+    Each location is a partitioned root of its own, so several locations are
+    read one by one and unioned, with a ``location`` column naming the root.
+    """
+    if len(paths) == 1:
+        return read_parquet_any(spark, paths[0])
+    parts = [read_parquet_any(spark, p).withColumn("location", F.lit(p)) for p in paths]
+    out = parts[0]
+    for df in parts[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 def readback_summary(exported: DataFrame) -> DataFrame:
@@ -98,13 +108,24 @@ def readback_summary(exported: DataFrame) -> DataFrame:
         F.count_if(F.col("m").isNull()).cast("long").alias("null_m"))
 
 
-def file_inventory(exported: DataFrame) -> DataFrame:
-    """Every data file with rows, size and modification time, newest first."""
-    f = with_file_metadata(exported)
-    return (f.groupBy("file_path", "file_name", "file_size", "file_modification_time", "symbol", "period")
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .withColumn("columns", F.lit(len(exported.columns) - 2))
-            .orderBy(F.desc("file_modification_time"), "file_name"))
+def file_inventory(spark: SparkSession, *paths: str) -> DataFrame:
+    """Every data file in the export locations, with rows, columns, size and
+    modification time, newest first.
+
+    Files are summarised per location from the hidden ``_metadata`` column
+    (one row per file), then the small per-file tables are unioned.
+    """
+    out = None
+    for p in paths:
+        exported = read_parquet_any(spark, p)
+        data_cols = [c for c in exported.columns if c not in ("symbol", "period")]
+        per_file = (with_file_metadata(exported)
+                    .groupBy("file_path", "file_name", "file_size", "file_modification_time", "symbol", "period")
+                    .agg(F.count(F.lit(1)).alias("rows"))
+                    .withColumn("columns", F.lit(len(data_cols)))
+                    .withColumn("location", F.lit(p)))
+        out = per_file if out is None else out.unionByName(per_file)
+    return out.orderBy(F.desc("file_modification_time"), "file_name")
 
 
 def log_lines(log: DataFrame) -> DataFrame:

@@ -557,12 +557,14 @@ def q_hourly_export_cycle(spark, sf_dir):
 
 @query("file_inventory")
 def q_file_inventory(spark, sf_dir):
-    """Exported files with rows, size and modification time, newest first."""
-    from feedlake.operators.export import file_inventory, read_export, write_export
+    """Files found in several export locations, with rows, size and time, newest first."""
+    from feedlake.operators.export import file_inventory, write_export
     from feedlake.session import shared_path
-    path = shared_path(spark, "inventory")
-    write_export(msgs(spark, sf_dir), path)
-    return file_inventory(read_export(spark, path))
+    m = msgs(spark, sf_dir)
+    first, second = shared_path(spark, "inventory-a"), shared_path(spark, "inventory-b")
+    write_export(m.where(F.col("symbol") != "sol"), first)
+    write_export(m.where(F.col("symbol") == "sol"), second)
+    return file_inventory(spark, first, second)
 
 
 def _landing(spark, sf_dir, name, files=4):
