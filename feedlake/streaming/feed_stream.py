@@ -45,6 +45,28 @@ def read_frames(spark: SparkSession, landing: str, files_per_trigger: int = 1) -
             .json(landing))
 
 
+def read_frames_kafka(spark: SparkSession, servers: str, topic: str,
+                      max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """S1 in production: frames from a Kafka topic, keyed by symbol.
+
+    The record key is the symbol, the value the raw frame text and the
+    record timestamp the arrival time; ``event_id`` is the (partition,
+    offset) pair folded into one BIGINT so re-delivered records dedupe
+    (T9). Needs the Spark Kafka connector on the classpath; it is not part
+    of this image, so this path is not exercised by the tests.
+    """
+    reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+              .option("subscribe", topic).option("startingOffsets", "earliest"))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    records = reader.load()
+    return records.select(
+        (F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("event_id"),
+        F.lower(F.col("key").cast("string")).alias("symbol"),
+        F.col("timestamp").alias("arrival_ts"),
+        F.col("value").cast("string").alias("value"))
+
+
 def _run(writer, name: str) -> None:
     q = writer.queryName(name).trigger(availableNow=True).start()
     q.awaitTermination()
