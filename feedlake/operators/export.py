@@ -185,25 +185,40 @@ def hourly_export_cycle(spark: SparkSession, msgs: DataFrame, export_path: str,
     Returns one status row per symbol: units attempted, units passed and
     whether all passed.
     """
+    import uuid
+    run_path = f"{log_path.rstrip('/')}_runs/run={uuid.uuid4().hex[:12]}"
     hour = F.date_trunc("hour", F.col("ts"))
     closed = export_units(msgs).where(hour + F.expr("INTERVAL 1 HOUR") + F.expr(f"INTERVAL {grace}") <= as_of)
     done = _read_log(spark, log_path).select("symbol", "period")
-    todo = closed.join(done, ["symbol", "period"], "left_anti").drop("period", "file_label")
-    write_export(todo, export_path)
-    todo_units = export_units(todo).groupBy("symbol", "period", "file_label").agg(
-        F.count(F.lit(1)).alias("source_rows"), F.min(F.date_trunc("hour", "ts")).alias("hour"))
-    back = (spark.read.schema(EXPORT_SCHEMA).parquet(export_path)
-            .select("symbol", "period", F.col("_metadata.file_path").alias("fp"), F.col("_metadata.file_size").alias("fs")))
+    todo = closed.join(done, ["symbol", "period"], "left_anti")
+    # 1. Source counts of the units this run exports, written first (one row per unit).
+    (todo.groupBy("symbol", "period", "file_label")
+     .agg(F.count(F.lit(1)).alias("source_rows"), F.min(F.date_trunc("hour", "ts")).alias("hour"))
+     .write.mode("overwrite").parquet(f"{run_path}/units"))
+    units = spark.read.parquet(f"{run_path}/units")
+    # 2. Write the units.
+    write_export(todo.drop("period", "file_label"), export_path)
+    # 3. Read back only the partitions of this run: the IN lists on the partition
+    #    columns prune the listing, the semi-join keeps exactly this run's units.
+    #    The lists hold this run's units (symbols x closed hours), not rows.
+    keys = units.select("symbol", "period").distinct().collect()
+    syms, periods = sorted({r["symbol"] for r in keys}), sorted({r["period"] for r in keys})
+    if keys:
+        back = (spark.read.schema(EXPORT_SCHEMA).parquet(export_path)
+                .where(F.col("symbol").isin(syms) & F.col("period").isin(periods))
+                .select("symbol", "period", F.col("_metadata.file_path").alias("fp"),
+                        F.col("_metadata.file_size").alias("fs"))
+                .join(units.select("symbol", "period"), ["symbol", "period"], "left_semi"))
+    else:
+        back = spark.createDataFrame([], "symbol STRING, period STRING, fp STRING, fs LONG")
     files = back.groupBy("symbol", "period", "fp", "fs").agg(F.count(F.lit(1)).alias("n"))
     per_unit = files.groupBy("symbol", "period").agg(F.sum("n").alias("exported_rows"), F.sum("fs").alias("size_bytes"))
-    checked = todo_units.join(per_unit, ["symbol", "period"], "left").withColumn(
+    checked = units.join(per_unit, ["symbol", "period"], "left").withColumn(
         "passed", F.coalesce(F.col("exported_rows") == F.col("source_rows"), F.lit(False)))
-    # Materialise the per-unit verdicts before the log and the source change:
-    # everything after this reads the written run table, not the lineage.
-    import uuid
-    run_path = f"{log_path.rstrip('/')}_runs/run={uuid.uuid4().hex[:12]}"
-    checked.write.mode("overwrite").parquet(run_path)
-    checked = spark.read.parquet(run_path)
+    # 4. Materialise the per-unit verdicts before the log and the source change:
+    #    everything after this reads the written run table, not the lineage.
+    checked.write.mode("overwrite").parquet(f"{run_path}/checked")
+    checked = spark.read.parquet(f"{run_path}/checked")
     run_at = as_of
     start, _ = period_label(F.col("hour") + F.expr("INTERVAL 1 HOUR") + F.expr(f"INTERVAL {grace}"))
     log_rows = checked.where("passed").select(
