@@ -107,3 +107,23 @@ def exact_median_micros(df: DataFrame, part: list[str], ts_col: str = "ts",
     # compare rows exactly against the median with integers.
     x2 = F.when(F.col("_cnt") == 1, F.col("_sum2") * 2).otherwise(F.col("_sum2"))
     return med.join(n, part).select(*part, F.col("_total").alias("n"), "median_us", x2.alias("median_us_x2"))
+
+
+def running_sum(df: DataFrame, part: list[str], ts_col: str, value_col: str,
+                bucket: str = "1 day", out: str = "running") -> DataFrame:
+    """``sum(value) OVER (PARTITION BY part ORDER BY ts ROWS UNBOUNDED PRECEDING)`` in bucketed form.
+
+    ``ts_col`` must be unique within ``part`` (e.g. interval starts). The sum
+    runs inside (part, bucket) and adds the total of earlier buckets from a
+    per-bucket table.
+    """
+    b = df.withColumn("_bucket", time_bucket(F.col(ts_col), bucket))
+    keys = [*part, "_bucket"]
+    totals = b.groupBy(*keys).agg(F.sum(value_col).alias("_t"))
+    earlier = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*keys).orderBy(ts_col).rowsBetween(Window.unboundedPreceding, 0)
+    return (b.withColumn("_local", F.sum(value_col).over(inside))
+            .join(offsets, keys)
+            .withColumn(out, (F.col("_offset") + F.col("_local")).cast("long"))
+            .drop("_bucket", "_local", "_offset"))

@@ -58,3 +58,15 @@ def test_latest_k_uses_window_group_limit(spark):
     df = _df(spark, [("btc", i * 1000) for i in range(10)])
     plan = latest_k(df, 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=rows_strategy, bucket=st.sampled_from(["1 minute", "1 hour", "1 day"]))
+def test_running_sum_equals_naive_window(spark, rows, bucket):
+    from feedlake.operators.ordering import running_sum
+    df = _df(spark, rows).groupBy("symbol", "ts").agg(F.count(F.lit(1)).alias("n"))
+    got = {(r["symbol"], r["ts"]): r["c"] for r in
+           running_sum(df, ["symbol"], "ts", "n", bucket=bucket, out="c").collect()}
+    w = Window.partitionBy("symbol").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    want = {(r["symbol"], r["ts"]): r["c"] for r in df.select("symbol", "ts", F.sum("n").over(w).alias("c")).collect()}
+    assert got == want
