@@ -46,11 +46,13 @@ def _classify(raw: DataFrame) -> DataFrame:
     step2 = step1.withColumns({
         "_ch_type": ch_type,
         "_channel": F.when(ch_type == "STRING", channel),
-        "_data_type": jf.vtype(data),
+        # Object test without walking the value (a depth object is large);
+        # the full type name is only needed for the rare non-object data.
+        "_data_obj": F.coalesce(jf.vget(data, "$", "struct<>").isNotNull(), F.lit(False)),
     })
     channel = F.col("_channel")
-    data_type = F.col("_data_type")
-    data_is_object = F.coalesce(data_type.startswith("OBJECT"), F.lit(False))
+    data_is_object = F.col("_data_obj")
+    data_type = F.when(~data_is_object, jf.vtype(data))
     kind = (F.when(channel.contains("ticker"), "t")
             .when(channel.contains("deal"), "d")
             .when(channel.contains("depth"), "dp")
@@ -58,7 +60,6 @@ def _classify(raw: DataFrame) -> DataFrame:
     step3 = step2.withColumns({
         "_kind": kind,
         "_ts_v": jf.event_time_source(j, data, data_is_object),
-        "_data_obj": data_is_object,
     })
     is_depth = (F.col("_kind") == "dp") & F.col("_data_obj")
     step3 = step3.withColumns({
@@ -75,9 +76,9 @@ def _classify(raw: DataFrame) -> DataFrame:
     data_is_object = F.col("_data_obj")
     # 'ts' in data: TypeError when data is null/number/bool; for a list or a
     # string that contains "ts" the following lookup fails too.
-    data_lookup_error = data.isNotNull() & (
+    data_lookup_error = data.isNotNull() & ~data_is_object & F.coalesce(
         data_type.isin("VOID", "BOOLEAN") | jf.is_numeric_type(data_type)
-        | jf.text_contains_ts_key(data, data_type))
+        | jf.text_contains_ts_key(data, data_type), F.lit(False))
     payload_shape_error = (kind != "dl") & data.isNotNull() & ~data_is_object
     error = (data_lookup_error | jf.event_time_error(ts_v) | payload_shape_error
              | ((kind == "dp") & data_is_object & (_side_error(data, "bids") | _side_error(data, "asks"))))
