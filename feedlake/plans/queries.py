@@ -172,8 +172,10 @@ def q_parse_depth_levels(spark, sf_dir):
 @query("union_symbols")
 def q_union_symbols(spark, sf_dir):
     """Per-symbol tables read as one (unionByName with a symbol literal)."""
+    from feedlake.schema import SUBSCRIPTIONS
     m = msgs(spark, sf_dir)
-    parts = [m.where(F.col("symbol") == s).drop("symbol").withColumn("symbol", F.lit(s)) for s in ("btc", "eth", "sol")]
+    symbols = sorted({sub[1] for sub in SUBSCRIPTIONS})      # configured per-symbol tables
+    parts = [m.where(F.col("symbol") == s).drop("symbol").withColumn("symbol", F.lit(s)) for s in symbols]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
