@@ -25,8 +25,8 @@ CASE event_type
   WHEN 'purchase' THEN concat('{"channel":"push.deal","data":{"p":', c, '.5,"v":', event_id % 50 + 1,
        ',"T":', CASE WHEN event_id % 11 = 0 THEN '"1"' ELSE CAST(user_id % 2 + 1 AS STRING) END, '},"ts":', ms, '}')
   WHEN 'click' THEN concat('{"channel":"push.depth.full","data":{"bids":[',
-       array_join(transform(sequence(0L, event_id % 25), i -> concat('[', c - i, '.5,', i + 1, ',1]')), ','), '],"asks":[',
-       array_join(transform(sequence(0L, event_id % 23), i -> concat('[', c + 1 + i, '.5,', i + 2, ',1]')), ','), ']},"ts":', ms, '}')
+       {bids}, '],"asks":[',
+       {asks}, ']},"ts":', ms, '}')
   WHEN 'signup' THEN concat('{"channel":"push.funding.rate","data":{"r":', event_id, '}',
        CASE WHEN event_id % 7 = 0 THEN '' ELSE concat(',"ts":', ms) END, '}')
   ELSE element_at(array(' pong\\n', 'not json{', '{"channel":"rs.sub.ticker","data":"success"}', '{"data":{}}',
@@ -38,6 +38,22 @@ END
 """
 
 
+def _levels_sql(count_mod: int, price: str, amount: str) -> str:
+    """Level list ``[price,amount,1],...`` for i in 0..(event_id % count_mod), from fixed slots.
+
+    One CASE per slot instead of a lambda over ``sequence``: lambdas are
+    evaluated outside whole-stage codegen; slots past the count are NULL and
+    ``array_join`` skips them.
+    """
+    slots = [f"CASE WHEN event_id % {count_mod} >= {i} THEN concat('[', {price.format(i=i)}, '.5,', "
+             f"{amount.format(i=i)}, ',1]') END" for i in range(count_mod)]
+    return "array_join(array(" + ", ".join(slots) + "), ',')"
+
+
+_FRAME_SQL = _FRAME_SQL.replace("{bids}", _levels_sql(25, "c - {i}", "{i} + 1")).replace(
+    "{asks}", _levels_sql(23, "c + 1 + {i}", "{i} + 2"))
+
+
 def feed_from_events(events: DataFrame) -> DataFrame:
     """Turn ``events`` rows into push frames ``event_id, symbol, arrival_ts, value``."""
     arrival = F.col("ts").cast("timestamp")
