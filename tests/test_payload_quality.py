@@ -101,3 +101,34 @@ def test_writes_go_to_shared_folder(spark):
     p = shared_path(spark, "probe")
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert p.startswith(base.rstrip("/")) and os.path.isdir(p.replace("file:", ""))
+
+
+from decimal import Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_price = st.decimals(min_value=Decimal("0.00000001"), max_value=Decimal("999999999"), places=8,
+                     allow_nan=False, allow_infinity=False)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(values=st.lists(st.tuples(_price, _price, st.integers(0, 10**12)), min_size=1, max_size=25))
+def test_prices_survive_encode_then_parse(spark, values):
+    import datetime as dt
+    from feedlake.functions.payload import parse_deal, parse_ticker
+    from feedlake.operators.decode import decode_messages
+    from feedlake.schema import RAW_FEED_SCHEMA
+    frames = []
+    for i, (a, b, hold) in enumerate(values):
+        frames.append((2 * i, "btc", dt.datetime(2024, 1, 1),
+                       '{"channel":"push.ticker","data":{"lastPrice":%s,"fairPrice":%s,"indexPrice":%s,"holdVol":%d},"ts":1}'
+                       % (a, b, a, hold)))
+        frames.append((2 * i + 1, "btc", dt.datetime(2024, 1, 1),
+                       '{"channel":"push.deal","data":{"p":%s,"v":%s,"T":1},"ts":1}' % (a, b)))
+    m = decode_messages(spark.createDataFrame(frames, RAW_FEED_SCHEMA))
+    t = {r["event_id"]: r for r in parse_ticker(m.where("mt = 't'")).collect()}
+    d = {r["event_id"]: r for r in parse_deal(m.where("mt = 'd'")).collect()}
+    for i, (a, b, hold) in enumerate(values):
+        assert t[2 * i]["last_price"] == a and t[2 * i]["fair_price"] == b and t[2 * i]["hold_vol"] == hold
+        assert d[2 * i + 1]["price"] == a and d[2 * i + 1]["volume"] == b and d[2 * i + 1]["direction"] == 1
