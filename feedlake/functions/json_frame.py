@@ -136,6 +136,9 @@ _FLAT_SIDE_RE = r'^\[(?:\[[^\[\]"]*\](?:,\[[^\[\]"]*\])*)?\]$'
 _FIRST_LEVELS_RE = r'^\[((?:\[[^\[\]]*\],){0,%d}\[[^\[\]]*\])' % (MAX_DEPTH_LEVELS - 1)
 _FIRST_TWO_RE = r'\[([^,\[\]]*),([^,\[\]]*)(?:,[^\[\]]*)?\]'
 _FLAT_SHORT_RE = r'(?:^|,)\[[^,\[\]]*\]'
+_EXPONENT_RE = r'[0-9][eE][-+]?[0-9]'
+_TRAILING_ZEROS_RE = r'(\.[0-9]*?)0+(?=[,\]])'
+_BARE_POINT_RE = r'\.(?=[,\]])'
 
 
 def depth_side_first_levels(data: Column, side: str) -> Column:
@@ -146,7 +149,14 @@ def depth_side_first_levels(data: Column, side: str) -> Column:
     """
     txt = vget(data, f"$.{side}", "string")
     first = F.regexp_extract(txt, _FIRST_LEVELS_RE, 1)
-    return F.when(txt.rlike(_FLAT_SIDE_RE), first)
+    # Exponent numbers (rare) are printed as plain decimals, like ticker and deal fields:
+    # the first 20 levels cast to decimals (printed plain), trailing zeros stripped.
+    dec = F.regexp_replace(F.slice(vget(data, f"$.{side}", "array<array<decimal(38,18)>>"), 1, MAX_DEPTH_LEVELS)
+                           .cast("string"), ", ", ",")
+    plain = F.regexp_replace(F.regexp_replace(dec, _TRAILING_ZEROS_RE, "$1"), _BARE_POINT_RE, "")
+    plain_first = plain.substr(F.lit(2), F.length(plain) - 2)
+    return F.when(txt.rlike(_FLAT_SIDE_RE),
+                  F.when(first.rlike(_EXPONENT_RE), plain_first).otherwise(first))
 
 
 def depth_fast_text(first: Column) -> Column:

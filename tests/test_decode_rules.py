@@ -137,3 +137,8 @@ def test_error_budget_flag(spark):
     from feedlake.sources.feed import raw_feed
     row = error_budget(decode(raw_feed(spark, "/root/testdata/sf0.001")), budget=10).first()
     assert row["errors"] > 10 and row["over_budget"]
+
+
+def test_depth_exponent_numbers_print_as_plain_decimals(decode_one):
+    out = decode_one('{"channel":"push.depth","data":{"bids":[[1e-8,2.5E3,1],[120.50,7]],"asks":[[3,4]]},"ts":1}')
+    assert out[0][0] == "stored" and out[0][3] == "[0.00000001,2500],[120.5,7]|[3,4]"
