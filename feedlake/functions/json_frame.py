@@ -149,19 +149,25 @@ def depth_side_first_levels(data: Column, side: str) -> Column:
     """
     txt = vget(data, f"$.{side}", "string")
     first = F.regexp_extract(txt, _FIRST_LEVELS_RE, 1)
-    # Exponent numbers (rare) are printed as plain decimals, like ticker and deal fields:
-    # the first 20 levels cast to decimals (printed plain), trailing zeros stripped.
+    return F.when(txt.rlike(_FLAT_SIDE_RE), first)
+
+
+def _plain_first_levels(data: Column, side: str) -> Column:
+    """The first 20 levels with every number as a plain decimal (for exponent notation).
+
+    Cast to decimals, which print plain, then strip trailing zeros over the text.
+    """
     dec = F.regexp_replace(F.slice(vget(data, f"$.{side}", "array<array<decimal(38,18)>>"), 1, MAX_DEPTH_LEVELS)
                            .cast("string"), ", ", ",")
     plain = F.regexp_replace(F.regexp_replace(dec, _TRAILING_ZEROS_RE, "$1"), _BARE_POINT_RE, "")
-    plain_first = plain.substr(F.lit(2), F.length(plain) - 2)
-    return F.when(txt.rlike(_FLAT_SIDE_RE),
-                  F.when(first.rlike(_EXPONENT_RE), plain_first).otherwise(first))
+    return F.regexp_extract(plain, r"^\[(.*)\]$", 1)
 
 
-def depth_fast_text(first: Column) -> Column:
-    """Fast path text: first two elements of each level."""
-    return F.regexp_replace(first, _FIRST_TWO_RE, "[$1,$2]")
+def depth_fast_text(first: Column, data: Column, side: str) -> Column:
+    """Fast path text: first two elements of each level; exponent numbers (rare) become
+    plain decimals, like ticker and deal fields. Only the payload projection runs this."""
+    levels = F.when(first.rlike(_EXPONENT_RE), _plain_first_levels(data, side)).otherwise(first)
+    return F.regexp_replace(levels, _FIRST_TWO_RE, "[$1,$2]")
 
 
 def depth_fast_short(first: Column) -> Column:

@@ -24,7 +24,8 @@ def _side_error(data, side: str):
 
 def _side_text(side: str):
     fast = F.col(f"_{side}_fast")
-    return F.when(fast.isNotNull(), jf.depth_fast_text(fast)).otherwise(jf.depth_side_text(F.col(f"_{side}")))
+    return (F.when(fast.isNotNull(), jf.depth_fast_text(fast, F.col("_data"), side))
+            .otherwise(jf.depth_side_text(F.col(f"_{side}"))))
 
 
 def _classify(raw: DataFrame) -> DataFrame:
