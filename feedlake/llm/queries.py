@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedlake.llm import langid, mixing, quality, token_counts, toxicity
+from feedlake.llm import langid, mixing, near_dedup, quality, token_counts, toxicity
 from feedlake.llm.common import fold, stored, table
 
 
@@ -32,6 +32,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = (table(spark, sf_dir, "labels").where(F.col("toxic").isNotNull() & (fold(F.col("doc_id"), 5) != 0))
@@ -43,4 +47,4 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_language_id, op5_quality, op7_mixing, op9_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op3_language_id, op5_quality, op7_mixing, op8_near_dedup, op9_toxicity)}
