@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedlake.llm import langid, mixing, near_dedup, quality, token_counts, toxicity
+from feedlake.llm import langid, mixing, near_dedup, quality, repeats, token_counts, toxicity
 from feedlake.llm.common import fold, stored, table
 
 
@@ -19,6 +19,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", "langs", "shares"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(quality.features(table(spark, sf_dir, "documents")), "quality-features")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(fold(F.col("doc_id"), 4) != 2)
@@ -47,4 +51,4 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_language_id, op5_quality, op7_mixing, op8_near_dedup, op9_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op3_language_id, op4_suffix_array_dedup, op5_quality, op7_mixing, op8_near_dedup, op9_toxicity)}
