@@ -50,11 +50,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and how many each text has."""
-    encoded = [(t or "").encode().lower() + b" " for t in texts]  # bytes.lower() changes A-Z alone
+def hash_words(encoded: list[bytes], between: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and how many each text has; ``between``: which bytes part words (a space must)."""
+    encoded = [e + b" " for e in encoded]
     data = np.frombuffer(b"".join(encoded), np.uint8)
-    white = _WHITE[data]
+    white = between[data]
     begins = np.flatnonzero(~white & np.r_[True, white[:-1]])
     counts = np.diff(np.searchsorted(begins, np.cumsum([0] + [len(e) for e in encoded])))
     if not len(begins):
@@ -69,7 +69,7 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: list[str | None], size: int = SIZE) -> list[np.ndarray]:
     """Each text's sorted distinct shingle hashes; a text of fewer words has its whole sequence, one of none nothing."""
-    words, counts = word_hashes(texts)
+    words, counts = hash_words([(t or "").encode().lower() for t in texts])  # bytes.lower() changes A-Z alone
     padded = np.r_[words, np.zeros(size, np.uint64)]
     rolled = sum(padded[j:j + len(words)] * _PLACES[j] for j in range(size)) if len(words) else words
     sets, first = [], 0

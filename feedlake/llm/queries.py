@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedlake.llm import langid, mixing, near_dedup, quality, repeats, token_counts, toxicity
+from feedlake.llm import decontaminate, langid, mixing, near_dedup, quality, repeats, token_counts, toxicity
 from feedlake.llm.common import fold, stored, table
 
 
@@ -12,6 +12,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     langs, model = langid.fit(docs.where(fold(F.col("doc_id"), 5) != 0))
@@ -51,4 +55,4 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_language_id, op4_suffix_array_dedup, op5_quality, op7_mixing, op8_near_dedup, op9_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_language_id, op4_suffix_array_dedup, op5_quality, op7_mixing, op8_near_dedup, op9_toxicity)}
