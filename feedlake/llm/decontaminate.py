@@ -31,7 +31,7 @@ RANK, EXTRA, POWER = 128, 16, 2
 WINDOW, STEP = 32, 8
 COSINE = 0.35
 #: A window is projected if words that some item has carry this share of its norm.
-KNOWN = 0.5
+KNOWN = 0.6
 #: Share of an item's words in the common subsequence: enough by itself, and enough with the answer.
 STRONG, WEAK = 0.8, 0.55
 #: Share of the answer's words; without an answer column it is the item's last quarter.
@@ -52,7 +52,7 @@ def bucket(words: np.ndarray) -> np.ndarray:
 
 
 def inverse_frequencies(docs: DataFrame, text: str) -> np.ndarray:
-    """Weight of each bucket: 1 + log((rows + 1) / (rows that hold it + 1)), over all rows."""
+    """Weight of each bucket: log((rows + 1) / (rows that hold it + 1)), at least 0.001, over all rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((1 << BITS) + 1, np.int64)  # the last one counts rows
         for batch in batches:
@@ -67,7 +67,7 @@ def inverse_frequencies(docs: DataFrame, text: str) -> np.ndarray:
     held = np.zeros((1 << BITS) + 1)
     for row in docs.select(text).mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toLocalIterator():
         held[row["at"]] = row["n"]
-    return (1 + np.log((held[-1] + 1) / (held[:-1] + 1))).astype(np.float32)
+    return np.maximum(np.log((held[-1] + 1) / (held[:-1] + 1)), 1e-3).astype(np.float32)
 
 
 def _vectors(texts: list[str | None], idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -164,7 +164,7 @@ class Space:
     basis: np.ndarray
     items: np.ndarray  # projected, unit length
 
-    def candidates(self, words: np.ndarray, block: int = 4096) -> Iterator[tuple[int, int]]:
+    def candidates(self, words: np.ndarray, block: int = 1024) -> Iterator[tuple[int, int]]:
         """Item and first word of the windows of one document whose cosine is enough."""
         at = bucket(words)
         row, weight = self.place[at], self.idf[at]
@@ -173,16 +173,27 @@ class Space:
         end = np.minimum(begin + WINDOW, len(words))
         square = np.r_[0.0, np.cumsum(weight.astype(np.float64) ** 2)]
         known = np.r_[0.0, np.cumsum(np.where(row >= 0, weight, 0).astype(np.float64) ** 2)]
-        norm = np.sqrt(np.maximum(square[end] - square[begin], 1e-12))
-        worth = np.flatnonzero(np.sqrt(known[end] - known[begin]) >= KNOWN * norm)
+        part = known[end] - known[begin]
+        worth = np.flatnonzero((part > 0) & (part >= KNOWN**2 * (square[end] - square[begin])))
         for near in np.array_split(worth, max(1, len(worth) // block)):
             if len(near):
-                inside = begin[near][:, None] + np.arange(WINDOW)
-                use = inside < len(words)
-                inside = np.minimum(inside, len(words) - 1)
-                use &= row[inside] >= 0
-                down = np.einsum("nw,nwk->nk", np.where(use, weight[inside], 0), self.basis[np.where(use, row[inside], 0)])
-                cosine = down @ self.items.T / norm[near][:, None]
+                inside = np.minimum(begin[near][:, None] + np.arange(WINDOW), end[near][:, None] - 1)
+                inside = np.take_along_axis(inside, np.argsort(at[inside], axis=1), axis=1)
+                once = np.ones(inside.shape, bool)  # a word counts once a window
+                once[:, 1:] = at[inside[:, 1:]] != at[inside[:, :-1]]
+                value = np.where(once, weight[inside], 0)
+                norm = np.sqrt((value * value).sum(axis=1))
+                value[row[inside] < 0] = 0
+                # a projection is no longer than the vector's part in known words
+                long = (value * value).sum(axis=1) >= (KNOWN * norm) ** 2
+                near, inside, value, norm = near[long], inside[long], value[long], norm[long]
+                of, which = np.nonzero(value)
+                if not len(of):
+                    continue
+                first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+                down = np.add.reduceat(self.basis[row[inside[of, which]]] * value[of, which][:, None], first, axis=0)
+                near = near[of[first]]
+                cosine = down @ self.items.T / np.maximum(norm[of[first]], 1e-9)[:, None]
                 for w, item in zip(*np.nonzero(cosine >= COSINE)):
                     yield int(item), int(begin[near[w]])
 

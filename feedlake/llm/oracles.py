@@ -48,4 +48,29 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_
 FROM sets LEFT JOIN component USING (doc_id)
 """
 
-ORACLES = {"op8_near_dedup": OP8, "op7_mixing": OP7}
+OP6 = """
+WITH v AS (
+  SELECT vec_id, list_transform(min(embedding), lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10
+"""
+
+OP10 = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), last AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
+FROM last
+"""
+
+ORACLES = {"op6_exact_top_k": OP6, "op10_warc": OP10, "op8_near_dedup": OP8, "op7_mixing": OP7}

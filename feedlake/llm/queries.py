@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedlake.llm import decontaminate, langid, mixing, near_dedup, quality, repeats, token_counts, toxicity
+from feedlake.llm import decontaminate, langid, mixing, near_dedup, quality, repeats, token_counts, topk, toxicity, warc
 from feedlake.llm.common import fold, stored, table
 
 
@@ -36,6 +36,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.7).cast("int").alias("predicted")))
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -55,4 +59,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_language_id, op4_suffix_array_dedup, op5_quality, op7_mixing, op8_near_dedup, op9_toxicity)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (warc.archive_and_read(table(spark, sf_dir, "pages"))
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_language_id, op4_suffix_array_dedup, op5_quality,
+                                  op6_exact_top_k, op7_mixing, op8_near_dedup, op9_toxicity, op10_warc)}
