@@ -10,7 +10,8 @@ item word by word (longest common subsequence). A document is contaminated if th
 part is most of an item, or a good part of it that also holds the item's answer, so that
 paraphrases are found while shared phrases are left alone.
 
-The benchmark is taken in blocks of ITEMS items, which bounds what is broadcast.
+The benchmark is taken in blocks of ITEMS items, which bounds each broadcast and what the
+driver collects at once.
 """
 
 from __future__ import annotations
@@ -235,47 +236,66 @@ def _space(items: DataFrame, key: str, text: str, answer: str | None, idf: np.nd
     return Space([rows[i][key] for i in keep], [words[i] for i in keep], [answer_of(i) for i in keep], idf, place, basis, projected)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
-                  item_text: str = "text", answer: str | None = None) -> DataFrame:
-    """``doc_id, contaminated, item_ids, best_share``: a row for every row of ``docs``.
-
-    ``item_ids``: the items found, ascending (repeated ids once); ``best_share``: the largest
-    share of an item's words, 0 if none. Null, empty and wordless texts and
-    items match nothing; an empty benchmark finds nothing; items with the same text
-    are all reported. Repeated rows are judged one by one; a null id gives a row;
-    extra columns are ignored. Whole texts are read in windows.
-    """
+def _spaces(docs: DataFrame, benchmark: DataFrame, text: str, item_key: str, item_text: str, answer: str | None):
+    """A broadcast Space for each block of the benchmark's distinct rows."""
     spark = docs.sparkSession
     idf = inverse_frequencies(docs, text)
-    # ids may repeat or be null: rows are numbered by a sort of what they hold
     picked = [item_key, item_text, *([answer] if answer else [])]
-    total = benchmark.count()
-    blocks = max(1, -(-total // ITEMS))
-    spread = F.pmod(F.xxhash64(*picked), F.lit(blocks)) if blocks > 1 else F.lit(0)
-    items = stored(benchmark.select(*picked).dropDuplicates(picked).withColumn("_block", spread), "benchmark-items")
-    flagged = None
+    blocks = max(1, -(-benchmark.count() // ITEMS))
+    items = stored(benchmark.select(*picked).dropDuplicates(picked)
+                   .withColumn("_block", F.pmod(F.xxhash64(*picked), F.lit(blocks))), "benchmark-items")
     for number in range(blocks):
-        space = spark.sparkContext.broadcast(_space(items.where(F.col("_block") == number), item_key, item_text, answer, idf))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = space.value
-            for batch in batches:
-                for part in slices(batch, text):
-                    words, counts = words_of(part.column(1).to_pylist())
-                    found = [own.match(w) if len(w) and len(own.ids) else {} for w in np.split(words, np.cumsum(counts)[:-1])]
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0), pa.array([len(f) > 0 for f in found]),
-                         pa.array([sorted({own.ids[i] for i in f if own.ids[i] is not None}) for f in found], pa.list_(pa.int64())),
-                         pa.array([max(f.values(), default=0.0) for f in found], pa.float64())],
-                        names=[key, "contaminated", "item_ids", "best_share"])
-
-        kind = docs.select(key).schema[0].dataType.simpleString()
-        one = docs.select(key, text).mapInArrow(run, f"{key} {kind}, contaminated boolean, item_ids array<long>, best_share double")
-        if blocks == 1:
-            return one
-        flagged = one.withColumn("_n", F.monotonically_increasing_id()) if flagged is None else flagged.unionByName(
-            one.withColumn("_n", F.monotonically_increasing_id()))
-    # several blocks: the scans number the rows alike, so the number tells repeated rows apart
-    return (flagged.groupBy("_n", key).agg(F.max("contaminated").alias("contaminated"),
-                                           F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-                                           F.max("best_share").alias("best_share")).drop("_n"))
+        yield spark.sparkContext.broadcast(_space(items.where(F.col("_block") == number), item_key, item_text, answer, idf))
+
+
+def _found(space: Space, texts: list[str | None]) -> list[dict[int, float]]:
+    words, counts = words_of(texts)
+    return [space.match(w) if len(w) and len(space.ids) else {} for w in np.split(words, np.cumsum(counts)[:-1])]
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
+                  item_text: str = "text", answer: str | None = None) -> DataFrame:
+    """``key, contaminated, item_ids, best_share``: a row for every row of ``docs``.
+
+    ``item_ids``: the items found, ascending, each once; ``best_share``: the largest
+    share of an item's words, 0 if none. Null, empty and wordless texts and items
+    match nothing; an empty benchmark finds nothing; of items with the same text
+    all are reported, and one without an id counts but is not listed. Repeated rows
+    are judged one by one; a null id gives a row; extra columns are ignored. Whole
+    texts are read, in windows.
+    """
+    spaces = list(_spaces(docs, benchmark, text, item_key, item_text, answer))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                texts = part.column(1).to_pylist()
+                ids, best = [set() for _ in texts], [0.0] * len(texts)
+                for space in spaces:
+                    for i, found in enumerate(_found(space.value, texts)):
+                        ids[i] |= {space.value.ids[n] for n in found}
+                        best[i] = max([best[i], *found.values()])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([b > 0 for b in best]),
+                     pa.array([sorted(i for i in own if i is not None) for own in ids], pa.list_(pa.int64())), pa.array(best)],
+                    names=[key, "contaminated", "item_ids", "best_share"])
+
+    picked = docs.select(key, text)
+    return picked.mapInArrow(run, f"{key} {picked.schema[0].dataType.simpleString()}, contaminated boolean, item_ids array<long>, best_share double")
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text",
+                   answer: str | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, in which no item is found."""
+    spaces = list(_spaces(docs, benchmark, text, item_key, item_text, answer))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                for space in spaces:
+                    part = part.filter(pa.array([not f for f in _found(space.value, part.column(text).to_pylist())], pa.bool_()))
+                    if not part.num_rows:
+                        break
+                yield part
+
+    return docs.mapInArrow(run, docs.schema)

@@ -162,6 +162,18 @@ def infer(texts: list[str | None], model: np.ndarray, bits: int = BITS,
     return shares, margin
 
 
+def _judge(texts: list[str | None], langs: list[str], model: np.ndarray, bits: int, penalty: float):
+    """Language, score and proportions of each text."""
+    import regex
+    letter = regex.compile(r"\p{L}").search
+    shares, margin = infer([t if t and letter(t) else None for t in texts], model, bits, penalty)
+    if not langs:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts), shares
+    best, known = shares.argmax(axis=1), shares.sum(axis=1) > 0
+    score = np.where(known, np.minimum(1.0, shares.max(axis=1) * margin), 0.0)
+    return [langs[b] if k else UNKNOWN for b, k in zip(best, known)], score.tolist(), shares
+
+
 def identify(docs: DataFrame, langs: list[str], model: np.ndarray, key: str = "doc_id", text: str = "text",
              bits: int = BITS, penalty: float = PENALTY) -> DataFrame:
     """``key, lang_pred, score, langs, shares`` for every row; no shuffle.
@@ -176,19 +188,12 @@ def identify(docs: DataFrame, langs: list[str], model: np.ndarray, key: str = "d
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x 2**bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-        letter = regex.compile(r"\p{L}").search
         for batch in batches:
             for part in slices(batch, text):
-                texts = [t if t and letter(t) else None for t in part.column(text).to_pylist()]
-                shares, margin = infer(texts, sent.value, bits, penalty)
-                best = shares.argmax(axis=1) if langs else np.zeros(len(texts), int)
-                known = shares.sum(axis=1) > 0
+                lang, score, shares = _judge(part.column(1).to_pylist(), langs, sent.value, bits, penalty)
                 among = [np.flatnonzero(s > 0).tolist() for s in shares]
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0),
-                    pa.array([langs[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()),
-                    pa.array([min(1.0, float(s[b] * m)) if k else 0.0 for s, b, m, k in zip(shares, best, margin, known)], pa.float64()),
+                    part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
                     pa.array([[langs[i] for i in a] for a in among], pa.list_(pa.string())),
                     pa.array([s[a].tolist() for s, a in zip(shares, among)], pa.list_(pa.float64()))],
                     names=[key, "lang_pred", "score", "langs", "shares"])
@@ -196,3 +201,17 @@ def identify(docs: DataFrame, langs: list[str], model: np.ndarray, key: str = "d
     picked = docs.select(key, text)
     kind = picked.schema[0].dataType.simpleString()
     return picked.mapInArrow(run, f"{key} {kind}, lang_pred string, score double, langs array<string>, shares array<double>")
+
+
+def identified(docs: DataFrame, langs: list[str], model: np.ndarray, least: float, text: str = "text",
+               bits: int = BITS, penalty: float = PENALTY) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language is known with at least the score ``least``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                lang, score, _ = _judge(part.column(text).to_pylist(), langs, sent.value, bits, penalty)
+                yield part.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(lang, score)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -248,3 +248,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return (base.join(final, "set_key", "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that ``near_duplicates`` keeps."""
+    gone = stored(near_duplicates(docs, key, text).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
+    if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")

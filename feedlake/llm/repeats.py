@@ -291,7 +291,7 @@ def shard_results(sent: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", columns: list[str] | None = None,
-                   shard_bytes: int = SHARD, hot: int = HOT) -> DataFrame:
+                   decode: bool = False, shard_bytes: int = SHARD, hot: int = HOT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row, then ``kept`` (the bytes left) and the
     given other ``columns``.
 
@@ -299,7 +299,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", col
     same id are never each other's smaller document, so repeated rows stay alike; a
     null id is larger than all others. A text's repeats of itself stay. Extra
     columns are ignored unless asked for; an empty table gives no rows. Cutting
-    bytes may split a character: ``kept`` is binary.
+    bytes may split a character, so ``kept`` is binary; with ``decode`` it is text
+    without the halves of such characters, and null where the text is null.
     """
     columns = columns or []
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *[F.col(c).alias(f"_{c}") for c in columns])
@@ -334,10 +335,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", col
             kept = pack.data[a:b][~mask].tobytes()
             out.append((b - a, int(mask.sum()), int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum()), hashlib.sha256(kept).hexdigest(), kept))
         n_bytes, n_removed, n_spans, sha, kept = zip(*out)
+        if decode:
+            kept = [k.decode(errors="ignore") if t.is_valid else None for k, t in zip(kept, pack.batch.column("text"))]
         table = {"doc_id": pack.batch.column("doc_id"), "n_bytes": pa.array(n_bytes, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
-                 "n_spans": pa.array(n_spans, pa.int64()), "kept_sha256": pa.array(sha), "kept": pa.array(kept, pa.binary())}
+                 "n_spans": pa.array(n_spans, pa.int64()), "kept_sha256": pa.array(sha), "kept": pa.array(kept, pa.string() if decode else pa.binary())}
         return pa.table(table | {c: pack.batch.column(f"_{c}") for c in columns})
 
     kinds = "".join(f", `{c}` {docs.schema[f'_{c}'].dataType.simpleString()}" for c in columns)
     return (packed.groupBy("pack_id").cogroup(told.groupBy("pack_id"))
-            .applyInArrow(run, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary{kinds}"))
+            .applyInArrow(run, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept {'string' if decode else 'binary'}{kinds}"))
