@@ -50,3 +50,14 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = 1 << 20) -> Iterator[p
         size += n
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def nullable(kind: pa.DataType) -> pa.DataType:
+    """The Arrow type with nulls allowed at all depths, as types made from DDL text have it."""
+    if pa.types.is_struct(kind):
+        return pa.struct([pa.field(f.name, nullable(f.type)) for f in kind])
+    if pa.types.is_list(kind):
+        return pa.list_(nullable(kind.value_type))
+    if pa.types.is_map(kind):
+        return pa.map_(nullable(kind.key_type), nullable(kind.item_type))
+    return kind

@@ -68,20 +68,21 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: d
     are repeated alike. Texts are carried, never looked at. Input columns named
     ``copy_no`` or ``shuffle_key`` are replaced.
     """
-    docs = docs.drop("copy_no", "shuffle_key")
-    rates = source_rates(docs, source, weights, total).select(
-        "_source", F.coalesce(poisson_steps(F.col("rate")), F.array(F.lit(1.0))).alias("_steps"))
+    # the row travels as one column, so that no name of its own meets one of those added here
+    rows = docs.select(F.struct(*[c for c in docs.columns if c not in ("copy_no", "shuffle_key")]).alias("row"),
+                       F.col(key).alias("key"), F.col(source).alias("source"))
+    rates = source_rates(rows, "source", weights, total).select(
+        "_source", F.coalesce(poisson_steps(F.col("rate")), F.array(F.lit(1.0))).alias("steps"))
     n = rates.limit(BROADCAST_SOURCES + 1).count()
     if n <= BROADCAST_SOURCES:
-        joined = docs.join(F.broadcast(rates), F.col(source).eqNullSafe(F.col("_source")), "inner")
+        joined = rows.join(F.broadcast(rates), F.col("source").eqNullSafe(F.col("_source")))
     else:
-        salted = rates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = (docs.withColumn("_own", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-                  .join(salted, F.col(source).eqNullSafe(F.col("_source")) & (F.col("_own") == F.col("_salt")), "inner"))
-    u = uniform(seed, F.col(key))
-    times = F.size(F.filter("_steps", lambda c: c <= u))
-    return (joined.withColumn("_times", times).where("_times > 0")
-            .withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-            .select(*[docs[c] for c in docs.columns], "copy_no",
-                    F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("copy_no"))).alias("shuffle_key"))
+        salted = rates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = (rows.withColumn("own", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+                  .join(salted, F.col("source").eqNullSafe(F.col("_source")) & (F.col("own") == F.col("salt"))))
+    u = uniform(seed, F.col("key"))
+    order = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col("key").cast("string"), F.lit("")), F.col("copy_no")))
+    return (joined.withColumn("times", F.size(F.filter("steps", lambda c: c <= u))).where("times > 0")
+            .withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("times"))))
+            .select("row.*", "copy_no", order.alias("shuffle_key"))
             .repartition(F.col("shuffle_key")).sortWithinPartitions("shuffle_key"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from feedlake.llm.common import parts, slices, stored, text_bytes
+from feedlake.llm.common import nullable, parts, slices, stored, text_bytes
 from feedlake.llm.near_dedup import mixed
 from feedlake.llm.suffix_array import permuted_common_prefixes, suffix_array
 
@@ -339,7 +339,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", col
             kept = [k.decode(errors="ignore") if t.is_valid else None for k, t in zip(kept, pack.batch.column("text"))]
         table = {"doc_id": pack.batch.column("doc_id"), "n_bytes": pa.array(n_bytes, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
                  "n_spans": pa.array(n_spans, pa.int64()), "kept_sha256": pa.array(sha), "kept": pa.array(kept, pa.string() if decode else pa.binary())}
-        return pa.table(table | {c: pack.batch.column(f"_{c}") for c in columns})
+        return pa.table(table | {c: (own := pack.batch.column(f"_{c}")).cast(nullable(own.type)) for c in columns})
 
     kinds = "".join(f", `{c}` {docs.schema[f'_{c}'].dataType.simpleString()}" for c in columns)
     return (packed.groupBy("pack_id").cogroup(told.groupBy("pack_id"))

@@ -139,7 +139,7 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", vocab
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
-        find, find_ascii = regex.compile(PRE_TOKEN).findall, re.compile(ASCII_PRE_TOKEN).findall
+        find, find_ascii = regex.compile(PRE_TOKEN).findall, re.compile(ASCII_PRE_TOKEN, re.ASCII).findall
         counts = Counter(piece_values(ranks.value))
         for batch in batches:
             for part in slices(batch, text):

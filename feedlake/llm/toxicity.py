@@ -141,8 +141,9 @@ def fit(rows: DataFrame, text: str = "text", label: str = "label", graded: bool
                 grades = [min(3, max(1, len(marks & set(a)))) if g > 0 else 0 for a, g in zip(at, grades)]
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.list_(pa.int32())), pa.array(grades, pa.int32())], names=["at", "grade"])
 
-    picked = rows.mapInArrow(run, "at array<int>, grade int").orderBy("grade", "at").toPandas()  # the bounded sample's word numbers
-    w, t = fit_weights([np.asarray(a, int) for a in picked["at"]], picked["grade"].to_numpy(int), len(chosen))
+    picked = rows.mapInArrow(run, "at array<int>, grade int").toPandas()  # the bounded sample's word numbers
+    pairs = sorted((g, tuple(a)) for g, a in zip(picked["grade"], picked["at"]))  # one order, one sum
+    w, t = fit_weights([np.array(a, int) for _, a in pairs], np.array([g for g, _ in pairs], int), len(chosen))
     return OrdinalModel(index, w, t)
 
 
@@ -156,7 +157,7 @@ def predict(docs: DataFrame, model: OrdinalModel, key: str = "doc_id", text: str
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most WORDS words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b for b in batches if b.num_rows):
             above = np.array([sent.value.chances(t.as_py()) for t in batch.column(1)]).reshape(batch.num_rows, -1)
             each = -np.diff(np.column_stack([np.ones(len(above)), above, np.zeros(len(above))]), axis=1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(above[:, 0]), pa.array(above.sum(axis=1)),
