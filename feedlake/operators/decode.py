@@ -120,7 +120,7 @@ def decode(raw: DataFrame) -> DataFrame:
         *[F.when(stored, c).alias(name) for name, c in _stored_cols().items()])
 
 
-def decode_messages(raw: DataFrame, with_channel: bool = False) -> DataFrame:
+def decode_messages(raw: DataFrame, with_channel: bool = False, with_arrival: bool = False) -> DataFrame:
     """Stored rows straight from frames: classify, keep stored, then build payloads.
 
     The "keep stored rows" step is a generator (``explode`` of a 0- or
@@ -132,7 +132,7 @@ def decode_messages(raw: DataFrame, with_channel: bool = False) -> DataFrame:
     (column pruning), and filters on ``symbol`` or ``arrival_ts`` still reach
     the scan.
     """
-    keep = [c for c in ("event_id", "symbol") if c in raw.columns]
+    keep = [c for c in ("event_id", "symbol", *(["arrival_ts"] if with_arrival else [])) if c in raw.columns]
     cols = _stored_cols()
     if with_channel:
         cols["channel"] = F.col("_channel")

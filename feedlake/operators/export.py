@@ -1,19 +1,29 @@
 """Closed-period Parquet export, the export log, and read-back checks.
 
 Layout: ``<root>/symbol=<s>/period=<yyyyMMdd_HH>/part-*.parquet`` (snappy),
-rows sorted by ``ts`` inside each file. An export unit is (symbol, period);
-its display name follows the label rule ``{symbol}_{yyyyMMdd}_{HH}00.parquet``.
-Re-exporting a unit replaces only that unit's partition (dynamic partition
-overwrite), so two exports of one hour never overwrite each other's data.
+rows sorted by ``ts`` inside each file. The display name of a unit follows the
+label rule ``{symbol}_{yyyyMMdd}_{HH}00.parquet``. Re-exporting a unit replaces
+only that unit's partition (dynamic partition overwrite).
+
+The export cycle's unit is (symbol, period, segment): ``period`` is the hour of
+the event, ``segment`` the hour of *arrival*. A segment is closed once its hour
+and the grace are over on the caller's clock; nothing can be added to it any
+more, so a logged unit is complete for good, and a row that arrives after its
+event hour was exported belongs to a later segment, a unit of its own. Event
+times, which clients may set to anything, close nothing.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.operators.ordering import time_bucket
 from feedlake.sources.fixtures import debug_file_name, hourly_file_name
+from feedlake.operators.tables import drop_partitions
+from feedlake.schema import CYCLE_LOG_SCHEMA
 from feedlake.sources.tables import read_parquet_any, with_file_metadata
 
 LOG_LINE_RE = r"^(.+?) \| (.+?) \| (.+?) \| (.+?) \| (\d+) rows \| ([\d,]+) bytes$"
@@ -47,11 +57,24 @@ def period_bounds(msgs: DataFrame) -> DataFrame:
                        F.date_format(start, "yyyyMMdd_HH").alias("label_hour"))
 
 
-def export_units(msgs: DataFrame) -> DataFrame:
-    """Add the export unit columns: ``period`` (yyyyMMdd_HH of the event hour) and its label."""
-    hour = F.date_trunc("hour", F.col("ts"))
-    return (msgs.withColumn("period", F.date_format(hour, "yyyyMMdd_HH"))
-            .withColumn("file_label", hourly_file_name(F.col("symbol"), hour)))
+PERIOD_FORMAT = "yyyyMMdd_HH"
+UNIT = ("symbol", "period", "segment")
+
+
+def hour_label(ts: Column) -> Column:
+    return F.date_format(F.date_trunc("hour", ts), PERIOD_FORMAT)
+
+
+def export_units(msgs: DataFrame, by: str = "event") -> DataFrame:
+    """Add ``period`` (yyyyMMdd_HH), its file label and, where ``arrival_ts`` is there, ``segment``.
+
+    ``by='event'``: the period is the event hour; ``by='arrival'``: it is the
+    arrival hour, so a unit holds all that arrived in it, whatever its time.
+    """
+    when = F.col("ts" if by == "event" else "arrival_ts")
+    units = (msgs.withColumn("period", hour_label(when))
+             .withColumn("file_label", hourly_file_name(F.col("symbol"), F.date_trunc("hour", when))))
+    return units.withColumn("segment", hour_label(F.col("arrival_ts"))) if "arrival_ts" in msgs.columns else units
 
 
 def file_labels(msgs: DataFrame) -> DataFrame:
@@ -63,25 +86,24 @@ def file_labels(msgs: DataFrame) -> DataFrame:
                     debug_file_name(F.col("symbol"), F.col("period_start")).alias("debug_file")))
 
 
-def write_export(msgs: DataFrame, path: str, partitions: int | None = None,
+def write_export(msgs: DataFrame, path: str, by: tuple[str, ...] = ("symbol", "period"),
                  max_records_per_file: int = 0) -> None:
-    """Write ``symbol, ts, mt, m`` as snappy Parquet partitioned by (symbol, period).
+    """Write ``symbol, ts, mt, m`` as snappy Parquet partitioned by ``by``.
 
-    ``repartitionByRange(symbol, period, ts)`` sends each unit to as few
-    writers as its size needs: a hot hour is split by time range over several
-    tasks instead of landing in one, and every file stays sorted by ``ts``.
-    Only the units being written are replaced (dynamic partition overwrite).
+    The rows are rebalanced by unit: small units share a task, a unit beyond
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (the target size of a
+    writer's data, 64 MB unless set) is split over several. Each file is sorted
+    by ``ts``. Only the units being written are replaced.
     """
-    units = export_units(msgs)
-    n = partitions or int(msgs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (units.repartitionByRange(n, "symbol", "period", "ts")
-     .sortWithinPartitions("symbol", "period", "ts")
-     .select("symbol", "period", "ts", "mt", "m")
+    units = msgs if set(by) <= set(msgs.columns) else export_units(msgs)
+    (units.hint("rebalance", *[F.col(c) for c in by])
+     .sortWithinPartitions(*by, "ts")
+     .select(*by, "ts", "mt", "m")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", "snappy")
      .option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy("symbol", "period")
+     .partitionBy(*by)
      .parquet(path))
 
 
@@ -141,7 +163,7 @@ def log_lines(log: DataFrame) -> DataFrame:
 
 
 def parse_log_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Log text lines back to columns; lines that do not match are dropped."""
+    """Log text lines back to columns; lines that do not match are in ``rejected_log_lines``."""
     g = lambda i: F.regexp_extract(F.col(col), LOG_LINE_RE, i)
     ok = F.col(col).rlike(LOG_LINE_RE)
     return lines.where(ok).select(
@@ -150,6 +172,11 @@ def parse_log_lines(lines: DataFrame, col: str = "value") -> DataFrame:
         g(5).cast("long").alias("row_count"), F.regexp_replace(g(6), ",", "").cast("long").alias("size_bytes"))
 
 
+def rejected_log_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """The lines that are no log lines (NULL ones too), as they are."""
+    return lines.where(~F.coalesce(F.col(col).rlike(LOG_LINE_RE), F.lit(False)))
+
+
 def log_rollup(log: DataFrame) -> DataFrame:
     """Exported hours, first and last period per symbol."""
     return log.groupBy("symbol").agg(F.count(F.lit(1)).alias("exported_hours"),
@@ -157,81 +184,88 @@ def log_rollup(log: DataFrame) -> DataFrame:
                                      F.max("period_start").alias("last_export"))
 
 
-EXPORT_SCHEMA = "symbol STRING, period STRING, ts TIMESTAMP, mt STRING, m STRING"
+def unit_digests(rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Rows and an order-free digest of ``ts, mt, m`` per unit: equal for equal row multisets."""
+    digest = F.sum(F.xxhash64("ts", "mt", "m").cast("decimal(38,0)"))
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), digest.alias("digest"))
+
 
+EXPORT_SCHEMA = "symbol STRING, period STRING, segment STRING, ts TIMESTAMP, mt STRING, m STRING"
 
-def _read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    from pyspark.sql import types as T
-    from pyspark.sql.utils import AnalysisException
-    from feedlake.schema import EXPORT_LOG_SCHEMA
-    schema = T.StructType(list(EXPORT_LOG_SCHEMA.fields) + [T.StructField("period", T.StringType())])
-    try:
-        return spark.read.schema(schema).parquet(log_path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+
+def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """The export log as a DataFrame, empty before the first run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(log_path)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], CYCLE_LOG_SCHEMA)
+    return spark.read.schema(CYCLE_LOG_SCHEMA).parquet(log_path)
 
 
 def hourly_export_cycle(spark: SparkSession, msgs: DataFrame, export_path: str, log_path: str,
                         as_of: Column, grace: str = "1 minute", preserve: bool = True,
-                        source_table: str | None = None) -> DataFrame:
+                        source_table: str | None = None, by: str = "event") -> DataFrame:
     """One export run for all symbols at once.
 
-    Closed hours (hour end + grace <= ``as_of``) not yet in the export log are
-    written (S7), read back and counted per unit (V1), and logged (S10) only
-    when the counts agree, with the size taken from the written files. A unit
-    already in the log is never rewritten; a failed unit is simply retried
-    by the next run. With ``preserve=False`` the verified hour partitions are
-    dropped from ``source_table`` (a message table partitioned by ``period``).
-    Returns one status row per symbol: units attempted, units passed and
-    whether all passed.
+    ``msgs`` holds ``symbol, ts, arrival_ts, mt, m``; ``as_of`` is the caller's
+    clock. Units of closed segments that the log does not have are written
+    (S7), read back and compared with the source by count and row digest (V1,
+    V2), and logged (S10, also as text lines in ``<log_path>_text``) when both
+    agree. A failed unit stays unlogged and is written again by the next run.
+    With ``preserve=False`` the logged units are then dropped from
+    ``source_table``, see ``drop_exported``. Returns one row per symbol: units
+    attempted, units passed, rows, and whether all passed.
     """
-    import uuid
     run_path = f"{log_path.rstrip('/')}_runs/run={uuid.uuid4().hex[:12]}"
-    hour = F.date_trunc("hour", F.col("ts"))
-    closed = export_units(msgs).where(hour + F.expr("INTERVAL 1 HOUR") + F.expr(f"INTERVAL {grace}") <= as_of)
-    done = _read_log(spark, log_path).select("symbol", "period")
-    todo = closed.join(done, ["symbol", "period"], "left_anti")
-    # 1. Source counts of the units this run exports, written first (one row per unit).
-    (todo.groupBy("symbol", "period", "file_label")
-     .agg(F.count(F.lit(1)).alias("source_rows"), F.min(F.date_trunc("hour", "ts")).alias("hour"))
-     .write.mode("overwrite").parquet(f"{run_path}/units"))
+    segment_end = F.to_timestamp("segment", PERIOD_FORMAT) + F.expr("INTERVAL 1 HOUR")
+    closed = export_units(msgs, by).where(segment_end + F.expr(f"INTERVAL {grace}") <= as_of)
+    todo = closed.join(read_log(spark, log_path).select(*UNIT), list(UNIT), "left_anti")
+    write_export(todo, export_path, UNIT)
+    # The source's side again: a closed segment does not change, so these are the rows written.
+    unit_digests(todo, (*UNIT, "file_label")).write.mode("overwrite").parquet(f"{run_path}/units")
     units = spark.read.parquet(f"{run_path}/units")
-    # 2. Write the units.
-    write_export(todo.drop("period", "file_label"), export_path)
-    # 3. Read back only the partitions of this run: the IN lists on the partition
-    #    columns prune the listing, the semi-join keeps exactly this run's units.
-    #    The lists hold this run's units (symbols x closed hours), not rows.
-    keys = units.select("symbol", "period").distinct().collect()
-    syms, periods = sorted({r["symbol"] for r in keys}), sorted({r["period"] for r in keys})
-    if keys:
-        back = (spark.read.schema(EXPORT_SCHEMA).parquet(export_path)
-                .where(F.col("symbol").isin(syms) & F.col("period").isin(periods))
-                .select("symbol", "period", F.col("_metadata.file_path").alias("fp"),
-                        F.col("_metadata.file_size").alias("fs"))
-                .join(units.select("symbol", "period"), ["symbol", "period"], "left_semi"))
-    else:
-        back = spark.createDataFrame([], "symbol STRING, period STRING, fp STRING, fs LONG")
-    files = back.groupBy("symbol", "period", "fp", "fs").agg(F.count(F.lit(1)).alias("n"))
-    per_unit = files.groupBy("symbol", "period").agg(F.sum("n").alias("exported_rows"), F.sum("fs").alias("size_bytes"))
-    checked = units.join(per_unit, ["symbol", "period"], "left").withColumn(
-        "passed", F.coalesce(F.col("exported_rows") == F.col("source_rows"), F.lit(False)))
-    # 4. Materialise the per-unit verdicts before the log and the source change:
-    #    everything after this reads the written run table, not the lineage.
-    checked.write.mode("overwrite").parquet(f"{run_path}/checked")
+    # The join prunes the partitions that are listed and read to this run's.
+    back = (spark.read.schema(EXPORT_SCHEMA).parquet(export_path)
+            .select(*UNIT, "ts", "mt", "m", F.col("_metadata.file_path").alias("fp"), F.col("_metadata.file_size").alias("fs"))
+            .join(units.select(*UNIT), list(UNIT), "left_semi"))
+    per_file = unit_digests(back, (*UNIT, "fp", "fs"))
+    written = per_file.groupBy(*UNIT).agg(F.sum("row_count").alias("exported_rows"), F.sum("digest").alias("exported_digest"),
+                                          F.sum("fs").alias("size_bytes"))
+    passed = (F.col("exported_rows") == F.col("row_count")) & F.col("exported_digest").eqNullSafe(F.col("digest"))
+    (units.join(written, list(UNIT), "left").withColumn("passed", F.coalesce(passed, F.lit(False)))
+     .write.mode("overwrite").parquet(f"{run_path}/checked"))
+    # Everything after this reads the written verdicts, not the lineage.
     checked = spark.read.parquet(f"{run_path}/checked")
-    run_at = as_of
-    start, _ = period_label(F.col("hour") + F.expr("INTERVAL 1 HOUR") + F.expr(f"INTERVAL {grace}"))
+    start, _ = period_label(F.to_timestamp("segment", PERIOD_FORMAT) + F.expr("INTERVAL 1 HOUR") + F.expr(f"INTERVAL {grace}"))
     log_rows = checked.where("passed").select(
-        run_at.alias("export_time"), "symbol", start.alias("period_start"),
-        F.col("file_label").alias("file_name"), F.col("source_rows").cast("long").alias("row_count"),
-        F.col("size_bytes").cast("long").alias("size_bytes"), "period")
+        as_of.alias("export_time"), "symbol", start.alias("period_start"), F.col("file_label").alias("file_name"),
+        F.col("row_count").cast("long").alias("row_count"), F.col("size_bytes").cast("long").alias("size_bytes"),
+        "period", "segment", "digest")
+    log_lines(log_rows).select("line").write.mode("append").text(f"{log_path.rstrip('/')}_text")
     log_rows.write.mode("append").parquet(log_path)
     if not preserve and source_table:
-        # Drop only verified units from the source (a bounded list of units, not rows).
-        from feedlake.operators.tables import drop_partitions
-        done_units = [r["period"] for r in checked.where("passed").select("period").distinct().collect()]
-        drop_partitions(spark, source_table, done_units)
+        drop_exported(spark, source_table, log_path)
     return checked.groupBy("symbol").agg(F.count(F.lit(1)).alias("units"),
                                          F.count_if("passed").cast("long").alias("units_passed"),
-                                         F.sum("source_rows").cast("long").alias("rows")) \
+                                         F.sum("row_count").cast("long").alias("rows")) \
         .withColumn("ok", F.col("units") == F.col("units_passed"))
+
+
+def drop_exported(spark: SparkSession, source_table: str, log_path: str, batch: int = 500) -> int:
+    """L7 / L8 (drop mode): drop the (symbol, period, segment) partitions that the log holds with the same
+    rows and digest; returns how many.
+
+    It looks at the whole log, so units that an earlier run logged and a crash
+    left undropped go too. A partition that differs from its log row stays.
+    Partitions are dropped ``batch`` at a time as they stream in.
+    """
+    logged = read_log(spark, log_path).select(*UNIT, "row_count", "digest")
+    there = unit_digests(spark.table(source_table).join(logged.select(*UNIT), list(UNIT), "left_semi"), UNIT)
+    same = there.join(logged, [*UNIT, "row_count", "digest"], "left_semi").select(*UNIT)
+    dropped, waiting = 0, []
+    for row in same.toLocalIterator():
+        waiting.append(tuple(row))
+        if len(waiting) == batch:
+            drop_partitions(spark, source_table, waiting)
+            dropped, waiting = dropped + len(waiting), []
+    drop_partitions(spark, source_table, waiting)
+    return dropped + len(waiting)

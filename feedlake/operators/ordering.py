@@ -29,7 +29,15 @@ def width_micros(width: str) -> int:
 def time_bucket(ts: Column, width: str = DEFAULT_BUCKET) -> Column:
     """Start of the fixed-width, epoch-aligned bucket holding ``ts`` (same as ``window()``)."""
     w = width_micros(width)
-    return F.timestamp_micros(F.floor(F.unix_micros(ts) / F.lit(w)).cast("long") * F.lit(w))
+    us = F.unix_micros(ts)
+    return F.timestamp_micros(us - F.pmod(us, F.lit(w)))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL; the keys appear once, from the left."""
+    renamed = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
+    on = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def positions(df: DataFrame, part: list[str], order: list[str], ts_col: str = "ts",
@@ -47,7 +55,7 @@ def positions(df: DataFrame, part: list[str], order: list[str], ts_col: str = "t
     offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
     ranked = b.withColumn("_local", local)
-    return (ranked.join(offsets, keys)
+    return (join_null_safe(ranked, offsets, keys)
             .withColumn(out, (F.col("_offset") + F.col("_local")).cast("long"))
             .drop("_bucket", "_local", "_offset"))
 
@@ -66,7 +74,7 @@ def previous_ts(df: DataFrame, part: list[str], order: list[str], ts_col: str =
         *keys, F.lag("_bmax").over(Window.partitionBy(*part).orderBy("_bucket")).alias("_carry"))
     inner = F.lag(ts_col).over(Window.partitionBy(*keys).orderBy(*order))
     return (b.withColumn("_inner", inner)
-            .join(carry, keys)
+            .transform(lambda d: join_null_safe(d, carry, keys))
             .withColumn(out, F.coalesce(F.col("_inner"), F.col("_carry")))
             .drop("_bucket", "_inner", "_carry"))
 

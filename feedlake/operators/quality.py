@@ -112,7 +112,8 @@ def reconcile_report(source: DataFrame, exported: DataFrame, by: tuple[str, ...]
     no_nulls = (z("src_null_rows") == 0) & (z("file_null_rows") == 0)
     src_range = seconds_between(F.col("src_min_ts"), F.col("src_max_ts"))
     file_range = seconds_between(F.col("file_min_ts"), F.col("file_max_ts"))
-    range_match = F.coalesce(src_range == file_range, F.lit(False))
+    # both ends must agree: equal spans of shifted times do not match
+    range_match = F.coalesce((F.col("src_min_ts") == F.col("file_min_ts")) & (F.col("src_max_ts") == F.col("file_max_ts")), F.lit(False))
     ref_pass = count_match & no_nulls
     strict = ref_pass & (z("type_mismatches") == 0) & range_match & (z("multiset_diff") == 0)
     return j.select(*by, z("src_rows").alias("src_rows"), z("file_rows").alias("file_rows"),

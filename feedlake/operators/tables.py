@@ -1,15 +1,16 @@
 """Message tables in the Spark catalog: create, check, list, append, rotate, drop.
 
-Tables are external Parquet tables under the shared folder, partitioned by
-``period`` (yyyyMMdd_HH of the event hour). The per-symbol ``<sym>_current`` /
-``<sym>_previous`` pair of the original design is kept as a table-rename
-rotation; the primary form is one table whose closed hour partitions play
-the part of ``previous``.
+Tables are managed Parquet tables in a database under the shared folder, so
+dropping one removes its data and a new one starts clean. A long-lived table is
+partitioned by ``symbol``, ``period`` (yyyyMMdd_HH of the event hour) and
+``segment`` (of the arrival hour); its closed segments play the part of
+``previous``. The per-symbol ``<sym>_current`` / ``<sym>_previous`` pair is kept
+as a rotation by renaming.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.schema import MT_CODES
@@ -22,15 +23,15 @@ def create_database(spark: SparkSession, db: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{location}'")
 
 
-def create_message_table(spark: SparkSession, table: str, location: str, partitioned: bool = False) -> None:
-    """L2: typed message table (``mt`` is checked on write, see ``append_messages``).
+def create_message_table(spark: SparkSession, table: str, partitioned: bool = False) -> None:
+    """L2: typed, managed message table (``mt`` is checked on write, see ``append_messages``).
 
-    A rotating ``<sym>_current`` segment needs no partitions (rotation
-    segments time); a long-lived table is partitioned by event hour.
+    A rotating ``<sym>_current`` table needs no partitions (rotation segments
+    time); a long-lived one is partitioned by symbol, period and segment.
     """
-    cols = MESSAGE_DDL + (", period STRING" if partitioned else "")
-    part = " PARTITIONED BY (period)" if partitioned else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{part} LOCATION '{location}'")
+    cols = MESSAGE_DDL + (", symbol STRING, period STRING, segment STRING" if partitioned else "")
+    part = " PARTITIONED BY (symbol, period, segment)" if partitioned else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{part}")
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
@@ -53,53 +54,63 @@ def table_listing(spark: SparkSession, db: str) -> DataFrame:
                          .when(F.col("table_name").endswith("_previous"), "previous").otherwise("other"))
 
 
+def _accepted() -> Column:
+    return F.coalesce(F.col("ts").isNotNull() & F.col("mt").isin(*MT_CODES) & F.col("m").isNotNull(), F.lit(False))
+
+
 def valid_rows(msgs: DataFrame) -> DataFrame:
     """Rows the typed table accepts (the enum check of L2): ts present, known mt, m present."""
-    return msgs.where(F.col("ts").isNotNull() & F.col("mt").isin(*MT_CODES) & F.col("m").isNotNull())
+    return msgs.where(_accepted())
 
 
 def rejected_rows(msgs: DataFrame) -> DataFrame:
-    return msgs.where(~(F.col("ts").isNotNull() & F.col("mt").isin(*MT_CODES) & F.col("m").isNotNull()))
+    return msgs.where(~_accepted())
 
 
-def append_messages(msgs: DataFrame, table: str) -> None:
-    """Append rows in time order; rows the table would refuse are not written.
+def append_messages(msgs: DataFrame, table: str, rejects: str | None = None) -> None:
+    """Append rows in time order, without a global sort (no shuffle).
 
-    ``sortWithinPartitions('period', 'ts')`` writes each file in time order
-    without a global sort (no shuffle).
+    Rows that the table refuses go to the folder ``rejects`` as they are.
+    Without one, a refused row is an error: none is left out unseen.
     """
     rows = valid_rows(msgs)
     target = rows.sparkSession.table(table).columns
-    if "period" in target:
-        rows = rows.withColumn("period", F.date_format(F.date_trunc("hour", "ts"), "yyyyMMdd_HH"))
-        rows = rows.sortWithinPartitions("period", "ts")
+    bad = rejected_rows(msgs)
+    if rejects:
+        bad.write.mode("append").parquet(rejects)
+    elif bad.limit(1).count():
+        raise ValueError(f"rows that {table} refuses, and no folder for them")
+    if "segment" in target:
+        label = lambda c: F.date_format(F.date_trunc("hour", c), "yyyyMMdd_HH")
+        rows = rows.withColumn("period", label("ts")).withColumn("segment", label("arrival_ts"))
+        rows = rows.sortWithinPartitions("symbol", "period", "segment", "ts")
     else:
         rows = rows.sortWithinPartitions("ts")
     rows.select(*target).write.mode("append").insertInto(table)
 
 
-def rotate(spark: SparkSession, db: str, symbol: str, location: str) -> None:
+def rotate(spark: SparkSession, db: str, symbol: str) -> None:
     """Drop ``previous``, rename ``current`` to ``previous``, create a new ``current``."""
     cur, prev = f"{db}.{symbol}_current", f"{db}.{symbol}_previous"
     drop_table(spark, prev)
     spark.sql(f"ALTER TABLE {cur} RENAME TO {prev}")
-    create_message_table(spark, cur, location)
+    create_message_table(spark, cur)
 
 
 def drop_segment(spark: SparkSession, table: str) -> int:
-    """Count, then drop the exported segment. Returns the row count dropped."""
+    """Count, then drop the exported segment with its data. Returns the row count dropped."""
     n = spark.table(table).count()
     drop_table(spark, table)
     return n
 
 
-def drop_partitions(spark: SparkSession, table: str, periods: list[str]) -> None:
-    """L7 / L8 (drop mode): remove exported hour partitions from a partitioned message table.
+def drop_partitions(spark: SparkSession, table: str, units: list[tuple[str, str, str]]) -> None:
+    """Drop exactly the given (symbol, period, segment) partitions, in one statement."""
+    if units:
+        specs = ", ".join(f"PARTITION (symbol = '{s}', period = '{p}', segment = '{g}')" for s, p, g in units)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
-    The list holds export units (one per symbol and closed hour of a run),
-    not rows; one statement drops them all.
-    """
-    if not periods:
-        return
-    specs = ", ".join(f"PARTITION (period = '{p}')" for p in sorted(set(periods)))
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+
+def drop_database(spark: SparkSession, db: str) -> None:
+    """L3: the database with all its tables and their data."""
+    spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")

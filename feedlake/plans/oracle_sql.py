@@ -268,8 +268,8 @@ SELECT symbol, CAST(row_number() OVER (PARTITION BY symbol ORDER BY ts, event_id
 
 def _latest_sql(mt: str, depth: bool) -> str:
     cut = lambda e: f"CASE WHEN length({e}) > 50 THEN left({e}, 50) || '...' ELSE {e} END"
-    cols = (f"{cut(chr(115) + 'plit_part(m, ' + chr(39) + '|' + chr(39) + ', 1)')} AS bids, "
-            f"{cut(chr(115) + 'plit_part(m, ' + chr(39) + '|' + chr(39) + ', 2)')} AS asks") if depth else "m"
+    bids, asks = "split_part(m, '|', 1)", "split_part(m, '|', 2)"
+    cols = f"{cut(bids)} AS bids, {cut(asks)} AS asks" if depth else "m"
     return with_ctes(_MESSAGES) + f"""
 SELECT symbol, rn, ts, {cols} FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, event_id DESC) AS BIGINT) AS rn
@@ -284,8 +284,8 @@ ORACLES["latest_depth"] = _latest_sql("dp", True)
 @oracle("latest_overall", _MESSAGES)
 def _():
     return """
-SELECT symbol, CAST(row_number() OVER (ORDER BY ts DESC, event_id DESC) AS BIGINT) AS rn, ts, mt, m
-FROM messages WHERE symbol = 'btc' ORDER BY ts DESC, event_id DESC LIMIT 3"""
+SELECT symbol, rn, ts, mt, m FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, event_id DESC) AS BIGINT) AS rn FROM messages) WHERE rn <= 3"""
 
 
 @oracle("head_sample", _MESSAGES)
@@ -507,3 +507,134 @@ def _():
     return """
 SELECT symbol, CAST(count(*) AS BIGINT) AS exported_hours, min(period_start) AS first_export, max(period_start) AS last_export
 FROM export_log_named GROUP BY symbol"""
+
+
+# ---------------------------------------------------------------- tables, files, streams
+
+_TABLE_ROWS = "tables AS (SELECT symbol || '_current' AS table_name, count(*) AS rows FROM messages GROUP BY symbol)"
+# FIXTURES.md: every 97th message arrives three hours late, every 101st is dated 2100.
+_ARRIVALS = """
+arrivals AS (
+  SELECT m.event_id, m.symbol, m.mt, m.m, CASE WHEN m.event_id % 101 = 0 THEN TIMESTAMP '2100-01-01' ELSE m.ts END AS ts,
+         CASE WHEN m.event_id % 97 = 0 THEN e.ts + INTERVAL 3 HOUR ELSE e.ts END AS arrival_ts
+  FROM messages m JOIN events e USING (event_id)),
+clock AS (SELECT max(ts) AS t FROM messages),
+units AS (
+  SELECT symbol, strftime(ts, '%Y%m%d_%H') AS period, strftime(arrival_ts, '%Y%m%d_%H') AS segment,
+         date_trunc('hour', arrival_ts) + INTERVAL 61 MINUTE <= t AS closed, count(*) AS n
+  FROM arrivals, clock GROUP BY ALL)"""
+
+
+@oracle("lifecycle_setup", _MESSAGES, _TABLE_ROWS)
+def _():
+    return "SELECT table_name, rows FROM tables"
+
+
+@oracle("tables_exist", _MESSAGES, _TABLE_ROWS)
+def _():
+    return 'SELECT table_name, true AS "exists", true AS all_exist, rows FROM tables'
+
+
+@oracle("table_listing", _MESSAGES, _TABLE_ROWS)
+def _():
+    return "SELECT table_name, 'MANAGED' AS table_type, 'current' AS role, rows FROM tables"
+
+
+@oracle("batch_append", _MESSAGES)
+def _():
+    return "SELECT symbol, ts, mt, m FROM messages"
+
+
+@oracle("rotate_segment", _MESSAGES)
+def _():
+    return """
+SELECT symbol, count(*) AS segment_rows, CAST(0 AS BIGINT) AS current_rows, false AS previous_exists FROM messages GROUP BY symbol"""
+
+
+@oracle("hourly_export_cycle", _MESSAGES, _ARRIVALS)
+def _():
+    return """
+SELECT symbol, period, segment, symbol || '_' || period || '00.parquet' AS file_name, n AS row_count FROM units WHERE closed"""
+
+
+@oracle("export_cycle_drop", _MESSAGES, _ARRIVALS)
+def _():
+    return "SELECT symbol, period, segment, closed AS exported, n AS rows FROM units"
+
+
+@oracle("required_columns", _MESSAGES)
+def _():
+    return """
+SELECT 'whole' AS export, '' AS missing, true AS ok, count(*) AS rows FROM messages
+UNION ALL SELECT 'damaged', 'mt', false, count(*) FROM messages"""
+
+
+@oracle("file_inventory", _MESSAGES)
+def _():
+    return """
+SELECT CASE WHEN symbol = 'sol' THEN 'second' ELSE 'first' END AS location, symbol, strftime(ts, '%Y%m%d_%H') AS period,
+       count(*) AS rows, 3 AS columns, true AS described FROM messages GROUP BY ALL"""
+
+
+for _key in ("stream_ingest", "stream_restart", "stream_dedup"):
+    ORACLES[_key] = with_ctes(_MESSAGES) + "\nSELECT event_id, symbol, ts, mt, m FROM messages"
+
+
+@oracle("stream_outcomes", _OUTCOMES)
+def _():
+    return """
+SELECT outcome, count(*) AS n, CASE WHEN outcome IN ('malformed', 'error') THEN count(*) ELSE 0 END AS quarantined
+FROM outcomes GROUP BY outcome"""
+
+
+@oracle("stream_stats", _MESSAGES)
+def _():
+    return """
+SELECT make_timestamp((epoch_us(ts) // 15000000) * 15000000) AS window_start,
+       make_timestamp((epoch_us(ts) // 15000000) * 15000000) + INTERVAL 15 SECOND AS window_end, symbol, mt, count(*) AS n
+FROM messages GROUP BY ALL"""
+
+
+@oracle("stream_rates", _MESSAGES, _OUTCOMES)
+def _():
+    return """
+, span AS (SELECT symbol, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS s FROM messages GROUP BY symbol)
+SELECT symbol, count(*) FILTER (outcome = 'stored') AS n, count(*) FILTER (outcome = 'error') AS errors,
+       count(*) FILTER (outcome NOT IN ('stored', 'error')) AS skipped,
+       CASE WHEN any_value(s) > 0 THEN round(count(*) FILTER (outcome = 'stored') / any_value(s), 6) ELSE 0.0 END AS rate
+FROM outcomes JOIN span USING (symbol) GROUP BY symbol"""
+
+
+@oracle("stream_hourly_close", _MESSAGES)
+def _():
+    return """
+SELECT date_trunc('hour', ts) AS period_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS period_end, symbol, count(*) AS rows,
+       min(ts) AS first_ts, max(ts) AS last_ts
+FROM messages WHERE date_trunc('hour', ts) + INTERVAL 61 MINUTE <= (SELECT max(ts) FROM messages) GROUP BY ALL"""
+
+
+@oracle("stream_debug_close", _MESSAGES)
+def _():
+    return """
+, five AS (SELECT *, make_timestamp((epoch_us(ts) // 300000000) * 300000000) AS period_start FROM messages)
+SELECT period_start, symbol, count(*) AS rows FROM five
+WHERE period_start + INTERVAL 330 SECOND <= (SELECT max(ts) FROM messages) GROUP BY ALL"""
+
+
+@oracle("stream_counts", _MESSAGES)
+def _():
+    return "SELECT symbol, count(*) AS rows FROM messages GROUP BY symbol"
+
+
+@oracle("stream_error_budget", _OUTCOMES)
+def _():
+    return """
+SELECT outcome, count(*) AS n, (SELECT count(*) FROM outcomes WHERE outcome = 'error') > 100 AS stopped FROM outcomes GROUP BY outcome"""
+
+
+@oracle("stream_late", _MESSAGES)
+def _():
+    return """
+SELECT event_id, symbol, m.ts, mt, m, m.event_id % 97 = 0 AND date_trunc('hour', m.ts) + INTERVAL 61 MINUTE <= e.ts + INTERVAL 3 HOUR
+       OR date_trunc('hour', m.ts) + INTERVAL 61 MINUTE <= e.ts AS late
+FROM messages m JOIN events e USING (event_id)"""

@@ -7,6 +7,9 @@ equal to naive DuckDB timestamps; counts are BIGINT.
 
 from __future__ import annotations
 
+import contextlib
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,25 +55,40 @@ def decoded_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dec.decode_messages(feed(spark, sf_dir))
 
 
-_SILVER: dict[tuple[str, str], str] = {}
+_SILVER: dict[tuple[str, str], tuple[str, object]] = {}
 
 
-def msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver message table for ``sf_dir``: decoded once, written, then read.
+def _silver(spark: SparkSession, sf_dir: str) -> tuple[str, object]:
+    """Path of the silver message table for ``sf_dir`` and its latest message time.
 
-    Reports read the written table (column pruning and ``symbol`` partition
-    pruning apply) instead of re-decoding frames for every pass; the table
+    Frames are decoded once, written, then read by all reports: the table is
+    partitioned by symbol and day and sorted by time inside its files, and
     lives in the shared checkpoint folder, so it survives executor loss.
     """
-    import os
     from feedlake.session import shared_path
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    path = _SILVER.get(key)
-    if path is None:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _SILVER:
         path = shared_path(spark, "silver")
-        decoded_messages(spark, sf_dir).write.mode("overwrite").partitionBy("symbol").parquet(path)
-        _SILVER[key] = path
-    return spark.read.parquet(path).select("event_id", "symbol", "ts", "mt", "m")
+        rows = dec.decode_messages(feed(spark, sf_dir), with_arrival=True).withColumn("day", F.date_format("ts", "yyyyMMdd").cast("string"))
+        (rows.hint("rebalance", F.col("symbol"), F.col("day")).sortWithinPartitions("symbol", "day", "ts")
+         .write.mode("overwrite").partitionBy("symbol", "day").parquet(path))
+        latest = spark.read.parquet(path).agg(F.max("ts")).first()[0]
+        _SILVER[key] = (path, latest)
+    return _SILVER[key]
+
+
+_SILVER_SCHEMA = "event_id LONG, symbol STRING, day STRING, ts TIMESTAMP, mt STRING, m STRING, arrival_ts TIMESTAMP"
+
+
+def msgs(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """The silver messages, with ``day`` or ``arrival_ts`` where asked for."""
+    path, _ = _silver(spark, sf_dir)
+    return spark.read.schema(_SILVER_SCHEMA).parquet(path).select("event_id", "symbol", "ts", "mt", "m", *more)
+
+
+def now(spark: SparkSession, sf_dir: str) -> "F.Column":
+    """The fixture's clock, a literal: its latest message time. Jobs take theirs from the caller."""
+    return F.lit(_silver(spark, sf_dir)[1])
 
 
 @query("decode_messages")
@@ -93,11 +111,6 @@ def q_count_by_type(spark, sf_dir):
 
 # ---------------------------------------------------------------- helpers
 
-def as_of(df: DataFrame) -> "F.Column":
-    """Fixed "now" of the fixture: the latest message time (a scalar subquery)."""
-    return df.select(F.max("ts")).scalar()
-
-
 def rn_long(df: DataFrame) -> DataFrame:
     return df.withColumn("rn", F.col("rn").cast("long"))
 
@@ -171,15 +184,8 @@ def q_parse_depth_levels(spark, sf_dir):
 
 @query("union_symbols")
 def q_union_symbols(spark, sf_dir):
-    """Per-symbol tables read as one (unionByName with a symbol literal)."""
-    from feedlake.schema import SUBSCRIPTIONS
-    m = msgs(spark, sf_dir)
-    symbols = sorted({sub[1] for sub in SUBSCRIPTIONS})      # configured per-symbol tables
-    parts = [m.where(F.col("symbol") == s).drop("symbol").withColumn("symbol", F.lit(s)) for s in symbols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("event_id", "symbol", "ts", "mt", "m")
+    """The per-symbol partitions read as one table: every symbol that is there, one scan."""
+    return msgs(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- counts and activity
@@ -198,21 +204,22 @@ def q_count_rollup(spark, sf_dir):
 def q_recent_activity(spark, sf_dir):
     """A4 / P9 / F17 over the last 10 minutes before the latest message."""
     from feedlake.schema import symbols_df
-    m = msgs(spark, sf_dir)
-    return stats.activity(m, as_of(m), symbols_df(spark), "10 minutes")
+    m = msgs(spark, sf_dir, "day")
+    return stats.activity(m, now(spark, sf_dir), symbols_df(spark), "10 minutes")
 
 
 @query("symbol_liveness")
 def q_symbol_liveness(spark, sf_dir):
     from feedlake.schema import symbols_df
-    m = msgs(spark, sf_dir)
-    return stats.liveness(m, as_of(m), symbols_df(spark), "5 minutes")
+    m = msgs(spark, sf_dir, "day")
+    return stats.liveness(m, now(spark, sf_dir), symbols_df(spark), "5 minutes")
 
 
 @query("flush_check")
 def q_flush_check(spark, sf_dir):
-    m = msgs(spark, sf_dir)
-    return stats.flush_check(m, as_of(m), expected=1, window="10 seconds")
+    from feedlake.schema import symbols_df
+    m = msgs(spark, sf_dir, "day")
+    return stats.flush_check(m, now(spark, sf_dir), 1, symbols_df(spark), "10 seconds")
 
 
 @query("type_breakdown")
@@ -268,12 +275,8 @@ for _key, _mt in (("latest_ticker", "t"), ("latest_deal", "d"), ("latest_depth",
 
 @query("latest_overall")
 def q_latest_overall(spark, sf_dir):
-    """O2: newest 3 rows of one symbol (btc), any type."""
-    from pyspark.sql import Window
-    top = (msgs(spark, sf_dir).where(F.col("symbol") == "btc")
-           .orderBy(F.desc("ts"), F.desc("event_id")).limit(3))
-    w = Window.partitionBy("symbol").orderBy(F.desc("ts"), F.desc("event_id"))
-    return top.withColumn("rn", F.row_number().over(w).cast("long")).select("symbol", "rn", "ts", "mt", "m")
+    """O2: newest 3 rows of every symbol, any type."""
+    return rn_long(stats.latest_k(msgs(spark, sf_dir), 3, ("symbol",))).select("symbol", "rn", "ts", "mt", "m")
 
 
 @query("head_sample")
@@ -458,201 +461,298 @@ def q_export_log_rollup(spark, sf_dir):
     return log_rollup(_export_log(spark, sf_dir))
 
 
-# ---------------------------------------------------------------- rows-only: files, tables, streams
-# These keys write (files, catalog tables, stream sinks and checkpoints) under
+# ---------------------------------------------------------------- files, tables, streams
+# These keys write (files, catalog tables, stream tables and checkpoints) under
 # a new folder of the shared checkpoint folder and return what they wrote.
 
-def _setup_symbol_tables(spark, sf_dir, name):
-    """L1-L3 + S4: a fresh database with one ``<sym>_current`` table per symbol, filled from the feed."""
-    import uuid
+def _symbols(spark, sf_dir):
+    """The symbols that are there (a few), in order."""
+    return sorted(r[0] for r in msgs(spark, sf_dir).select("symbol").distinct().collect())
+
+
+@contextlib.contextmanager
+def _database(spark, sf_dir, name):
+    """L1-L3 + S4: a fresh database with one ``<sym>_current`` table per symbol, filled from the feed; it is
+    removed with its data at the end, so the caller returns rows that no longer need it."""
     from feedlake.operators import tables as tb
-    from feedlake.schema import SUBSCRIPTIONS
     from feedlake.session import shared_path
-    base = shared_path(spark, name)
     db = f"feedlake_{uuid.uuid4().hex[:10]}"
-    tb.create_database(spark, db, f"{base}/db")
-    m = msgs(spark, sf_dir)
-    symbols = sorted({s[1] for s in SUBSCRIPTIONS})
-    for sym in symbols:
-        t = f"{db}.{sym}_current"
-        tb.drop_table(spark, t)
-        tb.create_message_table(spark, t, f"{base}/{sym}_current")
-        tb.append_messages(m.where(F.col("symbol") == sym), t)
-    return db, base, symbols
+    tb.create_database(spark, db, shared_path(spark, name))
+    try:
+        m = msgs(spark, sf_dir)
+        symbols = _symbols(spark, sf_dir)
+        for sym in symbols:
+            tb.create_message_table(spark, f"{db}.{sym}_current")
+            tb.append_messages(m.where(F.col("symbol") == sym), f"{db}.{sym}_current")
+        yield db, symbols
+    finally:
+        tb.drop_database(spark, db)
+
+
+def _written(spark, df, name):
+    """A result that outlives the tables it was read from."""
+    from feedlake.session import shared_path
+    path = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _union(frames):
+    return functools.reduce(DataFrame.unionByName, frames)
 
 
 def _table_counts(spark, db, names):
-    out = None
-    for n in names:
-        c = spark.table(f"{db}.{n}").groupBy().agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(n))
-        out = c if out is None else out.unionByName(c)
-    return out
+    return _union(spark.table(f"{db}.{n}").agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(n)) for n in names)
 
 
 @query("lifecycle_setup")
 def q_lifecycle_setup(spark, sf_dir):
-    """L1 L2 L3: database and typed tables created, filled; rows per table."""
-    db, _, symbols = _setup_symbol_tables(spark, sf_dir, "lifecycle")
-    return _table_counts(spark, db, [f"{s}_current" for s in symbols])
+    """L1 L2 L3: database and typed tables created, dropped and created again, filled; rows per table."""
+    from feedlake.operators import tables as tb
+    with _database(spark, sf_dir, "lifecycle") as (db, symbols):
+        again = symbols[0]
+        tb.drop_table(spark, f"{db}.{again}_current")       # a clean start: no old row may come back
+        tb.create_message_table(spark, f"{db}.{again}_current")
+        tb.append_messages(msgs(spark, sf_dir).where(F.col("symbol") == again), f"{db}.{again}_current")
+        return _written(spark, _table_counts(spark, db, [f"{s}_current" for s in symbols]), "lifecycle-rows")
 
 
 @query("tables_exist")
 def q_tables_exist(spark, sf_dir):
     """L4: required tables present (all-present gate) with their row counts."""
     from feedlake.operators import tables as tb
-    db, _, symbols = _setup_symbol_tables(spark, sf_dir, "exists")
-    names = [f"{s}_current" for s in symbols]
-    ex = tb.tables_exist(spark, [f"{db}.{n}" for n in names]).withColumn(
-        "table_name", F.split_part("table_name", F.lit("."), F.lit(2)))
-    return ex.join(_table_counts(spark, db, names), "table_name", "left")
+    with _database(spark, sf_dir, "exists") as (db, symbols):
+        names = [f"{s}_current" for s in symbols]
+        ex = tb.tables_exist(spark, [f"{db}.{n}" for n in names]).withColumn(
+            "table_name", F.split_part("table_name", F.lit("."), F.lit(2)))
+        return _written(spark, ex.join(_table_counts(spark, db, names), "table_name", "left"), "exists-rows")
 
 
 @query("table_listing")
 def q_table_listing(spark, sf_dir):
     """Tables tagged by role, with row counts."""
     from feedlake.operators import tables as tb
-    db, _, symbols = _setup_symbol_tables(spark, sf_dir, "listing")
-    listing = tb.table_listing(spark, db)
-    return listing.join(_table_counts(spark, db, [f"{s}_current" for s in symbols]), "table_name", "left")
+    with _database(spark, sf_dir, "listing") as (db, symbols):
+        rows = tb.table_listing(spark, db).join(_table_counts(spark, db, [f"{s}_current" for s in symbols]), "table_name", "left")
+        return _written(spark, rows, "listing-rows")
 
 
 @query("batch_append")
 def q_batch_append(spark, sf_dir):
     """Rows appended in time order to the per-symbol tables, read back."""
-    db, _, symbols = _setup_symbol_tables(spark, sf_dir, "append")
-    out = None
-    for s in symbols:
-        t = spark.table(f"{db}.{s}_current").withColumn("symbol", F.lit(s))
-        out = t if out is None else out.unionByName(t)
-    return out.select("symbol", "ts", "mt", "m")
+    with _database(spark, sf_dir, "append") as (db, symbols):
+        rows = _union(spark.table(f"{db}.{s}_current").withColumn("symbol", F.lit(s)) for s in symbols)
+        return _written(spark, rows.select("symbol", "ts", "mt", "m"), "append-rows")
 
 
 @query("rotate_segment")
 def q_rotate_segment(spark, sf_dir):
     """Rotate each symbol's table, count and drop the old segment; new segment is empty."""
     from feedlake.operators import tables as tb
-    db, base, symbols = _setup_symbol_tables(spark, sf_dir, "rotate")
-    rows = []
-    for s in symbols:
-        tb.rotate(spark, db, s, f"{base}/{s}_current_next")
-        segment = tb.drop_segment(spark, f"{db}.{s}_previous")
-        rows.append((s, segment, spark.table(f"{db}.{s}_current").count(),
-                     spark.catalog.tableExists(f"{db}.{s}_previous")))
-    return spark.createDataFrame(rows, "symbol STRING, segment_rows LONG, current_rows LONG, previous_exists BOOLEAN")
+    with _database(spark, sf_dir, "rotate") as (db, symbols):
+        rows = []
+        for s in symbols:
+            tb.rotate(spark, db, s)
+            segment = tb.drop_segment(spark, f"{db}.{s}_previous")
+            rows.append((s, segment, spark.table(f"{db}.{s}_current").count(), spark.catalog.tableExists(f"{db}.{s}_previous")))
+        return spark.createDataFrame(rows, "symbol STRING, segment_rows LONG, current_rows LONG, previous_exists BOOLEAN")
+
+
+def late_arrivals(m: DataFrame) -> DataFrame:
+    """Every 97th message arrives three hours after its event, every 101st says it is from the year 2100."""
+    late = F.when(F.col("event_id") % 97 == 0, F.col("arrival_ts") + F.expr("INTERVAL 3 HOURS")).otherwise(F.col("arrival_ts"))
+    wrong = F.when(F.col("event_id") % 101 == 0, F.lit("2100-01-01 00:00:00").cast("timestamp")).otherwise(F.col("ts"))
+    return m.withColumn("arrival_ts", late).withColumn("ts", wrong)
+
+
+_CYCLE_COLS = ("symbol", "period", "segment", "file_name", "row_count")
 
 
 @query("hourly_export_cycle")
 def q_hourly_export_cycle(spark, sf_dir):
-    """Export every closed hour, verify, log; a second run exports nothing new."""
-    from feedlake.operators.export import hourly_export_cycle
+    """Two runs on a clock, one a day before the other: every closed unit once, late rows and wrong clocks included."""
+    from feedlake.operators.export import hourly_export_cycle, read_log
     from feedlake.session import shared_path
     base = shared_path(spark, "cycle")
-    m = msgs(spark, sf_dir)
-    now = as_of(m)
-    first = hourly_export_cycle(spark, m, f"{base}/export", f"{base}/log", now)
-    first_rows = first.collect()
-    again = hourly_export_cycle(spark, m, f"{base}/export", f"{base}/log", now).collect()
-    assert sum(r["units"] for r in again) == 0, "a logged unit was exported twice"
-    assert all(r["ok"] for r in first_rows), "an export unit failed verification"
-    return spark.read.parquet(f"{base}/log")
+    m = late_arrivals(msgs(spark, sf_dir, "arrival_ts"))
+    clock = now(spark, sf_dir)
+    for at in (clock - F.expr("INTERVAL 1 DAY"), clock):
+        hourly_export_cycle(spark, m, f"{base}/export", f"{base}/log", at)
+    return read_log(spark, f"{base}/log").select(*_CYCLE_COLS)
+
+
+@query("export_cycle_drop")
+def q_export_cycle_drop(spark, sf_dir):
+    """Drop mode: rows left in the source table and rows exported, per unit; no row in both or neither."""
+    from feedlake.operators import tables as tb
+    from feedlake.operators.export import EXPORT_SCHEMA, hourly_export_cycle
+    from feedlake.session import shared_path
+    base, db = shared_path(spark, "drop"), f"feedlake_{uuid.uuid4().hex[:10]}"
+    tb.create_database(spark, db, f"{base}/db")
+    try:
+        table = f"{db}.messages"
+        tb.create_message_table(spark, table, partitioned=True)
+        m = late_arrivals(msgs(spark, sf_dir, "arrival_ts"))
+        tb.append_messages(m, table)
+        rows = spark.table(table).withColumn("arrival_ts", F.to_timestamp("segment", "yyyyMMdd_HH"))
+        hourly_export_cycle(spark, rows, f"{base}/export", f"{base}/log", now(spark, sf_dir), preserve=False, source_table=table)
+        exported = spark.read.schema(EXPORT_SCHEMA).parquet(f"{base}/export").select("symbol", "period", "segment", F.lit(True).alias("exported"))
+        left = spark.table(table).select("symbol", "period", "segment", F.lit(False).alias("exported"))
+        counts = exported.unionByName(left).groupBy("symbol", "period", "segment", "exported").agg(F.count(F.lit(1)).alias("rows"))
+        return _written(spark, counts, "drop-rows")
+    finally:
+        tb.drop_database(spark, db)
+
+
+@query("required_columns")
+def q_required_columns(spark, sf_dir):
+    """The required-column check of an export and of one without its type column."""
+    from feedlake.operators.export import read_export, write_export
+    from feedlake.operators.quality import required_columns
+    from feedlake.session import shared_path
+    good, bad = shared_path(spark, "required-a"), shared_path(spark, "required-b")
+    write_export(msgs(spark, sf_dir), good)
+    msgs(spark, sf_dir).drop("mt").write.mode("overwrite").partitionBy("symbol").parquet(bad)
+    return _union(required_columns(spark, df := read_export(spark, p)).crossJoin(df.agg(F.count(F.lit(1)).alias("rows"))).withColumn("export", F.lit(name))
+                  for name, p in (("whole", good), ("damaged", bad)))
 
 
 @query("file_inventory")
 def q_file_inventory(spark, sf_dir):
-    """Files found in several export locations, with rows, size and time, newest first."""
+    """Files found in several export locations: per unit, rows and columns, and that every file has a size and a time."""
     from feedlake.operators.export import file_inventory, write_export
     from feedlake.session import shared_path
     m = msgs(spark, sf_dir)
     first, second = shared_path(spark, "inventory-a"), shared_path(spark, "inventory-b")
     write_export(m.where(F.col("symbol") != "sol"), first)
     write_export(m.where(F.col("symbol") == "sol"), second)
-    return file_inventory(spark, first, second)
+    files = file_inventory(spark, first, second).withColumn("location", F.when(F.col("location") == first, "first").otherwise("second"))
+    return files.groupBy("location", "symbol", "period").agg(
+        F.sum("rows").cast("long").alias("rows"), F.max("columns").alias("columns"),
+        F.bool_and((F.col("file_size") > 0) & F.col("file_modification_time").isNotNull()).alias("described"))
 
 
-def _landing(spark, sf_dir, name, files=4):
+def _landed(spark, sf_dir, name, frames=None):
     from feedlake.session import shared_path
     from feedlake.streaming.feed_stream import write_landing
     base = shared_path(spark, name)
-    write_landing(feed(spark, sf_dir), f"{base}/landing", files)
+    write_landing(feed(spark, sf_dir) if frames is None else frames, f"{base}/landing")
     return base
 
 
+_MESSAGE = ("event_id", "symbol", "ts", "mt", "m")
+
+
 @query("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
-    """Frames stream in file by file, decoded and appended exactly once."""
-    from feedlake.streaming.feed_stream import ingest
-    base = _landing(spark, sf_dir, "stream-ingest")
-    ingest(spark, f"{base}/landing", f"{base}/table", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/table").select("event_id", "symbol", "ts", "mt", "m")
+    """Frames stream in, decoded and stored exactly once."""
+    from feedlake.streaming import feed_stream as fs
+    base = _landed(spark, sf_dir, "stream-ingest")
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    return fs.stored(spark, base).select(*_MESSAGE)
+
+
+@query("stream_outcomes")
+def q_stream_outcomes(spark, sf_dir):
+    """What the ingest counted, and the rows in its quarantine."""
+    from feedlake.streaming import feed_stream as fs
+    base = _landed(spark, sf_dir, "stream-outcomes")
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    quarantined = spark.read.parquet(f"{base}/quarantine").groupBy("outcome").agg(F.count(F.lit(1)).alias("quarantined"))
+    return fs.outcomes(spark, base).join(quarantined, "outcome", "left").withColumn("quarantined", F.coalesce("quarantined", F.lit(0)))
 
 
 @query("stream_restart")
 def q_stream_restart(spark, sf_dir):
-    """The same stream run twice on one checkpoint stores every row once."""
-    from feedlake.streaming.feed_stream import ingest
-    base = _landing(spark, sf_dir, "stream-restart")
-    ingest(spark, f"{base}/landing", f"{base}/table", f"{base}/ckpt")
-    ingest(spark, f"{base}/landing", f"{base}/table", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/table").select("event_id", "symbol", "ts", "mt", "m")
+    """A stream stopped and started again, with frames landed in between, stores every row once."""
+    from feedlake.streaming import feed_stream as fs
+    f = feed(spark, sf_dir)
+    base = _landed(spark, sf_dir, "stream-restart", f.where("event_id % 2 = 0"))
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    fs.write_landing(f.where("event_id % 2 = 1"), f"{base}/landing")
+    for _ in range(2):
+        fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    return fs.stored(spark, base).select(*_MESSAGE)
+
+
+def _windows(spark, sf_dir, name, interval):
+    from feedlake.streaming import feed_stream as fs
+    f = feed(spark, sf_dir)
+    base = _landed(spark, sf_dir, name, f.where("event_id % 3 <> 0"))
+    fs.window_counts_stream(spark, fs.read_frames(spark, f"{base}/landing"), base, interval)
+    fs.write_landing(f.where("event_id % 3 = 0"), f"{base}/landing")     # late for all windows counted so far
+    fs.window_counts_stream(spark, fs.read_frames(spark, f"{base}/landing"), base, interval)
+    return base
 
 
 @query("stream_stats")
 def q_stream_stats(spark, sf_dir):
-    """Closed 15-second windows per (symbol, mt)."""
-    from feedlake.streaming.feed_stream import stats_stream
-    base = _landing(spark, sf_dir, "stream-stats")
-    stats_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/out")
+    """15-second windows per (symbol, mt), late rows and open windows included."""
+    from feedlake.streaming import feed_stream as fs
+    base = _windows(spark, sf_dir, "stream-stats", "15 seconds")
+    return fs.window_counts(spark, base).where("n > 0").select("window_start", "window_end", "symbol", "mt", "n")
+
+
+@query("stream_rates")
+def q_stream_rates(spark, sf_dir):
+    """Messages, skipped and error frames and the rate per symbol."""
+    from feedlake.streaming import feed_stream as fs
+    return fs.feed_rates(spark, _windows(spark, sf_dir, "stream-rates", "1 hour"))
 
 
 @query("stream_hourly_close")
 def q_stream_hourly_close(spark, sf_dir):
-    """Per (symbol, hour) counts emitted once each hour is closed (1 minute grace)."""
-    from feedlake.streaming.feed_stream import hourly_close_stream
-    base = _landing(spark, sf_dir, "stream-close")
-    hourly_close_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/out")
+    """Per (symbol, hour) counts of the hours that are over on the clock (1 minute grace)."""
+    from feedlake.streaming import feed_stream as fs
+    windows = fs.window_counts(spark, _windows(spark, sf_dir, "stream-close", "1 hour"), ("symbol",)).where("n > 0")
+    return fs.closed_periods(windows, now(spark, sf_dir)).select(
+        F.col("window_start").alias("period_start"), F.col("window_end").alias("period_end"), "symbol", F.col("n").alias("rows"), "first_ts", "last_ts")
+
+
+@query("stream_debug_close")
+def q_stream_debug_close(spark, sf_dir):
+    """T4: the 5-minute cadence, 30 seconds of grace."""
+    from feedlake.streaming import feed_stream as fs
+    windows = fs.window_counts(spark, _windows(spark, sf_dir, "stream-debug", "5 minutes"), ("symbol",)).where("n > 0")
+    return fs.closed_periods(windows, now(spark, sf_dir), "30 seconds").select(
+        F.col("window_start").alias("period_start"), "symbol", F.col("n").alias("rows"))
 
 
 @query("stream_counts")
 def q_stream_counts(spark, sf_dir):
-    """Running rows per symbol after the last batch."""
-    from feedlake.streaming.feed_stream import counts_stream
-    base = _landing(spark, sf_dir, "stream-counts")
-    counts_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/out")
+    """Rows per symbol after the last batch."""
+    from feedlake.streaming import feed_stream as fs
+    base = _windows(spark, sf_dir, "stream-counts", "1 day")
+    return fs.window_counts(spark, base, ("symbol",)).groupBy("symbol").agg(F.sum("n").cast("long").alias("rows"))
 
 
 @query("stream_error_budget")
 def q_stream_error_budget(spark, sf_dir):
-    """Per-batch error counts; the stream stops once the total exceeds 100."""
-    from feedlake.streaming.feed_stream import error_budget_stream
-    base = _landing(spark, sf_dir, "stream-budget")
-    stopped = error_budget_stream(spark, f"{base}/landing", f"{base}/log", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/log").withColumn("stopped", F.lit(stopped))
+    """The ingest stops once its errors exceed 100, with the batch that did so stored and counted."""
+    from feedlake.streaming import feed_stream as fs
+    from feedlake.schema import ERROR_BUDGET
+    base = _landed(spark, sf_dir, "stream-budget")
+    stopped = fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base, budget=ERROR_BUDGET)
+    return fs.outcomes(spark, base).withColumn("stopped", F.lit(stopped))
 
 
 @query("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
-    """Frames delivered twice are stored once."""
-    from feedlake.streaming.feed_stream import dedup_stream, write_landing
-    base = _landing(spark, sf_dir, "stream-dedup")
-    write_landing(feed(spark, sf_dir), f"{base}/landing", 4)   # re-delivery of every frame
-    dedup_stream(spark, f"{base}/landing", f"{base}/table", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/table")
+    """Frames delivered twice, every 7th only in the second delivery, are stored once; none is lost."""
+    from feedlake.streaming import feed_stream as fs
+    f = feed(spark, sf_dir)
+    base = _landed(spark, sf_dir, "stream-dedup", f.where("event_id % 7 <> 0"))
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base, dedup=True)
+    fs.write_landing(f.unionByName(f.where("event_id % 5 = 0")), f"{base}/landing")
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base, dedup=True)
+    return fs.stored(spark, base).select(*_MESSAGE)
 
 
 @query("stream_late")
 def q_stream_late(spark, sf_dir):
-    """Jan 20-28, then Jan 29 on, then Jan 1-19: late rows are kept apart, none lost."""
-    from feedlake.session import shared_path
-    from feedlake.streaming.feed_stream import late_split_stream
-    base = shared_path(spark, "stream-late")
-    day = F.dayofmonth("arrival_ts")
-    f = feed(spark, sf_dir)
-    for cond in (day.between(20, 28), day >= 29, day < 20):
-        f.where(cond).repartition(1).write.mode("append").json(f"{base}/landing")
-    late_split_stream(spark, f"{base}/landing", f"{base}/table", f"{base}/late", f"{base}/progress", f"{base}/ckpt")
-    on_time = spark.read.parquet(f"{base}/table").select("event_id", "symbol", "ts", "mt", "m").withColumn("late", F.lit(False))
-    late = spark.read.parquet(f"{base}/late").select("event_id", "symbol", "ts", "mt", "m").withColumn("late", F.lit(True))
-    return on_time.unionByName(late)
+    """Every 97th frame arrives three hours late: marked, kept with the others."""
+    from feedlake.streaming import feed_stream as fs
+    arrival = F.when(F.col("event_id") % 97 == 0, F.col("arrival_ts") + F.expr("INTERVAL 3 HOURS")).otherwise(F.col("arrival_ts"))
+    base = _landed(spark, sf_dir, "stream-late", feed(spark, sf_dir).withColumn("arrival_ts", arrival))
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    return fs.stored(spark, base).select(*_MESSAGE, "late")

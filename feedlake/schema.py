@@ -76,6 +76,14 @@ EXPORT_LOG_SCHEMA = T.StructType([
     T.StructField("size_bytes", T.LongType()),
 ])
 
+# The export cycle's log also names the unit and the digest of its rows.
+CYCLE_LOG_SCHEMA = T.StructType([
+    *EXPORT_LOG_SCHEMA.fields,
+    T.StructField("period", T.StringType()),
+    T.StructField("segment", T.StringType()),
+    T.StructField("digest", T.DecimalType(38, 0)),
+])
+
 SUBSCRIPTION_SCHEMA = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("base_name", T.StringType()),

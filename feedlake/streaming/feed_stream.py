@@ -1,48 +1,40 @@
-"""Structured Streaming jobs over landed push frames.
+"""Structured Streaming jobs over push frames.
 
-Frames land as JSON-lines files (``event_id, symbol, arrival_ts, value``);
-in production the same jobs read a Kafka topic. Every job has a checkpoint
-folder under the shared folder, so a restart resumes from committed offsets
-and the file sink commits each batch exactly once: the buffer, flush and
-handshake of a hand-made rotation are not needed.
+Frames come as landed JSON-lines files (``event_id, symbol, arrival_ts, value``)
+or from a Kafka topic; every job takes the frame stream, so either feeds it.
+
+All jobs write per batch: what a micro-batch gives goes to the folder
+``batch=<id>`` of its table, which a replay of the batch overwrites. So a crash
+between write and commit neither loses nor doubles a row, and no job needs a
+watermark that would leave out late rows: counts by time are kept as partial
+sums per batch and added up when they are read.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.operators import decode as dec
-from feedlake.operators.export import export_units
+from feedlake.operators.export import hour_label
 from feedlake.schema import ERROR_BUDGET, RAW_FEED_SCHEMA
-from feedlake.session import shared_path
-
 
-def write_landing(raw: DataFrame, path: str, files: int = 4) -> str:
-    """Land frames as ``files`` JSON-lines files, each a contiguous arrival-time range.
 
-    The file source takes files in modification-time order, so the ranges
-    are written one after another (oldest first), as a feed would land them.
-    Range bounds come from approximate quantiles of ``arrival_ts``.
-    """
-    us = F.unix_micros("arrival_ts")
-    qs = [i / files for i in range(1, files)]
-    bounds = raw.select(F.percentile_approx(us, qs, 10000).alias("b")).first()["b"] if files > 1 else []
-    edges = [None, *bounds, None]
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (us > lo)
-        if hi is not None:
-            cond = cond & (us <= hi)
-        raw.where(cond).repartition(1).sortWithinPartitions("arrival_ts").write.mode("append").json(path)
+def write_landing(raw: DataFrame, path: str) -> str:
+    """Land frames as JSON-lines files, one per task, in arrival order inside each."""
+    raw.sortWithinPartitions("arrival_ts").write.mode("append").json(path)
     return path
 
 
-def read_frames(spark: SparkSession, landing: str, files_per_trigger: int = 1) -> DataFrame:
-    """The frame stream (one file per micro-batch by default)."""
-    return (spark.readStream.schema(RAW_FEED_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
-            .json(landing))
+def read_frames(spark: SparkSession, landing: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The frame stream; all files that are there make one micro-batch unless a number is given."""
+    reader = spark.readStream.schema(RAW_FEED_SCHEMA)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.json(landing)
 
 
 def read_frames_kafka(spark: SparkSession, servers: str, topic: str,
@@ -67,140 +59,136 @@ def read_frames_kafka(spark: SparkSession, servers: str, topic: str,
         F.col("value").cast("string").alias("value"))
 
 
-def _run(writer, name: str) -> None:
-    q = writer.queryName(name).trigger(availableNow=True).start()
+def _run(frames: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, every: str | None) -> None:
+    """Run ``each`` per micro-batch: until what is there is read, or for good with a trigger interval."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    q = (frames.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+         .queryName(f"feed_{zlib.crc32(checkpoint.encode())}").trigger(**trigger).start())
     q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-
 
-def ingest(spark: SparkSession, landing: str, table_path: str, checkpoint: str) -> None:
-    """Decode frames and append stored messages to a Parquet table, exactly once."""
-    msgs = dec.decode_messages(read_frames(spark, landing))
-    rows = msgs.withColumn("period", F.date_format(F.date_trunc("hour", "ts"), "yyyyMMdd_HH"))
-    _run(rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .partitionBy("symbol", "period").option("path", table_path), f"ingest_{abs(hash(checkpoint))}")
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
-def stats_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
-                 interval: str = "15 seconds", delay: str = "1 minute") -> None:
-    """Messages per (interval, symbol, mt); closed intervals are appended once."""
-    msgs = dec.decode_messages(read_frames(spark, landing))
-    agg = (msgs.withWatermark("ts", delay)
-           .groupBy(F.window("ts", interval).alias("w"), "symbol", "mt").agg(F.count(F.lit(1)).alias("n"))
-           .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "symbol", "mt", "n"))
-    _run(agg.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-         .option("path", out), f"stats_{abs(hash(checkpoint))}")
 
+def _write(rows: DataFrame, table: str, epoch: int, by: tuple[str, ...] = ()) -> None:
+    """The batch's own folder: a replay overwrites it (all of it, whatever the session's overwrite mode)."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by)
+     .parquet(f"{table}/batch={epoch}"))
 
-def hourly_close_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
-                        period: str = "1 hour", grace: str = "1 minute") -> None:
-    """Per (symbol, period) row counts, emitted once the period is closed by the watermark.
 
-    A closed period is ready to export; ``period='5 minutes', grace='30 seconds'``
-    is the debug cadence.
-    """
-    msgs = dec.decode_messages(read_frames(spark, landing))
-    agg = (msgs.withWatermark("ts", grace)
-           .groupBy(F.window("ts", period).alias("w"), "symbol")
-           .agg(F.count(F.lit(1)).alias("rows"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-           .select(F.col("w.start").alias("period_start"), F.col("w.end").alias("period_end"),
-                   "symbol", "rows", "first_ts", "last_ts"))
-    _run(agg.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-         .option("path", out), f"close_{abs(hash(checkpoint))}")
-
-
-def counts_stream(spark: SparkSession, landing: str, out: str, checkpoint: str) -> None:
-    """Running row count per symbol; each batch replaces the snapshot table (complete mode)."""
-    msgs = dec.decode_messages(read_frames(spark, landing))
-    counts = msgs.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
-
-    def publish(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("overwrite").parquet(out)
-
-    _run(counts.writeStream.outputMode("complete").foreachBatch(publish)
-         .option("checkpointLocation", checkpoint), f"counts_{abs(hash(checkpoint))}")
+#: What ``ingest`` stores; read with it, so that a batch without stored rows reads as none.
+STORED = "event_id LONG, symbol STRING, ts TIMESTAMP, mt STRING, m STRING, arrival_ts TIMESTAMP, period STRING, late BOOLEAN"
 
 
 class ErrorBudgetExceeded(RuntimeError):
     pass
 
 
-def error_budget_stream(spark: SparkSession, landing: str, log_path: str, checkpoint: str,
-                        budget: int = ERROR_BUDGET) -> bool:
-    """Count error frames per batch into a log; stop when the running total exceeds ``budget``.
-
-    Returns True when the stream stopped on the budget. The running total is
-    the sum of the small per-batch log (one row per batch).
+def ingest(spark: SparkSession, frames: DataFrame, base: str, budget: int | None = None,
+           dedup: bool = False, every: str | None = None) -> bool:
+    """One ingest that stores, quarantines, counts and stops on its budget.
+
+    Per batch, under ``base``: ``table`` (stored messages with ``arrival_ts``
+    and ``late``, partitioned by symbol and period), ``quarantine`` (malformed
+    and error frames as they came) and ``outcomes`` (frames per outcome, and
+    the running number of errors). With ``dedup`` a frame whose ``event_id``
+    was stored before, in this batch or an earlier one, is counted as
+    ``duplicate`` and not stored; look-ups read only the partitions of the
+    batch's own symbols and periods, and a late frame is kept as long as its
+    id is new. ``late``: the event's hour and a minute of grace were over when
+    the frame arrived. Returns True if the error budget stopped the stream;
+    the batch that exceeds it is stored and counted first.
     """
-    decoded = dec.decode(read_frames(spark, landing))
-
-    def account(batch: DataFrame, epoch: int) -> None:
-        row = batch.agg(F.count_if(F.col("outcome") == "error").alias("errors"),
-                        F.count(F.lit(1)).alias("frames")).withColumn("batch_id", F.lit(epoch).cast("long"))
-        row.write.mode("append").parquet(log_path)
-        total = spark.read.parquet(log_path).agg(F.sum("errors")).first()[0] or 0
-        if total > budget:
+    checkpoint = f"{base}/checkpoint"
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        # the text is parsed once; what follows reads the batch's decoded rows
+        rows = dec.decode(batch).withColumn("period", hour_label(F.col("ts"))).persist()
+        try:
+            good = rows.where("outcome = 'stored'")
+            if dedup:
+                good = good.dropDuplicates(["event_id"])
+                if epoch and _exists(spark, f"{base}/table"):
+                    before = (spark.read.schema(f"{STORED}, batch LONG").parquet(f"{base}/table").where(F.col("batch") < epoch)
+                              .select("symbol", "period", "event_id"))
+                    good = good.join(before, ["symbol", "period", "event_id"], "left_anti")
+            closes = F.date_trunc("hour", "ts") + F.expr("INTERVAL 61 MINUTES")
+            _write(good.select("event_id", "symbol", "ts", "mt", "m", "arrival_ts", "period", (closes <= F.col("arrival_ts")).alias("late")),
+                   f"{base}/table", epoch, ("symbol", "period"))
+            _write(rows.where("outcome IN ('malformed', 'error')").select("event_id", "symbol", "arrival_ts", "value", "outcome"),
+                   f"{base}/quarantine", epoch)
+            counts = dec.outcome_counts(rows)
+            if dedup:
+                kept = spark.read.schema(STORED).parquet(f"{base}/table/batch={epoch}").count()
+                counts = counts.withColumn("n", F.when(F.col("outcome") == "stored", F.lit(kept)).otherwise(F.col("n"))).unionByName(
+                    counts.where("outcome = 'stored'").select(F.lit("duplicate").alias("outcome"), (F.col("n") - kept).alias("n")))
+            # the running total stands in the batch before, so one small folder is read
+            total = 0
+            if epoch and _exists(spark, f"{base}/outcomes/batch={epoch - 1}"):
+                total = spark.read.parquet(f"{base}/outcomes/batch={epoch - 1}").agg(F.max("errors_so_far")).first()[0] or 0
+            total += rows.where("outcome = 'error'").count()
+            _write(counts.withColumn("errors_so_far", F.lit(total).cast("long")), f"{base}/outcomes", epoch)
+        finally:
+            rows.unpersist()
+        if budget is not None and total > budget:
             raise ErrorBudgetExceeded(f"errors {total} exceed budget {budget}")
 
-    q = (decoded.select("outcome").writeStream.foreachBatch(account).option("checkpointLocation", checkpoint)
-         .queryName(f"budget_{abs(hash(checkpoint))}").trigger(availableNow=True).start())
     try:
-        q.awaitTermination()
-    except Exception as exc:  # noqa: BLE001 - the streaming error wraps the Python one
-        if "exceed budget" in str(exc):
+        _run(frames, each, checkpoint, every)
+    except Exception as exc:  # the streaming error wraps the Python one
+        if "ErrorBudgetExceeded" in str(exc):
             return True
         raise
     return False
 
 
-def dedup_stream(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
-                 delay: str = "10 minutes") -> None:
-    """Drop re-delivered frames (same ``event_id``) within the watermark delay, then ingest."""
-    frames = (read_frames(spark, landing).withWatermark("arrival_ts", delay)
-              .dropDuplicatesWithinWatermark(["event_id"]))
-    msgs = dec.decode_messages(frames)
-    _run(msgs.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", table_path),
-         f"dedup_{abs(hash(checkpoint))}")
+def stored(spark: SparkSession, base: str) -> DataFrame:
+    """The messages that ``ingest`` stored."""
+    return spark.read.schema(f"{STORED}, batch LONG").parquet(f"{base}/table")
 
 
-def late_split_stream(spark: SparkSession, landing: str, table_path: str, late_path: str,
-                      progress_path: str, checkpoint: str, grace: str = "1 minute") -> None:
-    """Rows whose hour was already closed when their batch arrived go to a ``late`` table.
+def outcomes(spark: SparkSession, base: str) -> DataFrame:
+    """Frames per outcome over all batches."""
+    return spark.read.parquet(f"{base}/outcomes").groupBy("outcome").agg(F.sum("n").cast("long").alias("n"))
 
-    A plain watermark would drop them silently. Here each batch reads the
-    high-water mark of earlier batches (a one-row-per-batch progress table),
-    appends rows of still-open hours to the table and rows of closed hours
-    to ``late``, then records its own high-water mark.
-    """
-    msgs = dec.decode_messages(read_frames(spark, landing))
 
-    def split(batch: DataFrame, epoch: int) -> None:
-        try:
-            mark = spark.read.parquet(progress_path).agg(F.max("max_ts")).first()[0]
-        except Exception:  # noqa: BLE001 - no progress yet
-            mark = None
-        rows = export_units(batch).drop("file_label")
-        if mark is None:
-            late = F.lit(False)
-        else:
-            closes = F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR") + F.expr(f"INTERVAL {grace}")
-            late = closes <= F.lit(mark)
-        rows = rows.withColumn("_late", late).cache()
-        rows.where(~F.col("_late")).drop("_late").write.mode("append").partitionBy("symbol", "period").parquet(table_path)
-        rows.where(F.col("_late")).drop("_late").write.mode("append").parquet(late_path)
-        rows.agg(F.max("ts").alias("max_ts")).withColumn("batch_id", F.lit(epoch).cast("long")) \
-            .write.mode("append").parquet(progress_path)
-        rows.unpersist()
-
-    _run(msgs.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint),
-         f"late_{abs(hash(checkpoint))}")
-
-
-def new_run_paths(spark: SparkSession, name: str, *parts: str) -> dict[str, str]:
-    base = shared_path(spark, name)
-    return {p: f"{base}/{p}" for p in parts}
-
-
-def as_timestamp(c: str) -> Column:
-    return F.col(c).cast("timestamp")
+def window_counts_stream(spark: SparkSession, frames: DataFrame, base: str, interval: str = "15 seconds",
+                         every: str | None = None) -> None:
+    """Per batch, partial counts by (window, symbol, type), with first and last time, and
+    what was skipped or in error by (arrival window, symbol)."""
+    def each(batch: DataFrame, epoch: int) -> None:
+        rows = dec.decode(batch)
+        good = F.col("outcome") == "stored"
+        # frames that are not stored have no event time: they count in the window of their arrival
+        when = F.when(good, F.col("ts")).otherwise(F.col("arrival_ts"))
+        _write(rows.groupBy(F.window(when, interval).alias("w"), "symbol", F.when(good, F.col("mt")).alias("mt"))
+               .agg(F.count_if(good).alias("n"), F.count_if(F.col("outcome") == "error").alias("errors"),
+                    F.count_if(~good & (F.col("outcome") != "error")).alias("skipped"),
+                    F.min(F.when(good, F.col("ts"))).alias("first_ts"), F.max(F.when(good, F.col("ts"))).alias("last_ts"))
+               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "symbol", "mt",
+                       "n", "errors", "skipped", "first_ts", "last_ts"), f"{base}/windows", epoch)
+
+    _run(frames, each, f"{base}/checkpoint", every)
+
+
+def window_counts(spark: SparkSession, base: str, by: tuple[str, ...] = ("symbol", "mt")) -> DataFrame:
+    """The windows so far, late rows and open windows included: the partial counts added up."""
+    parts = spark.read.parquet(f"{base}/windows")
+    return parts.groupBy("window_start", "window_end", *by).agg(
+        *[F.sum(c).cast("long").alias(c) for c in ("n", "errors", "skipped")],
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+
+
+def feed_rates(spark: SparkSession, base: str) -> DataFrame:
+    """Per symbol, messages, skipped and error frames and the rate over the span of the messages."""
+    total = window_counts(spark, base, ("symbol",)).groupBy("symbol").agg(
+        *[F.sum(c).cast("long").alias(c) for c in ("n", "errors", "skipped")], F.min("first_ts").alias("a"), F.max("last_ts").alias("b"))
+    span = (F.unix_micros("b") - F.unix_micros("a")) / 1e6
+    return total.select("symbol", "n", "errors", "skipped", F.when(span > 0, F.round(F.col("n") / span, 6)).otherwise(0.0).alias("rate"))
+
+
+def closed_periods(windows: DataFrame, as_of: Column, grace: str = "1 minute") -> DataFrame:
+    """Windows that are over on the caller's clock: ready to export."""
+    return windows.where(F.col("window_end") + F.expr(f"INTERVAL {grace}") <= as_of)
