@@ -43,13 +43,36 @@ def is_control(value: Column) -> Column:
     return F.trim(value, F.lit(PY_WHITESPACE)).isin(*CONTROL_FRAMES)
 
 
+_NEXT_VALUE_RE = r"[}\]]\s*(?:,\s*)?[\[{]"
+
+
+def plain_decimal(x: Column) -> Column:
+    """A DOUBLE's shortest text without an exponent: 1e-20 keeps its twenty decimals, 1e25 its zeros."""
+    text = F.abs(x).cast("string")
+    parts = r"^([0-9])\.([0-9]+)E(-?[0-9]+)$"
+    digits = F.regexp_replace(F.concat(F.regexp_extract(text, parts, 1), F.regexp_extract(text, parts, 2)), "(?<=.)0+$", "")
+    exponent = F.regexp_extract(text, parts, 3).try_cast("int")
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    large = F.when(F.length(digits) > exponent + 1,
+                   F.concat(F.substr(digits, F.lit(1), exponent + 1), F.lit("."), F.substr(digits, exponent + 2))) \
+        .otherwise(F.rpad(digits, exponent + 1, F.lit("0")))
+    plain = F.when(~text.rlike(parts), F.regexp_replace(text, r"\.0$", "")).when(exponent < 0, small).otherwise(large)
+    return F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), plain)
+
+
 def has_trailing_text(value: Column) -> Column:
     """A JSON document followed by more text (Python rejects it; VARIANT parsing does not).
 
-    Checks that an object ends with ``}`` and an array with ``]``; cheap, no second parse.
+    An object must end with ``}`` and an array with ``]``. Where a bracket closes and
+    another value begins right after it, the text is also parsed as the only element
+    of a list: two documents in a row are then no JSON, or two elements. Ordinary
+    frames have no such place outside a list of objects, so they are parsed once.
     """
     s = F.trim(value, F.lit(JSON_WHITESPACE))
-    return ((s.startswith("{") & ~s.endswith("}")) | (s.startswith("[") & ~s.endswith("]")))
+    wrapped = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
+    two = wrapped.isNull() | vget(wrapped, "$[1]").isNotNull()
+    return ((s.startswith("{") & ~s.endswith("}")) | (s.startswith("[") & ~s.endswith("]"))
+            | F.when(s.rlike(_NEXT_VALUE_RE), two).otherwise(F.lit(False)))
 
 
 def number_text(v: Column) -> Column:
@@ -59,9 +82,7 @@ def number_text(v: Column) -> Column:
     Doubles (exponent notation in the frame) are printed as plain decimals.
     """
     as_text = vget(v, "$", "string")
-    plain = F.regexp_replace(
-        F.regexp_replace(F.format_string("%.18f", vget(v, "$", "double")), r"0+$", ""), r"\.$", "")
-    return F.when(vtype(v) == "DOUBLE", plain).otherwise(as_text)
+    return F.when(vtype(v) == "DOUBLE", plain_decimal(vget(v, "$", "double"))).otherwise(as_text)
 
 
 def event_time_source(j: Column, data: Column, data_is_object: Column) -> Column:
@@ -137,6 +158,8 @@ _FIRST_LEVELS_RE = r'^\[((?:\[[^\[\]]*\],){0,%d}\[[^\[\]]*\])' % (MAX_DEPTH_LEVE
 _FIRST_TWO_RE = r'\[([^,\[\]]*),([^,\[\]]*)(?:,[^\[\]]*)?\]'
 _FLAT_SHORT_RE = r'(?:^|,)\[[^,\[\]]*\]'
 _EXPONENT_RE = r'[0-9][eE][-+]?[0-9]'
+# An exponent of two digits or more, or one behind nine digits or more.
+_WIDE_RE = r'[eE][-+]?[0-9]{2,}|[0-9.]{10,}[eE]'
 _TRAILING_ZEROS_RE = r'(\.[0-9]*?)0+(?=[,\]])'
 _BARE_POINT_RE = r'\.(?=[,\]])'
 
@@ -165,8 +188,9 @@ def _plain_first_levels(data: Column, side: str) -> Column:
 
 def depth_fast_text(first: Column, data: Column, side: str) -> Column:
     """Fast path text: first two elements of each level; exponent numbers (rare) become
-    plain decimals, like ticker and deal fields. Only the payload projection runs this."""
-    levels = F.when(first.rlike(_EXPONENT_RE), _plain_first_levels(data, side)).otherwise(first)
+    plain decimals, like ticker and deal fields, unless 18 decimals and 20 digits before the point
+    may not hold them: then the levels stay as written. Only the payload projection runs this."""
+    levels = F.when(first.rlike(_EXPONENT_RE) & ~first.rlike(_WIDE_RE), _plain_first_levels(data, side)).otherwise(first)
     return F.regexp_replace(levels, _FIRST_TWO_RE, "[$1,$2]")
 
 
@@ -198,10 +222,6 @@ def depth_side_text(side_json: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def depth_text(bids_json: Column, asks_json: Column) -> Column:
-    return F.concat(depth_side_text(bids_json), F.lit("|"), depth_side_text(asks_json))
-
-
 def depth_side_error(data: Column, side: str, side_json: Column) -> Column:
     """Rule 9 for depth: a side present but null or not a list, or one of its
     first 20 levels not a list or with fewer than 2 elements."""

@@ -85,7 +85,7 @@ def exact_median_micros(df: DataFrame, part: list[str], ts_col: str = "ts",
 
     Same value as ``percentile(unix_micros(ts), 0.5)`` (mean of the two middle
     values for an even count), without holding every distinct value of a
-    group in one task: (1) counts per coarse bucket locate the bucket of each
+    group in one task, and the number of rows before it (``older``): (1) counts per coarse bucket locate the bucket of each
     middle position; (2) counts per distinct timestamp inside just those
     buckets locate the value. Step 2 sees at most the rows of two buckets per
     group, and the windows run over per-bucket / per-value count tables.
@@ -106,15 +106,12 @@ def exact_median_micros(df: DataFrame, part: list[str], ts_col: str = "ts",
     vc = in_hit.groupBy(*part, "_bucket", "_us").agg(F.count(F.lit(1)).alias("_n"))
     vbefore = Window.partitionBy(*part, "_bucket").orderBy("_us").rowsBetween(Window.unboundedPreceding, -1)
     vc = vc.withColumn("_before", F.coalesce(F.sum("_n").over(vbefore), F.lit(0)))
+    # the rows below the larger middle value are those before its bucket and those below it inside
     vals = (hit.join(vc, [*part, "_bucket"])
             .where((F.col("_local_k") >= F.col("_before")) & (F.col("_local_k") < F.col("_before") + F.col("_n")))
-            .select(*part, "_k", "_us"))
-    med = vals.groupBy(*part).agg((F.sum("_us") / F.count(F.lit(1))).alias("median_us"),
-                                  F.sum("_us").alias("_sum2"), F.count(F.lit(1)).alias("_cnt"))
-    # _sum2 / _cnt is the mean of the (one or two) middle values; keep both to
-    # compare rows exactly against the median with integers.
-    x2 = F.when(F.col("_cnt") == 1, F.col("_sum2") * 2).otherwise(F.col("_sum2"))
-    return med.join(n, part).select(*part, F.col("_total").alias("n"), "median_us", x2.alias("median_us_x2"))
+            .select(*part, "_k", "_us", (F.col("_k") - F.col("_local_k") + F.col("_before")).alias("_below")))
+    med = vals.groupBy(*part).agg((F.sum("_us") / F.count(F.lit(1))).alias("median_us"), F.max("_below").alias("older"))
+    return med.join(n, part).select(*part, F.col("_total").alias("n"), "median_us", F.col("older").cast("long").alias("older"))
 
 
 def running_sum(df: DataFrame, part: list[str], ts_col: str, value_col: str,

@@ -81,46 +81,49 @@ def verify_export(source: DataFrame, exported: DataFrame, keys: tuple[str, ...]
     return j.select(*keys, src.alias("source_rows"), exp.alias("exported_rows"), (src == exp).alias("passed"))
 
 
-def reconcile_report(source: DataFrame, exported: DataFrame, by: tuple[str, ...] = ("symbol",),
-                     cols: tuple[str, ...] = ("ts", "mt", "m")) -> DataFrame:
-    """V2: file against table per group.
+def reconcile_report(source: DataFrame, exported: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """V2: file against table per group, from one pass over each side.
 
     ``ref_pass`` is the reference's verdict (equal counts, no NULLs on either
-    side); ``strict_pass`` also needs equal type distribution, equal time
-    range, and equal row multisets. The multiset check tags rows +1 / -1,
-    groups by the full row and counts rows left over: one shuffle, exact,
-    NULL-safe (grouping treats NULLs as equal).
+    side); ``strict_pass`` also needs equal type distribution, equal time range
+    at both ends, and equal row multisets. Rows are tagged by side, counted by
+    (group, ts, mt, m) with m as two hashes and its length, which is what
+    crosses the shuffle, and all figures are rolled up from those counts
+    (grouping treats NULLs as equal).
     """
-    def side(df: DataFrame, p: str) -> DataFrame:
-        anynull = F.lit(False)
-        for c in cols:
-            anynull = anynull | F.col(c).isNull()
-        return df.groupBy(*by).agg(
-            F.count(F.lit(1)).alias(f"{p}_rows"),
-            F.count_if(anynull).cast("long").alias(f"{p}_null_rows"),
-            F.min("ts").alias(f"{p}_min_ts"), F.max("ts").alias(f"{p}_max_ts"))
-    s, e = side(source, "src"), side(exported, "file")
-    types = (type_count_compare(exported, source, by).groupBy(*by)
-             .agg(F.count_if(~F.col("same")).cast("long").alias("type_mismatches")))
-    tagged = (source.select(*by, *cols, F.lit(1).alias("_w"))
-              .unionByName(exported.select(*by, *cols, F.lit(-1).alias("_w"))))
-    diff = (tagged.groupBy(*by, *cols).agg(F.sum("_w").alias("_d"))
-            .groupBy(*by).agg(F.sum(F.abs("_d")).cast("long").alias("multiset_diff")))
-    j = s.join(e, list(by), "full_outer").join(types, list(by), "left").join(diff, list(by), "left")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
-    count_match = z("src_rows") == z("file_rows")
-    no_nulls = (z("src_null_rows") == 0) & (z("file_null_rows") == 0)
-    src_range = seconds_between(F.col("src_min_ts"), F.col("src_max_ts"))
-    file_range = seconds_between(F.col("file_min_ts"), F.col("file_max_ts"))
+    def tagged(df: DataFrame, side: str) -> DataFrame:
+        return df.select(*by, "ts", "mt", F.xxhash64("m").alias("_h"), F.hash("m").alias("_g"), F.length("m").alias("_l"),
+                         *[F.lit(int(side == s)).alias(f"_{s}") for s in ("src", "file")])
+
+    def total(c: str, where: Column | None = None) -> Column:
+        v = F.col(c) if where is None else F.when(where, F.col(c)).otherwise(0)
+        return F.sum(v).cast("long")
+
+    def span(p: str, f) -> Column:
+        return f(F.when(F.col(f"_{p}") > 0, F.col("ts")))
+
+    sides = ("src", "file")
+    distinct = (tagged(source, "src").unionByName(tagged(exported, "file"))
+                .groupBy(*by, "ts", "mt", "_h", "_g", "_l").agg(*[F.sum(f"_{p}").alias(f"_{p}") for p in sides]))
+    anynull = F.col("ts").isNull() | F.col("mt").isNull() | F.col("_l").isNull()
+    typed = distinct.groupBy(*by, "mt").agg(
+        *[total(f"_{p}").alias(f"{p}_rows") for p in sides], *[total(f"_{p}", anynull).alias(f"{p}_null_rows") for p in sides],
+        *[span(p, F.min).alias(f"{p}_min_ts") for p in sides], *[span(p, F.max).alias(f"{p}_max_ts") for p in sides],
+        F.sum(F.abs(F.col("_src") - F.col("_file"))).cast("long").alias("multiset_diff"))
+    j = typed.groupBy(*by).agg(
+        *[F.sum(f"{p}_{c}").alias(f"{p}_{c}") for p in sides for c in ("rows", "null_rows")],
+        *[F.min(f"{p}_min_ts").alias(f"{p}_min_ts") for p in sides], *[F.max(f"{p}_max_ts").alias(f"{p}_max_ts") for p in sides],
+        F.count_if(F.col("src_rows") != F.col("file_rows")).cast("long").alias("type_mismatches"), F.sum("multiset_diff").alias("multiset_diff"))
+    count_match = F.col("src_rows") == F.col("file_rows")
+    no_nulls = (F.col("src_null_rows") == 0) & (F.col("file_null_rows") == 0)
     # both ends must agree: equal spans of shifted times do not match
     range_match = F.coalesce((F.col("src_min_ts") == F.col("file_min_ts")) & (F.col("src_max_ts") == F.col("file_max_ts")), F.lit(False))
     ref_pass = count_match & no_nulls
-    strict = ref_pass & (z("type_mismatches") == 0) & range_match & (z("multiset_diff") == 0)
-    return j.select(*by, z("src_rows").alias("src_rows"), z("file_rows").alias("file_rows"),
-                    count_match.alias("count_match"), z("src_null_rows").alias("src_null_rows"),
-                    z("file_null_rows").alias("file_null_rows"), z("type_mismatches").alias("type_mismatches"),
-                    src_range.alias("src_range_s"), file_range.alias("file_range_s"), range_match.alias("range_match"),
-                    z("multiset_diff").alias("multiset_diff"), ref_pass.alias("ref_pass"), strict.alias("strict_pass"))
+    strict = ref_pass & (F.col("type_mismatches") == 0) & range_match & (F.col("multiset_diff") == 0)
+    return j.select(*by, "src_rows", "file_rows", count_match.alias("count_match"), "src_null_rows", "file_null_rows", "type_mismatches",
+                    seconds_between(F.col("src_min_ts"), F.col("src_max_ts")).alias("src_range_s"),
+                    seconds_between(F.col("file_min_ts"), F.col("file_max_ts")).alias("file_range_s"), range_match.alias("range_match"),
+                    "multiset_diff", ref_pass.alias("ref_pass"), strict.alias("strict_pass"))
 
 
 def identity_valid(ip: Column) -> Column:

@@ -132,15 +132,9 @@ def median_split(msgs: DataFrame) -> DataFrame:
     """Exact median time per symbol and the rows before it (older) and at or after it (recent)."""
     from feedlake.operators.ordering import exact_median_micros
     med = exact_median_micros(msgs, ["symbol"])
-    x2 = F.unix_micros(F.col("ts")) * 2
-    # One row per symbol joins back to the rows (AQE broadcasts it from its
-    # measured size); the median is computed once and carried as group keys.
-    return (msgs.select("symbol", "ts").join(med, "symbol")
-            .groupBy("symbol", "n", "median_us")
-            .agg(F.count_if(x2 < F.col("median_us_x2")).cast("long").alias("older"),
-                 F.count_if(x2 >= F.col("median_us_x2")).cast("long").alias("recent"))
-            .select("symbol", "n", F.timestamp_micros(F.floor(F.col("median_us")).cast("long")).alias("median_ts"),
-                    "older", "recent"))
+    # both counts follow from the position of the median; no row is joined back
+    return med.select("symbol", "n", F.timestamp_micros(F.floor(F.col("median_us")).cast("long")).alias("median_ts"),
+                      "older", (F.col("n") - F.col("older")).alias("recent"))
 
 
 def time_gaps(msgs: DataFrame, bucket: str = "1 minute") -> DataFrame:

@@ -418,16 +418,16 @@ SELECT coalesce(s.symbol, f.symbol) AS symbol, coalesce(s.rows, 0) AS src_rows,
   coalesce(s.nulls, 0) AS src_null_rows, coalesce(f.nulls, 0) AS file_null_rows,
   coalesce(tm.type_mismatches, 0) AS type_mismatches,
   (epoch_us(s.hi) - epoch_us(s.lo)) / 1000000.0 AS src_range_s, (epoch_us(f.hi) - epoch_us(f.lo)) / 1000000.0 AS file_range_s,
-  coalesce(ms.multiset_diff, 0) AS multiset_diff
+  coalesce(ms.multiset_diff, 0) AS multiset_diff, coalesce(s.lo = f.lo AND s.hi = f.hi, false) AS range_match
 FROM s FULL OUTER JOIN f ON s.symbol = f.symbol
 LEFT JOIN tm ON tm.symbol = coalesce(s.symbol, f.symbol) LEFT JOIN ms ON ms.symbol = coalesce(s.symbol, f.symbol))
 SELECT symbol, CAST(src_rows AS BIGINT) AS src_rows, CAST(file_rows AS BIGINT) AS file_rows, src_rows = file_rows AS count_match,
   CAST(src_null_rows AS BIGINT) AS src_null_rows, CAST(file_null_rows AS BIGINT) AS file_null_rows,
   CAST(type_mismatches AS BIGINT) AS type_mismatches, src_range_s, file_range_s,
-  coalesce(src_range_s = file_range_s, false) AS range_match, CAST(multiset_diff AS BIGINT) AS multiset_diff,
+  range_match, CAST(multiset_diff AS BIGINT) AS multiset_diff,
   src_rows = file_rows AND src_null_rows = 0 AND file_null_rows = 0 AS ref_pass,
   src_rows = file_rows AND src_null_rows = 0 AND file_null_rows = 0 AND type_mismatches = 0
-    AND coalesce(src_range_s = file_range_s, false) AND multiset_diff = 0 AS strict_pass
+    AND range_match AND multiset_diff = 0 AS strict_pass
 FROM j"""
 
 

@@ -32,7 +32,7 @@ def get_session(master: str | None = None, app: str = "feedlake",
         builder = builder.master(master)
         if master.startswith("local"):
             # Local mode runs every task in the driver JVM; give it the heap.
-            builder = builder.config("spark.driver.memory", os.environ.get("FEEDLAKE_DRIVER_MEMORY", "16g"))
+            builder = builder.config("spark.driver.memory", os.environ.get("FEEDLAKE_DRIVER_MEMORY", "8g"))
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
@@ -53,23 +53,21 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 
 def _shared_base(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        # Only reached when the cluster names no shared folder (local tests).
-        base = tempfile.mkdtemp(prefix="feedlake-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # One machine (tests): a folder of its own is shared by all.
+        base = "file:" + tempfile.mkdtemp(prefix="feedlake-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the cluster's shared checkpoint folder.
+    """A new, unique folder name under the cluster's shared checkpoint folder.
 
     Everything a job writes (exports, tables, stream checkpoints, landing
-    files) goes here, never to a machine-local temporary folder.
+    files) goes here, never to a machine-local temporary folder. Spark's
+    writers make the folder.
     """
-    path = f"{_shared_base(spark)}/feedlake/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return f"{_shared_base(spark)}/feedlake/{name}-{uuid.uuid4().hex[:12]}"

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.schema import RAW_FEED_SCHEMA
 from feedlake.sources.tables import read_table, spread
 
 # Frame text per event kind (FIXTURES.md section 2). Pure column expressions,
@@ -71,8 +70,3 @@ def feed_from_events(events: DataFrame) -> DataFrame:
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bronze feed derived from ``{sf_dir}/events.parquet``."""
     return feed_from_events(spread(read_table(spark, sf_dir, "events")))
-
-
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Batch read of landed frames (JSON lines with the bronze schema)."""
-    return spark.read.schema(RAW_FEED_SCHEMA).json(path)

@@ -1,90 +1,104 @@
-"""Streaming equals batch; restart adds nothing; late rows are kept apart, none lost."""
+"""Streams equal batch, survive a replay, and leave no frame out."""
 
+import datetime as dt
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from feedlake.operators.decode import decode, decode_messages
+from feedlake.session import shared_path
+from feedlake.sources.feed import raw_feed
+from feedlake.streaming import feed_stream as fs
 
 
 def _rows(df):
     return sorted(tuple(r) for r in df.select("event_id", "symbol", "ts", "mt", "m").collect())
 
 
-def test_stream_equals_batch_and_restart_is_idempotent(spark):
-    from feedlake.operators.decode import decode_messages
-    from feedlake.session import shared_path
-    from feedlake.sources.feed import raw_feed
-    from feedlake.streaming.feed_stream import ingest, write_landing
+@pytest.fixture()
+def feed(spark):
+    return raw_feed(spark, SF_SMALL)
+
+
+def test_ingest_equals_batch_and_restarts(spark, feed):
     base = shared_path(spark, "test-stream")
-    raw = raw_feed(spark, SF_SMALL)
-    write_landing(raw, f"{base}/landing", 4)
-    ingest(spark, f"{base}/landing", f"{base}/table", f"{base}/ckpt")
-    first = _rows(spark.read.parquet(f"{base}/table"))
-    ingest(spark, f"{base}/landing", f"{base}/table", f"{base}/ckpt")
-    assert _rows(spark.read.parquet(f"{base}/table")) == first == _rows(decode_messages(raw))
-
-
-def test_closed_windows_equal_batch_counts(spark):
-    from feedlake.operators.decode import decode_messages
-    from feedlake.session import shared_path
-    from feedlake.sources.feed import raw_feed
-    from feedlake.streaming.feed_stream import hourly_close_stream, write_landing
-    base = shared_path(spark, "test-close")
-    raw = raw_feed(spark, SF_SMALL)
-    write_landing(raw, f"{base}/landing", 4)
-    hourly_close_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt")
-    got = {(r["symbol"], r["period_start"]): r["rows"] for r in spark.read.parquet(f"{base}/out").collect()}
-    batch = decode_messages(raw).groupBy("symbol", F.date_trunc("hour", "ts").alias("h")).count().collect()
-    want = {(r["symbol"], r["h"]): r["count"] for r in batch}
-    assert got and all(want[k] == v for k, v in got.items())     # every emitted (closed) hour is exact
-    assert len(got) >= len(want) - 3                              # only the still-open hours may be missing
-
-
-def test_late_rows_split_not_dropped(spark):
-    from feedlake.plans.queries import QUERIES
-    out = QUERIES["stream_late"](spark, SF_SMALL)
-    total = out.count()
-    late = out.where("late").count()
-    from feedlake.operators.decode import decode_messages
-    from feedlake.sources.feed import raw_feed
-    assert total == decode_messages(raw_feed(spark, SF_SMALL)).count()
-    assert late > 0
-
-
-def test_dedup_drops_redelivered_frames(spark):
-    from feedlake.plans.queries import QUERIES
-    out = QUERIES["stream_dedup"](spark, SF_SMALL)
-    assert out.count() == out.select("event_id").distinct().count()
-
-
-def test_error_budget_stops_stream(spark):
-    from feedlake.plans.queries import QUERIES
-    out = QUERIES["stream_error_budget"](spark, SF_SMALL).collect()
-    assert out and out[0]["stopped"] == (sum(r["errors"] for r in out) > 100)
-
-
-def test_stream_stats_equal_batch_on_closed_windows(spark):
-    from feedlake.operators.decode import decode_messages
+    fs.write_landing(feed, f"{base}/landing")
+    for _ in range(2):
+        fs.ingest(spark, fs.read_frames(spark, f"{base}/landing", 2), base)
+    assert _rows(fs.stored(spark, base)) == _rows(decode_messages(feed))
+    want = {r.outcome: r["count"] for r in decode(feed).groupBy("outcome").count().collect()}
+    assert {r.outcome: r.n for r in fs.outcomes(spark, base).collect()} == want
+    assert spark.read.parquet(f"{base}/quarantine").count() == want["malformed"] + want["error"]
+
+
+def test_a_batch_that_failed_after_its_writes_is_not_doubled(spark, feed, monkeypatch):
+    base = shared_path(spark, "test-replay")
+    fs.write_landing(feed, f"{base}/landing")
+    write = fs._write
+
+    def lost(rows, table, epoch, by=()):
+        write(rows, table, epoch, by)
+        if table.endswith("/outcomes"):
+            raise RuntimeError("lost after all writes")
+    monkeypatch.setattr(fs, "_write", lost)
+    with pytest.raises(Exception, match="lost after all writes"):
+        fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base, dedup=True)
+    monkeypatch.setattr(fs, "_write", write)
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base, dedup=True)
+    assert _rows(fs.stored(spark, base)) == _rows(decode_messages(feed))
+    assert sum(r.n for r in fs.outcomes(spark, base).collect()) == feed.count()
+
+
+def test_redelivered_frames_are_stored_once_and_late_new_ones_kept(spark, feed):
+    base = shared_path(spark, "test-dedup")
+    fs.write_landing(feed.where("event_id % 2 = 0"), f"{base}/landing")
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base, dedup=True)
+    fs.write_landing(feed, f"{base}/landing")          # the odd ones are new, and as old as the others
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base, dedup=True)
+    assert _rows(fs.stored(spark, base)) == _rows(decode_messages(feed))
+    counts = {r.outcome: r.n for r in fs.outcomes(spark, base).collect()}
+    assert counts["duplicate"] == decode_messages(feed).where("event_id % 2 = 0").count()
+
+
+def test_late_rows_are_marked_by_their_own_arrival(spark, feed):
+    base = shared_path(spark, "test-late")
+    odd = spark.createDataFrame([(10**9, "btc", dt.datetime(2024, 1, 5), '{"channel":"push.funding.rate","data":{},"ts":4102444800000}')], feed.schema)
+    late = feed.withColumn("arrival_ts", F.when(F.col("event_id") % 50 == 0, F.col("arrival_ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("arrival_ts")))
+    fs.write_landing(odd.unionByName(late), f"{base}/landing")   # a frame from 2100 makes no other one late
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing", 1), base)
+    out = fs.stored(spark, base)
+    with_time = decode_messages(feed)
+    assert out.where("late").count() == out.where("arrival_ts >= date_trunc('hour', ts) + INTERVAL 61 MINUTES").count() > 0
+    assert out.count() == with_time.count() + 1
+
+
+def test_error_budget(spark, feed):
+    errors = decode(feed).where("outcome = 'error'").count()
+    assert errors > 2
+    for budget, stopped in ((errors - 1, True), (errors, False)):
+        base = shared_path(spark, "test-budget")
+        fs.write_landing(feed, f"{base}/landing")
+        assert fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base, budget=budget) is stopped
+        assert {r.outcome: r.n for r in fs.outcomes(spark, base).collect()}["error"] == errors
+
+
+def test_running_errors_add_up_over_batches(spark, feed):
+    base = shared_path(spark, "test-running")
+    for part in range(3):
+        fs.write_landing(feed.where(F.col("event_id") % 3 == part), f"{base}/landing")
+        fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    so_far = [r.e for r in spark.read.parquet(f"{base}/outcomes").groupBy("batch").agg(F.max("errors_so_far").alias("e")).orderBy("batch").collect()]
+    assert so_far == sorted(so_far) and so_far[-1] == decode(feed).where("outcome = 'error'").count()
+
+
+def test_windows_equal_batch_with_late_frames(spark, feed):
     from feedlake.operators.stats import stats_windows
-    from feedlake.session import shared_path
-    from feedlake.sources.feed import raw_feed
-    from feedlake.streaming.feed_stream import stats_stream, write_landing
     base = shared_path(spark, "test-stats")
-    raw = raw_feed(spark, SF_SMALL)
-    write_landing(raw, f"{base}/landing", 4)
-    stats_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt")
-    got = {(r["symbol"], r["mt"], r["window_start"]): r["n"] for r in spark.read.parquet(f"{base}/out").collect()}
-    want = {(r["symbol"], r["mt"], r["window_start"]): r["n"] for r in stats_windows(decode_messages(raw)).collect()}
-    assert got and all(want[k] == v for k, v in got.items())
-    assert len(got) >= len(want) - 12          # at most the still-open windows are missing
-
-
-def test_debug_cadence_closes_five_minute_periods(spark):
-    from feedlake.session import shared_path
-    from feedlake.sources.feed import raw_feed
-    from feedlake.streaming.feed_stream import hourly_close_stream, write_landing
-    base = shared_path(spark, "test-debug")
-    write_landing(raw_feed(spark, SF_SMALL), f"{base}/landing", 4)
-    hourly_close_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", period="5 minutes", grace="30 seconds")
-    out = spark.read.parquet(f"{base}/out")
-    assert out.count() > 0
-    assert out.where(F.unix_seconds("period_end") - F.unix_seconds("period_start") != 300).count() == 0
+    for cond in ("event_id % 2 = 0", "event_id % 2 = 1"):
+        fs.write_landing(feed.where(cond), f"{base}/landing")
+        fs.window_counts_stream(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    got = {(r.symbol, r.mt, r.window_start): r.n for r in fs.window_counts(spark, base).where("n > 0").collect()}
+    assert got == {(r.symbol, r.mt, r.window_start): r.n for r in stats_windows(decode_messages(feed)).collect()}
+    rates = fs.feed_rates(spark, base).agg(F.sum(F.col("n") + F.col("errors") + F.col("skipped"))).first()[0]
+    assert rates == feed.count()
