@@ -1,6 +1,5 @@
 """Payload round trips, export/read-back, and negative reconciliation tests."""
 
-import os
 import uuid
 
 import pyarrow as pa

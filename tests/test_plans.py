@@ -52,4 +52,12 @@ def test_filters_and_columns_reach_the_silver_scan(no_aqe):
 def test_latest_overall_is_a_top_k_not_a_sort(no_aqe):
     from feedlake.plans.queries import QUERIES
     plan = _plan(QUERIES["latest_overall"](no_aqe, SF_SMALL))
-    assert "TakeOrderedAndProject" in plan and "PartitionFilters: [isnotnull(symbol" in plan
+    assert plan.count("WindowGroupLimit") == 2      # each task keeps 3 rows a symbol before the shuffle
+
+
+def test_reconcile_and_median_pass_once_over_the_rows(no_aqe):
+    from feedlake.plans.queries import QUERIES
+    plan = _plan(QUERIES["reconcile_report"](no_aqe, SF_SMALL))
+    assert plan.count("FileScan parquet") == 2 and "Join" not in plan
+    # the raw rows of the median are only read, counted and semi-joined to the located hours
+    assert "hashpartitioning(symbol, 200" not in _plan(QUERIES["median_split"](no_aqe, SF_SMALL)).split("FileScan parquet")[-1]
