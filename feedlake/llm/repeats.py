@@ -6,7 +6,7 @@ place, so every window of LENGTH bytes is led by its anchor, the smallest hash o
 K-byte strings in it: equal windows have equal anchors. Consecutive windows with one
 anchor form a fragment.
 
-1. The documents are packed, a few megabytes of whole texts a row.
+1. The documents are packed, some megabytes of whole texts a row.
 2. The packs' anchors meet by hash; those seen in one document alone end here.
 3. The fragments of shared anchors, each once a pack with its smallest document, go to
    shards by anchor. A shard sorts all suffixes of its distinct fragments by induced
@@ -35,7 +35,7 @@ from feedlake.llm.suffix_array import permuted_common_prefixes, suffix_array
 LENGTH, K = 50, 24
 WINDOW = LENGTH - K + 1
 #: Bytes of text in a pack, and of all texts for each shard.
-PACK, SHARD = 4 << 20, 4 << 20
+PACK, SHARD = 2 << 20, 2 << 20
 #: Packs that hold an anchor before its windows are dealt one by one.
 HOT = 2000
 #: Anchors are compared by their upper 48 bits when shared ones are looked for.
@@ -83,15 +83,16 @@ class Pack:
         self.bytes = b"".join(texts)
         self.data = np.frombuffer(self.bytes, np.uint8)
 
-    def _anchors(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-        """Anchor of the windows that begin in lo..hi, and a hash of the window itself."""
+    def _anchors(self, lo: int, hi: int) -> np.ndarray:
+        """Anchor of the windows that begin in lo..hi."""
         data = np.zeros(hi - lo + LENGTH + 8, np.uint8)
         own = self.data[lo:hi + LENGTH + 8]
         data[:len(own)] = own
         loads = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1)).copy().view(np.uint64).ravel()
         n = hi - lo + WINDOW - 1
         code = sum(loads[8 * j:8 * j + n] * _M[j] for j in range(K // 8))
-        return _sliding(np.minimum, mixed(code), WINDOW)[:hi - lo], loads
+        # smallest hashes crowd at the low end: mixed again, they fall evenly on the shards
+        return mixed(_sliding(np.minimum, mixed(code), WINDOW)[:hi - lo])
 
     def fragments(self, step: int = 1 << 19) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Begin, number of windows, anchor and document of the fragments, in order."""
@@ -101,7 +102,7 @@ class Pack:
             lo, hi = int(self.begins[i]), int(self.ends[j - 1])
             sizes = self.ends[i:j] - self.begins[i:j]
             if hi > lo:
-                value, _ = self._anchors(lo, hi)
+                value = self._anchors(lo, hi)
                 doc = np.repeat(np.arange(i, j), sizes)
                 inside = np.arange(lo, hi) + LENGTH <= self.ends[doc]
                 new = np.r_[True, (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])]
@@ -247,7 +248,7 @@ def smallest_documents(texts: list[bytes], ids: np.ndarray, length: int = LENGTH
     sa = suffix_array(np.append(values, np.int16(0)), 258)[1:]
     text = np.repeat(np.arange(len(texts)), sizes + 1)
     whole = np.arange(len(data)) + length <= (ends - 1)[text]  # a window begins here
-    prefix = permuted_common_prefixes(data, sa, length)
+    prefix = permuted_common_prefixes(data, sa, length, np.flatnonzero(whole))
     before = np.zeros(len(data), bool)
     before[sa[1:]] = whole[sa[:-1]]
     kept = sa[whole[sa]]

@@ -118,18 +118,19 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
     return text.induce(order)
 
 
-def permuted_common_prefixes(data: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
-    """For each suffix in text order, the bytes it shares with its predecessor in ``sa``, at most ``cap``."""
+def permuted_common_prefixes(data: np.ndarray, sa: np.ndarray, cap: int, at: np.ndarray | None = None) -> np.ndarray:
+    """For each suffix in text order, the bytes it shares with its predecessor in ``sa``, at most ``cap``.
+    With ``at`` only the suffixes that begin there are looked at; the others have 0."""
     padded = np.r_[data, np.zeros(cap + 8, np.uint8)]
     words = np.lib.stride_tricks.as_strided(padded, (len(padded) - 7, 8), (1, 1))
-    before = np.full(len(data), -1, np.int64)
+    before = np.full(len(data), -1, np.int32)
     before[sa[1:]] = sa[:-1]
-    shared = np.zeros(len(data), np.int64)
-    open_ = np.flatnonzero(before >= 0)
+    shared = np.zeros(len(data), np.int32)
+    open_ = np.flatnonzero(before >= 0) if at is None else at[before[at] >= 0]
     for step in range(0, cap, 8):
-        unlike = words[open_ + step].copy().view(np.uint64).ravel() ^ words[before[open_] + step].copy().view(np.uint64).ravel()
+        unlike = words[open_ + step].view(np.uint64).ravel() ^ words[before[open_] + step].view(np.uint64).ravel()
         lowest = unlike & (~unlike + np.uint64(1))
         # the lowest byte that differs comes first in memory; 8 where none does
         shared[open_] = step + np.where(unlike == 0, 8, (np.frexp(lowest.astype(np.float64))[1] - 1) // 8)
         open_ = open_[unlike == 0]
-    return np.minimum(np.minimum(shared, cap), len(data) - np.maximum(np.arange(len(data)), before))
+    return np.minimum(np.minimum(shared, cap), len(data) - np.maximum(np.arange(len(data), dtype=np.int32), before))
