@@ -23,22 +23,27 @@ class _Text:
         self.s, self.small, self.size = s, _types(s), size
         ends = np.cumsum(np.bincount(s, minlength=size))
         self.heads, self.tails = np.r_[0, ends[:-1]], ends
+        # character and type in one look-up; what comes before suffix 0 (index -1, the last one) has no type
+        self.code = (s.astype(np.int32) << 2) | self.small
+        self.code[-1] = 2
 
-    def _place(self, sa: np.ndarray, at: np.ndarray, found: np.ndarray, step: int) -> None:
+    @staticmethod
+    def _place(sa: np.ndarray, at: np.ndarray, found: np.ndarray, chars: np.ndarray, step: int) -> None:
         """Append ``found``, in order, to the buckets of their characters; ``at`` moves by ``step`` a suffix."""
-        chars = self.s[found]
+        chars = chars.astype(np.int16)
         order = np.argsort(chars, kind="stable")
         chars = chars[order]
         begin = np.flatnonzero(np.r_[True, chars[1:] != chars[:-1]])
-        rank = np.arange(len(chars)) - np.repeat(begin, np.diff(np.r_[begin, len(chars)]))
-        sa[at[chars] + step * rank] = found[order]
-        at[chars[begin]] += step * np.diff(np.r_[begin, len(chars)])
+        size = np.diff(np.r_[begin, len(chars)])
+        own = chars[begin]
+        sa[np.repeat(at[own] - step * begin, size) + step * np.arange(len(chars))] = found[order]
+        at[own] += step * size
 
     def induce(self, lms: np.ndarray) -> np.ndarray:
         """The order of all suffixes from that of the leftmost smaller ones (or of their first characters alone)."""
         sa = np.full(len(self.s), -1, np.int32)
         last = self.tails - 1
-        self._place(sa, last, lms[::-1], -1)
+        self._place(sa, last, lms[::-1], self.s[lms[::-1]], -1)
         first = self.heads.copy()
         for c in range(self.size):  # larger suffixes, from the smallest bucket on
             lo, begin = self.heads[c], last[c] + 1
@@ -58,10 +63,10 @@ class _Text:
         return sa
 
     def _before(self, sa: np.ndarray, suffixes: np.ndarray, at: np.ndarray, small: bool, step: int) -> None:
-        previous = suffixes[suffixes > 0] - 1
-        previous = previous[self.small[previous] == small]
-        if len(previous):
-            self._place(sa, at, previous, step)
+        code = self.code[suffixes - 1]
+        keep = np.flatnonzero((code & 3) == small)
+        if len(keep):
+            self._place(sa, at, suffixes[keep] - 1, code[keep] >> 2, step)
 
 
 def _by_doubling(ranks: np.ndarray) -> np.ndarray:
