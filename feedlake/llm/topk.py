@@ -28,7 +28,7 @@ ROWS, QUERIES = 4096, 4096
 #: Possible members, as a multiple of k, that end the processing of segments.
 ENOUGH = 8
 #: Each round goes on to contributions this much smaller.
-FALL = 0.6
+FALL = 0.4
 
 
 class Index:
@@ -39,13 +39,17 @@ class Index:
         self.ids, self.x = ids[order], x[order].astype(np.int64)
         self.low, self.high = self.x.min(axis=0), self.x.max(axis=0)
         self.step = np.maximum(1, -(-(self.high - self.low + 1) // LEVELS))
-        # postings by rising value, and by falling value for queries that favour that end
-        rise = np.argsort(self.x, axis=0, kind="stable").T
-        self.lists = {1: rise[:, ::-1].copy(), -1: rise.copy()}
-        self.levels = {}
-        for sign, lists in self.lists.items():
-            distance = self._distance(sign)
-            self.levels[sign] = np.take_along_axis(distance // self.step[:, None], lists, axis=1)
+        # by sign of the query's weight: postings by falling distance from the worst end (all dimensions in one
+        # row), their levels, and how many postings of a dimension have a level or more
+        self.rows, self.levels, self.reach = {}, {}, {}
+        n, dims = self.x.shape
+        for sign in (1, -1):
+            level = (self._distance(sign) // self.step[:, None]).astype(np.int32)
+            falling = np.argsort(-level, axis=1, kind="stable").astype(np.int32)
+            self.rows[sign], self.levels[sign] = falling.ravel(), np.take_along_axis(level, falling, axis=1).ravel()
+            counts = np.zeros((dims, LEVELS + 2), np.int64)
+            np.add.at(counts, (np.repeat(np.arange(dims), n), level.ravel()), 1)
+            self.reach[sign] = counts[:, ::-1].cumsum(axis=1)[:, ::-1]
 
     def _distance(self, sign: int) -> np.ndarray:
         """Of each value from the worst end (the lowest for positive weights), dimensions x rows."""
@@ -54,33 +58,34 @@ class Index:
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the ``k`` best rows but ``own``: larger scores first, then smaller ids."""
         n = len(self.ids)
-        dims = np.flatnonzero(query)
-        weight, sign = np.abs(query[dims]), np.sign(query[dims])
-        lists = [self.lists[s][d] for s, d in zip(sign, dims)]
-        levels = [self.levels[s][d] for s, d in zip(sign, dims)]
-        unit = weight * self.step[dims]  # what one level is worth
-        bound = np.zeros(n)
-        at = np.zeros(len(dims), int)
-        members = np.arange(n)
-        top = max((float(u * v[0]) for u, v in zip(unit, levels)), default=0.0)
-        while len(dims):
+        bound, members = np.zeros(n), np.arange(n)
+        sides = []
+        for sign in (1, -1):
+            dims = np.flatnonzero(query * sign > 0)
+            if len(dims):
+                unit = np.abs(query[dims]) * self.step[dims]  # what one level is worth
+                sides.append((sign, dims, unit, np.zeros(len(dims), np.int64)))
+        top = max((float((unit * self.levels[sign][dims * n]).max()) for sign, dims, unit, _ in sides), default=0.0)
+        while sides:
             top *= FALL
             if top < 1:
                 top = 0.0
-            stop = np.array([np.searchsorted(-v, -(top / u), side="right") for u, v in zip(unit, levels)])
-            rows = [v[a:b] for v, a, b in zip(lists, at, stop) if b > a]
-            gains = [u * v[a:b] for u, v, a, b in zip(unit, levels, at, stop) if b > a]
-            if rows:
-                bound += np.bincount(np.concatenate(rows), np.concatenate(gains), n)
-            at = stop
-            # a row has at most its next level's worth in a dimension where it was not met, and less than one
-            # level more than was counted where it was
-            ahead = np.array([u * (v[a] + 1) if a < n else 0 for u, v, a in zip(unit, levels, at)])
-            slack = np.maximum(ahead, unit).sum()
+            slack, done = 0.0, True
+            for side, (sign, dims, unit, at) in enumerate(sides):
+                stop = self.reach[sign][dims, np.minimum(np.ceil(top / unit), LEVELS + 1).astype(int)]
+                size = stop - at
+                postings = np.repeat(dims * n + at - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+                bound += np.bincount(self.rows[sign][postings], np.repeat(unit, size) * self.levels[sign][postings], n)
+                sides[side] = (sign, dims, unit, stop)
+                # a row has at most its next level's worth in a dimension where it was not met, and less than one
+                # level more than was counted where it was
+                ahead = np.where(stop < n, unit * (self.levels[sign][dims * n + np.minimum(stop, n - 1)] + 1), 0)
+                slack += np.maximum(ahead, unit).sum()
+                done &= bool((stop == n).all())
             if n > k + 1:
                 kth = np.partition(bound, n - k - 1)[n - k - 1]  # one more, as the query itself may be among them
                 members = np.flatnonzero(bound + slack >= kth)
-            if len(members) <= ENOUGH * k or (at == n).all():
+            if len(members) <= ENOUGH * k or done:
                 break
         members = members[self.ids[members] != own]
         score = self.x[members] @ query
