@@ -66,8 +66,8 @@ def inverse_frequencies(docs: DataFrame, text: str) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(held[at])], names=["at", "n"])
 
     held = np.zeros((1 << BITS) + 1)
-    for row in docs.select(text).mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toLocalIterator():
-        held[row["at"]] = row["n"]
+    found = docs.select(text).mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()  # one row a bucket
+    held[found["at"].to_numpy()] = found["n"].to_numpy()
     return np.maximum(np.log((held[-1] + 1) / (held[:-1] + 1)), 1e-3).astype(np.float32)
 
 
@@ -83,25 +83,37 @@ def _vectors(texts: list[str | None], idf: np.ndarray) -> list[tuple[np.ndarray,
 
 
 def _summed(items: DataFrame, text: str, width: int, each) -> np.ndarray:
-    """Sum over the rows of the BUCKETS x ``width`` matrices that ``each`` adds to; one block of rows at a time moves."""
+    """Sum over the rows of the BUCKETS x ``width`` matrices that ``each`` adds to. Tasks add up their own rows;
+    only rows of buckets in use move, in blocks of _ROWS buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, np.ndarray] = {}
+        own: dict[int, np.ndarray] = {}
         for batch in batches:
             for at, values in each(batch.column(0).to_pylist()):
-                for b in np.unique(at // _ROWS):
-                    mine = at // _ROWS == b
-                    blocks.setdefault(int(b), np.zeros((_ROWS, width)))[at[mine] % _ROWS] += values[mine]
-        for b, block in blocks.items():
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([block.tobytes()], pa.binary())], names=["b", "block"])
+                for i, row in zip(at.tolist(), values):
+                    own[i] = own[i] + row if i in own else row
+        at = np.array(sorted(own), np.int32)
+        for b in np.unique(at // _ROWS):
+            mine = at[at // _ROWS == b]
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([mine.tobytes()], pa.binary()),
+                                              pa.array([np.array([own[i] for i in mine.tolist()]).tobytes()], pa.binary())],
+                                             names=["b", "at", "rows"])
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_buffer()) for x in table.column("block"))
-        return pa.table({"b": table.column("b").slice(0, 1), "block": pa.array([total.tobytes()], pa.binary())})
-
+        total = np.zeros((_ROWS, width))
+        used = np.zeros(_ROWS, bool)
+        for at, rows in zip(table.column("at").to_pylist(), table.column("rows").to_pylist()):
+            at = np.frombuffer(at, np.int32) % _ROWS
+            total[at] += np.frombuffer(rows).reshape(-1, width)
+            used[at] = True
+        b = table.column("b")[0].as_py()
+        at = np.flatnonzero(used).astype(np.int32) + np.int32(b * _ROWS)
+        return pa.table({"b": pa.array([b], pa.int32()), "at": pa.array([at.tobytes()], pa.binary()),
+                         "rows": pa.array([total[used].astype(np.float32).tobytes()], pa.binary())})
+
+    kind = "b int, at binary, rows binary"
     out = np.zeros((1 << BITS, width), np.float32)
-    rows = items.select(text).mapInArrow(run, "b int, block binary").groupBy("b").applyInArrow(add, "b int, block binary")
-    for row in rows.toLocalIterator():
-        out[row["b"] * _ROWS:(row["b"] + 1) * _ROWS] = np.frombuffer(row["block"]).reshape(_ROWS, width)
+    for row in items.select(text).mapInArrow(run, kind).groupBy("b").applyInArrow(add, kind).collect():  # BUCKETS x width at most
+        out[np.frombuffer(row["at"], np.int32)] = np.frombuffer(row["rows"], np.float32).reshape(-1, width)
     return out
 
 
