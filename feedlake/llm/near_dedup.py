@@ -6,9 +6,10 @@ with the same set form a class, and only the classes' smallest documents go on.
 gets ``BANDS * ROWS`` minima of universal hashes; documents that agree in all rows of
 a band share a bucket. In a bucket, members are first compared with its smallest
 document alone, so a bucket gives as many pairs as it has members. Pairs whose
-signatures agree enough are confirmed on the full sets, components are found by
-large-star and small-star, and what is then still apart is compared inside the
-buckets in blocks. No bucket is capped, and no pair inside a component is formed.
+signatures agree enough are confirmed on the full sets, a document's likeliest pairs
+first, and components are found by large-star and small-star. Pairs that a component
+already joins are dropped, the rest is confirmed; what is then still apart is compared
+inside the buckets in blocks. No bucket is capped.
 
 At a similarity of 0.75 a pair shares no bucket with a chance of 5e-6, and fails the
 signature check with one of 5e-7.
@@ -145,14 +146,25 @@ def agreeing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long, agree int")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``a, b``: the pairs that reach the similarity on their full sets."""
+def full_sets(ids: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``doc_id, hashes``: the whole sets of the documents in ``ids`` (column _id)."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
                 sets = [s.tobytes() for s in shingle_sets(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["doc_id", "hashes"])
 
+    ids = stored(ids.distinct(), "near-ids")
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    own = (docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text))
+           .join(ids, F.col("doc_id") == F.col("_id"), "left_semi"))
+    # a repeated id's texts have one set each; the pair's sets are those of the smallest
+    return stored(own.mapInArrow(read, "doc_id long, hashes binary").groupBy("doc_id").agg(F.min("hashes").alias("hashes")), "near-sets")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``a, b``: the pairs that reach the similarity on their full sets."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
@@ -162,25 +174,22 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFra
                 good.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    ids = stored(pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct(), "near-ids")
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    own = (docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text))
-           .join(ids, F.col("doc_id") == F.col("_id"), "left_semi"))
-    # a repeated id's texts have one set each; the pair's sets are those of the smallest
-    sets = stored(own.mapInArrow(read, "doc_id long, hashes binary").groupBy("doc_id").agg(F.min("hashes").alias("hashes")), "near-sets")
+    ends = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id")))
+    sets = full_sets(ends, docs, key, text)
 
     def of(end: str) -> DataFrame:
         return sets.select(F.col("doc_id").alias(end), F.col("hashes").alias(f"of_{end}"))
     joined = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").select("a", "b", "of_a", "of_b")
-    return joined.mapInArrow(compare, "a long, b long")
+    return stored(joined.mapInArrow(compare, "a long, b long"), "near-links")
 
 
-def rest_of_buckets(members: DataFrame, rows: DataFrame) -> DataFrame:
+def rest_of_buckets(members: DataFrame, rows: DataFrame, lo: int, hi: int) -> DataFrame:
     """``a, b``: pairs of different components in a bucket whose signatures agree, both unlike the bucket's smallest.
 
     ``members``: bucket, doc_id, component. A bucket is dealt into blocks of about
-    ``BLOCK`` members; each pair of blocks is one group, compared by numpy.
+    ``BLOCK`` members; each pair of blocks is one group, compared by numpy. Of a
+    member's agreeing partners in a group and component, those from the ``lo``-th to
+    before the ``hi``-th by agreement are returned.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches)
@@ -191,7 +200,14 @@ def rest_of_buckets(members: DataFrame, rows: DataFrame) -> DataFrame:
         right = np.flatnonzero(own == j)
         for x in left:
             others = right[(of[right] != of[x]) & ((ids[right] > ids[x]) if i == j else True)]
-            others = others[(sig[others] == sig[x]).sum(axis=1) >= AGREE]
+            agree = (sig[others] == sig[x]).sum(axis=1)
+            others, agree = others[agree >= AGREE], agree[agree >= AGREE]
+            if len(others):
+                order = np.lexsort((ids[others], -agree, of[others]))
+                others, own_ = others[order], of[others[order]]
+                first = np.flatnonzero(np.r_[True, own_[1:] != own_[:-1]])
+                rank = np.arange(len(others)) - np.repeat(first, np.diff(np.r_[first, len(others)]))
+                others = others[(rank >= lo) & (rank < hi)]
             if len(others):
                 yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[others], ids[x])),
                                                   pa.array(np.minimum(ids[others], ids[x]))], names=["a", "b"])
@@ -211,6 +227,44 @@ def _one(run, table: pa.Table) -> pa.Table:
     return pa.Table.from_batches(found) if found else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
 
 
+class _Groups:
+    """The components found so far, and the pairs that were compared."""
+
+    def __init__(self, docs: DataFrame, key: str, text: str, rows: DataFrame):
+        self.docs, self.key, self.text, self.rows = docs, key, text, rows
+        spark = docs.sparkSession
+        self.found = spark.createDataFrame([], "node long, component long")
+        self.compared = spark.createDataFrame([], "a long, b long")
+
+    def component_of(self, df: DataFrame, node: str, name: str) -> DataFrame:
+        known = self.found.select(F.col("node").alias(node), F.col("component").alias(name))
+        return df.join(known, node, "left").withColumn(name, F.coalesce(name, node))
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs that were not compared and lie in different components."""
+        labelled = self.component_of(self.component_of(pairs, "a", "ca"), "b", "cb")
+        return labelled.where("ca <> cb").drop("ca", "cb").join(self.compared, ["a", "b"], "left_anti")
+
+    def join(self, pairs: DataFrame) -> bool:
+        """Compare pairs by signature, then on the full sets, and merge the components of those that are near.
+        Returns whether there were pairs that the signatures let pass."""
+        pairs = stored(pairs.distinct(), "near-pairs")
+        likely = stored(agreeing(pairs.join(self.compared, ["a", "b"], "left_anti"), self.rows), "near-likely")
+        self.compared = stored(self.compared.unionByName(pairs), "near-compared")
+        if not likely.limit(1).count():
+            return bool(pairs.limit(1).count())
+        links = confirmed(likely, self.docs, self.key, self.text)
+        if links.limit(1).count():
+            # components of the components: the links between them, and what they held before
+            between = self.component_of(self.component_of(links, "a", "ca"), "b", "cb")
+            merged = stored(components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "near-merged")
+            label = merged.select(F.col("node").alias("component"), F.col("component").alias("new"))
+            moved = self.found.join(label, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
+            fresh = merged.join(self.found, "node", "left_anti").select("node", "component")
+            self.found = stored(moved.unionByName(fresh), "near-components")
+        return True
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: a row for every row of ``docs``.
 
@@ -228,23 +282,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     every = buckets(rows)
     shared = every.groupBy("bucket").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(every.join(shared, "bucket").where("doc_id <> center"), "near-buckets")
-    stars = stored(agreeing(members.select(F.col("doc_id").alias("a"), F.col("center").alias("b")).distinct(), rows), "near-stars")
-    best = stars.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("m")).select("a", (-F.col("m.b")).alias("b"))
-    links = stored(confirmed(stored(best, "near-best"), docs, key, text), "near-links")
-    found = stored(components(links), "near-components")
-
-    def component_of(df: DataFrame, node: str, name: str) -> DataFrame:
-        known = found.select(F.col("node").alias(node), F.col("component").alias(name))
-        return df.join(known, node, "left").withColumn(name, F.coalesce(name, node))
-    apart = component_of(component_of(stars.select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-    inside = component_of(members.where("n > 2").select("bucket", "doc_id"), "doc_id", "component")
-    open_pairs = stored(apart.unionByName(rest_of_buckets(inside, rows)).distinct().join(best, ["a", "b"], "left_anti"), "near-open")
-    if open_pairs.limit(1).count():
-        more = stored(confirmed(open_pairs, docs, key, text), "near-more")
-        if more.limit(1).count():
-            found = stored(components(links.unionByName(more)), "near-components")
-
-    final = component_of(classes.select("set_key", "rep"), "rep", "component_id").select("set_key", "component_id")
+    # how many buckets a pair shares tells its likelihood before any signature is read
+    stars = stored(members.groupBy(F.col("doc_id").alias("a"), F.col("center").alias("b")).agg(F.count(F.lit(1)).alias("times")), "near-stars")
+    groups = _Groups(docs, key, text, rows)
+    for _ in range(2):
+        likeliest = groups.apart(stars).groupBy("a").agg(F.max(F.struct("times", (-F.col("b")).alias("b"))).alias("m"))
+        if not groups.join(likeliest.select("a", (-F.col("m.b")).alias("b"))):
+            break
+    groups.join(groups.apart(stars).select("a", "b"))
+    inside, lo, hi = members.where("n > 2").select("bucket", "doc_id"), 0, 1
+    while groups.join(rest_of_buckets(groups.component_of(inside, "doc_id", "component"), rows, lo, hi)):
+        lo, hi = hi, 4 * hi + 1
+
+    final = groups.component_of(classes.select("set_key", "rep"), "rep", "component_id").select("set_key", "component_id")
     return (base.join(final, "set_key", "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))

@@ -366,7 +366,7 @@ def test_near_dedup_finds_links_between_members_unlike_the_smallest(spark, docs,
     sig[2] = sig[1]
     rows = spark.createDataFrame([(i, bytearray(sig[i].tobytes())) for i in range(3)], "doc_id long, signature binary")
     members = spark.createDataFrame([(7, 1, 1), (7, 2, 2)], "bucket long, doc_id long, component long")
-    assert ids(near_dedup.rest_of_buckets(members, rows), "a", "b") == [(2, 1)]
+    assert ids(near_dedup.rest_of_buckets(members, rows, 0, 1), "a", "b") == [(2, 1)]
 
 
 def test_components(spark):
