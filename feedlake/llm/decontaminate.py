@@ -1,21 +1,26 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Passages are TF-IDF vectors over hashed words; a word's weight comes from the number of
-corpus documents that hold its bucket, counted over all of them. A randomised SVD of the
-benchmark's passages, spread over its rows, gives the latent space: each pass adds up
-outer products by Spark, the driver holds the BUCKETS x (RANK + EXTRA) range at most. Each
-document is cut into overlapping windows, the windows are projected, and those near an
-item by cosine are its candidates. A candidate's surroundings are then aligned with the
-item word by word (longest common subsequence). A document is contaminated if the common
-part is most of an item, or a good part of it that also holds the item's answer, so that
-paraphrases are found while shared phrases are left alone.
-
-The benchmark is taken in blocks of ITEMS items, which bounds each broadcast and what the
-driver collects at once.
+Passages are vectors over hashed words, each word counted once; the square of a word's
+weight is its inverse frequency, which comes from the number of corpus documents that
+hold its bucket, counted over all of them. Items are cut into passages short enough to
+lie whole in a window, each pointing to its item. A randomised SVD of a block's passages,
+spread over its rows, gives the latent space: each pass adds up outer products by Spark,
+the driver holds the BUCKETS x (rank + EXTRA) range at most. The rank is the number of
+passages, so the space holds each of them whole. Each document is cut into overlapping
+windows, the windows are projected, and a passage is a candidate if the window covers
+COVERED of it, whatever else the window holds. Windows whose words cannot reach that are
+not projected. A candidate's surroundings are then aligned with the whole item word by
+word (longest common subsequence). A document is contaminated if the common part is most
+of an item, or a good part of it that also holds the item's answer, so that paraphrases
+are found while shared phrases are left alone.
+
+The benchmark is taken in blocks of about ITEMS passages, which bounds each broadcast and
+what the driver collects at once.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,20 +35,27 @@ BITS = 17
 RANK, EXTRA, POWER = 128, 16, 2
 #: Words of a window, and of the step to the next; a span of WINDOW - STEP + 1 words lies whole in some window.
 WINDOW, STEP = 32, 8
-COSINE = 0.35
-#: A window is projected if words that some item has carry this share of its norm.
-KNOWN = 0.6
+#: Most words of a passage.
+PASSAGE = WINDOW - STEP
+#: Share of a passage's weight that a window's words must carry; a word's weight here is its inverse frequency.
+COVERED = 0.3
+#: Share of a passage's weight, in its lightest words, that the bound grants every window unseen.
+GRANTED = 0.15
 #: Share of an item's words in the common subsequence: enough by itself, and enough with the answer.
 STRONG, WEAK = 0.8, 0.55
 #: Share of the answer's words; without an answer column it is the item's last quarter.
 ANSWER = 0.6
-ITEMS = 20_000
+#: Passages of a block, on average; the space has a dimension for each.
+ITEMS = 192
 _ROWS = 1024  # rows of a block of the range
 
 #: ASCII marks part words; letters, digits and bytes of other characters do not.
 _BETWEEN = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 
 
+_WORD = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
+
+
 def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return hash_words([(t or "").lower().encode() for t in texts], _BETWEEN)
 
@@ -72,12 +84,12 @@ def inverse_frequencies(docs: DataFrame, text: str) -> np.ndarray:
 
 
 def _vectors(texts: list[str | None], idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Buckets and unit-length TF-IDF weights of each text."""
+    """Buckets and unit-length weights of each text; a word counts once, its squared weight is its inverse frequency."""
     words, counts = words_of(texts)
     out = []
     for own in np.split(bucket(words), np.cumsum(counts)[:-1]):
-        at, times = np.unique(own, return_counts=True)
-        weight = times * idf[at]
+        at = np.unique(own)
+        weight = np.sqrt(idf[at].astype(np.float64))
         out.append((at, weight / max(np.linalg.norm(weight), 1e-9)))
     return out
 
@@ -172,53 +184,75 @@ class Space:
     ids: list[int]
     words: list[np.ndarray]
     answers: list[np.ndarray]
-    idf: np.ndarray
-    place: np.ndarray  # bucket to row of the basis, -1 where no item has it
+    weight: np.ndarray  # of each bucket
+    place: np.ndarray  # bucket to row of the basis, -1 where no passage has it
     basis: np.ndarray
-    items: np.ndarray  # projected, unit length
-
-    def candidates(self, words: np.ndarray, block: int = 1024) -> Iterator[tuple[int, int]]:
-        """Item and first word of the windows of one document whose cosine is enough."""
+    passages: np.ndarray  # projected; a window's product with one is the share of it that the window covers
+    item: np.ndarray  # whose passage it is
+    #: Passages that hold a bucket, with its share of the passage's weight: begins by bucket, passages, shares; and
+    #: the share of each passage that its words left out of these lists carry.
+    begins: np.ndarray
+    holders: np.ndarray
+    shares: np.ndarray
+    granted: np.ndarray
+
+    def windows(self, at: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Texts and the first words of their windows that may cover enough of some passage."""
+        n = self.begins[at + 1] - self.begins[at]
+        hit = np.flatnonzero(n)
+        if not len(hit):
+            return
+        n, steps = n[hit], WINDOW // STEP
+        first = np.cumsum(counts) - counts
+        cells = counts // STEP + steps  # steps of a text, and as many empty ones that no window reaches across
+        base = np.cumsum(cells) - cells
+        row = np.searchsorted(first, hit, side="right") - 1
+        cell = base[row] + (hit - first[row]) // STEP
+        entry = np.arange(n.sum()) + np.repeat(self.begins[at[hit]] - (np.cumsum(n) - n), n)
+        width = int(cells.sum())
+        spot = self.holders[entry].astype(np.int64) * width + np.repeat(cell, n)
+        order = np.argsort(spot)
+        spot = spot[order]
+        total = np.r_[0.0, np.cumsum(self.shares[entry[order]], dtype=np.float64)]
+        lead = np.flatnonzero(np.r_[True, spot[1:] != spot[:-1]])
+        own = spot[lead]
+        reached = total[np.r_[lead, len(spot)][np.searchsorted(own, own + steps)]] - total[lead]
+        # the window that begins at these words holds all of them; one that begins a little earlier may hold more
+        enough = np.unique(own[reached + self.granted[own // width] >= COVERED - 1e-4] % width)
+        row = np.searchsorted(base, enough, side="right") - 1
+        early = np.maximum(enough[:, None] - np.arange(steps), base[row][:, None])
+        enough = np.unique(early)
+        row = np.searchsorted(base, enough, side="right") - 1
+        for i in np.unique(row).tolist():
+            yield i, (enough[row == i] - base[i]) * STEP
+
+    def candidates(self, words: np.ndarray, begin: np.ndarray, block: int = 1024) -> Iterator[tuple[int, int]]:
+        """Item and first word of those windows of one document that cover enough of a passage."""
         at = bucket(words)
-        row, weight = self.place[at], self.idf[at]
-        n = max(1, -(-max(0, len(words) - WINDOW) // STEP) + 1)
-        begin = np.arange(n) * STEP
-        end = np.minimum(begin + WINDOW, len(words))
-        square = np.r_[0.0, np.cumsum(weight.astype(np.float64) ** 2)]
-        known = np.r_[0.0, np.cumsum(np.where(row >= 0, weight, 0).astype(np.float64) ** 2)]
-        part = known[end] - known[begin]
-        worth = np.flatnonzero((part > 0) & (part >= KNOWN**2 * (square[end] - square[begin])))
-        for near in np.array_split(worth, max(1, len(worth) // block)):
-            if len(near):
-                inside = np.minimum(begin[near][:, None] + np.arange(WINDOW), end[near][:, None] - 1)
-                inside = np.take_along_axis(inside, np.argsort(at[inside], axis=1), axis=1)
-                once = np.ones(inside.shape, bool)  # a word counts once a window
-                once[:, 1:] = at[inside[:, 1:]] != at[inside[:, :-1]]
-                value = np.where(once, weight[inside], 0)
-                norm = np.sqrt((value * value).sum(axis=1))
-                value[row[inside] < 0] = 0
-                # a projection is no longer than the vector's part in known words
-                long = (value * value).sum(axis=1) >= (KNOWN * norm) ** 2
-                near, inside, value, norm = near[long], inside[long], value[long], norm[long]
-                of, which = np.nonzero(value)
-                if not len(of):
-                    continue
-                first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-                down = np.add.reduceat(self.basis[row[inside[of, which]]] * value[of, which][:, None], first, axis=0)
-                near = near[of[first]]
-                cosine = down @ self.items.T / np.maximum(norm[of[first]], 1e-9)[:, None]
-                for w, item in zip(*np.nonzero(cosine >= COSINE)):
-                    yield int(item), int(begin[near[w]])
-
-    def match(self, words: np.ndarray) -> dict[int, float]:
+        row = self.place[at]
+        for near in np.array_split(begin, max(1, len(begin) // block)):
+            inside = np.minimum(near[:, None] + np.arange(WINDOW), len(words) - 1)
+            inside = np.take_along_axis(inside, np.argsort(at[inside], axis=1), axis=1)
+            once = np.ones(inside.shape, bool)  # a word counts once a window
+            once[:, 1:] = at[inside[:, 1:]] != at[inside[:, :-1]]
+            of, which = np.nonzero(once & (row[inside] >= 0))
+            if not len(of):
+                continue
+            first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+            spots = inside[of, which]
+            down = np.add.reduceat(self.basis[row[spots]] * self.weight[at[spots]][:, None], first, axis=0)
+            for w, passage in zip(*np.nonzero(down @ self.passages.T >= COVERED - 1e-4)):
+                yield int(self.item[passage]), int(near[of[first[w]]])
+
+    def match(self, words: np.ndarray, begin: np.ndarray) -> dict[int, float]:
         """Items that the document holds, with the share of their words in the common subsequence."""
         found: dict[int, float] = {}
         reach: dict[int, int] = {}
-        for item, begin in sorted(self.candidates(words)):
+        for item, begin in sorted(set(self.candidates(words, begin))):
             own = self.words[item]
             if begin < reach.get(item, 0):
                 continue  # inside the surroundings that were compared
-            lo, hi = max(0, begin - len(own)), begin + WINDOW + len(own)
+            lo, hi = max(0, begin - len(own) - WINDOW), begin + 2 * WINDOW + len(own)
             reach[item] = begin + WINDOW // 2
             near = words[lo:hi]
             share = common_subsequence(own, near) / len(own)
@@ -228,41 +262,75 @@ class Space:
         return found
 
 
-def _space(items: DataFrame, key: str, text: str, answer: str | None, idf: np.ndarray) -> Space:
-    used, basis = latent_space(items, text, idf)
-    rows: list[Row] = items.select(key, text, *([answer] if answer else [])).collect()  # at most ITEMS
+def _passages(items: DataFrame, text: str) -> DataFrame:
+    """``_item, _passage``: the passages of each item, of even lengths."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = _WORD.findall((whole or "").lower())
+                n = -(-len(own) // PASSAGE)
+                cut = [" ".join(own[len(own) * i // n:len(own) * (i + 1) // n]) for i in range(n)]
+                yield pa.RecordBatch.from_arrays([pa.array([item] * n, pa.string()), pa.array(cut, pa.string())], names=["_item", "_passage"])
+
+    return items.select("_item", text).mapInArrow(run, "_item string, _passage string")
+
+
+def _space(items: DataFrame, passages: DataFrame, key: str, text: str, answer: str | None, idf: np.ndarray) -> Space:
+    cut: list[Row] = passages.collect()  # about ITEMS
+    used, basis = latent_space(passages, "_passage", idf, max(1, len(cut)))
+    rows: list[Row] = items.join(F.broadcast(passages.select("_item").distinct()), "_item", "left_semi").collect()  # no more than passages
     texts = [r[text] for r in rows]
     words, counts = words_of(texts)
     words = np.split(words, np.cumsum(counts)[:-1]) if len(rows) else []
-    keep = [i for i, w in enumerate(words) if len(w)]
-    place = np.full(1 << BITS, -1, np.int64)
+    number = {r["_item"]: i for i, r in enumerate(rows)}
+    place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
-    projected = np.zeros((len(keep), basis.shape[1]), np.float32)
-    for n, (at, w) in enumerate(_vectors([texts[i] for i in keep], idf) if keep else []):
+    weight = np.sqrt(idf)
+    projected = np.zeros((len(cut), basis.shape[1]), np.float32)
+    granted = np.zeros(len(cut))
+    held: list[tuple[np.ndarray, ...]] = []
+    for n, (at, w) in enumerate(_vectors([r["_passage"] for r in cut], idf) if cut else []):
         projected[n] = w @ basis[place[at]]
-    projected /= np.maximum(np.linalg.norm(projected, axis=1, keepdims=True), 1e-9)
+        projected[n] /= max(float(projected[n] @ projected[n]) * np.linalg.norm(weight[at]), 1e-9)
+        share = (w * w).astype(np.float64)
+        order = np.argsort(share)
+        light = np.cumsum(share[order]) <= GRANTED
+        granted[n] = share[order][light].sum()
+        own = order[~light]
+        held.append((at[own], np.full(len(own), n), share[own]))
+    at, holders, shares = (np.concatenate(part) for part in zip(*held)) if held else (np.zeros(0, np.int64),) * 3
+    order = np.argsort(at, kind="stable")
+    begins = np.searchsorted(at[order], np.arange((1 << BITS) + 1)).astype(np.int32)
 
     def answer_of(i: int) -> np.ndarray:
         told = words_of([rows[i][answer]])[0] if answer else words[i][:0]
         return told if len(told) else words[i][-max(3, len(words[i]) // 4):]
-    return Space([rows[i][key] for i in keep], [words[i] for i in keep], [answer_of(i) for i in keep], idf, place, basis, projected)
+    return Space([r[key] for r in rows], words, [answer_of(i) for i in range(len(rows))], weight, place, basis, projected,
+                 np.array([number[r["_item"]] for r in cut], np.int64), begins, holders[order].astype(np.int32), shares[order].astype(np.float32), granted)
 
 
 def _spaces(docs: DataFrame, benchmark: DataFrame, text: str, item_key: str, item_text: str, answer: str | None):
-    """A broadcast Space for each block of the benchmark's distinct rows."""
+    """A broadcast Space for each block of the passages of the benchmark's distinct rows."""
     spark = docs.sparkSession
     idf = inverse_frequencies(docs, text)
     picked = [item_key, item_text, *([answer] if answer else [])]
-    blocks = max(1, -(-benchmark.count() // ITEMS))
     items = stored(benchmark.select(*picked).dropDuplicates(picked)
-                   .withColumn("_block", F.pmod(F.xxhash64(*picked), F.lit(blocks))), "benchmark-items")
+                   .withColumn("_item", F.sha2(F.to_json(F.struct(*picked)), 256)), "benchmark-items")
+    cut = stored(_passages(items, item_text), "benchmark-passages")
+    blocks = max(1, -(-cut.count() // ITEMS))
+    cut = stored(cut.withColumn("_block", F.pmod(F.xxhash64("_item", "_passage"), F.lit(blocks))), "benchmark-blocks")
     for number in range(blocks):
-        yield spark.sparkContext.broadcast(_space(items.where(F.col("_block") == number), item_key, item_text, answer, idf))
+        yield spark.sparkContext.broadcast(_space(items, cut.where(F.col("_block") == number), item_key, item_text, answer, idf))
 
 
 def _found(space: Space, texts: list[str | None]) -> list[dict[int, float]]:
     words, counts = words_of(texts)
-    return [space.match(w) if len(w) and len(space.ids) else {} for w in np.split(words, np.cumsum(counts)[:-1])]
+    out: list[dict[int, float]] = [{} for _ in texts]
+    if len(space.ids) and len(words):
+        own = np.split(words, np.cumsum(counts)[:-1])
+        for i, begin in space.windows(bucket(words), counts):
+            out[i] = space.match(own[i], begin)
+    return out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",

@@ -531,6 +531,38 @@ def test_decontamination_odd_rows(odd, docs):
     assert kept.columns == odd.columns and kept.count() == 7
 
 
+def _rare(rng, prefix):
+    """Words that hardly any document has."""
+    return lambda n: " ".join(f"{prefix}{rng.randrange(10**6)}" for _ in range(n))
+
+
+def _planted(items, rng, noise):
+    """A verbatim copy and a copy with every sixth word replaced of each item, in long documents."""
+    rows, want = [], {}
+    for i, (item, text) in enumerate(items):
+        own = text.split()
+        for kind in range(2):
+            body = text if kind == 0 else " ".join(f"new{i}x{j}" if j % 6 == 2 else w for j, w in enumerate(own))
+            rows.append((2 * i + kind, f"{noise(rng.randint(40, 90))} {body} {noise(rng.randint(40, 90))}"))
+            want[2 * i + kind] = item
+    return rows, want
+
+
+def _missed(docs, rows, bench, want):
+    got = {r.doc_id: r.item_ids for r in decontaminate.contamination(docs(rows), bench).collect()}
+    assert len(got) == len(rows)
+    return [i for i, item in want.items() if item not in got[i]]
+
+
+def test_every_copy_and_paraphrase_of_a_large_benchmark(docs):
+    rng = random.Random(21)
+    words = [f"term{i}" for i in range(4000)]
+    items = [(i, " ".join(rng.choices(words, weights=[1 / (n + 5) for n in range(4000)], k=rng.randint(15, 59)))) for i in range(1000)]
+    rows, want = _planted(items, rng, _rare(rng, "n"))
+    assert _missed(docs, rows, docs(items, "item_id long, text string"), want) == []
+
+
+
 # 10 WARC
 
 def _pages(spark, rows):
