@@ -562,6 +562,14 @@ def test_every_copy_and_paraphrase_of_a_large_benchmark(docs):
     assert _missed(docs, rows, docs(items, "item_id long, text string"), want) == []
 
 
+def test_copies_of_long_items(docs):
+    rng = random.Random(22)
+    words = [f"term{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(words, k=400))) for i in range(25)]
+    rows, want = _planted(items, rng, _rare(rng, "n"))
+    assert _missed(docs, rows, docs(items, "item_id long, text string"), want) == []
+
+
 
 # 10 WARC
 
