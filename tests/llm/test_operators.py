@@ -570,6 +570,15 @@ def test_copies_of_long_items(docs):
     assert _missed(docs, rows, docs(items, "item_id long, text string"), want) == []
 
 
+def test_short_items_between_rare_words(docs):
+    rng = random.Random(23)
+    words = [f"term{i}" for i in range(600)]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(8, 12)))) for i in range(100)]
+    rows, want = _planted(items, rng, _rare(rng, "n"))
+    verbatim = {i: item for i, item in want.items() if i % 2 == 0}
+    assert _missed(docs, rows, docs(items, "item_id long, text string"), verbatim) == []
+
+
 
 # 10 WARC
 
