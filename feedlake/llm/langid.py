@@ -205,13 +205,15 @@ def identify(docs: DataFrame, langs: list[str], model: np.ndarray, key: str = "d
 
 def identified(docs: DataFrame, langs: list[str], model: np.ndarray, least: float, text: str = "text",
                bits: int = BITS, penalty: float = PENALTY) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose language is known with at least the score ``least``."""
+    """The rows of ``docs``, all columns as they are, whose languages are known: a set of several, however evenly
+    the text is split among them, or a single one with at least the score ``least``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
-                lang, score, _ = _judge(part.column(text).to_pylist(), langs, sent.value, bits, penalty)
-                yield part.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(lang, score)], pa.bool_()))
+                lang, score, shares = _judge(part.column(text).to_pylist(), langs, sent.value, bits, penalty)
+                several = (shares > 0).sum(axis=1) > 1
+                yield part.filter(pa.array([n != UNKNOWN and bool(m or s >= least) for n, s, m in zip(lang, score, several)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -116,6 +116,18 @@ def test_language_odd_rows(docs, odd):
     assert langid.identify(odd.limit(0), langs, model).count() == 0
 
 
+def test_an_even_split_over_four_languages_is_known(docs):
+    rng = random.Random(24)
+    words = {x: ["".join(rng.choices(letters, k=rng.randint(4, 8))) for _ in range(60)]
+             for x, letters in (("aa", "abcdef"), ("bb", "ghijkl"), ("cc", "mnopqr"), ("dd", "stuvwx"))}
+    langs, model = langid.fit(docs([(i, " ".join(rng.choices(words[x], k=80)), x) for i, x in enumerate([*words] * 20)]))
+    # as many trigrams of each language, so that no share is much above a quarter
+    even = docs([(1, " ".join(" ".join(rng.choices([w for w in words[x] if len(w) == 6], k=60)) for x in words)), (2, "12 !")])
+    row = next(r for r in langid.identify(even, langs, model).collect() if r.doc_id == 1)
+    assert row.langs == langs and row.score < 0.3
+    assert [r.doc_id for r in langid.identified(even, langs, model, 0.3).collect()] == [1]
+
+
 def test_language_accuracy_on_held_out_documents(spark):
     from feedlake.llm.queries import op3_language_id
     got = op3_language_id(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id")
