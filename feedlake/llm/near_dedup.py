@@ -301,7 +301,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that ``near_duplicates`` keeps."""
+    """The rows of ``docs``, all columns as they are, that ``near_duplicates`` keeps.
+
+    Rows without an id take part as if they had ids above all others, each its own: one
+    whose group has an id is dropped, and of a group without any id one row is kept.
+    """
+    if docs.where(F.col(key).isNull()).limit(1).count():
+        own = "_own"
+        while own in docs.columns:
+            own = f"_{own}"
+        top = F.lit(docs.agg(F.max(F.col(key).cast("long"))).first()[0] or 0)
+        # stored, as the numbers hold for one reading only
+        numbered = stored(docs.withColumn(own, F.coalesce(F.col(key).cast("long"), top + 1 + F.monotonically_increasing_id())), "near-numbered")
+        return one_of_each(numbered, own, text).drop(own)
     gone = stored(near_duplicates(docs, key, text).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
     if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)

@@ -402,6 +402,16 @@ def test_near_dedup_odd_rows(odd):
     assert near_dedup.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_rows_without_an_id_are_deduplicated(docs):
+    rng = random.Random(25)
+    one, two, three = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3))
+    rows = docs([(5, one), (None, one), (None, one + " more"), (None, two), (None, two), (None, two + " more"), (None, three), (9, "x y z"), (None, None)])
+    kept = near_dedup.one_of_each(rows)
+    assert kept.columns == rows.columns
+    got = collections.Counter((r.doc_id, (r.text or "")[:20]) for r in kept.collect())
+    assert got == {(5, one[:20]): 1, (None, two[:20]): 1, (None, three[:20]): 1, (9, "x y z"): 1, (None, ""): 1}
+
+
 # 9 toxicity
 
 def test_cumulative_link_gradient_and_order():
