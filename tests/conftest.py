@@ -1,15 +1,13 @@
-import datetime as dt
 import os
 import sys
 
 import pytest
 
+from given import ARRIVAL
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from feedlake.session import get_session
@@ -19,9 +17,6 @@ def spark():
     s.stop()
 
 
-ARRIVAL = dt.datetime(2024, 1, 5, 12, 0, 0, 123456)
-
-
 @pytest.fixture()
 def decode_one(spark):
     """Decode single frames: returns list of (outcome, ts, mt, m) in input order."""

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import ARRIVAL
+from given import ARRIVAL
 
 
 def test_control_frames_trimmed(decode_one):

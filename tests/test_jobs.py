@@ -1,6 +1,6 @@
 """The command-line jobs run end to end on the small data set."""
 
-from conftest import SF_SMALL
+from given import SF_SMALL
 
 
 def test_ingest_report_export_and_file_check_jobs(spark, capsys):

@@ -6,7 +6,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from given import SF_SMALL
 from feedlake.operators import export
 from feedlake.operators import tables as tb
 from feedlake.session import shared_path

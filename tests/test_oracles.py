@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from given import SF_SMALL
 
 import __spark_entry__ as entry
 from tools.oracle_check import _rows, duck

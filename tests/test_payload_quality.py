@@ -6,7 +6,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from given import SF_SMALL
 
 
 def _msgs(spark):

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from given import SF_SMALL
 from feedlake.operators.decode import decode, decode_messages
 from feedlake.session import shared_path
 from feedlake.sources.feed import raw_feed
