@@ -73,4 +73,49 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM last
 """
 
-ORACLES = {"op6_exact_top_k": OP6, "op10_warc": OP10, "op8_near_dedup": OP8, "op7_mixing": OP7}
+# Scores in 64-bit integers; only the weights pass through doubles.
+OP11 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), corpus AS (
+  SELECT count(*) FILTER (WHERE len(w) > 0) AS n, CAST(sum(len(w)) AS BIGINT) AS total FROM words
+), posts AS (
+  SELECT doc_id, any_value(len(w)) AS n, term, count(*) AS tf FROM (SELECT doc_id, w, unnest(w) AS term FROM words) GROUP BY doc_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * (SELECT n FROM corpus) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM posts GROUP BY term
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * p.n * corpus.n) // corpus.total)))) AS BIGINT) AS score
+  FROM asked JOIN posts p USING (term) JOIN weights USING (term), corpus GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 50
+"""
+
+OP12 = """
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256(concat('1:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS d FROM documents
+), drawn AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, CAST(concat('0x', substr(d, 1, 8)) AS BIGINT) AS h1, CAST(concat('0x', substr(d, 9, 8)) AS BIGINT) AS h2,
+         CAST(concat('0x', substr(d, 17, 8)) AS BIGINT) AS h3, CAST(concat('0x', substr(d, 25, 8)) AS BIGINT) AS h4 FROM units
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN concat('<P>', p, '<S>', s, '<M>', m) WHEN 'spm' THEN concat('<S>', s, '<P>', p, '<M>', m) ELSE t END)
+         AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+ORACLES = {"op11_ranked_search": OP11, "op12_fill_in_middle": OP12,
+           "op6_exact_top_k": OP6, "op10_warc": OP10, "op8_near_dedup": OP8, "op7_mixing": OP7}

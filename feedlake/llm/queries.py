@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedlake.llm import decontaminate, langid, mixing, near_dedup, quality, repeats, token_counts, topk, toxicity, warc
+from feedlake.llm import (byte_bpe, decontaminate, fill_middle, langid, mixing, near_dedup, quality, ranked_search, repeats, token_counts, topk,
+                          toxicity, warc)
 from feedlake.llm.common import fold, stored, table
 
 
@@ -64,5 +66,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = stored(ranked_search.build(table(spark, sf_dir, "documents")), "search-index")
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = stored(fill_middle.store(table(spark, sf_dir, "documents")), "frames")
+    return fill_middle.digests(fill_middle.transform(frames))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+    return (byte_bpe.decode(encoded, vocabulary)
+            .select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                    F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_language_id, op4_suffix_array_dedup, op5_quality,
-                                  op6_exact_top_k, op7_mixing, op8_near_dedup, op9_toxicity, op10_warc)}
+                                  op6_exact_top_k, op7_mixing, op8_near_dedup, op9_toxicity, op10_warc, op11_ranked_search,
+                                  op12_fill_in_middle, op13_byte_bpe)}

@@ -65,4 +65,4 @@ def test_stages_on_odd_rows(spark, odd, rows):
 def test_entry_registers_every_query():
     import __spark_entry__
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
