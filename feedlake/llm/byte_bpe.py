@@ -1,15 +1,15 @@
 """Byte-level BPE by a rank queue over a hierarchical bitmap.
 
 The bytes of a pre-token form a linked list of parts. Each pair of neighbours whose
-joined bytes have a rank waits in the bucket of that rank. A bitmap of three levels
-marks the buckets that hold anything: a bit of a level stands for a word of the level
-below, so three find-first-set steps give the lowest rank. A bucket's pairs are joined
+joined bytes have a rank waits in the bucket of that rank. A bitmap of two levels marks
+the buckets that hold anything: a bit of the upper one stands for a word of the lower
+one, so two find-first-set steps give the lowest rank. A bucket's pairs are joined
 from left to right; an entry whose pair has changed since is stale and skipped. Every
 join makes at most two new entries, so a pre-token of any length costs about its length.
 
 A pre-token that is a piece itself is that one token, as in the public encoders.
-Encoding is map-only. A task keeps the ids of at most about ``KEPT`` pre-tokens, then
-begins anew, which changes no result; a pre-token longer than ``LONG`` is not kept.
+Encoding is map-only. A worker keeps the ids of at most twice ``KEPT`` pre-tokens, which
+changes no result: those not met again for that long go. One longer than ``LONG`` is not kept.
 """
 
 from __future__ import annotations
@@ -26,8 +26,11 @@ from feedlake.llm.common import slices
 from feedlake.llm.token_counts import read_vocabulary
 
 KEPT = 400_000
-LONG = 256
+LONG = 64
 ABSENT = -1
+#: Bits of a word of the bitmap.
+WORD = 256
+BITS = [1 << i for i in range(WORD)]
 # Code points that became letters or numbers in Unicode 17 and 18. The public encoder's
 # tables end at Unicode 16, so it cuts these as other signs.
 LATER_LETTERS = (
@@ -67,47 +70,36 @@ def ascii_splitter(pattern: str):
 
 
 class RankQueue:
-    """Positions by rank; ``lowest`` finds the first rank that holds any."""
+    """Positions by rank, and which ranks hold any as a bitmap of two levels: a bit of ``top`` for each word of ``words``."""
 
     def __init__(self, ranks: int):
-        self.buckets: list[list[int]] = [[] for _ in range(ranks)]
-        self.levels = []
-        while True:
-            ranks = (ranks + 63) >> 6
-            self.levels.append([0] * ranks)
-            if ranks == 1:
-                break
+        self.buckets: dict[int, list[int]] = {}
+        self.words, self.top = [0] * ((ranks + WORD - 1) // WORD), 0
 
     def add(self, rank: int, position: int) -> None:
-        bucket = self.buckets[rank]
-        bucket.append(position)
-        if len(bucket) == 1:
-            for level in self.levels:
-                word = level[rank >> 6]
-                level[rank >> 6] = word | 1 << (rank & 63)
-                if word:
-                    break
-                rank >>= 6
-
-    def lowest(self) -> int:
-        at = 0
-        for level in reversed(self.levels):
-            word = level[at]
-            if not word:
-                return ABSENT
-            at = at << 6 | (word & -word).bit_length() - 1
-        return at
-
-    def take(self, rank: int) -> list[int]:
-        """The bucket's positions from left to right; the bucket is empty afterwards."""
-        found, self.buckets[rank] = self.buckets[rank], []
-        for level in self.levels:
-            level[rank >> 6] &= ~(1 << (rank & 63))
-            if level[rank >> 6]:
-                break
-            rank >>= 6
-        found.sort()
-        return found
+        bucket = self.buckets.get(rank)
+        if bucket is None:
+            self.buckets[rank] = [position]
+            word = rank // WORD
+            self.words[word] |= BITS[rank % WORD]
+            self.top |= 1 << word
+        else:
+            bucket.append(position)
+
+    def pop(self) -> tuple[int, list[int]]:
+        """The lowest rank that holds any, with its positions from left to right; it is empty afterwards."""
+        if not self.top:
+            return ABSENT, []
+        word = (self.top & -self.top).bit_length() - 1
+        bits = self.words[word]
+        rank = word * WORD + (bits & -bits).bit_length() - 1
+        self.words[word] = bits = bits & bits - 1
+        if not bits:
+            self.top &= self.top - 1
+        found = self.buckets.pop(rank)
+        if len(found) > 1:
+            found.sort()
+        return rank, found
 
 
 class Encoder:
@@ -117,7 +109,7 @@ class Encoder:
         absent = [b for b in range(256) if bytes([b]) not in ranks]
         if absent:
             raise ValueError(f"the vocabulary has no piece for the bytes {absent}")
-        self.ranks, self.longest = ranks, max(map(len, ranks))
+        self.ranks = ranks
         self.queue = RankQueue(max(ranks.values()) + 1)
 
     def encode(self, word: bytes) -> list[int]:
@@ -125,45 +117,42 @@ class Encoder:
         return [whole] if whole is not None else self.merge(word)
 
     def merge(self, word: bytes) -> list[int]:
-        ranks, queue, longest, size = self.ranks.get, self.queue, self.longest, len(word)
+        ranks, queue, size = self.ranks.get, self.queue, len(word)
+        add = queue.add
         after = list(range(1, size + 1))    # where the part that begins here ends
         before = list(range(-1, size - 1))  # where the part before begins
-        pair = [ABSENT] * size              # the rank of this part joined with the next
+        pair: list[int | None] = [None] * size  # the rank of this part joined with the next
 
         for at in range(size - 1):
-            rank = ranks(word[at:at + 2], ABSENT)
-            if rank != ABSENT:
+            rank = ranks(word[at:at + 2])
+            if rank is not None:
                 pair[at] = rank
-                queue.add(rank, at)
-        while (rank := queue.lowest()) != ABSENT:
-            waiting = queue.take(rank)
+                add(rank, at)
+        while queue.top:
+            rank, waiting = queue.pop()
             for done, at in enumerate(waiting, 1):
                 if pair[at] != rank:
                     continue  # stale: joined or grown since
                 middle = after[at]
                 end = after[at] = after[middle]
-                pair[middle] = ABSENT
-                lower = False
+                pair[middle] = None
+                new = None
                 if end < size:
                     before[end] = at
-                    stop = after[end]
-                    new = ranks(word[at:stop], ABSENT) if stop - at <= longest else ABSENT
-                    pair[at] = new
-                    if new != ABSENT:
-                        queue.add(new, at)
-                        lower = new < rank
-                else:
-                    pair[at] = ABSENT
+                    new = ranks(word[at:after[end]])
+                    if new is not None:
+                        add(new, at)
+                pair[at] = new
+                lower = new is not None and new < rank
                 left = before[at]
                 if left >= 0:
-                    new = ranks(word[left:end], ABSENT) if end - left <= longest else ABSENT
-                    pair[left] = new
-                    if new != ABSENT:
-                        queue.add(new, left)
+                    pair[left] = new = ranks(word[left:end])
+                    if new is not None:
+                        add(new, left)
                         lower = lower or new < rank
-                if lower and done < len(waiting):
+                if lower and done < len(waiting):  # a lower rank goes first
                     for rest in waiting[done:]:
-                        queue.add(rank, rest)
+                        add(rank, rest)
                     break
         out, at = [], 0
         while at < size:
@@ -176,24 +165,44 @@ class Texts:
     """Encodes texts, with the ids of the pre-tokens met so far at hand."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.ranks, self.pattern = ranks, pattern
         self.find, self.find_ascii = splitter(pattern).findall, ascii_splitter(pattern).findall
-        self.encoder, self.kept = Encoder(ranks), {}
+        self.encoder = Encoder(ranks)
+        self.kept: dict[str, bytes] = {}
+        self.aged: dict[str, bytes] = {}  # kept before; what is met again is kept again
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        kept, parts = self.kept, []
+        get, parts = self.kept.get, []
         for token in (self.find_ascii if text.isascii() else self.find)(text):
-            ids = kept.get(token)
+            ids = get(token)
             if ids is None:
-                found = self.encoder.encode(token.encode())
-                ids = struct.pack(f"<{len(found)}I", *found)
-                if len(token) <= LONG:
-                    if len(kept) >= KEPT:
-                        kept.clear()
-                    kept[token] = ids
+                ids = self._learn(token)
+                get = self.kept.get
             parts.append(ids)
         return b"".join(parts)
 
+    def _learn(self, token: str) -> bytes:
+        ids = self.aged.get(token)
+        if ids is None:
+            found = self.encoder.encode(token.encode())
+            ids = struct.pack(f"<{len(found)}I", *found)
+        if len(token) <= LONG:
+            if len(self.kept) >= KEPT:
+                self.aged, self.kept = self.kept, {}
+            self.kept[token] = ids
+        return ids
+
+
+_AT_HAND: list[Texts] = []
+
+
+def _texts(ranks: dict[bytes, int], pattern: str) -> Texts:
+    """The worker's encoder: tasks that run one after the other in a worker share what it keeps."""
+    if not _AT_HAND or _AT_HAND[0].ranks is not ranks or _AT_HAND[0].pattern != pattern:
+        _AT_HAND[:] = [Texts(ranks, pattern)]
+    return _AT_HAND[0]
+
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, ids``: every row's whole text as ids, each a little-endian unsigned 32-bit integer; no shuffle.
@@ -207,7 +216,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
     picked = docs.select(docs[key].alias("key"), docs[text].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = Texts(ranks.value, pattern)
+        texts = _texts(ranks.value, pattern)
         for batch in batches:
             for part in slices(batch, "text"):
                 ids = [texts.encode(t) if t else b"" for t in part.column(1).to_pylist()]

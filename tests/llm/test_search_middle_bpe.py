@@ -195,7 +195,7 @@ def test_bpe_kept_ids_change_nothing(public, monkeypatch):
     monkeypatch.setattr(byte_bpe, "KEPT", 3)
     few = byte_bpe.Texts(byte_bpe.read_vocabulary(RANKS), public_tokenizers.PATTERN)
     text = "one two three four five one two six " * 5
-    assert _ids(few, text) == public.encode_ordinary(text) and len(few.kept) <= 3
+    assert _ids(few, text) == public.encode_ordinary(text) and len(few.kept) <= 3 and len(few.aged) <= 3
 
 
 def test_rank_queue_finds_the_lowest():
@@ -207,10 +207,11 @@ def test_rank_queue_finds_the_lowest():
             want[rank].append(at)
         elif want:
             rank = min(want)
-            assert queue.lowest() == rank and queue.take(rank) == sorted(want.pop(rank))
+            assert queue.pop() == (rank, sorted(want.pop(rank)))
     while want:
-        assert queue.take(queue.lowest()) == sorted(want.pop(min(want)))
-    assert queue.lowest() == byte_bpe.ABSENT and not any(map(any, queue.levels))
+        rank = min(want)
+        assert queue.pop() == (rank, sorted(want.pop(rank)))
+    assert queue.pop() == (byte_bpe.ABSENT, []) and not queue.top and not any(queue.words)
 
 
 def test_bpe_query_on_given_documents(spark, public):
