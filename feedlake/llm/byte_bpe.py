@@ -28,9 +28,9 @@ from feedlake.llm.token_counts import read_vocabulary
 KEPT = 400_000
 LONG = 64
 ABSENT = -1
-#: Bits of a word of the bitmap.
-WORD = 256
-BITS = [1 << i for i in range(WORD)]
+#: A word of the bitmap has 256 bits, and its upper level up to as many words.
+SHIFT, MASK = 8, 255
+BITS = [1 << i for i in range(1 << 12)]
 # Code points that became letters or numbers in Unicode 17 and 18. The public encoder's
 # tables end at Unicode 16, so it cuts these as other signs.
 LATER_LETTERS = (
@@ -47,12 +47,16 @@ LATER_NUMBERS = ((0x11DE0, 0x11DE9), (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x
 
 
 def splitter(pattern: str):
-    """The compiled pattern, with letters and numbers as of Unicode 16."""
+    """A function that cuts texts by the pattern, with letters and numbers as of Unicode 16."""
     import regex
-    for name, later in ((r"\p{L}", LATER_LETTERS), (r"\p{N}", LATER_NUMBERS)):
-        without = "".join(f"\\U{low:08X}-\\U{high:08X}" for low, high in later)
-        pattern = pattern.replace(name, f"[{name}--[{without}]]")
-    return regex.compile(pattern, regex.VERSION1)
+    spans = {name: "".join(f"\\U{low:08X}-\\U{high:08X}" for low, high in later)
+             for name, later in ((r"\p{L}", LATER_LETTERS), (r"\p{N}", LATER_NUMBERS))}
+    exact = pattern
+    for name, span in spans.items():
+        exact = exact.replace(name, f"[{name}--[{span}]]")
+    exact, usual = regex.compile(exact, regex.VERSION1).findall, regex.compile(pattern).findall
+    later = re.compile(f"[{''.join(spans.values())}]").search
+    return lambda text: (exact if later(text) else usual)(text)
 
 
 def ascii_splitter(pattern: str):
@@ -69,39 +73,6 @@ def ascii_splitter(pattern: str):
     return re.compile(re.sub(r"\[[^\]]*\]|\\p\{[LN]\}", plain, pattern), re.ASCII)
 
 
-class RankQueue:
-    """Positions by rank, and which ranks hold any as a bitmap of two levels: a bit of ``top`` for each word of ``words``."""
-
-    def __init__(self, ranks: int):
-        self.buckets: dict[int, list[int]] = {}
-        self.words, self.top = [0] * ((ranks + WORD - 1) // WORD), 0
-
-    def add(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            word = rank // WORD
-            self.words[word] |= BITS[rank % WORD]
-            self.top |= 1 << word
-        else:
-            bucket.append(position)
-
-    def pop(self) -> tuple[int, list[int]]:
-        """The lowest rank that holds any, with its positions from left to right; it is empty afterwards."""
-        if not self.top:
-            return ABSENT, []
-        word = (self.top & -self.top).bit_length() - 1
-        bits = self.words[word]
-        rank = word * WORD + (bits & -bits).bit_length() - 1
-        self.words[word] = bits = bits & bits - 1
-        if not bits:
-            self.top &= self.top - 1
-        found = self.buckets.pop(rank)
-        if len(found) > 1:
-            found.sort()
-        return rank, found
-
-
 class Encoder:
     """Ids of pre-tokens by the ranks of a vocabulary that holds every single byte."""
 
@@ -110,50 +81,79 @@ class Encoder:
         if absent:
             raise ValueError(f"the vocabulary has no piece for the bytes {absent}")
         self.ranks = ranks
-        self.queue = RankQueue(max(ranks.values()) + 1)
+        self.words = [0] * ((max(ranks.values()) >> SHIFT) + 1)
 
     def encode(self, word: bytes) -> list[int]:
         whole = self.ranks.get(word)
         return [whole] if whole is not None else self.merge(word)
 
     def merge(self, word: bytes) -> list[int]:
-        ranks, queue, size = self.ranks.get, self.queue, len(word)
-        add = queue.add
+        ranks, size = self.ranks.get, len(word)
         after = list(range(1, size + 1))    # where the part that begins here ends
         before = list(range(-1, size - 1))  # where the part before begins
-        pair: list[int | None] = [None] * size  # the rank of this part joined with the next
+        pair = [ranks(word[at:at + 2]) for at in range(size)]  # the rank of this part joined with the next
+        pair[-1] = None
+        # the queue: positions by rank, and a bitmap of the ranks that have any; all empty again at the end
+        buckets: dict[int, list[int]] = {}
+        words, top = self.words, 0
 
-        for at in range(size - 1):
-            rank = ranks(word[at:at + 2])
+        for at, rank in enumerate(pair):
             if rank is not None:
-                pair[at] = rank
-                add(rank, at)
-        while queue.top:
-            rank, waiting = queue.pop()
+                if rank in buckets:
+                    buckets[rank].append(at)
+                else:
+                    buckets[rank] = [at]
+                    words[rank >> SHIFT] |= BITS[rank & MASK]
+                    top |= BITS[rank >> SHIFT]
+        while top:
+            # the lowest rank that has any: find-first-set in the upper level, then in the word it names
+            upper = top & -top
+            at_word = upper.bit_length() - 1
+            bits = words[at_word]
+            lower = bits & -bits
+            rank = at_word << SHIFT | lower.bit_length() - 1
+            waiting = buckets.pop(rank)
+            if len(waiting) > 1:
+                waiting.sort()
+            low = rank  # the lowest rank that came in while these are joined
             for done, at in enumerate(waiting, 1):
                 if pair[at] != rank:
                     continue  # stale: joined or grown since
                 middle = after[at]
                 end = after[at] = after[middle]
-                pair[middle] = None
-                new = None
+                pair[at] = pair[middle] = None
                 if end < size:
                     before[end] = at
                     new = ranks(word[at:after[end]])
                     if new is not None:
-                        add(new, at)
-                pair[at] = new
-                lower = new is not None and new < rank
+                        pair[at] = new
+                        if new in buckets:
+                            buckets[new].append(at)
+                        else:
+                            buckets[new] = [at]
+                            words[new >> SHIFT] |= BITS[new & MASK]
+                            top |= BITS[new >> SHIFT]
+                        if new < low:
+                            low = new
                 left = before[at]
                 if left >= 0:
                     pair[left] = new = ranks(word[left:end])
                     if new is not None:
-                        add(new, left)
-                        lower = lower or new < rank
-                if lower and done < len(waiting):  # a lower rank goes first
-                    for rest in waiting[done:]:
-                        add(rank, rest)
+                        if new in buckets:
+                            buckets[new].append(left)
+                        else:
+                            buckets[new] = [left]
+                            words[new >> SHIFT] |= BITS[new & MASK]
+                            top |= BITS[new >> SHIFT]
+                        if new < low:
+                            low = new
+                if low < rank and done < len(waiting):
+                    buckets[rank] = waiting[done:]  # a lower rank goes first
                     break
+            else:
+                words[at_word] = bits = words[at_word] ^ lower
+                if not bits:
+                    top ^= upper
         out, at = [], 0
         while at < size:
             out.append(self.ranks[word[at:after[at]]])
@@ -166,7 +166,7 @@ class Texts:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, pattern
-        self.find, self.find_ascii = splitter(pattern).findall, ascii_splitter(pattern).findall
+        self.find, self.find_ascii = splitter(pattern), ascii_splitter(pattern).findall
         self.encoder = Encoder(ranks)
         self.kept: dict[str, bytes] = {}
         self.aged: dict[str, bytes] = {}  # kept before; what is met again is kept again

@@ -198,20 +198,26 @@ def test_bpe_kept_ids_change_nothing(public, monkeypatch):
     assert _ids(few, text) == public.encode_ordinary(text) and len(few.kept) <= 3 and len(few.aged) <= 3
 
 
-def test_rank_queue_finds_the_lowest():
-    rng, queue, want = random.Random(14), byte_bpe.RankQueue(50_256), collections.defaultdict(list)
-    for _ in range(4000):
-        if rng.random() < 0.6:
-            rank, at = rng.choice([rng.randrange(50_256), rng.randrange(70)]), rng.randrange(100)
-            queue.add(rank, at)
-            want[rank].append(at)
-        elif want:
-            rank = min(want)
-            assert queue.pop() == (rank, sorted(want.pop(rank)))
-    while want:
-        rank = min(want)
-        assert queue.pop() == (rank, sorted(want.pop(rank)))
-    assert queue.pop() == (byte_bpe.ABSENT, []) and not queue.top and not any(queue.words)
+def _plain_merge(ranks, word):
+    """Join the pair of the lowest rank, the leftmost of equal ones, until none has a rank."""
+    parts = [word[i:i + 1] for i in range(len(word))]
+    while found := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:
+        _, i = min(found)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+    return [ranks[p] for p in parts]
+
+
+def test_merges_go_by_rank_then_from_the_left():
+    rng = random.Random(14)
+    for size in (20, 300, 3000):  # pieces in any order, so that a join may bring in a lower rank
+        pieces = list({bytes(rng.choices(b"abc", k=rng.randint(2, 7))) for _ in range(size)})
+        rng.shuffle(pieces)
+        ranks = {bytes([b]): b for b in range(256)} | {p: 256 + i for i, p in enumerate(pieces)}
+        encoder = byte_bpe.Encoder(ranks)
+        for _ in range(400):
+            word = bytes(rng.choices(b"abcd", k=rng.randint(1, 60)))
+            assert encoder.merge(word) == _plain_merge(ranks, word)
+        assert not any(encoder.words)  # the bitmap is empty again
 
 
 def test_bpe_query_on_given_documents(spark, public):
