@@ -46,18 +46,21 @@ def is_control(value: Column) -> Column:
 _NEXT_VALUE_RE = r"[}\]]\s*(?:,\s*)?[\[{]"
 
 
+# Room for the shortest digits of any double without an exponent.
+_PLAIN_FORMAT = "0." + "#" * 340
+# From here on doubles are whole; their text is read as a decimal while it fits one.
+_WHOLE = 1e16
+
+
 def plain_decimal(x: Column) -> Column:
-    """A DOUBLE's shortest text without an exponent: 1e-20 keeps its twenty decimals, 1e25 its zeros."""
-    text = F.abs(x).cast("string")
-    parts = r"^([0-9])\.([0-9]+)E(-?[0-9]+)$"
-    digits = F.regexp_replace(F.concat(F.regexp_extract(text, parts, 1), F.regexp_extract(text, parts, 2)), "(?<=.)0+$", "")
-    exponent = F.regexp_extract(text, parts, 3).try_cast("int")
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    large = F.when(F.length(digits) > exponent + 1,
-                   F.concat(F.substr(digits, F.lit(1), exponent + 1), F.lit("."), F.substr(digits, exponent + 2))) \
-        .otherwise(F.rpad(digits, exponent + 1, F.lit("0")))
-    plain = F.when(~text.rlike(parts), F.regexp_replace(text, r"\.0$", "")).when(exponent < 0, small).otherwise(large)
-    return F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), plain)
+    """A DOUBLE's shortest text without an exponent: 1e-20 keeps its twenty decimals, 1e25 its zeros.
+
+    Two formatting calls: the same by regular expressions, for every field, is more code than a method may hold.
+    """
+    size = F.abs(x)
+    whole = F.when(size >= _WHOLE, size.cast("string").try_cast("decimal(38,0)"))
+    return F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")),
+                    F.coalesce(F.call_function("format_number", whole, F.lit("0")), F.call_function("format_number", size, F.lit(_PLAIN_FORMAT))))
 
 
 def has_trailing_text(value: Column) -> Column:

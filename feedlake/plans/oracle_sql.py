@@ -632,9 +632,28 @@ def _():
 SELECT outcome, count(*) AS n, (SELECT count(*) FROM outcomes WHERE outcome = 'error') > 100 AS stopped FROM outcomes GROUP BY outcome"""
 
 
+@oracle("stream_compact", _MESSAGES)
+def _():
+    return """
+SELECT symbol, strftime(ts, '%Y%m%d') AS day, count(*) AS rows, count(*) AS live_rows, 1 AS files FROM messages GROUP BY ALL"""
+
+
+@oracle("stream_budget_left", _OUTCOMES)
+def _():
+    return """
+, landed AS (SELECT event_id % 4 AS landing, outcome FROM outcomes),
+errors AS (SELECT landing, count(*) FILTER (outcome = 'error') AS e FROM landed GROUP BY landing),
+before AS (SELECT landing, coalesce(sum(e) OVER (ORDER BY landing ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS e FROM errors)
+SELECT CAST(landing AS INTEGER) AS landing, outcome, count(*) FILTER (e <= 100) AS counted, count(*) FILTER (e > 100) AS unread
+FROM landed JOIN before USING (landing) GROUP BY ALL"""
+
+
+# A frame without a time of its own gets the time of its arrival, the late one included.
 @oracle("stream_late", _MESSAGES)
 def _():
     return """
-SELECT event_id, symbol, m.ts, mt, m, m.event_id % 97 = 0 AND date_trunc('hour', m.ts) + INTERVAL 61 MINUTE <= e.ts + INTERVAL 3 HOUR
-       OR date_trunc('hour', m.ts) + INTERVAL 61 MINUTE <= e.ts AS late
-FROM messages m JOIN events e USING (event_id)"""
+, delivered AS (
+  SELECT event_id, symbol, mt, m, e.ts + CASE WHEN event_id % 97 = 0 THEN INTERVAL 3 HOUR ELSE INTERVAL 0 HOUR END AS arrival,
+         m.ts + CASE WHEN event_id % 97 = 0 AND event_type = 'signup' AND event_id % 7 = 0 THEN INTERVAL 3 HOUR ELSE INTERVAL 0 HOUR END AS ts
+  FROM messages m JOIN (SELECT event_id, ts, event_type FROM events) e USING (event_id))
+SELECT event_id, symbol, ts, mt, m, date_trunc('hour', ts) + INTERVAL 61 MINUTE <= arrival AS late FROM delivered"""

@@ -632,24 +632,60 @@ def q_file_inventory(spark, sf_dir):
         F.bool_and((F.col("file_size") > 0) & F.col("file_modification_time").isNotNull()).alias("described"))
 
 
-def _landed(spark, sf_dir, name, frames=None):
+#: Files that a feed is landed in, and read one at a time.
+LANDINGS = 4
+
+
+def _landed(spark, sf_dir, name, frames=None, parts=LANDINGS):
+    """The frames landed as files of several batches, one after the other in the order of their ids modulo ``parts``."""
     from feedlake.session import shared_path
-    from feedlake.streaming.feed_stream import write_landing
     base = shared_path(spark, name)
-    write_landing(feed(spark, sf_dir) if frames is None else frames, f"{base}/landing")
+    _land(feed(spark, sf_dir) if frames is None else frames, f"{base}/landing", parts)
     return base
 
 
+def _land(frames, landing, parts=LANDINGS):
+    from feedlake.streaming.feed_stream import write_landing
+    for part in range(parts):
+        write_landing(frames.where(F.pmod(F.col("event_id"), F.lit(parts)) == part), landing)
+
+
+def _files(spark, base):
+    """A batch reads a landing's files: as many as there are divided by the landings."""
+    return max(1, spark.read.text(f"{base}/landing").select("_metadata.file_name").distinct().count() // LANDINGS)
+
+
 _MESSAGE = ("event_id", "symbol", "ts", "mt", "m")
 
 
+def _stream(spark, base):
+    from feedlake.streaming import feed_stream as fs
+    return fs.read_frames(spark, f"{base}/landing", _files(spark, base))
+
+
 @query("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
     """Frames stream in, decoded and stored exactly once."""
-    from feedlake.streaming import feed_stream as fs
+    from feedlake.streaming import compaction, feed_stream as fs
     base = _landed(spark, sf_dir, "stream-ingest")
+    fs.ingest(spark, _stream(spark, base), base)
+    return compaction.stored(spark, base).select(*_MESSAGE)
+
+
+@query("stream_compact")
+def q_stream_compact(spark, sf_dir):
+    """Batches merged into units while the stream goes on, late rows included: rows and files of each unit."""
+    from feedlake.streaming import compaction, feed_stream as fs
+    f = feed(spark, sf_dir)
+    base = _landed(spark, sf_dir, "stream-compact", f.where("event_id % 3 <> 0"), 2)
     fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
-    return fs.stored(spark, base).select(*_MESSAGE)
+    compaction.compact(spark, base)
+    _land(f.where("event_id % 3 = 0"), f"{base}/landing", 1)      # late for the units written so far
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    compaction.compact(spark, base)
+    live = compaction.stored(spark, base).groupBy("symbol", F.substring("period", 1, 8).alias("day")).agg(F.count(F.lit(1)).alias("live_rows"))
+    return (compaction.units(spark, base).join(live, ["symbol", "day"], "full")
+            .select("symbol", "day", "rows", "live_rows", F.col("files").cast("long").alias("files")))
 
 
 @query("stream_outcomes")
@@ -657,7 +693,7 @@ def q_stream_outcomes(spark, sf_dir):
     """What the ingest counted, and the rows in its quarantine."""
     from feedlake.streaming import feed_stream as fs
     base = _landed(spark, sf_dir, "stream-outcomes")
-    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    fs.ingest(spark, _stream(spark, base), base)
     quarantined = spark.read.parquet(f"{base}/quarantine").groupBy("outcome").agg(F.count(F.lit(1)).alias("quarantined"))
     return fs.outcomes(spark, base).join(quarantined, "outcome", "left").withColumn("quarantined", F.coalesce("quarantined", F.lit(0)))
 
@@ -665,23 +701,23 @@ def q_stream_outcomes(spark, sf_dir):
 @query("stream_restart")
 def q_stream_restart(spark, sf_dir):
     """A stream stopped and started again, with frames landed in between, stores every row once."""
-    from feedlake.streaming import feed_stream as fs
+    from feedlake.streaming import compaction, feed_stream as fs
     f = feed(spark, sf_dir)
-    base = _landed(spark, sf_dir, "stream-restart", f.where("event_id % 2 = 0"))
+    base = _landed(spark, sf_dir, "stream-restart", f.where("event_id % 2 = 0"), 1)
     fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
-    fs.write_landing(f.where("event_id % 2 = 1"), f"{base}/landing")
+    _land(f.where("event_id % 2 = 1"), f"{base}/landing", 1)
     for _ in range(2):
         fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
-    return fs.stored(spark, base).select(*_MESSAGE)
+    return compaction.stored(spark, base).select(*_MESSAGE)
 
 
-def _windows(spark, sf_dir, name, interval):
-    from feedlake.streaming import feed_stream as fs
+def _twice(spark, sf_dir, name, run):
+    """A stream run on two thirds of the frames in several batches, then on the last third: late for all that was counted."""
     f = feed(spark, sf_dir)
     base = _landed(spark, sf_dir, name, f.where("event_id % 3 <> 0"))
-    fs.window_counts_stream(spark, fs.read_frames(spark, f"{base}/landing"), base, interval)
-    fs.write_landing(f.where("event_id % 3 = 0"), f"{base}/landing")     # late for all windows counted so far
-    fs.window_counts_stream(spark, fs.read_frames(spark, f"{base}/landing"), base, interval)
+    run(_stream(spark, base), base)
+    _land(f.where("event_id % 3 = 0"), f"{base}/landing", 1)
+    run(_stream(spark, base), base)
     return base
 
 
@@ -689,32 +725,41 @@ def _windows(spark, sf_dir, name, interval):
 def q_stream_stats(spark, sf_dir):
     """15-second windows per (symbol, mt), late rows and open windows included."""
     from feedlake.streaming import feed_stream as fs
-    base = _windows(spark, sf_dir, "stream-stats", "15 seconds")
+    base = _twice(spark, sf_dir, "stream-stats", lambda frames, base: fs.window_counts_stream(spark, frames, base))
     return fs.window_counts(spark, base).where("n > 0").select("window_start", "window_end", "symbol", "mt", "n")
 
 
+def _totals(spark, sf_dir, name):
+    from feedlake.streaming import feed_stream as fs
+    return _twice(spark, sf_dir, name, lambda frames, base: fs.totals_stream(spark, frames, base))
+
+
 @query("stream_rates")
 def q_stream_rates(spark, sf_dir):
     """Messages, skipped and error frames and the rate per symbol."""
     from feedlake.streaming import feed_stream as fs
-    return fs.feed_rates(spark, _windows(spark, sf_dir, "stream-rates", "1 hour"))
+    return fs.feed_rates(spark, _totals(spark, sf_dir, "stream-rates"))
+
+
+def _closing(spark, sf_dir, name, interval, grace):
+    from feedlake.streaming import feed_stream as fs
+    base = _twice(spark, sf_dir, name, lambda frames, base: fs.closing_stream(spark, frames, base, interval, grace))
+    return fs.over_on(fs.closed_periods(spark, base, interval), now(spark, sf_dir), grace)
 
 
 @query("stream_hourly_close")
 def q_stream_hourly_close(spark, sf_dir):
     """Per (symbol, hour) counts of the hours that are over on the clock (1 minute grace)."""
-    from feedlake.streaming import feed_stream as fs
-    windows = fs.window_counts(spark, _windows(spark, sf_dir, "stream-close", "1 hour"), ("symbol",)).where("n > 0")
-    return fs.closed_periods(windows, now(spark, sf_dir)).select(
+    from feedlake.schema import HOURLY_GRACE
+    return _closing(spark, sf_dir, "stream-close", "1 hour", HOURLY_GRACE).select(
         F.col("window_start").alias("period_start"), F.col("window_end").alias("period_end"), "symbol", F.col("n").alias("rows"), "first_ts", "last_ts")
 
 
 @query("stream_debug_close")
 def q_stream_debug_close(spark, sf_dir):
     """T4: the 5-minute cadence, 30 seconds of grace."""
-    from feedlake.streaming import feed_stream as fs
-    windows = fs.window_counts(spark, _windows(spark, sf_dir, "stream-debug", "5 minutes"), ("symbol",)).where("n > 0")
-    return fs.closed_periods(windows, now(spark, sf_dir), "30 seconds").select(
+    from feedlake.schema import DEBUG_GRACE, DEBUG_PERIOD
+    return _closing(spark, sf_dir, "stream-debug", DEBUG_PERIOD, DEBUG_GRACE).select(
         F.col("window_start").alias("period_start"), "symbol", F.col("n").alias("rows"))
 
 
@@ -722,37 +767,54 @@ def q_stream_debug_close(spark, sf_dir):
 def q_stream_counts(spark, sf_dir):
     """Rows per symbol after the last batch."""
     from feedlake.streaming import feed_stream as fs
-    base = _windows(spark, sf_dir, "stream-counts", "1 day")
-    return fs.window_counts(spark, base, ("symbol",)).groupBy("symbol").agg(F.sum("n").cast("long").alias("rows"))
+    return fs.totals(spark, _totals(spark, sf_dir, "stream-counts")).where("n > 0").select("symbol", F.col("n").alias("rows"))
+
+
+def _over_budget(spark, sf_dir, name):
+    from feedlake.streaming import feed_stream as fs
+    from feedlake.schema import ERROR_BUDGET
+    base = _landed(spark, sf_dir, name)
+    return base, fs.ingest(spark, _stream(spark, base), base, budget=ERROR_BUDGET)
 
 
 @query("stream_error_budget")
 def q_stream_error_budget(spark, sf_dir):
-    """The ingest stops once its errors exceed 100, with the batch that did so stored and counted."""
+    """The ingest stops once its errors exceed 100; the frames that it counted and those it left unread together."""
     from feedlake.streaming import feed_stream as fs
-    from feedlake.schema import ERROR_BUDGET
-    base = _landed(spark, sf_dir, "stream-budget")
-    stopped = fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base, budget=ERROR_BUDGET)
-    return fs.outcomes(spark, base).withColumn("stopped", F.lit(stopped))
+    base, stopped = _over_budget(spark, sf_dir, "stream-budget")
+    left = dec.outcome_counts(dec.decode(fs.frames_left(spark, f"{base}/landing", base)))
+    return (fs.outcomes(spark, base).unionByName(left).groupBy("outcome").agg(F.sum("n").cast("long").alias("n"))
+            .withColumn("stopped", F.lit(stopped)))
+
+
+@query("stream_budget_left")
+def q_stream_budget_left(spark, sf_dir):
+    """Per landing and outcome, the frames counted before the stop and those left unread by it."""
+    from feedlake.streaming import feed_stream as fs
+    base, _ = _over_budget(spark, sf_dir, "stream-left")
+    left = fs.frames_left(spark, f"{base}/landing", base).select("event_id").withColumn("left", F.lit(True))
+    frames = dec.decode(feed(spark, sf_dir)).join(left, "event_id", "left")
+    part = F.pmod(F.col("event_id"), F.lit(LANDINGS)).cast("int").alias("landing")
+    return frames.groupBy(part, "outcome").agg(F.count_if(F.col("left").isNull()).alias("counted"), F.count_if("left").alias("unread"))
 
 
 @query("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     """Frames delivered twice, every 7th only in the second delivery, are stored once; none is lost."""
-    from feedlake.streaming import feed_stream as fs
+    from feedlake.streaming import compaction, feed_stream as fs
     f = feed(spark, sf_dir)
     base = _landed(spark, sf_dir, "stream-dedup", f.where("event_id % 7 <> 0"))
+    fs.ingest(spark, _stream(spark, base), base, dedup=True)
+    _land(f.unionByName(f.where("event_id % 5 = 0")), f"{base}/landing", 1)
     fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base, dedup=True)
-    fs.write_landing(f.unionByName(f.where("event_id % 5 = 0")), f"{base}/landing")
-    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base, dedup=True)
-    return fs.stored(spark, base).select(*_MESSAGE)
+    return compaction.stored(spark, base).select(*_MESSAGE)
 
 
 @query("stream_late")
 def q_stream_late(spark, sf_dir):
     """Every 97th frame arrives three hours late: marked, kept with the others."""
-    from feedlake.streaming import feed_stream as fs
+    from feedlake.streaming import compaction, feed_stream as fs
     arrival = F.when(F.col("event_id") % 97 == 0, F.col("arrival_ts") + F.expr("INTERVAL 3 HOURS")).otherwise(F.col("arrival_ts"))
     base = _landed(spark, sf_dir, "stream-late", feed(spark, sf_dir).withColumn("arrival_ts", arrival))
-    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
-    return fs.stored(spark, base).select(*_MESSAGE, "late")
+    fs.ingest(spark, _stream(spark, base), base)
+    return compaction.stored(spark, base).select(*_MESSAGE, "late")

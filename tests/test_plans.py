@@ -61,3 +61,19 @@ def test_reconcile_and_median_pass_once_over_the_rows(no_aqe):
     assert plan.count("FileScan parquet") == 2 and "Join" not in plan
     # the raw rows of the median are only read, counted and semi-joined to the located hours
     assert "hashpartitioning(symbol, 200" not in _plan(QUERIES["median_split"](no_aqe, SF_SMALL)).split("FileScan parquet")[-1]
+
+
+def test_decode_compiles_and_no_method_is_too_large(no_aqe):
+    from feedlake.operators.decode import decode, decode_messages
+    from feedlake.sources.feed import raw_feed
+    debug = getattr(getattr(no_aqe._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    no_aqe.conf.set("spark.sql.codegen.fallback", "false")      # a compilation that fails is an error
+    try:
+        for make in (decode, decode_messages):
+            df = make(raw_feed(no_aqe, SF_SMALL))
+            code = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+            sizes = [code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())]
+            assert sizes and max(sizes) < 1 << 16
+            df.write.format("noop").mode("overwrite").save()
+    finally:
+        no_aqe.conf.unset("spark.sql.codegen.fallback")

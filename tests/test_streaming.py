@@ -9,7 +9,7 @@ from given import SF_SMALL
 from feedlake.operators.decode import decode, decode_messages
 from feedlake.session import shared_path
 from feedlake.sources.feed import raw_feed
-from feedlake.streaming import feed_stream as fs
+from feedlake.streaming import compaction, feed_stream as fs
 
 
 def _rows(df):
@@ -94,11 +94,148 @@ def test_running_errors_add_up_over_batches(spark, feed):
 
 def test_windows_equal_batch_with_late_frames(spark, feed):
     from feedlake.operators.stats import stats_windows
-    base = shared_path(spark, "test-stats")
+    base, reported = shared_path(spark, "test-stats"), []
     for cond in ("event_id % 2 = 0", "event_id % 2 = 1"):
         fs.write_landing(feed.where(cond), f"{base}/landing")
-        fs.window_counts_stream(spark, fs.read_frames(spark, f"{base}/landing"), base)
+        fs.window_counts_stream(spark, fs.read_frames(spark, f"{base}/landing", 2), base, report=lambda batch, epoch: reported.append(batch.count()))
     got = {(r.symbol, r.mt, r.window_start): r.n for r in fs.window_counts(spark, base).where("n > 0").collect()}
     assert got == {(r.symbol, r.mt, r.window_start): r.n for r in stats_windows(decode_messages(feed)).collect()}
+    assert len([n for n in reported if n]) >= 4
+    # a read takes the state as it is: a row a window, however many batches changed it
+    state = spark.read.format("statestore").load(f"{base}/checkpoint")
+    assert state.count() == fs.window_counts(spark, base).count() < sum(reported)
+
+
+def test_totals_add_up_to_the_feed_and_keep_two_folders(spark, feed):
+    base = shared_path(spark, "test-totals")
+    for part in range(4):
+        fs.write_landing(feed.where(F.col("event_id") % 4 == part), f"{base}/landing")
+        fs.totals_stream(spark, fs.read_frames(spark, f"{base}/landing"), base)
     rates = fs.feed_rates(spark, base).agg(F.sum(F.col("n") + F.col("errors") + F.col("skipped"))).first()[0]
     assert rates == feed.count()
+    assert len(fs._numbers(spark, f"{base}/totals", "batch=")) == 2
+    want = {r.symbol: r["count"] for r in decode_messages(feed).groupBy("symbol").count().collect()}
+    assert {r.symbol: r.n for r in fs.totals(spark, base).collect()} == want
+
+
+def test_closed_hours_leave_the_state_and_late_rows_open_them_again(spark, feed):
+    base = shared_path(spark, "test-close")
+    late = F.col("event_id") % 4 == 0
+    fs.write_landing(feed.where(~late), f"{base}/landing")
+    fs.closing_stream(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    clock = feed.agg(F.max("arrival_ts")).first()[0]
+    hours = decode_messages(feed).select("symbol", F.date_trunc("hour", "ts").alias("h"))
+    open_hours = hours.where(F.col("h") + F.expr("INTERVAL 61 MINUTES") > F.lit(clock)).distinct().count()
+    assert fs.open_periods(spark, base).count() <= open_hours < hours.distinct().count()
+    first = {(r.symbol, r.window_start): r.n for r in fs.closed_periods(spark, base).collect()}
+    fs.write_landing(feed.where(late), f"{base}/landing")
+    fs.closing_stream(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    assert fs.open_periods(spark, base).count() <= open_hours
+    got = {(r.symbol, r.window_start): (r.n, r.first_ts, r.last_ts) for r in fs.closed_periods(spark, base).collect()}
+    want = (decode_messages(feed).groupBy("symbol", F.date_trunc("hour", "ts").alias("h"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("a"), F.max("ts").alias("b"))
+            .where(F.col("h") + F.expr("INTERVAL 61 MINUTES") <= F.lit(clock)).collect())
+    assert got == {(r.symbol, r.h): (r.n, r.a, r.b) for r in want}
+    assert any(key in first and got[key][0] > n for key, n in first.items())   # given out before, and again
+
+
+def _frame(event_id, arrival, text='{"channel":"push.funding.rate","data":{"r":1}}'):
+    return (event_id, "btc", arrival, text)
+
+
+def test_a_frame_without_a_time_delivered_again_in_another_hour_is_stored_once(spark, feed):
+    base = shared_path(spark, "test-timeless")
+    noon = dt.datetime(2024, 1, 5, 12)
+    hours = [noon, noon + dt.timedelta(hours=5), noon - dt.timedelta(hours=30)]
+    for i, at in enumerate(hours):   # frame 1 again and again; a new, older one each time; frames without an id
+        rows = [_frame(1, at), _frame(100 + i, noon - dt.timedelta(days=i)), _frame(None, at), _frame(None, at), _frame(7, at, "not json{")]
+        fs.write_landing(spark.createDataFrame(rows, feed.schema).coalesce(1), f"{base}/landing")
+        fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base, dedup=True)
+    got = [(r.event_id, r.ts) for r in fs.stored(spark, base).collect()]
+    assert [t for i, t in got if i == 1] == [noon]
+    assert sorted(i for i, _ in got if i is not None) == [1, 100, 101, 102] and sum(i is None for i, _ in got) == 6
+    counts = {r.outcome: r.n for r in fs.outcomes(spark, base).collect()}
+    assert counts == {"stored": 10, "duplicate": 2, "malformed": 3}   # a reject is no duplicate of another
+
+
+def test_a_late_frame_without_a_time_of_its_own_has_the_time_of_its_arrival(spark, feed):
+    base = shared_path(spark, "test-late-timeless")
+    noon = dt.datetime(2024, 1, 5, 12, 30)
+    ms = int(dt.datetime(2024, 1, 5, 9, 30, tzinfo=dt.UTC).timestamp() * 1000)
+    fs.write_landing(spark.createDataFrame([_frame(1, noon), _frame(2, noon, f'{{"channel":"push.funding.rate","data":{{}},"ts":{ms}}}')],
+                                           feed.schema), f"{base}/landing")
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    got = {r.event_id: (r.ts, r.late) for r in fs.stored(spark, base).collect()}
+    assert got == {1: (noon, False), 2: (noon - dt.timedelta(hours=3), True)}
+
+
+def test_the_budget_stops_before_the_next_batch_is_read(spark, feed):
+    base, noon = shared_path(spark, "test-budget-four"), dt.datetime(2024, 1, 5, 12)
+    bad = '{"channel":"push.deal","data":[1]}'
+    for part in range(4):   # two errors a file
+        rows = [_frame(10 * part, noon), _frame(10 * part + 1, noon, bad), _frame(10 * part + 2, noon, bad)]
+        fs.write_landing(spark.createDataFrame(rows, feed.schema).coalesce(1), f"{base}/landing")
+    frames = lambda: fs.read_frames(spark, f"{base}/landing", 1)
+    assert fs.ingest(spark, frames(), base, budget=3)
+    assert {r.event_id for r in fs.stored(spark, base).collect()} == {0, 10}
+    assert {r.outcome: r.n for r in fs.outcomes(spark, base).collect()} == {"stored": 2, "error": 4}
+    assert fs._numbers(spark, f"{base}/table", "batch=") == [0, 1]      # nothing of the third batch was written
+    assert {r.event_id for r in fs.frames_left(spark, f"{base}/landing", base).collect()} == {20, 21, 22, 30, 31, 32}
+    # a larger budget goes on where the stop was
+    assert not fs.ingest(spark, frames(), base, budget=100)
+    assert {r.event_id for r in fs.stored(spark, base).collect()} == {0, 10, 20, 30}
+    assert fs.frames_left(spark, f"{base}/landing", base).count() == 0
+
+
+def test_counts_come_with_the_write(spark, feed, monkeypatch):
+    base, jobs = shared_path(spark, "test-jobs"), []
+    fs.write_landing(feed.coalesce(1), f"{base}/landing")
+    write = fs._write
+    monkeypatch.setattr(fs, "_write", lambda rows, table, epoch, by=(): jobs.append(table.split("/")[-1]) or write(rows, table, epoch, by))
+    monkeypatch.setattr(dec_module(), "outcome_counts", None)   # no aggregation of its own is run
+    fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    assert jobs == ["table", "quarantine", "outcomes"]
+    assert sum(r.n for r in fs.outcomes(spark, base).collect()) == feed.count()
+
+
+def dec_module():
+    from feedlake.operators import decode as module
+    return module
+
+
+def _compacted(spark, feed, name, parts=3):
+    base = shared_path(spark, name)
+    for part in range(parts):
+        fs.write_landing(feed.where(F.col("event_id") % parts == part), f"{base}/landing")
+        fs.ingest(spark, fs.read_frames(spark, f"{base}/landing"), base)
+        yield base
+
+
+def test_compaction_keeps_each_row_once_while_it_is_read(spark, feed):
+    want, base = _rows(decode_messages(feed)), None
+    for part, base in enumerate(_compacted(spark, feed, "test-compact")):
+        before = compaction.stored(spark, base)                      # a reader that begins before the change
+        seen = _rows(before)
+        assert compaction.compact(spark, base) == part + 1
+        assert _rows(before) == seen == _rows(compaction.stored(spark, base))
+    assert seen == want
+    units = compaction.units(spark, base)
+    assert units.agg(F.max("files")).first()[0] == 1 and units.agg(F.sum("rows")).first()[0] == len(want)
+    assert compaction.compact(spark, base) == 3                      # nothing new: the same version
+    # what the version before last named is gone, with the batches that it still read
+    assert fs._numbers(spark, f"{base}/manifest", "batch=") == [2, 3] and fs._numbers(spark, f"{base}/table", "batch=") == [2]
+
+
+def test_a_compaction_that_fails_before_its_manifest_changes_nothing(spark, feed, monkeypatch):
+    want = _rows(decode_messages(feed))
+    steps = _compacted(spark, feed, "test-compact-crash", 2)
+    base = next(steps)
+    compaction.compact(spark, base)
+    next(steps)
+    write = compaction._write
+    monkeypatch.setattr(compaction, "_write", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        compaction.compact(spark, base)
+    assert _rows(compaction.stored(spark, base)) == want
+    monkeypatch.setattr(compaction, "_write", write)
+    assert compaction.compact(spark, base) == 2 and _rows(compaction.stored(spark, base)) == want
