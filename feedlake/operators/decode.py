@@ -7,7 +7,7 @@ the number of input splits, and it runs unchanged in a streaming query.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.functions import json_frame as jf
@@ -28,8 +28,8 @@ def _side_text(side: str):
             .otherwise(jf.depth_side_text(F.col(f"_{side}"))))
 
 
-def _classify(raw: DataFrame) -> DataFrame:
-    """Parse each frame once and add ``outcome`` plus internal ``_*`` columns."""
+def _classify(raw: DataFrame) -> tuple[DataFrame, Column]:
+    """Parse each frame once: internal ``_*`` columns, and the outcome as an expression over them."""
     value = F.col("value")
     # Parse once; keep the variant as a column so later expressions reuse it.
     parsed = raw.withColumn("_j", F.try_parse_json(value))
@@ -92,7 +92,7 @@ def _classify(raw: DataFrame) -> DataFrame:
                .when(~channel.startswith("push."), "not_push")
                .when(error, "error")
                .otherwise("stored"))
-    return step3.withColumn("outcome", outcome)
+    return step3, outcome
 
 
 def _stored_cols() -> dict:
@@ -112,10 +112,13 @@ def decode(raw: DataFrame) -> DataFrame:
     Input: ``symbol, arrival_ts, value`` (plus any id columns, kept).
     Outcomes: control, malformed, not_envelope, ack, not_push, error, stored.
     Unused output columns are pruned by Catalyst, so outcome counts never
-    build payload text.
+    build payload text. The outcome comes out of a generator (``explode`` of
+    one element): a filter on it stays above, where it would otherwise be
+    pushed down with the whole classification and parse the frame again.
     """
     stored = F.col("outcome") == "stored"
-    return _classify(raw).select(
+    parsed, outcome = _classify(raw)
+    return parsed.select("*", F.explode(F.array(outcome)).alias("outcome")).select(
         *raw.columns, "outcome",
         *[F.when(stored, c).alias(name) for name, c in _stored_cols().items()])
 
@@ -136,8 +139,8 @@ def decode_messages(raw: DataFrame, with_channel: bool = False, with_arrival: bo
     cols = _stored_cols()
     if with_channel:
         cols["channel"] = F.col("_channel")
-    marker = F.explode(F.when(F.col("outcome") == "stored", F.array(F.lit(True)))).alias("_stored")
-    kept = _classify(raw).select("*", marker)
+    parsed, outcome = _classify(raw)
+    kept = parsed.select("*", F.explode(F.when(outcome == "stored", F.array(F.lit(True)))).alias("_stored"))
     return kept.select(*keep, *[c.alias(name) for name, c in cols.items()])
 
 
