@@ -32,9 +32,13 @@ def _manifest(spark: SparkSession, base: str, version: int) -> tuple[DataFrame,
 
 
 def _units(spark: SparkSession, base: str, live: DataFrame) -> DataFrame:
-    """The rows of live units; the join prunes the folders that are read to theirs."""
-    rows = spark.read.schema(f"{STORED}, day STRING, gen LONG").parquet(f"{base}/units")
-    return rows.join(live, [*UNIT, "gen"], "left_semi")
+    """The rows of live units. Their folders are named one by one, as Spark's listing would: a folder that is no
+    longer live is never opened, and may be taken away at any time."""
+    paths = [f"{base}/units/gen={u.gen}/symbol={u.symbol}/day={u.day}" for u in live.toLocalIterator()]
+    reader = spark.read.schema(f"{STORED}, day STRING, gen LONG")
+    if not paths:
+        return spark.createDataFrame([], f"{STORED}, day STRING, gen LONG")
+    return reader.option("basePath", f"{base}/units").parquet(*paths)
 
 
 def _batches(spark: SparkSession, base: str, first: int) -> DataFrame:
@@ -101,9 +105,11 @@ def _vacuum(spark: SparkSession, base: str, old: int, kept: int) -> None:
 
 
 def units(spark: SparkSession, base: str) -> DataFrame:
-    """The live units with their files, rows and bytes."""
-    live, _ = _manifest(spark, base, _versions(spark, base)[-1])
-    rows = spark.read.schema(f"{STORED}, day STRING, gen LONG").parquet(f"{base}/units").select(
-        *UNIT, "gen", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
-    files = rows.join(live, [*UNIT, "gen"], "left_semi").groupBy(*UNIT, "path").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    """The live units with their files, rows and bytes; none before the first compaction."""
+    versions = _versions(spark, base)
+    live = _manifest(spark, base, versions[-1])[0] if versions else None
+    if live is None or live.isEmpty():
+        return spark.createDataFrame([], "symbol STRING, day STRING, files LONG, rows LONG, bytes LONG")
+    rows = _units(spark, base, live).select(*UNIT, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+    files = rows.groupBy(*UNIT, "path").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
     return files.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("files"), F.sum("n").cast("long").alias("rows"), F.sum("size").alias("bytes"))

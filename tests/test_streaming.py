@@ -103,7 +103,7 @@ def test_windows_equal_batch_with_late_frames(spark, feed):
     assert len([n for n in reported if n]) >= 4
     # a read takes the state as it is: a row a window, however many batches changed it
     state = spark.read.format("statestore").load(f"{base}/checkpoint")
-    assert state.count() == fs.window_counts(spark, base).count() < sum(reported)
+    assert state.count() == fs.window_counts(spark, base).count() <= sum(reported)
 
 
 def test_totals_add_up_to_the_feed_and_keep_two_folders(spark, feed):
