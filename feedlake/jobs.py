@@ -2,7 +2,8 @@
 
     python -m feedlake.jobs setup   --db feeds --location s3://bucket/feeds
     python -m feedlake.jobs ingest  --landing PATH | --kafka SERVERS --topic T   --base PATH [--every "15 seconds"] [--budget N] [--dedup]
-    python -m feedlake.jobs export  --table PATH --export PATH --log PATH --as-of TS [--drop --source-table T] [--by event|arrival]
+    python -m feedlake.jobs compact --base PATH
+    python -m feedlake.jobs export  --table PATH | --base PATH   --export PATH --log PATH --as-of TS [--drop --source-table T] [--by event|arrival]
     python -m feedlake.jobs report  --table PATH --as-of TS --out PATH [--log PATH]
     python -m feedlake.jobs check-files --export PATH [PATH ...] --out PATH
     python -m feedlake.jobs identity --observations PATH --out PATH
@@ -47,9 +48,17 @@ def cmd_ingest(spark, a):
     return 1 if stopped else 0
 
 
+def cmd_compact(spark, a):
+    from feedlake.streaming import compaction
+    print("manifest", compaction.compact(spark, a.base))
+    compaction.units(spark, a.base).agg(F.count(F.lit(1)).alias("units"), F.sum("files").alias("files"), F.sum("rows").alias("rows")).show()
+    return 0
+
+
 def cmd_export(spark, a):
     from feedlake.operators.export import hourly_export_cycle
-    msgs = spark.read.parquet(a.table)
+    from feedlake.streaming import compaction
+    msgs = compaction.stored(spark, a.base) if a.base else spark.read.parquet(a.table)
     status = hourly_export_cycle(spark, msgs, a.export, a.log, F.lit(a.as_of).cast("timestamp"),
                                  preserve=not a.drop, source_table=a.source_table, by=a.by).collect()
     for row in status:
@@ -110,8 +119,11 @@ def main(argv: list[str] | None = None) -> int:
     source.add_argument("--landing"); source.add_argument("--kafka")
     s.add_argument("--topic"); s.add_argument("--base", required=True); s.add_argument("--every")
     s.add_argument("--budget", type=int); s.add_argument("--dedup", action="store_true")
+    s = sub.add_parser("compact"); s.add_argument("--base", required=True)
     s = sub.add_parser("export")
-    for k in ("--table", "--export", "--log", "--as-of"):
+    source = s.add_mutually_exclusive_group(required=True)
+    source.add_argument("--table"); source.add_argument("--base")
+    for k in ("--export", "--log", "--as-of"):
         s.add_argument(k, required=True)
     s.add_argument("--drop", action="store_true"); s.add_argument("--source-table"); s.add_argument("--by", choices=("event", "arrival"), default="event")
     s = sub.add_parser("report")
@@ -123,7 +135,7 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     from feedlake.session import get_session
     spark = get_session()
-    return {"setup": cmd_setup, "ingest": cmd_ingest, "export": cmd_export, "report": cmd_report,
+    return {"setup": cmd_setup, "ingest": cmd_ingest, "compact": cmd_compact, "export": cmd_export, "report": cmd_report,
             "check-files": cmd_check_files, "identity": cmd_identity}[a.cmd](spark, a)
 
 

@@ -16,6 +16,8 @@ times, which clients may set to anything, close nothing.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,12 +132,39 @@ def readback_summary(exported: DataFrame) -> DataFrame:
         F.count_if(F.col("m").isNull()).cast("long").alias("null_m"))
 
 
+def unit_figures(spark: SparkSession, path: str, by: tuple[str, ...] = ("symbol", "period")) -> DataFrame:
+    """Rows and NULLs of each column per unit of an export, from the files' footers.
+
+    The counts are pushed into the scan (``PushedAggregation``), grouped by the
+    partition columns ``by``: no row is decoded. The settings this needs are
+    those of a session of its own, so the result, a row a unit, is written out.
+    """
+    from feedlake.session import prepare_session, shared_path
+    own = prepare_session(spark.newSession())
+    own.conf.set("spark.sql.sources.useV1SourceList", "csv,json,text,orc,avro,kafka")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    out = shared_path(spark, "unit-figures")
+    counts = pushed_counts(own, path, by)
+    counts.write.mode("overwrite").parquet(out)
+    columns = [c for c in counts.columns if c not in (*by, "rows")]
+    return spark.read.schema(counts.schema).parquet(out).select(
+        *by, "rows", *[(F.col("rows") - F.col(c)).alias(f"null_{c}") for c in columns], F.lit(len(columns)).alias("columns"))
+
+
+def pushed_counts(spark: SparkSession, path: str, by: tuple[str, ...]) -> DataFrame:
+    """Rows and values per column and unit, as a plan that a session with aggregate push-down answers from footers."""
+    exported = spark.read.parquet(path)
+    return exported.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in exported.columns if c not in by])
+
+
 def file_inventory(spark: SparkSession, *paths: str) -> DataFrame:
     """Every data file in the export locations, with rows, columns, size and
     modification time, newest first.
 
     Files are summarised per location from the hidden ``_metadata`` column
-    (one row per file), then the small per-file tables are unioned.
+    (one row per file) by a scan that reads no data column, so their rows are
+    counted by the footers; then the small per-file tables are unioned. The
+    NULLs of each column are in ``unit_figures``.
     """
     out = None
     for p in paths:
@@ -218,10 +247,12 @@ def hourly_export_cycle(spark: SparkSession, msgs: DataFrame, export_path: str,
     run_path = f"{log_path.rstrip('/')}_runs/run={uuid.uuid4().hex[:12]}"
     segment_end = F.to_timestamp("segment", PERIOD_FORMAT) + F.expr("INTERVAL 1 HOUR")
     closed = export_units(msgs, by).where(segment_end + F.expr(f"INTERVAL {grace}") <= as_of)
-    todo = closed.join(read_log(spark, log_path).select(*UNIT), list(UNIT), "left_anti")
-    write_export(todo, export_path, UNIT)
-    # The source's side again: a closed segment does not change, so these are the rows written.
-    unit_digests(todo, (*UNIT, "file_label")).write.mode("overwrite").parquet(f"{run_path}/units")
+    todo = closed.join(read_log(spark, log_path).select(*UNIT), list(UNIT), "left_anti").persist()
+    try:  # one scan of the source: the digests fill the cache that the files are written from
+        unit_digests(todo, (*UNIT, "file_label")).write.mode("overwrite").parquet(f"{run_path}/units")
+        write_export(todo, export_path, UNIT)
+    finally:
+        todo.unpersist()
     units = spark.read.parquet(f"{run_path}/units")
     # The join prunes the partitions that are listed and read to this run's.
     back = (spark.read.schema(EXPORT_SCHEMA).parquet(export_path)
@@ -256,16 +287,20 @@ def drop_exported(spark: SparkSession, source_table: str, log_path: str, batch:
 
     It looks at the whole log, so units that an earlier run logged and a crash
     left undropped go too. A partition that differs from its log row stays.
-    Partitions are dropped ``batch`` at a time as they stream in.
+    Partitions are dropped ``batch`` at a time as they stream in: the catalogs
+    that Spark talks to take whole partition specs, partial ones only with Hive.
     """
     logged = read_log(spark, log_path).select(*UNIT, "row_count", "digest")
     there = unit_digests(spark.table(source_table).join(logged.select(*UNIT), list(UNIT), "left_semi"), UNIT)
     same = there.join(logged, [*UNIT, "row_count", "digest"], "left_semi").select(*UNIT)
-    dropped, waiting = 0, []
-    for row in same.toLocalIterator():
-        waiting.append(tuple(row))
-        if len(waiting) == batch:
-            drop_partitions(spark, source_table, waiting)
-            dropped, waiting = dropped + len(waiting), []
-    drop_partitions(spark, source_table, waiting)
-    return dropped + len(waiting)
+    dropped = 0
+    for rows in _in_batches(same.toLocalIterator(), batch):
+        drop_partitions(spark, source_table, [tuple(r) for r in rows])
+        dropped += len(rows)
+    return dropped
+
+
+def _in_batches(rows: Iterator, size: int) -> Iterator[list]:
+    rows = iter(rows)
+    while found := list(islice(rows, size)):
+        yield found

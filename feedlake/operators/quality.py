@@ -1,8 +1,8 @@
 """Data-quality checks and reconciliation of exported data against its source.
 
-All checks are aggregates or joins of aggregates: the raw rows are shuffled
-at most once (for the strict multiset comparison), everything else moves one
-row per key per input split.
+All checks are aggregates or joins of aggregates: what moves is one row per key
+per input split. Raw rows are shuffled only by the strict comparison, and there
+only those of buckets whose digests disagree.
 """
 
 from __future__ import annotations
@@ -81,39 +81,84 @@ def verify_export(source: DataFrame, exported: DataFrame, keys: tuple[str, ...]
     return j.select(*keys, src.alias("source_rows"), exp.alias("exported_rows"), (src == exp).alias("passed"))
 
 
-def reconcile_report(source: DataFrame, exported: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
-    """V2: file against table per group, from one pass over each side.
+SIDES = ("src", "file")
+BUCKETS = 4096
+
+
+def _row_text() -> Column:
+    """A row as one text: NULL differs from any value, and no two rows have the same."""
+    part = lambda c: F.when(c.isNull(), F.lit("-")).otherwise(F.concat(F.length(c).cast("string"), F.lit(":"), c))
+    return F.concat(part(F.unix_micros("ts").cast("string")), part(F.col("mt")), part(F.col("m")))
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("ts", "mt", "m"), F.lit(buckets))
+
+
+def bucket_digests(source: DataFrame, exported: DataFrame, by: tuple[str, ...], buckets: int = BUCKETS) -> DataFrame:
+    """Figures of both sides per (group, type, bucket of rows), each side read once: rows, rows with NULLs, time range
+    and the sums of four 60-bit parts of the rows' sha256. What is shuffled is a row a bucket and task."""
+    def figures(df: DataFrame, side: str) -> DataFrame:
+        digest = F.sha2(_row_text(), 256)
+        parts = [F.conv(F.substring(digest, 15 * i + 1, 15), 16, 10).cast("decimal(38,0)") for i in range(4)]
+        anynull = F.col("ts").isNull() | F.col("mt").isNull() | F.col("m").isNull()
+        rows = df.select(*by, "ts", "mt", _bucket(buckets).alias("bucket"), anynull.alias("anynull"), F.array(*parts).alias("d"))
+        return rows.groupBy(*by, "mt", "bucket").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if("anynull").alias("null_rows"), F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"),
+            F.array(*[F.sum(F.col("d")[i]) for i in range(4)]).alias("digest")).withColumn("side", F.lit(side))
+
+    both = figures(source, "src").unionByName(figures(exported, "file"))
+    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    return both.groupBy(*by, "mt", "bucket").agg(
+        *[F.coalesce(of(s, c), F.lit(0)).alias(f"{s}_{c}") for s in SIDES for c in ("rows", "null_rows")],
+        *[of(s, c).alias(f"{s}_{c}") for s in SIDES for c in ("min_ts", "max_ts")],
+        of("src", "digest").eqNullSafe(of("file", "digest")).alias("agrees"))
+
+
+def row_differences(source: DataFrame, exported: DataFrame, by: tuple[str, ...], where: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Rows per group that one side has more often than the other, over the buckets of ``where``: whole rows are
+    compared, no hashes (grouping treats NULLs as equal)."""
+    def rows(df: DataFrame, sign: int) -> DataFrame:
+        picked = df.select(*by, "ts", "mt", "m", _bucket(buckets).alias("bucket"))
+        on = [picked[c].eqNullSafe(where[c]) for c in (*by, "bucket")]
+        return picked.join(where, on, "left_semi").select(*by, "ts", "mt", "m", F.lit(sign).alias("sign"))
+
+    counted = rows(source, 1).unionByName(rows(exported, -1)).groupBy(*by, "ts", "mt", "m").agg(F.abs(F.sum("sign")).alias("n"))
+    return counted.groupBy(*by).agg(F.sum("n").cast("long").alias("multiset_diff"))
+
+
+def reconcile_report(source: DataFrame, exported: DataFrame, by: tuple[str, ...] = ("symbol",), buckets: int = BUCKETS) -> DataFrame:
+    """V2: file against table per group, in two phases.
 
     ``ref_pass`` is the reference's verdict (equal counts, no NULLs on either
     side); ``strict_pass`` also needs equal type distribution, equal time range
-    at both ends, and equal row multisets. Rows are tagged by side, counted by
-    (group, ts, mt, m) with m as two hashes and its length, which is what
-    crosses the shuffle, and all figures are rolled up from those counts
-    (grouping treats NULLs as equal).
+    at both ends, and equal row multisets. First each side is read once and
+    summed up by buckets of rows (``bucket_digests``, written out); then the
+    whole rows of the buckets that disagree are compared (``row_differences``).
+    Rows share a bucket by a cheap hash, which decides nothing: two rows it
+    takes for one still differ in the digest and are compared as they are. If
+    all buckets agree, no row is shuffled.
     """
-    def tagged(df: DataFrame, side: str) -> DataFrame:
-        return df.select(*by, "ts", "mt", F.xxhash64("m").alias("_h"), F.hash("m").alias("_g"), F.length("m").alias("_l"),
-                         *[F.lit(int(side == s)).alias(f"_{s}") for s in ("src", "file")])
-
-    def total(c: str, where: Column | None = None) -> Column:
-        v = F.col(c) if where is None else F.when(where, F.col(c)).otherwise(0)
-        return F.sum(v).cast("long")
-
-    def span(p: str, f) -> Column:
-        return f(F.when(F.col(f"_{p}") > 0, F.col("ts")))
-
-    sides = ("src", "file")
-    distinct = (tagged(source, "src").unionByName(tagged(exported, "file"))
-                .groupBy(*by, "ts", "mt", "_h", "_g", "_l").agg(*[F.sum(f"_{p}").alias(f"_{p}") for p in sides]))
-    anynull = F.col("ts").isNull() | F.col("mt").isNull() | F.col("_l").isNull()
-    typed = distinct.groupBy(*by, "mt").agg(
-        *[total(f"_{p}").alias(f"{p}_rows") for p in sides], *[total(f"_{p}", anynull).alias(f"{p}_null_rows") for p in sides],
-        *[span(p, F.min).alias(f"{p}_min_ts") for p in sides], *[span(p, F.max).alias(f"{p}_max_ts") for p in sides],
-        F.sum(F.abs(F.col("_src") - F.col("_file"))).cast("long").alias("multiset_diff"))
+    from feedlake.session import shared_path
+    spark = source.sparkSession
+    path = shared_path(spark, "reconcile")
+    figures = bucket_digests(source, exported, by, buckets)
+    figures.write.mode("overwrite").parquet(path)
+    figures = spark.read.schema(figures.schema).parquet(path)
+    typed = figures.groupBy(*by, "mt").agg(
+        *[F.sum(f"{s}_{c}").cast("long").alias(f"{s}_{c}") for s in SIDES for c in ("rows", "null_rows")],
+        *[F.min(f"{s}_min_ts").alias(f"{s}_min_ts") for s in SIDES], *[F.max(f"{s}_max_ts").alias(f"{s}_max_ts") for s in SIDES])
     j = typed.groupBy(*by).agg(
-        *[F.sum(f"{p}_{c}").alias(f"{p}_{c}") for p in sides for c in ("rows", "null_rows")],
-        *[F.min(f"{p}_min_ts").alias(f"{p}_min_ts") for p in sides], *[F.max(f"{p}_max_ts").alias(f"{p}_max_ts") for p in sides],
-        F.count_if(F.col("src_rows") != F.col("file_rows")).cast("long").alias("type_mismatches"), F.sum("multiset_diff").alias("multiset_diff"))
+        *[F.sum(f"{s}_{c}").alias(f"{s}_{c}") for s in SIDES for c in ("rows", "null_rows")],
+        *[F.min(f"{s}_min_ts").alias(f"{s}_min_ts") for s in SIDES], *[F.max(f"{s}_max_ts").alias(f"{s}_max_ts") for s in SIDES],
+        F.count_if(F.col("src_rows") != F.col("file_rows")).cast("long").alias("type_mismatches"))
+    odd = figures.where("NOT agrees").select(*by, "bucket").distinct()
+    if odd.isEmpty():
+        j = j.withColumn("multiset_diff", F.lit(0).cast("long"))
+    else:
+        found = row_differences(source, exported, by, odd, buckets).select(*[F.col(c).alias(f"_{c}") for c in by], "multiset_diff")
+        j = j.join(found, [j[c].eqNullSafe(found[f"_{c}"]) for c in by], "left").drop(*[f"_{c}" for c in by])
+        j = j.withColumn("multiset_diff", F.coalesce("multiset_diff", F.lit(0).cast("long")))
     count_match = F.col("src_rows") == F.col("file_rows")
     no_nulls = (F.col("src_null_rows") == 0) & (F.col("file_null_rows") == 0)
     # both ends must agree: equal spans of shifted times do not match

@@ -569,6 +569,13 @@ SELECT 'whole' AS export, '' AS missing, true AS ok, count(*) AS rows FROM messa
 UNION ALL SELECT 'damaged', 'mt', false, count(*) FROM messages"""
 
 
+@oracle("export_unit_figures", _MESSAGES)
+def _():
+    return """
+SELECT symbol, strftime(ts, '%Y%m%d_%H') AS period, count(*) AS rows, 0 AS null_ts, count(*) FILTER (event_id % 5 = 0) AS null_mt, 0 AS null_m,
+       3 AS columns FROM messages GROUP BY ALL"""
+
+
 @oracle("file_inventory", _MESSAGES)
 def _():
     return """

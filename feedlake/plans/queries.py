@@ -489,6 +489,16 @@ def _database(spark, sf_dir, name):
         tb.drop_database(spark, db)
 
 
+@query("export_unit_figures")
+def q_export_unit_figures(spark, sf_dir):
+    """Rows, columns and NULLs per exported unit, by footers alone: a copy whose types are partly lost."""
+    from feedlake.operators.export import unit_figures, write_export
+    from feedlake.session import shared_path
+    path = shared_path(spark, "unit-export")
+    write_export(msgs(spark, sf_dir).withColumn("mt", F.when(F.col("event_id") % 5 != 0, F.col("mt"))), path)
+    return unit_figures(spark, path)
+
+
 def _written(spark, df, name):
     """A result that outlives the tables it was read from."""
     from feedlake.session import shared_path

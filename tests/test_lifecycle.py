@@ -155,6 +155,42 @@ def test_shifted_times_do_not_reconcile(spark):
     assert not reconcile_report(m, moved).first()["range_match"] and reconcile_report(m, m).first()["strict_pass"]
 
 
+def test_a_hash_clash_does_not_hide_a_difference(spark, monkeypatch):
+    from feedlake.operators import quality
+    m = _rows(spark, *[("btc", _at(i), f"row {i}", H) for i in range(20)]).drop("arrival_ts")
+    other = m.withColumn("m", F.when(F.col("m") == "row 7", F.lit("row x")).otherwise(F.col("m")))
+    monkeypatch.setattr(quality, "_bucket", lambda buckets: F.lit(0))   # the hash takes all rows for the same
+    assert quality.reconcile_report(m, other).first()["multiset_diff"] == 2
+    assert quality.reconcile_report(m, m).first()["strict_pass"]
+    assert not quality.reconcile_report(m, m.unionByName(m.limit(1))).first()["count_match"]
+
+
+def test_only_buckets_that_disagree_are_compared_row_by_row(spark, monkeypatch):
+    from feedlake.operators import quality
+    m = _rows(spark, *[("btc", _at(i), f"row {i}", H) for i in range(200)], ("eth", None, None, H), ("eth", _at(1), None, H)).drop("arrival_ts")
+    seen, inner = [], quality.row_differences
+    monkeypatch.setattr(quality, "row_differences", lambda a, b, by, where, n: seen.append(where.count()) or inner(a, b, by, where, n))
+    assert quality.reconcile_report(m, m).where("multiset_diff = 0").count() == 2 and not seen
+    swapped = m.withColumn("m", F.when(F.col("m") == "row 7", F.lit(None)).otherwise(F.col("m")))
+    got = {r.symbol: r.multiset_diff for r in quality.reconcile_report(m, swapped).collect()}
+    assert got == {"btc": 2, "eth": 0} and seen == [2]
+
+
+def test_the_source_is_read_once_per_run(spark, db):
+    feed = Feed(spark, db)
+    feed.add(("btc", _at(1), "a", _at(1)), ("eth", _at(1), "b", _at(1)))
+    count = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            count.add(batch.num_rows)
+            yield batch
+    rows = spark.table(feed.table).withColumn("arrival_ts", F.to_timestamp("segment", "yyyyMMdd_HH")).select("symbol", "ts", "arrival_ts", "mt", "m")
+    rows = rows.mapInArrow(counted, rows.schema)
+    export.hourly_export_cycle(spark, rows, f"{feed.base}/export", f"{feed.base}/log", F.lit(_at(65))).collect()
+    assert count.value == 2
+
+
 def test_recent_reports_prune_by_day(spark):
     from feedlake.operators import stats
     from feedlake.plans.queries import msgs, now

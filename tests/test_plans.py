@@ -1,6 +1,7 @@
 """Plan properties the performance work depends on (checked on the physical plan)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from given import SF_SMALL
 
@@ -55,14 +56,35 @@ def test_latest_overall_is_a_top_k_not_a_sort(no_aqe):
     assert plan.count("WindowGroupLimit") == 2      # each task keeps 3 rows a symbol before the shuffle
 
 
-def test_reconcile_and_median_pass_once_over_the_rows(no_aqe):
-    from feedlake.plans.queries import QUERIES
-    plan = _plan(QUERIES["reconcile_report"](no_aqe, SF_SMALL))
+def test_reconcile_reads_each_side_once_and_shuffles_sums(no_aqe):
+    from feedlake.operators.quality import bucket_digests
+    from feedlake.plans.queries import msgs
+    m = msgs(no_aqe, SF_SMALL)
+    plan = _plan(bucket_digests(m, m.withColumn("mt", F.upper("mt")), ("symbol",)))
     assert plan.count("FileScan parquet") == 2 and "Join" not in plan
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffled and all("bucket" in line for line in shuffled)
+
+
+def test_median_shuffles_no_raw_rows(no_aqe):
+    from feedlake.plans.queries import QUERIES
     # the raw rows of the median are only read, counted and semi-joined to the located hours
     assert "hashpartitioning(symbol, 200" not in _plan(QUERIES["median_split"](no_aqe, SF_SMALL)).split("FileScan parquet")[-1]
 
 
+def test_unit_figures_are_pushed_into_the_scan(spark):
+    from feedlake.operators.export import pushed_counts, write_export
+    from feedlake.plans.queries import msgs
+    from feedlake.session import shared_path
+    path = shared_path(spark, "test-figures")
+    write_export(msgs(spark, SF_SMALL), path)
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "csv")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    plan = _plan(pushed_counts(own, path, ("symbol", "period")))
+    assert "PushedAggregation: [COUNT(*), COUNT(ts), COUNT(mt), COUNT(m)]" in plan
+
+
 def test_decode_compiles_and_no_method_is_too_large(no_aqe):
     from feedlake.operators.decode import decode, decode_messages
     from feedlake.sources.feed import raw_feed
