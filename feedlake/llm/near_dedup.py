@@ -4,14 +4,16 @@ Words are runs of bytes other than ASCII white space, with A-Z lower-cased; a
 document's set holds its distinct ``SIZE``-word shingles as 64-bit hashes. Documents
 with the same set form a class, and only the classes' smallest documents go on. Each
 gets ``BANDS * ROWS`` minima of universal hashes; documents that agree in all rows of
-a band share a bucket. In a bucket, members are first compared with its smallest
-document alone, so a bucket gives as many pairs as it has members. Pairs whose
-signatures agree enough are confirmed on the full sets, a document's likeliest pairs
-first, and components are found by large-star and small-star. Pairs that a component
-already joins are dropped, the rest is confirmed; what is then still apart is compared
-inside the buckets in blocks. No bucket is capped.
-
-At a similarity of 0.75 a pair shares no bucket with a chance of 5e-6, and fails the
+a band share a bucket. First each document is compared with the one that is smallest in
+the most of its buckets, and components of these links are found by large-star and
+small-star. Then the buckets that hold several components are searched whole, in pairs
+of blocks of ``BLOCK`` members: a task has the members' full sets, compares every pair of
+different components on them and returns a spanning forest of the links it finds, less
+rows than members. Members of a bucket's largest component meet only those outside it.
+A pair is compared in the first band that it shares, so once. No bucket is capped.
+
+Pairs whose lengths cannot reach the similarity are left out, which loses nothing. At a
+similarity of 0.75 a pair shares no bucket with a chance of 5e-6, and fails the
 signature check with one of 5e-7.
 """
 
@@ -119,31 +121,17 @@ def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def buckets(rows: DataFrame) -> DataFrame:
-    """``bucket, doc_id``: the band hashes of ``doc_id, signature``."""
+    """``bucket, band, doc_id``: the band hashes of ``doc_id, signature``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 rows = _rows(batch.column(1), np.uint32).reshape(-1, BANDS, ROWS).astype(np.uint64)
                 keys = mixed((rows * _PLACES[:ROWS]).sum(axis=2) + np.arange(BANDS, dtype=np.uint64) * _PLACES[-1])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)),
-                                                  pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["bucket", "doc_id"])
+                                                  pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(keys))),
+                                                  pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["bucket", "band", "doc_id"])
 
-    return rows.select("doc_id", "signature").mapInArrow(run, "bucket long, doc_id long")
-
-
-def agreeing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """``a, b, agree``: the pairs whose signatures agree in ``AGREE`` rows."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                agree = (_rows(batch.column(2), np.uint32) == _rows(batch.column(3), np.uint32)).sum(axis=1)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(agree, pa.int32())],
-                                                 names=["a", "b", "agree"]).filter(pa.array(agree >= AGREE))
-
-    def of(end: str) -> DataFrame:
-        return rows.select(F.col("doc_id").alias(end), F.col("signature").alias(f"of_{end}"))
-    joined = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").select("a", "b", "of_a", "of_b")
-    return joined.mapInArrow(run, "a long, b long, agree int")
+    return rows.select("doc_id", "signature").mapInArrow(run, "bucket long, band int, doc_id long")
 
 
 def full_sets(ids: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -163,7 +151,7 @@ def full_sets(ids: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame
     return stored(own.mapInArrow(read, "doc_id long, hashes binary").groupBy("doc_id").agg(F.min("hashes").alias("hashes")), "near-sets")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b``: the pairs that reach the similarity on their full sets."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,95 +162,88 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFra
                 good.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    ends = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id")))
-    sets = full_sets(ends, docs, key, text)
-
     def of(end: str) -> DataFrame:
         return sets.select(F.col("doc_id").alias(end), F.col("hashes").alias(f"of_{end}"))
-    joined = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").select("a", "b", "of_a", "of_b")
+    few, many = F.least(F.octet_length("of_a"), F.octet_length("of_b")), F.greatest(F.octet_length("of_a"), F.octet_length("of_b"))
+    joined = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").where(100 * few >= PERCENT * many).select("a", "b", "of_a", "of_b")
     return stored(joined.mapInArrow(compare, "a long, b long"), "near-links")
 
 
-def rest_of_buckets(members: DataFrame, rows: DataFrame, lo: int, hi: int) -> DataFrame:
-    """``a, b``: pairs of different components in a bucket whose signatures agree, both unlike the bucket's smallest.
-
-    ``members``: bucket, doc_id, component. A bucket is dealt into blocks of about
-    ``BLOCK`` members; each pair of blocks is one group, compared by numpy. Of a
-    member's agreeing partners in a group and component, those from the ``lo``-th to
-    before the ``hi``-th by agreement are returned.
+def forest(ids: np.ndarray, band: int, sig: np.ndarray, sets: list[np.ndarray], component: np.ndarray,
+           left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join the members' components: every pair of ``left`` and ``right`` members that first agrees in
+    ``band`` and is not joined yet is compared on the full sets."""
+    _, root = np.unique(component, return_inverse=True)
+    members = [np.flatnonzero(root == r) for r in range(int(root.max()) + 1)]
+    names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    size = np.array([len(s) for s in sets])
+    start = np.cumsum(size) - size
+    within, rows = np.zeros(len(names), bool), sig.reshape(len(ids), BANDS, ROWS)
+    links = []
+    for x in left:
+        some = right[(root[right] != root[x]) & (100 * np.minimum(size[right], size[x]) >= PERCENT * np.maximum(size[right], size[x]))]
+        some = some[(rows[some, band] == rows[x, band]).all(axis=1) & ((sig[some] == sig[x]).sum(axis=1) >= AGREE)]
+        if band and len(some):
+            some = some[~(rows[some, :band] == rows[x, :band]).all(axis=2).any(axis=1)]
+        if not len(some):
+            continue
+        own = flat[start[x]:start[x] + size[x]]
+        within[own] = True
+        both = np.array([np.count_nonzero(within[flat[start[y]:start[y] + size[y]]]) for y in some])
+        within[own] = False
+        for y in some[100 * both >= PERCENT * (size[some] + size[x] - both)]:
+            if root[x] != root[y]:
+                small, large = sorted((root[x], root[y]), key=lambda r: len(members[r]))
+                root[members[small]] = large
+                members[large] = np.concatenate([members[large], members[small]])
+                links.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
+    return links
+
+
+def rest_of_buckets(members: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b``: links between different components that share a bucket, enough to join those that are near.
+
+    ``members``: bucket, band, doc_id, component. Of a bucket with several components,
+    the members outside its largest one are dealt into blocks of about ``BLOCK``, and so
+    are those of the largest; each pair of blocks but two of the largest is one group.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches)
-        ids, of, own = (table.column(c).to_numpy() for c in ("doc_id", "component", "own"))
+    def run(table: pa.Table) -> pa.Table:
+        ids, component, own = (table.column(c).to_numpy() for c in ("doc_id", "component", "own"))
+        i, j, band = (table.column(c)[0].as_py() for c in ("i", "j", "band"))
         sig = _rows(table.column("signature").combine_chunks(), np.uint32)
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        left = np.flatnonzero(own == i)
-        right = np.flatnonzero(own == j)
-        for x in left:
-            others = right[(of[right] != of[x]) & ((ids[right] > ids[x]) if i == j else True)]
-            agree = (sig[others] == sig[x]).sum(axis=1)
-            others, agree = others[agree >= AGREE], agree[agree >= AGREE]
-            if len(others):
-                order = np.lexsort((ids[others], -agree, of[others]))
-                others, own_ = others[order], of[others[order]]
-                first = np.flatnonzero(np.r_[True, own_[1:] != own_[:-1]])
-                rank = np.arange(len(others)) - np.repeat(first, np.diff(np.r_[first, len(others)]))
-                others = others[(rank >= lo) & (rank < hi)]
-            if len(others):
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[others], ids[x])),
-                                                  pa.array(np.minimum(ids[others], ids[x]))], names=["a", "b"])
-
-    sizes = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("n > 1 AND lo <> hi").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    dealt = (members.join(sizes, "bucket").join(rows.select("doc_id", "signature"), "doc_id")
-             .withColumn("own", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("bucket", "doc_id", "component", "signature", "own",
+        full = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("hashes")]
+        links = forest(ids, band, sig, full, component, np.flatnonzero(own == i), np.flatnonzero(own == j))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    parts = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    live = (parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("c"))
+            .where("c > 1").select("bucket", F.col("top.component").alias("top"), F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("few"),
+                                   F.ceil(F.col("top.n") / BLOCK).cast("int").alias("many")))
+    outside = F.col("component") != F.col("top")
+    deal = lambda n: F.pmod(F.xxhash64("doc_id"), n)
+    dealt = (members.join(live, "bucket")
+             .withColumn("own", F.when(outside, deal(F.col("few"))).otherwise(F.col("few") + deal(F.col("many"))).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(outside, F.col("few") + F.col("many")).otherwise(F.col("few")) - 1)))
+             .join(rows.select("doc_id", "signature"), "doc_id").join(sets, "doc_id")
+             .select("bucket", "band", "doc_id", "component", "signature", "hashes", "own",
                      F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(lambda t: _one(run, t), "a long, b long").distinct()
-
-
-def _one(run, table: pa.Table) -> pa.Table:
-    found = list(run(table.to_batches()))
-    return pa.Table.from_batches(found) if found else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-
-
-class _Groups:
-    """The components found so far, and the pairs that were compared."""
-
-    def __init__(self, docs: DataFrame, key: str, text: str, rows: DataFrame):
-        self.docs, self.key, self.text, self.rows = docs, key, text, rows
-        spark = docs.sparkSession
-        self.found = spark.createDataFrame([], "node long, component long")
-        self.compared = spark.createDataFrame([], "a long, b long")
-
-    def component_of(self, df: DataFrame, node: str, name: str) -> DataFrame:
-        known = self.found.select(F.col("node").alias(node), F.col("component").alias(name))
-        return df.join(known, node, "left").withColumn(name, F.coalesce(name, node))
-
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs that were not compared and lie in different components."""
-        labelled = self.component_of(self.component_of(pairs, "a", "ca"), "b", "cb")
-        return labelled.where("ca <> cb").drop("ca", "cb").join(self.compared, ["a", "b"], "left_anti")
-
-    def join(self, pairs: DataFrame) -> bool:
-        """Compare pairs by signature, then on the full sets, and merge the components of those that are near.
-        Returns whether there were pairs that the signatures let pass."""
-        pairs = stored(pairs.distinct(), "near-pairs")
-        likely = stored(agreeing(pairs.join(self.compared, ["a", "b"], "left_anti"), self.rows), "near-likely")
-        self.compared = stored(self.compared.unionByName(pairs), "near-compared")
-        if not likely.limit(1).count():
-            return bool(pairs.limit(1).count())
-        links = confirmed(likely, self.docs, self.key, self.text)
-        if links.limit(1).count():
-            # components of the components: the links between them, and what they held before
-            between = self.component_of(self.component_of(links, "a", "ca"), "b", "cb")
-            merged = stored(components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "near-merged")
-            label = merged.select(F.col("node").alias("component"), F.col("component").alias("new"))
-            moved = self.found.join(label, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
-            fresh = merged.join(self.found, "node", "left_anti").select("node", "component")
-            self.found = stored(moved.unionByName(fresh), "near-components")
-        return True
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def _merged(links: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``node, component`` after the links: components of the components where some are known already."""
+    if found is None:
+        return stored(components(links), "near-components")
+    between = _component(found, _component(found, links, "a", "ca"), "b", "cb")
+    merged = stored(components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "near-merged")
+    label = merged.select(F.col("node").alias("component"), F.col("component").alias("new"))
+    moved = found.join(label, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
+    return stored(moved.unionByName(merged.join(found, "node", "left_anti").select("node", "component")), "near-components")
+
+
+def _component(found: DataFrame, df: DataFrame, node: str, name: str) -> DataFrame:
+    known = found.select(F.col("node").alias(node), F.col("component").alias(name))
+    return df.join(known, node, "left").withColumn(name, F.coalesce(name, node))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -280,21 +261,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = classes.select(F.col("rep").alias("doc_id"), "signature")
 
     every = buckets(rows)
-    shared = every.groupBy("bucket").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(every.join(shared, "bucket").where("doc_id <> center"), "near-buckets")
-    # how many buckets a pair shares tells its likelihood before any signature is read
-    stars = stored(members.groupBy(F.col("doc_id").alias("a"), F.col("center").alias("b")).agg(F.count(F.lit(1)).alias("times")), "near-stars")
-    groups = _Groups(docs, key, text, rows)
-    for _ in range(2):
-        likeliest = groups.apart(stars).groupBy("a").agg(F.max(F.struct("times", (-F.col("b")).alias("b"))).alias("m"))
-        if not groups.join(likeliest.select("a", (-F.col("m.b")).alias("b"))):
-            break
-    groups.join(groups.apart(stars).select("a", "b"))
-    inside, lo, hi = members.where("n > 2").select("bucket", "doc_id"), 0, 1
-    while groups.join(rest_of_buckets(groups.component_of(inside, "doc_id", "component"), rows, lo, hi)):
-        lo, hi = hi, 4 * hi + 1
-
-    final = groups.component_of(classes.select("set_key", "rep"), "rep", "component_id").select("set_key", "component_id")
+    shared = every.groupBy("bucket").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    members = stored(every.join(shared, "bucket"), "near-buckets")
+    sets = full_sets(members.select(F.col("doc_id").alias("_id")), docs, key, text)
+    # in how many buckets a document has the same smallest one tells which is likeliest near
+    stars = members.where("doc_id <> center").groupBy(F.col("doc_id").alias("a"), F.col("center").alias("b")).agg(F.count(F.lit(1)).alias("times"))
+    likeliest = stars.groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b"))
+    found = _merged(confirmed(likeliest, sets), None)
+    inside = _component(found, members, "doc_id", "component").select("bucket", "band", "doc_id", "component")
+    links = stored(rest_of_buckets(inside, rows, sets), "near-rest")
+    found = _merged(links, found)
+    final = _component(found, classes.select("set_key", "rep"), "rep", "component_id").select("set_key", "component_id")
     return (base.join(final, "set_key", "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
@@ -303,18 +280,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, that ``near_duplicates`` keeps.
 
-    Rows without an id take part as if they had ids above all others, each its own: one
-    whose group has an id is dropped, and of a group without any id one row is kept.
+    Rows without an id of their own (null, or one that several rows have) take part as if
+    they had ids above all others, each its own: one whose group has another id is dropped,
+    and of a group without any one row is kept; so of repeated rows one stays.
     """
-    if docs.where(F.col(key).isNull()).limit(1).count():
+    ids = docs.select(F.col(key).cast("long").alias("_id"))
+    repeated = ids.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 OR _id IS NULL").select("_id")
+    if repeated.limit(1).count():
         own = "_own"
         while own in docs.columns:
             own = f"_{own}"
-        top = F.lit(docs.agg(F.max(F.col(key).cast("long"))).first()[0] or 0)
+        top = F.lit(ids.agg(F.max("_id")).first()[0] or 0)
+        shared = repeated.select(F.col("_id").alias(f"{own}_id"), F.lit(True).alias(f"{own}_shared"))
+        marked = docs.join(shared, docs[key].cast("long").eqNullSafe(shared[f"{own}_id"]), "left")
+        number = F.when(F.col(f"{own}_shared"), top + 1 + F.monotonically_increasing_id()).otherwise(docs[key].cast("long"))
         # stored, as the numbers hold for one reading only
-        numbered = stored(docs.withColumn(own, F.coalesce(F.col(key).cast("long"), top + 1 + F.monotonically_increasing_id())), "near-numbered")
+        numbered = stored(marked.select(*[docs[c] for c in docs.columns], number.alias(own)), "near-numbered")
         return one_of_each(numbered, own, text).drop(own)
-    gone = stored(near_duplicates(docs, key, text).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
+    gone = stored(near_duplicates(docs, key, text).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
     if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
     return docs.join(gone, docs[key] == gone["_gone"], "left_anti")

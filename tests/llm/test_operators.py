@@ -371,14 +371,28 @@ def test_near_dedup_equals_all_pairs(docs, block, monkeypatch):
     assert ids(near_dedup.near_duplicates(docs(rows)), "doc_id", "n_shingles", "component_id", "kept") == _brute_near(rows)
 
 
-def test_near_dedup_finds_links_between_members_unlike_the_smallest(spark, docs, monkeypatch):
-    # the signatures of a bucket's smallest agree with none, those of two others agree
+def test_near_dedup_links_whole_buckets_by_a_forest(spark, monkeypatch):
+    # one bucket: a large component, members near some of it, members near each other, one apart
     rng = np.random.default_rng(10)
-    sig = rng.integers(0, 1 << 32, (3, 128), dtype=np.uint64).astype(np.uint32)
-    sig[2] = sig[1]
-    rows = spark.createDataFrame([(i, bytearray(sig[i].tobytes())) for i in range(3)], "doc_id long, signature binary")
-    members = spark.createDataFrame([(7, 1, 1), (7, 2, 2)], "bucket long, doc_id long, component long")
-    assert ids(near_dedup.rest_of_buckets(members, rows, 0, 1), "a", "b") == [(2, 1)]
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    base = np.sort(rng.integers(0, 1 << 63, (3, 100)).astype(np.uint64), axis=1)
+    kind = [0] * 8 + [1] * 6 + [2] + [0] * 3
+    sets = [np.sort(np.r_[base[k][:95], rng.integers(0, 1 << 63, 5).astype(np.uint64)]) for k in kind]
+    sig = near_dedup.signatures(sets)
+    sig[:, :4] = 7   # all share the first band
+    n = len(kind)
+    rows = spark.createDataFrame([(i, bytearray(sig[i].tobytes())) for i in range(n)], "doc_id long, signature binary")
+    full = spark.createDataFrame([(i, bytearray(sets[i].tobytes())) for i in range(n)], "doc_id long, hashes binary")
+    members = spark.createDataFrame([(7, 0, i, 0 if i < 8 else i) for i in range(n)], "bucket long, band int, doc_id long, component long")
+    links = ids(near_dedup.rest_of_buckets(members, rows, full), "a", "b")
+    assert all(kind[a] == kind[b] for a, b in links)
+    joined = {r.node: r.component for r in components.components(
+        spark.createDataFrame(links + [(i, 0) for i in range(1, 8)], "a long, b long")).collect()}
+    assert [joined.get(i, i) for i in range(n)] == [0] * 8 + [8] * 6 + [14] + [0] * 3
+    # of one pair of blocks less links than members; of another band nothing, as the pairs agree in an earlier one
+    own = near_dedup.forest(np.arange(n), 0, sig, sets, np.arange(n), np.arange(n), np.arange(n))
+    assert len(own) == n - 3
+    assert near_dedup.forest(np.arange(n), 1, sig, sets, np.arange(n), np.arange(n), np.arange(n)) == []
 
 
 def test_components(spark):
@@ -398,8 +412,8 @@ def test_near_dedup_odd_rows(odd):
     rows = collections.Counter(ids(got, "doc_id", "n_shingles", "component_id", "kept"))
     assert rows[(1, 6, 1, True)] == 2 and rows[(2, 0, 2, True)] == 1 and rows[(4, 0, 4, True)] == 1 and rows[(None, 0, None, True)] == 1
     kept = near_dedup.one_of_each(odd)
-    assert kept.columns == odd.columns and kept.count() == 10
-    assert near_dedup.near_duplicates(odd.limit(0)).count() == 0
+    assert kept.columns == odd.columns and kept.count() == 9 and kept.where("doc_id = 1").count() == 1   # the row of id 1 is there twice
+    assert near_dedup.near_duplicates(odd.limit(0)).count() == 0 and near_dedup.one_of_each(odd.limit(0)).count() == 0
 
 
 def test_rows_without_an_id_are_deduplicated(docs):
