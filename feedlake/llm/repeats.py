@@ -9,8 +9,8 @@ anchor form a fragment.
 1. The documents are packed, some megabytes of whole texts a row.
 2. The packs' anchors meet by hash; those seen in one document alone end here.
 3. The fragments of shared anchors, each once a pack with its smallest document, go to
-   shards by anchor. A shard sorts all suffixes of its distinct fragments by induced
-   sorting; permuted common prefixes of LENGTH bytes or more join equal windows, and
+   shards by anchor. Of the distinct fragments, those that are alone with their anchor
+   share no window; a shard sorts all suffixes of the others by induced sorting; permuted common prefixes of LENGTH bytes or more join equal windows, and
    each gets the smallest document it occurs in.
 4. That goes back to the packs, which remove what a smaller document has.
 
@@ -260,6 +260,18 @@ def smallest_documents(texts: list[bytes], ids: np.ndarray, length: int = LENGTH
     return np.split(least, ends[:-1])
 
 
+def meeting(texts: list[bytes]) -> np.ndarray:
+    """Which of the distinct fragments may hold a window of another: those whose anchor another fragment has as well,
+    unless all of these are single windows, which differ."""
+    head = np.frombuffer(b"".join(t[:LENGTH] + bytes(8) for t in texts), np.uint8).reshape(len(texts), LENGTH + 8)
+    loads = [np.ascontiguousarray(head[:, i:i + 8]).view(np.uint64).ravel() for i in range(LENGTH - 7)]
+    code = np.stack([sum(loads[i + 8 * j] * _M[j] for j in range(K // 8)) for i in range(WINDOW)])
+    _, group, size = np.unique(mixed(code).min(axis=0), return_inverse=True, return_counts=True)
+    longest = np.zeros(len(size), np.int64)
+    np.maximum.at(longest, group, [len(t) for t in texts])
+    return ((size > 1) & (longest > LENGTH))[group]
+
+
 def shard_results(sent: DataFrame) -> DataFrame:
     """``pack_id, shard, runs, stops, least``: for a pack's fragments, runs of windows with their smallest ids."""
     def run(table: pa.Table) -> pa.Table:
@@ -277,10 +289,15 @@ def shard_results(sent: DataFrame) -> DataFrame:
                 mine.append(i)
                 at += size
             held.append(mine)
-        windows = smallest_documents(list(number), np.array(least))
+        texts, ids = list(number), np.array(least)
+        met = meeting(texts)
+        sorted_ = iter(smallest_documents([t for t, m in zip(texts, met) if m], ids[met]) if met.any() else ())
         runs = []
-        for text, value in zip(number, windows):
-            value = value[:len(text) - LENGTH + 1]
+        for text, m, own in zip(texts, met.tolist(), least):
+            if not m:  # no other fragment has its anchor: its windows are its own
+                runs.append(([len(text) - LENGTH + 1], [own]))
+                continue
+            value = next(sorted_)[:len(text) - LENGTH + 1]
             stop = np.flatnonzero(np.r_[value[1:] != value[:-1], True])
             runs.append(((stop + 1).tolist(), value[stop].tolist()))
         return pa.table({"pack_id": table.column("pack_id"), "shard": table.column("shard"),

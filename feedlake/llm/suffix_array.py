@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Alphabets up to this size are induced bucket by bucket; the names of a recursion's deeper
-#: level are usually more, and are ranked by doubling.
-BUCKETS = 1 << 12
+#: Buckets of at least so many suffixes on average are induced a bucket at a time, by numpy; the names of a
+#: recursion's deeper level have smaller ones, and are induced suffix by suffix. Both give the same order.
+FULL = 32
 
 
 def _types(s: np.ndarray) -> np.ndarray:
@@ -41,6 +41,8 @@ class _Text:
 
     def induce(self, lms: np.ndarray) -> np.ndarray:
         """The order of all suffixes from that of the leftmost smaller ones (or of their first characters alone)."""
+        if len(self.s) < FULL * self.size:
+            return self._one_by_one(lms)
         sa = np.full(len(self.s), -1, np.int32)
         last = self.tails - 1
         self._place(sa, last, lms[::-1], self.s[lms[::-1]], -1)
@@ -62,6 +64,30 @@ class _Text:
             self._before(sa, sa[self.heads[c]:first[c]][::-1], last, True, -1)
         return sa
 
+    def _one_by_one(self, lms: np.ndarray) -> np.ndarray:
+        """The same in one linear pass up and one down, with a pointer a bucket."""
+        s, small, n = self.s.tolist(), self.small.tolist(), len(self.s)
+        sa, last = [-1] * n, (self.tails - 1).tolist()
+        for i in lms[::-1].tolist():
+            c = s[i]
+            sa[last[c]] = i
+            last[c] -= 1
+        first = self.heads.tolist()
+        for i in range(n):
+            j = sa[i] - 1
+            if j >= 0 and not small[j]:
+                c = s[j]
+                sa[first[c]] = j
+                first[c] += 1
+        last = (self.tails - 1).tolist()
+        for i in range(n - 1, -1, -1):
+            j = sa[i] - 1
+            if j >= 0 and small[j]:
+                c = s[j]
+                sa[last[c]] = j
+                last[c] -= 1
+        return np.array(sa, np.int32)
+
     def _before(self, sa: np.ndarray, suffixes: np.ndarray, at: np.ndarray, small: bool, step: int) -> None:
         code = self.code[suffixes - 1]
         keep = np.flatnonzero((code & 3) == small)
@@ -69,22 +95,6 @@ class _Text:
             self._place(sa, at, suffixes[keep] - 1, code[keep] >> 2, step)
 
 
-def _by_doubling(ranks: np.ndarray) -> np.ndarray:
-    n, width = len(ranks), 1
-    ranks = ranks.astype(np.int64)
-    while True:
-        key = ranks * (n + 1)
-        key[:n - width] += ranks[width:] + 1
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        new = np.cumsum(np.r_[0, key[1:] != key[:-1]])
-        ranks = np.empty(n, np.int64)
-        ranks[order] = new
-        width *= 2
-        if new[-1] == n - 1 or width >= n:
-            return order.astype(np.int32)
-
-
 def _names(s: np.ndarray, order: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Names of the substrings s[order : stop] (stop included) in that order: equal substrings share a name."""
     a, b = order[:-1], order[1:]
@@ -105,8 +115,6 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
     """Order of the suffixes of ``s``, whole numbers below ``size`` that end with the only 0."""
     if len(s) == 1:
         return np.zeros(1, np.int32)
-    if size > BUCKETS:
-        return _by_doubling(s)
     text = _Text(s, size)
     lms = np.flatnonzero(text.small[1:] & ~text.small[:-1]).astype(np.int32) + 1
     sa = text.induce(lms)

@@ -154,13 +154,39 @@ def test_suffix_array_and_prefixes():
             assert prefix[b] == same
 
 
-def test_many_names_go_by_doubling(monkeypatch):
-    from feedlake.llm import suffix_array as module
-    monkeypatch.setattr(module, "BUCKETS", 8)
-    rng = np.random.default_rng(2)
-    s = np.append(rng.integers(1, 7, 3000), 0)
-    values = s.tolist()
-    assert suffix_array(s, 7).tolist() == sorted(range(len(values)), key=lambda i: values[i:])
+@pytest.mark.parametrize("full", [0, 1, 32, 1 << 30])
+def test_every_level_of_the_recursion_is_induced(monkeypatch, full):
+    import feedlake.llm.suffix_array as module
+    monkeypatch.setattr(module, "FULL", full)   # buckets at a time, suffix by suffix, or by the buckets' sizes
+    rng, levels, induce = np.random.default_rng(15), [], module._Text.induce
+    monkeypatch.setattr(module._Text, "induce", lambda self, lms: levels.append((len(self.s), self.size)) or induce(self, lms))
+    word = rng.integers(1, 200, 300).tolist()
+    texts = [rng.integers(1, 6, 600).tolist(), rng.integers(1, 250, 900).tolist() + word + [7] * 40 + word, [1, 2] * 200 + [1] * 90 + [2, 1] * 100]
+    for values in texts:
+        levels.clear()
+        s = np.array(values + [0], np.int16)
+        values = s.tolist()
+        assert suffix_array(s, 256).tolist() == sorted(range(len(values)), key=lambda i: values[i:])
+        # two inductions a level, and a level below for names that repeat
+        assert len(levels) >= 2 and len(levels) % 2 == 0
+    levels.clear()
+    repeated = np.array((rng.integers(1, 250, 4000).tolist()) * 2 + [0], np.int16)
+    suffix_array(repeated, 256)
+    assert len({n for n, _ in levels}) >= 2 and max(size for n, size in levels[1:]) > 500   # names of a deeper level
+
+
+def test_fragments_alone_with_their_anchor_are_not_sorted(monkeypatch):
+    rng = random.Random(16)
+    text = bytes(rng.choices(range(97, 123), k=3000))
+    packs_ = [repeats.Pack(__import__("pyarrow").RecordBatch.from_pydict({"doc_id": [i], "text": [t.decode()]}))
+              for i, t in enumerate((text, text[500:900] + b"other " * 30, b"xyz" + text[1000:1060], text))]
+    found = [(p.bytes[b:b + w + repeats.LENGTH - 1], int(a)) for p in packs_ for b, w, a, _ in zip(*p.fragments())]
+    texts = sorted({t for t, _ in found})
+    anchor = dict(found)
+    several = collections.Counter(anchor[t] for t in texts)
+    longest = {a: max(len(t) for t in texts if anchor[t] == a) for a in several}
+    met = repeats.meeting(texts)
+    assert met.tolist() == [several[anchor[t]] > 1 and longest[anchor[t]] > repeats.LENGTH for t in texts] and 0 < met.sum() < len(texts) / 4
 
 
 def _brute_repeats(rows):
