@@ -71,6 +71,13 @@ def _sliding(f, a: np.ndarray, width: int) -> np.ndarray:
     return f(a[:size - width], a[width - size:]) if size < width else a
 
 
+def _within(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which of the values are among the ordered ones."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
 class Pack:
     """Whole texts as one run of bytes; ``fragments`` gives its anchored fragments."""
 
@@ -84,17 +91,16 @@ class Pack:
         self.data = np.frombuffer(self.bytes, np.uint8)
 
     def _anchors(self, lo: int, hi: int) -> np.ndarray:
-        """Anchor of the windows that begin in lo..hi."""
+        """The smallest hash in the windows that begin in lo..hi."""
         data = np.zeros(hi - lo + LENGTH + 8, np.uint8)
         own = self.data[lo:hi + LENGTH + 8]
         data[:len(own)] = own
         loads = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1)).copy().view(np.uint64).ravel()
         n = hi - lo + WINDOW - 1
         code = sum(loads[8 * j:8 * j + n] * _M[j] for j in range(K // 8))
-        # smallest hashes crowd at the low end: mixed again, they fall evenly on the shards
-        return mixed(_sliding(np.minimum, mixed(code), WINDOW)[:hi - lo])
+        return _sliding(np.minimum, mixed(code), WINDOW)[:hi - lo]
 
-    def fragments(self, step: int = 1 << 19) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def fragments(self, step: int = 1 << 16) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Begin, number of windows, anchor and document of the fragments, in order."""
         out, i = [], 0
         while i < len(self.ids):
@@ -110,7 +116,8 @@ class Pack:
                 begin = np.flatnonzero(new & inside)
                 # a fragment ends at the next one or where windows no longer fit
                 stop = np.minimum(np.r_[begin[1:], hi - lo], self.ends[doc[begin]] - LENGTH + 1 - lo)
-                out.append((begin + lo, stop - begin, value[begin], doc[begin]))
+                # smallest hashes crowd at the low end: mixed again, they fall evenly on the shards
+                out.append((begin + lo, stop - begin, mixed(value[begin]), doc[begin]))
             i = j
         return tuple(np.concatenate(x) for x in zip(*out)) if out else tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.int64))
 
@@ -118,9 +125,9 @@ class Pack:
         """The fragments of shared anchors (windows one by one for hot ones), and by shard what is sent of them:
         begin, windows, document, number of the distinct fragment; (shard, texts, smallest ids) of those."""
         begin, windows, anchor, doc = self.fragments()
-        keep = np.isin(anchor >> DROP, keys)
+        keep = _within(anchor >> DROP, keys)
         begin, windows, anchor, doc = begin[keep], windows[keep], anchor[keep], doc[keep]
-        single = np.isin(anchor >> DROP, hot)
+        single = _within(anchor >> DROP, hot)
         if single.any():
             times = np.where(single, windows, 1)
             offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
@@ -201,7 +208,7 @@ def shared_anchors(anchors: DataFrame, hot: int) -> DataFrame:
         key, packs_ = np.unique(np.concatenate(each), return_counts=True)
         again = np.unique(np.concatenate([e[t] for e, t in zip(each, twice)]))
         packs_hot = packs_ > hot
-        shared = (packs_ > 1) | np.isin(key, again)
+        shared = (packs_ > 1) | _within(key, again)
         found = [np.searchsorted(key, e) for e in each]
         mine = [e[shared[f]] for e, f in zip(each, found)]
         hots = [e[packs_hot[f]] for e, f in zip(each, found)]

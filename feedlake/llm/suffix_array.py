@@ -66,25 +66,25 @@ class _Text:
 
     def _one_by_one(self, lms: np.ndarray) -> np.ndarray:
         """The same in one linear pass up and one down, with a pointer a bucket."""
-        s, small, n = self.s.tolist(), self.small.tolist(), len(self.s)
+        s, n = self.s.tolist(), len(self.s)
+        # the bucket that a suffix induces into, if the one before it is larger, or smaller; -1: none (also for an empty place)
+        up, down = ([-1, *np.where(own, self.s[:-1], -1).tolist(), -1] for own in (~self.small[:-1], self.small[:-1]))
         sa, last = [-1] * n, (self.tails - 1).tolist()
         for i in lms[::-1].tolist():
             c = s[i]
             sa[last[c]] = i
             last[c] -= 1
         first = self.heads.tolist()
-        for i in range(n):
-            j = sa[i] - 1
-            if j >= 0 and not small[j]:
-                c = s[j]
-                sa[first[c]] = j
+        for i in sa:  # places ahead are filled on the way
+            c = up[i]
+            if c >= 0:
+                sa[first[c]] = i - 1
                 first[c] += 1
         last = (self.tails - 1).tolist()
-        for i in range(n - 1, -1, -1):
-            j = sa[i] - 1
-            if j >= 0 and small[j]:
-                c = s[j]
-                sa[last[c]] = j
+        for i in reversed(sa):
+            c = down[i]
+            if c >= 0:
+                sa[last[c]] = i - 1
                 last[c] -= 1
         return np.array(sa, np.int32)
 
