@@ -245,8 +245,9 @@ def fragments(packed: DataFrame, shared: DataFrame, shards: int) -> DataFrame:
             .applyInArrow(run, "shard long, pack_id long, sizes array<int>, least array<long>, data binary"))
 
 
-def smallest_documents(texts: list[bytes], ids: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """For every window of every text, the smallest id among the texts that hold the window: by suffix array."""
+def smallest_documents(texts: list[bytes], ids: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """For every window of the texts, in order: its text's number, and the smallest id among the texts that hold the
+    window, by suffix array."""
     sizes = np.array([len(t) for t in texts])
     data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
     ends = np.cumsum(sizes + 1)
@@ -255,7 +256,8 @@ def smallest_documents(texts: list[bytes], ids: np.ndarray, length: int = LENGTH
     sa = suffix_array(np.append(values, np.int16(0)), 258)[1:]
     text = np.repeat(np.arange(len(texts)), sizes + 1)
     whole = np.arange(len(data)) + length <= (ends - 1)[text]  # a window begins here
-    prefix = permuted_common_prefixes(data, sa, length, np.flatnonzero(whole))
+    windows = np.flatnonzero(whole)
+    prefix = permuted_common_prefixes(data, sa, length, windows)
     before = np.zeros(len(data), bool)
     before[sa[1:]] = whole[sa[:-1]]
     kept = sa[whole[sa]]
@@ -263,8 +265,25 @@ def smallest_documents(texts: list[bytes], ids: np.ndarray, length: int = LENGTH
     least = np.full(len(data), _NO_ID)
     if len(kept):
         smallest = np.minimum.reduceat(ids[text[kept]], first)
-        least[kept] = np.repeat(smallest, np.diff(np.r_[first, len(kept)]))
-    return np.split(least, ends[:-1])
+        least[kept] = np.repeat(smallest, np.diff(np.append(first, len(kept))))
+    return text[windows], least[windows]
+
+
+def window_runs(texts: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one smallest id, text by text: how many a text has, where each stops in its text, its id."""
+    met = meeting(texts)
+    # a text that meets no other is one run of its own
+    text, least = np.flatnonzero(~met), ids[~met]
+    stop = np.array([len(t) for t in texts])[text] - LENGTH + 1
+    if met.any():
+        of, smallest = smallest_documents([t for t, m in zip(texts, met.tolist()) if m], ids[met])
+        last = np.flatnonzero(np.append((of[1:] != of[:-1]) | (smallest[1:] != smallest[:-1]), True))
+        begin = np.searchsorted(of, of[last])
+        text, stop = np.r_[text, np.flatnonzero(met)[of[last]]], np.r_[stop, last - begin + 1]
+        least = np.r_[least, smallest[last]]
+        order = np.argsort(text, kind="stable")
+        text, stop, least = text[order], stop[order], least[order]
+    return np.bincount(text, minlength=len(texts)), stop, least
 
 
 def meeting(texts: list[bytes]) -> np.ndarray:
@@ -282,35 +301,25 @@ def meeting(texts: list[bytes]) -> np.ndarray:
 def shard_results(sent: DataFrame) -> DataFrame:
     """``pack_id, shard, runs, stops, least``: for a pack's fragments, runs of windows with their smallest ids."""
     def run(table: pa.Table) -> pa.Table:
+        sizes, own = (table.column(c).combine_chunks() for c in ("sizes", "least"))
+        each = np.append(0, np.cumsum(sizes.value_lengths().to_numpy()))  # fragments of the packs
+        sizes, own = sizes.flatten().to_numpy(), own.flatten().to_numpy()
+        ends = np.cumsum(sizes)
+        raw = np.diff(np.append(0, ends)[each])
+        whole = b"".join(pa.decompress(d, int(n), codec="zstd", asbytes=True) for d, n in zip(table.column("data").to_pylist(), raw))
         number: dict[bytes, int] = {}
-        least: list[int] = []
-        held = []
-        for sizes, own, data in zip(*(table.column(c).to_pylist() for c in ("sizes", "least", "data"))):
-            whole, at, mine = pa.decompress(data, sum(sizes), codec="zstd", asbytes=True), 0, []
-            for size, doc in zip(sizes, own):
-                i = number.setdefault(whole[at:at + size], len(number))
-                if i == len(least):
-                    least.append(doc)
-                elif doc < least[i]:
-                    least[i] = doc
-                mine.append(i)
-                at += size
-            held.append(mine)
-        texts, ids = list(number), np.array(least)
-        met = meeting(texts)
-        sorted_ = iter(smallest_documents([t for t, m in zip(texts, met) if m], ids[met]) if met.any() else ())
-        runs = []
-        for text, m, own in zip(texts, met.tolist(), least):
-            if not m:  # no other fragment has its anchor: its windows are its own
-                runs.append(([len(text) - LENGTH + 1], [own]))
-                continue
-            value = next(sorted_)[:len(text) - LENGTH + 1]
-            stop = np.flatnonzero(np.r_[value[1:] != value[:-1], True])
-            runs.append(((stop + 1).tolist(), value[stop].tolist()))
-        return pa.table({"pack_id": table.column("pack_id"), "shard": table.column("shard"),
-                         "runs": pa.array([[len(runs[i][0]) for i in mine] for mine in held], pa.list_(pa.int32())),
-                         "stops": pa.array([[s for i in mine for s in runs[i][0]] for mine in held], pa.list_(pa.int32())),
-                         "least": pa.array([[s for i in mine for s in runs[i][1]] for mine in held], pa.list_(pa.int64()))})
+        at = np.array([number.setdefault(whole[e - n:e], len(number)) for n, e in zip(sizes.tolist(), ends.tolist())], np.int64)
+        ids = np.full(len(number), _NO_ID)
+        np.minimum.at(ids, at, own)
+        counts, stops, least = window_runs(list(number), ids)
+        times = counts[at]
+        entry = np.repeat((np.cumsum(counts) - counts)[at] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        total = np.append(0, np.cumsum(times))[each]
+
+        def lists(offsets: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+        return pa.table({"pack_id": table.column("pack_id"), "shard": table.column("shard"), "runs": lists(each, times, pa.int32()),
+                         "stops": lists(total, stops[entry], pa.int32()), "least": lists(total, least[entry], pa.int64())})
 
     return sent.groupBy("shard").applyInArrow(run, "pack_id long, shard long, runs array<int>, stops array<int>, least array<long>")
 
