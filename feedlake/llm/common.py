@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Iterator
 
@@ -24,6 +25,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return what a worker's allocators hold unused to the system: workers live on from task to task, and those of
+    several stages add up in an executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def fold(key: Column, n: int) -> Column:
     """crc32 of the key's decimal text, modulo ``n`` (null key: the empty text)."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 
-from feedlake.llm.common import slices, stored
+from feedlake.llm.common import give_back, slices, stored
 from feedlake.llm.near_dedup import hash_words
 
 BITS = 17
@@ -377,5 +377,6 @@ def uncontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
                     if not part.num_rows:
                         break
                 yield part
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

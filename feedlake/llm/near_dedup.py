@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from feedlake.llm.common import slices, stored
+from feedlake.llm.common import give_back, slices, stored
 from feedlake.llm.components import components
 
 SIZE, PERCENT = 5, 75
@@ -115,6 +115,7 @@ def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
                      pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary())],
                     names=["doc_id", "n_shingles", "set_key", "signature"])
+        give_back()
 
     picked = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text))
     return picked.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary")
@@ -213,6 +214,8 @@ def rest_of_buckets(members: DataFrame, rows: DataFrame, sets: DataFrame) -> Dat
         sig = _rows(table.column("signature").combine_chunks(), np.uint32)
         full = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("hashes")]
         links = forest(ids, band, sig, full, component, np.flatnonzero(own == i), np.flatnonzero(own == j))
+        if table.num_rows >= BLOCK:
+            give_back()
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     parts = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from feedlake.llm.common import nullable, parts, slices, stored, text_bytes
+from feedlake.llm.common import give_back, nullable, parts, slices, stored, text_bytes
 from feedlake.llm.near_dedup import mixed
 from feedlake.llm.suffix_array import permuted_common_prefixes, suffix_array
 
@@ -237,6 +237,7 @@ def fragments(packed: DataFrame, shared: DataFrame, shards: int) -> DataFrame:
             for a, b in zip(cut, [*cut[1:], len(shard)]):
                 rows.append((int(shard[a]), left.column("pack_id")[0].as_py(), [len(t) for t in texts[a:b]], least[a:b].tolist(),
                              pa.compress(b"".join(texts[a:b]), codec="zstd", asbytes=True)))
+        give_back()
         columns = list(zip(*rows)) or [[]] * 5
         kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary())
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "pack_id", "sizes", "least", "data"])
@@ -316,6 +317,9 @@ def shard_results(sent: DataFrame) -> DataFrame:
         entry = np.repeat((np.cumsum(counts) - counts)[at] - (np.cumsum(times) - times), times) + np.arange(times.sum())
         total = np.append(0, np.cumsum(times))[each]
 
+        del whole, number
+        give_back()
+
         def lists(offsets: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
             return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
         return pa.table({"pack_id": table.column("pack_id"), "shard": table.column("shard"), "runs": lists(each, times, pa.int32()),
@@ -368,6 +372,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", col
             mask = removed[a:b]
             kept = pack.data[a:b][~mask].tobytes()
             out.append((b - a, int(mask.sum()), int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum()), hashlib.sha256(kept).hexdigest(), kept))
+        give_back()
         n_bytes, n_removed, n_spans, sha, kept = zip(*out)
         if decode:
             kept = [k.decode(errors="ignore") if t.is_valid else None for k, t in zip(kept, pack.batch.column("text"))]
