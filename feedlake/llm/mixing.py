@@ -11,13 +11,17 @@ sampling pass.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Tables of rates with at most this many sources are broadcast; larger ones are joined salted.
 BROADCAST_SOURCES = 20_000
 SALTS = 64
 #: md5 digits that make a uniform value of 52 bits.
 DIGITS = 13
+#: Distribution functions that would start below this start at 0 (Stirling's series is too short there).
+LEAST_START = 20
 
 
 def uniform(seed: int, *parts: Column) -> Column:
@@ -26,18 +30,39 @@ def uniform(seed: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, DIGITS), 16, 10).cast("double") / float(16**DIGITS)
 
 
-def poisson_steps(rate: Column) -> Column:
-    """The Poisson distribution function at 0, 1, 2, ... until it is 1 to 1e-15 or so:
-    summed from log probabilities, which do not underflow for large rates."""
-    top = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
-    start = F.struct((-rate).alias("logp"), F.exp(-rate).alias("cdf"), F.array(F.exp(-rate)).alias("steps"))
-
-    def step(acc: Column, k: Column) -> Column:
-        logp = acc["logp"] + F.log(rate) - F.log(k.cast("double"))
-        cdf = acc["cdf"] + F.exp(logp)
-        return F.struct(logp.alias("logp"), cdf.alias("cdf"), F.concat(acc["steps"], F.array(cdf)).alias("steps"))
+def poisson_steps(rates: DataFrame) -> DataFrame:
+    """``_source, first, steps, strides`` from ``_source, rate``, one row per source: the Poisson distribution
+    function at ``first``, ``first + 1``, ... until it is 1 to 1e-15 or so, and the falling powers of two that
+    search it.
 
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), top), start, step, lambda acc: acc["steps"]))
+    Twelve deviations either side of the rate are kept, so a row grows with the square root of its rate. The first
+    probability comes from Stirling's series where ``first`` is above 0; the others are running sums of logarithms
+    of ratios, which do not underflow. A rate of 0 has the step 1 at 0.
+    """
+    rate, first = F.col("rate"), F.col("first")
+    reach = 12 * F.sqrt(rate) + 30
+    low = F.floor(rate - reach)
+    # k ln(rate) - rate - ln k!, by ln(rate / k) = log1p(d), so that large terms do not cancel
+    d = (rate - first) / first
+    stirling = (first * (F.log1p(d) - d) - F.log(2 * math.pi * first) / 2
+                - 1 / (12 * first) + 1 / (360 * F.pow(first, F.lit(3))) - 1 / (1260 * F.pow(first, F.lit(5))))
+    term = (F.when(F.col("k") > first, F.log1p((rate - F.col("k")) / F.col("k")))
+            .otherwise(F.when(first > 0, stirling).otherwise(-rate)))
+    so_far = Window.partitionBy("_source").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    steps = (rates.where(rate > 0).withColumn("first", F.when(low >= LEAST_START, low).otherwise(0).cast("int"))
+             .withColumn("k", F.explode(F.sequence(first, F.ceil(rate + reach).cast("int"))))
+             .withColumn("logp", F.sum(term).over(so_far)).withColumn("cdf", F.sum(F.exp("logp")).over(so_far))
+             .groupBy("_source", "first").agg(F.array_sort(F.collect_list(F.struct("k", "cdf")))["cdf"].alias("steps")))
+    never = rates.where(~(rate > 0)).select("_source", F.lit(0).alias("first"), F.array(F.lit(1.0)).alias("steps"))
+    powers = F.transform(F.sequence(F.floor(F.log2(F.size("steps"))).cast("int"), F.lit(0)), lambda e: F.pow(F.lit(2), e).cast("int"))
+    return steps.unionByName(never).withColumn("strides", powers)
+
+
+def steps_up_to(steps: Column, strides: Column, u: Column) -> Column:
+    """How many of the ascending ``steps`` are at most ``u``, by strides of falling powers of two."""
+    def stride(at: Column, by: Column) -> Column:
+        return F.when((at + by <= F.size(steps)) & (F.get(steps, at + by - 1) <= u), at + by).otherwise(at)
+    return F.aggregate(strides, F.lit(0), stride)
 
 
 def source_rates(docs: DataFrame, source: str, weights: dict[str, float] | None, total: int | None) -> DataFrame:
@@ -50,9 +75,9 @@ def source_rates(docs: DataFrame, source: str, weights: dict[str, float] | None,
     if weights is None:
         weight = F.sqrt(F.col("n_rows"))
     else:
-        weight = F.lit(0.0)
-        for name, value in weights.items():
-            weight = F.when(F.col("_source") == name, float(value)).otherwise(weight)
+        given = F.map_from_arrays(F.array(*[F.lit(str(name)) for name in weights]).cast("array<string>"),
+                                  F.array(*[F.lit(float(value)) for value in weights.values()]).cast("array<double>"))
+        weight = F.coalesce(F.try_element_at(given, F.col("_source").cast("string")), F.lit(0.0))
     counts = counts.withColumn("weight", weight)
     weights_sum, rows = counts.agg(F.sum("weight"), F.sum("n_rows")).first()
     per_weight = (rows or 0 if total is None else total) / weights_sum if weights_sum else 0.0
@@ -71,8 +96,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: d
     # the row travels as one column, so that no name of its own meets one of those added here
     rows = docs.select(F.struct(*[c for c in docs.columns if c not in ("copy_no", "shuffle_key")]).alias("row"),
                        F.col(key).alias("key"), F.col(source).alias("source"))
-    rates = source_rates(rows, "source", weights, total).select(
-        "_source", F.coalesce(poisson_steps(F.col("rate")), F.array(F.lit(1.0))).alias("steps"))
+    rates = poisson_steps(source_rates(rows, "source", weights, total).select("_source", "rate"))
     n = rates.limit(BROADCAST_SOURCES + 1).count()
     if n <= BROADCAST_SOURCES:
         joined = rows.join(F.broadcast(rates), F.col("source").eqNullSafe(F.col("_source")))
@@ -82,7 +106,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: d
                   .join(salted, F.col("source").eqNullSafe(F.col("_source")) & (F.col("own") == F.col("salt"))))
     u = uniform(seed, F.col("key"))
     order = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col("key").cast("string"), F.lit("")), F.col("copy_no")))
-    return (joined.withColumn("times", F.size(F.filter("steps", lambda c: c <= u))).where("times > 0")
+    return (joined.withColumn("times", F.col("first") + steps_up_to(F.col("steps"), F.col("strides"), u)).where("times > 0")
             .withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("times"))))
             .select("row.*", "copy_no", order.alias("shuffle_key"))
             .repartition(F.col("shuffle_key")).sortWithinPartitions("shuffle_key"))

@@ -8,7 +8,9 @@ at a pre-token's terminal node gives its token count, which is kept.
 
 The trie is laid out by sorting the pre-tokens: a row's first ``shared`` bytes are
 nodes of rows before it, the rest are its own. Nodes of one depth are scored
-together. The vocabulary is a public byte-level one; its piece scores follow
+together down to depth ``WIDTH``, as arrays; the few deeper ones follow from there in
+sorted order, each row going on from the last node it shares with the row before.
+A hash finds a piece, its bytes confirm it. The vocabulary is a public byte-level one; its piece scores follow
 Zipf's law in the piece's rank, as whole micro-nats, so equal scores are exact
 ties and the segmentation with fewer tokens wins. Every single byte is a piece,
 so any text has a segmentation. The work is map-only: a task keeps the counts of
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import math
+import os
 import re
 from collections.abc import Iterator
 
@@ -34,7 +37,7 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 ASCII_PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 KEPT = 400_000
-#: Longer pre-tokens are scored one by one.
+#: Depth of the trie down to which nodes of one depth are scored together.
 WIDTH = 32
 #: A value is cost * ONE + tokens: sums compare by cost first, then by tokens.
 ONE = 1 << 24
@@ -72,12 +75,14 @@ class Counter(dict):
         short = sorted((p for p in values if len(p) <= WIDTH), key=len)
         rows = np.frombuffer(b"".join(p.ljust(WIDTH, b"\0") for p in short), np.uint8).reshape(-1, WIDTH)
         found = self._hash(rows.T)[[len(p) for p in short], np.arange(len(short))]
-        order = found.argsort()
+        order = found.argsort(kind="stable")
         self.keys_, self.values_ = found[order], np.array([values[p] for p in short], np.int64)[order]
+        self.bytes_, self.sizes = rows[order], np.array([len(p) for p in short])[order]
         # keys fall evenly: the first one at or after the top 16 bits, then a short walk
         self.first = np.searchsorted(self.keys_, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48))
         self.walk = int(np.diff(np.append(self.first, len(found))).max())
         self.keys_, self.values_ = np.append(self.keys_, np.full(self.walk, ~np.uint64(0))), np.append(self.values_, np.full(self.walk, NONE))
+        self.sizes = np.append(self.sizes, np.zeros(self.walk, int))  # no piece has size 0
         self.powers = np.cumprod(np.r_[np.uint64(1), np.full(WIDTH, BASE)], dtype=np.uint64)
 
     @staticmethod
@@ -88,20 +93,25 @@ class Counter(dict):
             out[d + 1] = out[d] * BASE + (row + np.uint64(1)) * SPREAD
         return out
 
-    def _value(self, hashes: np.ndarray) -> np.ndarray:
+    def _value(self, hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """Values of the pieces with these hashes whose bytes are the columns of ``text``; NONE where there is none."""
         at = self.first[hashes >> np.uint64(48)]
         value = np.full(len(hashes), NONE)
         for _ in range(self.walk):
-            value = np.where(self.keys_[at] == hashes, self.values_[at], value)
+            hit = np.flatnonzero(self.keys_[at] == hashes)
+            if len(hit):
+                piece = at[hit]
+                hit, piece = (x[self.sizes[piece] == len(text)] for x in (hit, piece))
+                same = (self.bytes_[piece, :len(text)] == text[:, hit].T).all(axis=1)
+                value[hit[same]] = self.values_[piece[same]]
             at = at + 1
         return value
 
     def learn(self, tokens: set[str]) -> None:
-        pairs = sorted((t.encode(), t) for t in tokens)
-        for word, token in pairs:
-            if len(word) > WIDTH:
-                self[token] = segment(word, self.pieces, self.longest)
-        pairs = [p for p in pairs if len(p[0]) <= WIDTH]
+        words = sorted((t.encode(), t) for t in tokens)
+        deep = [p for p in words if len(p[0]) > WIDTH]
+        # a longer word's first WIDTH bytes are a row too, which no token ends in
+        pairs = sorted([p for p in words if len(p[0]) <= WIDTH] + [(w, None) for w in {w[:WIDTH] for w, _ in deep}], key=lambda p: p[0])
         if not pairs:
             return
         length = np.array([len(w) for w, _ in pairs])
@@ -117,15 +127,32 @@ class Counter(dict):
         for depth in range(1, width + 1):
             own = np.flatnonzero((shared < depth) & (length >= depth))  # the trie's new nodes of this depth
             best = np.full(len(own), NONE)
-            end = hashes[depth, own]
+            end, text = hashes[depth, own], rows[:, own]
             for size in range(1, depth + 1):
                 piece = end - hashes[depth - size, own] * self.powers[size]
-                best = np.minimum(best, forward[depth - size, own] + self._value(piece))
+                best = np.minimum(best, forward[depth - size, own] + self._value(piece, text[depth - size:depth]))
             # a row with shared nodes reads them from the row that owns them
             forward[depth, own] = best
             forward[depth] = forward[depth, np.maximum.accumulate(np.where(shared < depth, row, 0))]
         for (_, token), count in zip(pairs, (forward[length, row] % ONE).tolist()):
-            self[token] = count
+            if token is not None:
+                self[token] = count
+        heads = {w: i for i, (w, token) in enumerate(pairs) if token is None}
+        self._deeper(deep, {w: forward[:, i].tolist() for w, i in heads.items()})
+
+    def _deeper(self, words: list[tuple[bytes, str]], heads: dict[bytes, list[int]]) -> None:
+        """The nodes below depth WIDTH, in sorted order: ``heads`` has the forward values of the words' first bytes."""
+        path, before = [], b""
+        for word, token in words:
+            if word[:WIDTH] == before[:WIDTH]:
+                del path[len(os.path.commonprefix([word, before])) + 1:]
+            else:
+                path = heads[word[:WIDTH]]
+            for end in range(len(path), len(word) + 1):
+                path.append(min(path[start] + value for start in range(max(0, end - self.longest), end)
+                                if (value := self.pieces.get(word[start:end])) is not None))
+            self[token] = path[-1] % ONE
+            before = word
 
 
 def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:

@@ -35,6 +35,51 @@ def test_trie_equals_plain_recurrence(vocabulary):
     assert {t: counts[t] for t in tokens} == {t: token_counts.segment(t.encode(), vocabulary, longest) for t in tokens}
 
 
+def test_long_words_stay_in_the_trie(vocabulary, monkeypatch):
+    rng = random.Random(3)
+    stem = "".join(rng.choices("abcdethéing日", k=90))
+    tokens = {stem[:n] + "".join(rng.choices("ething", k=rng.randint(0, 60))) for n in range(5, 90) for _ in range(4)} | {stem, "e" * 3000}
+    longest = max(map(len, vocabulary))
+    want = {t: token_counts.segment(t.encode(), vocabulary, longest) for t in tokens}
+    counts = token_counts.Counter(vocabulary)
+    monkeypatch.setattr(token_counts, "segment", None)  # no word is scored by itself
+    looked = collections.Counter()
+
+    class Looked(dict):
+        def get(self, piece):
+            looked[piece] += 1
+            return dict.get(self, piece)
+    counts.pieces = Looked(vocabulary)
+    counts.learn(tokens)
+    assert counts == want
+    deep = {t.encode()[:n] for t in tokens for n in range(token_counts.WIDTH + 1, len(t.encode()) + 1)}
+    assert sum(looked.values()) <= longest * len(deep)  # one node a distinct prefix
+
+
+def test_a_hash_without_the_bytes_is_no_piece(vocabulary, monkeypatch):
+    plain = token_counts.Counter._hash
+    monkeypatch.setattr(token_counts.Counter, "_hash", staticmethod(lambda rows: plain(rows % 64)))  # bytes 64 apart clash
+    counts = token_counts.Counter(vocabulary)
+    tokens = {"the", "that", "4(%", "THE", "\u0134\u0128"}
+    counts.learn(tokens)
+    longest = max(map(len, vocabulary))
+    assert counts == {t: token_counts.segment(t.encode(), vocabulary, longest) for t in tokens}
+
+
+def test_token_counts_equal_brute_force(spark, vocabulary):
+    import regex
+    from feedlake.llm.queries import op1_token_counts
+    longest, known = max(map(len, vocabulary)), {}
+    got = {r.doc_id: (r.n_pretokens, r.n_tokens) for r in op1_token_counts(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    assert len(got) == len(docs)
+    for doc_id, text in docs:
+        found = regex.findall(token_counts.PRE_TOKEN, text or "")
+        for t in set(found) - known.keys():
+            known[t] = token_counts.segment(t.encode(), vocabulary, longest)
+        assert got[doc_id] == (len(found), sum(known[t] for t in found))
+
+
 def test_ascii_pattern_cuts_alike():
     import re
     import regex
@@ -318,15 +363,34 @@ def test_poisson_counts_follow_the_rates(docs):
 
 def test_poisson_inverse(spark):
     import math
-    rates = [0.0, 0.3, 1.0, 7.5, 900.0]
-    got = [r[0] for r in spark.createDataFrame([(r,) for r in rates], "rate double").select(mixing.poisson_steps(F.col("rate"))).collect()]
-    assert got[0] is None
-    for rate, steps in zip(rates[1:], got[1:]):
-        total = 0.0
-        for k, c in enumerate(steps):
+    rates = [0.0, 0.3, 1.0, 7.5, 190.0, 900.0, 1e6]
+    table = spark.createDataFrame([(str(r), r) for r in rates] + [(None, 2.0)], "_source string, rate double")
+    got = {r["_source"]: r for r in mixing.poisson_steps(table).collect()}
+    assert len(got) == 8 and (got["0.0"]["first"], got["0.0"]["steps"]) == (0, [1.0])
+    assert got["190.0"]["first"] == 0 and got["900.0"]["first"] == 510 and len(got["1000000.0"]["steps"]) < 30_000
+    for rate in rates[1:]:
+        first, steps, total = got[str(rate)]["first"], got[str(rate)]["steps"], 0.0
+        for k, c in enumerate(steps, first):
             total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
-            assert c == pytest.approx(total, abs=1e-9)
-        assert total == pytest.approx(1, abs=1e-9)
+            assert c == pytest.approx(total, abs=1e-8)
+        assert total == pytest.approx(1, abs=1e-8) and steps == sorted(steps)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 8, 43, 100])
+def test_steps_are_found_by_halving(spark, n):
+    rng = random.Random(n)
+    steps = sorted(rng.choices([i / 50 for i in range(50)], k=n))  # ties
+    asked = [i / 100 for i in range(101)]
+    rows = spark.createDataFrame([(steps, [1 << e for e in range(n.bit_length() - 1, -1, -1)], u) for u in asked],
+                                 "steps array<double>, strides array<int>, u double")
+    got = [r[0] for r in rows.select(mixing.steps_up_to(F.col("steps"), F.col("strides"), F.col("u"))).collect()]
+    assert got == [sum(c <= u for c in steps) for u in asked]
+
+
+def test_a_rare_source_of_a_large_weight(docs):
+    df = docs([(1, "rare", "en", "rare", 4)] + [(i, "t", "en", "hot", 1) for i in range(2, 60)])
+    by = {r["source"]: r["count"] for r in mixing.mix(df, weights={"rare": 99.0, "hot": 1.0}, total=200_000).groupBy("source").count().collect()}
+    assert abs(by["rare"] - 198_000) < 2300 and abs(by["hot"] - 2000) < 250
 
 
 def test_salted_rates_give_the_same_rows(docs, monkeypatch):
