@@ -11,12 +11,15 @@ bound are possible members. Processing stops once few rows are possible members,
 segment is left, and all of them are scored exactly: the bounds prove that no other row
 is among the k best. Shards give their k best, from which each query's are taken.
 
-Queries go to the shards in blocks of QUERIES rows, so a task holds one shard and one
-block at a time, whatever the size of the table.
+A task reads a shard's rows, builds its index once, and the queries then stream past it
+in Arrow batches, so it holds one shard and one batch at a time, whatever the size of
+the table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -24,7 +27,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from feedlake.llm.common import parts, stored
 
 SCALE, LEVELS = 1024, 256
-ROWS, QUERIES = 4096, 4096
+#: Vectors of an index shard.
+ROWS = 4096
 #: Possible members, as a multiple of k, that end the processing of segments.
 ENOUGH = 8
 #: Each round goes on to contributions this much smaller.
@@ -103,11 +107,42 @@ def whole_vectors(rows: DataFrame, key: str, vector: str, scale: int = SCALE) ->
             .groupBy("vec_id").agg(F.min("x").alias("x")))
 
 
-def _matrix(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
-    out = np.zeros((table.num_rows, width), np.int64)
-    for row, values in zip(out, table.column("x").to_pylist()):
-        row[:len(values)] = values
-    return table.column("vec_id").to_numpy(), out
+def _matrix(values: pa.Array, width: int) -> np.ndarray:
+    """Lists of whole numbers as rows of ``width``, shorter ones filled up with 0."""
+    out = np.zeros((len(values), width), np.int64)
+    size = values.value_lengths().to_numpy(zero_copy_only=False)
+    out[np.arange(width) < size[:, None]] = values.flatten().to_numpy()
+    return out
+
+
+def _found(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[pa.RecordBatch]:
+    """The ``k`` best rows of each shard for each query; of a shard its rows come first, then its queries."""
+    shard, index, rows = None, None, []
+    for batch in batches:
+        cuts = [0, *(np.flatnonzero(np.diff(batch.column("shard").to_numpy())) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(cuts, cuts[1:]):
+            part = batch.slice(start, stop - start)
+            if not part.num_rows:
+                continue
+            if (at := part.column("shard")[0].as_py()) != shard:
+                shard, index, rows = at, None, []
+            asked = part.column("asked").to_numpy(zero_copy_only=False)
+            ids, x = part.column("vec_id").to_numpy(), _matrix(part.column("x"), width)
+            if not asked.all():
+                rows.append((ids[~asked], x[~asked]))
+            if not asked.any():
+                continue
+            if index is None:
+                index = Index(*map(np.concatenate, zip(*rows))) if rows else None
+                rows = []
+            if index is None:
+                continue
+            found = []
+            for query_id, query in zip(ids[asked].tolist(), x[asked]):
+                best, scores = index.search(query, query_id, k)
+                found.append((np.full(len(best), query_id), best, scores))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)],
+                                             names=["query_id", "vec_id", "score"])
 
 
 def nearest(rows: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 10, scale: int = SCALE) -> DataFrame:
@@ -123,30 +158,13 @@ def nearest(rows: DataFrame, is_query, key: str = "vec_id", vector: str = "embed
     n, width = vectors.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
     width = width or 0
     queries = vectors.where(is_query(F.col("vec_id")))
-    shards, blocks = parts(n, ROWS), parts(queries.count(), QUERIES)
-
-    def each(count: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-    def part(count: int):
-        return F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
-
-    # a shard is sent once for each block of queries, a query once for each shard
-    left = vectors.select("vec_id", "x", part(shards).alias("shard")).withColumn("block", each(blocks))
-    right = queries.select("vec_id", "x", part(blocks).alias("block")).withColumn("shard", each(shards))
-
-    def run(index: pa.Table, asked: pa.Table) -> pa.Table:
-        found = []
-        if index.num_rows and asked.num_rows:
-            own = Index(*_matrix(index, width))
-            for query_id, query in zip(*_matrix(asked, width)):
-                ids, scores = own.search(query, query_id, k)
-                found.append((np.full(len(ids), query_id), ids, scores))
-        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
-
-    best = (left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block"))
-            .applyInArrow(run, "query_id long, vec_id long, score long"))
+    shards = parts(n, ROWS)
+    own = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
+    # a shard's rows and a copy of all queries meet in the shard's task, the rows first
+    members = vectors.select(own.alias("shard"), F.lit(False).alias("asked"), "vec_id", "x")
+    copies = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("asked"), "vec_id", "x")
+    best = (members.unionByName(copies).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "asked")
+            .mapInArrow(lambda batches: _found(batches, width, k), "query_id long, vec_id long, score long"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -330,9 +330,27 @@ def test_index_search_equals_all_scores(n, k):
         assert [(-int(s), int(i)) for s, i in zip(got, got_ids)] == want
 
 
+@pytest.mark.parametrize("size", [1, 3, 7, 100])
+def test_a_shard_is_indexed_once(monkeypatch, size):
+    import pyarrow as pa
+    rng = np.random.default_rng(size)
+    x = {i: rng.integers(-9, 9, rng.integers(1, 4)).tolist() for i in range(40)}
+    rows = [(s, asked, i, x[i]) for s in (0, 2, 5) for asked in (False, True) for i in (range(s, 40, 3) if not asked else range(0, 40, 8))]
+    rows += [(7, True, i, x[i]) for i in range(0, 40, 8)]  # a shard without rows of its own
+    schema = pa.schema([("shard", pa.int32()), ("asked", pa.bool_()), ("vec_id", pa.int64()), ("x", pa.list_(pa.int64()))])
+    batches = pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema).to_batches(max_chunksize=size)
+    built, plain = [], topk.Index
+    monkeypatch.setattr(topk, "Index", lambda *a: built.append(len(a[0])) or plain(*a))
+    got = [r for b in topk._found(iter(batches), 3, 2) for r in zip(*[c.to_pylist() for c in b.columns])]
+    assert built == [len(range(s, 40, 3)) for s in (0, 2, 5)]
+    full = {i: np.array(v + [0] * (3 - len(v))) for i, v in x.items()}
+    want = [(q, i, int(full[q] @ full[i])) for s in (0, 2, 5) for q in range(0, 40, 8)
+            for i in sorted((i for i in range(s, 40, 3) if i != q), key=lambda i: (-int(full[q] @ full[i]), i))[:2]]
+    assert got == want
+
+
 def test_top_k_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(topk, "ROWS", 8)
-    monkeypatch.setattr(topk, "QUERIES", 2)
     rng = np.random.default_rng(8)
     rows = [(i, [float(v) for v in rng.normal(size=4)], "s") for i in range(0, 500, 20)] + [(100, [9.0, 9.0, 9.0, 9.0], "s")]
     bad = [(200, None, "s"), (5, [1.0, None, 0.0, 0.0], "s"), (6, [float("nan")] * 4, "s"), (7, [float("inf")] * 4, "s"), (None, [1.0] * 4, "s"), (8, [], "s")]
