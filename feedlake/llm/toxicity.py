@@ -8,13 +8,17 @@ by their likelihood ratio between toxic and clean rows. The fit uses at most ``S
 labelled rows (those with the smallest hashes of their keys, so a run can be repeated),
 which bounds the ids that are broadcast and what the driver holds.
 
-Where labels only say toxic or clean, toxic rows are graded by how many of the words
-that mark toxic rows they hold: 1 (at most one), 2 (two) or 3 (more).
+Where labels only say toxic or clean, toxic rows are graded by how plainly other rows
+give them away: the rows are dealt into ``FOLDS`` folds by their words, a two-grade model
+of the other folds gives each toxic row a margin, and the rows of the lowest third of
+margins are of grade 1, the next of grade 2, the others of grade 3 (equal margins share
+the lower grade). No row's grade thus comes from weights that it helped to fit.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,11 +27,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from feedlake.llm.common import stored
+
 #: Bounds of the model and of the fit.
 WORDS, SAMPLE = 4096, 40_000
 #: Rows that must hold a word, and its least likelihood ratio (chi-square at about 1e-6).
 LEAST_ROWS, LEAST_RATIO = 5, 24.0
 RIDGE = 1.0
+#: Folds of the margins, and the grades that toxic rows are parted into.
+FOLDS, GRADES = 3, 3
 
 _word = re.compile(r"[^\W\d_]+").findall
 
@@ -117,12 +125,55 @@ def sample_labels(labels: DataFrame, key: str, most: int = SAMPLE) -> DataFrame:
     return labels.orderBy(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), *labels.columns).limit(most)
 
 
+def word_numbers(rows: DataFrame, text: str, label: str, index: dict[str, int]) -> DataFrame:
+    """``at, grade, fold``: the numbers of a row's words in the model, its label, and the fold that its words fall in,
+    so that rows of the same words share a fold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = [sorted(index[w] for w in words(t.as_py()) & index.keys()) for t in batch.column(0)]
+            fold = [zlib.crc32(np.array(a, "<i4").tobytes()) % FOLDS for a in at]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.list_(pa.int32())), batch.column(1), pa.array(fold, pa.int32())],
+                                             names=["at", "grade", "fold"])
+
+    return rows.select(text, label).mapInArrow(run, "at array<int>, grade int, fold int")
+
+
+def fold_margins(numbered: DataFrame, n_words: int) -> DataFrame:
+    """``at, grade, margin``: each toxic row with the log odds of toxicity that the other folds' rows give it. A task
+    holds the bounded sample's word numbers once."""
+    def run(part: pa.Table) -> pa.Table:
+        own = part.column("of").to_numpy()
+        at = [np.array(a, int) for a in part.column("at").to_pylist()]
+        fold, grades = part.column("fold").to_numpy(), part.column("grade").to_numpy()
+        order = sorted(np.flatnonzero(fold != own).tolist(), key=lambda i: (grades[i], at[i].tolist()))  # one order, one sum
+        w, t = fit_weights([at[i] for i in order], (grades[order] > 0).astype(int), n_words, rounds=150)
+        asked = np.flatnonzero((fold == own) & (grades > 0))
+        margins = [float(w[at[i]].sum() - t[0]) for i in asked]
+        taken = part.take(pa.array(asked)).select(["at", "grade"])
+        return taken.append_column("margin", pa.array(margins, pa.float64()))
+
+    folds = numbered.withColumn("of", F.explode(F.sequence(F.lit(0), F.lit(FOLDS - 1))))
+    # clean rows train the other folds only; toxic rows are asked in their own
+    return (folds.where((F.col("of") != F.col("fold")) | (F.col("grade") > 0))
+            .groupBy("of").applyInArrow(run, "at array<int>, grade int, margin double"))
+
+
+def margin_grades(margins: np.ndarray, grades: int = GRADES) -> np.ndarray:
+    """Grades from 1 by equal shares of the margins; equal margins share the lower grade."""
+    if not len(margins):
+        return np.zeros(0, int)
+    cuts = np.quantile(margins, np.arange(1, grades) / grades, method="inverted_cdf")
+    cut = np.searchsorted(np.unique(cuts), margins, side="left")
+    return 1 + cut
+
+
 def fit(rows: DataFrame, text: str = "text", label: str = "label", graded: bool = False, most: int = WORDS) -> OrdinalModel:
     """From a bounded sample of rows with a text and a label; rows with a null one are left out.
 
     ``graded``: the labels are grades from 0; otherwise 0 is clean, others are toxic
-    and their grades come from their words. Without rows of both kinds the model has
-    no words and gives every text the same grade.
+    and their grades come from cross-fitted margins. Without rows of both kinds the
+    model has no words and gives every text the same grade. Repeated rows count each
+    time and share a fold; null keys and extra columns do not matter.
     """
     rows = rows.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(text, F.col(label).cast("int").alias(label))
     n = {bool(r[0]): r[1] for r in rows.groupBy(F.col(label) > 0).count().collect()}
@@ -131,18 +182,17 @@ def fit(rows: DataFrame, text: str = "text", label: str = "label", graded: bool
         return OrdinalModel({}, np.zeros(0), np.array([40.0 if not toxic else -40.0]))
     chosen = choose_words(word_counts(rows, text, label), clean, toxic, most).collect()
     index = {r["word"]: i for i, r in enumerate(chosen)}
-    marks = {i for i, r in enumerate(chosen) if r["n1"] * clean > r["n0"] * toxic}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = [sorted(index[w] for w in words(t.as_py()) & index.keys()) for t in batch.column(0)]
-            grades = batch.column(1).to_pylist()
-            if not graded:
-                grades = [min(3, max(1, len(marks & set(a)))) if g > 0 else 0 for a, g in zip(at, grades)]
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.list_(pa.int32())), pa.array(grades, pa.int32())], names=["at", "grade"])
-
-    picked = rows.mapInArrow(run, "at array<int>, grade int").toPandas()  # the bounded sample's word numbers
-    pairs = sorted((g, tuple(a)) for g, a in zip(picked["grade"], picked["at"]))  # one order, one sum
+    numbered = word_numbers(rows, text, label, index)
+    if not graded:
+        numbered = stored(numbered, "toxicity-words")
+        margins = fold_margins(numbered, len(chosen)).toPandas()
+        clean_rows = numbered.where("grade <= 0").select("at", F.lit(0).alias("grade")).toPandas()
+        pairs = [(0, tuple(a)) for a in clean_rows["at"]]
+        pairs += zip(margin_grades(margins["margin"].to_numpy()).tolist(), map(tuple, margins["at"]))
+    else:
+        picked = numbered.toPandas()  # the bounded sample's word numbers
+        pairs = zip(picked["grade"], map(tuple, picked["at"]))
+    pairs = sorted(pairs)  # one order, one sum
     w, t = fit_weights([np.array(a, int) for _, a in pairs], np.array([g for g, _ in pairs], int), len(chosen))
     return OrdinalModel(index, w, t)
 

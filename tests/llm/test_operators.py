@@ -572,9 +572,47 @@ def test_toxicity_grades(docs):
     assert (np.diff(model.thresholds) >= 0).all()
 
 
+def test_margin_grades():
+    assert toxicity.margin_grades(np.array([5.0, 1.0, 3.0, 2.0, 6.0, 4.0])).tolist() == [3, 1, 2, 1, 3, 2]
+    assert toxicity.margin_grades(np.array([2.0, 2.0, 2.0])).tolist() == [1, 1, 1]
+    assert toxicity.margin_grades(np.array([1.0, 1.0, 1.0, 7.0])).tolist() == [1, 1, 1, 2]
+    assert toxicity.margin_grades(np.array([])).tolist() == []
+
+
+def test_margins_come_from_the_other_folds(spark):
+    rng = np.random.default_rng(17)
+    rows = [(sorted(rng.choice(5, rng.integers(0, 4), replace=False).tolist()), int(rng.random() < 0.4), int(rng.integers(0, 3))) for _ in range(300)]
+    got = toxicity.fold_margins(spark.createDataFrame(rows, "at array<int>, grade int, fold int"), 5).collect()
+    want = []
+    for own in range(3):
+        others = sorted((g, a) for a, g, f in rows if f != own)
+        w, t = toxicity.fit_weights([np.array(a, int) for _, a in others], np.array([g for g, _ in others]), 5, rounds=150)
+        want += [(tuple(a), round(float(w[np.array(a, int)].sum() - t[0]), 9)) for a, g, f in rows if f == own and g]
+    assert sorted((tuple(r["at"]), round(r["margin"], 9)) for r in got) == sorted(want)
+
+
+def test_severity_is_no_count_of_words(docs):
+    rng = random.Random(18)
+    plain = [f"plain{i}" for i in range(50)]
+    # "vile" is in toxic rows alone; "rude" and "loud" are in clean rows too: one plain word outweighs two weak ones
+    rows = []
+    for i in range(900):
+        words = rng.choices(plain, k=20)
+        if i % 3 == 0:
+            words += ["vile"] if i % 2 else ["rude", "loud"]
+        elif i % 9 == 1:
+            words += ["rude", "loud"]
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    model = toxicity.fit(docs(rows, "doc_id long, text string, label int"))
+    one, two = (model.chances(" ".join(plain[:20]) + w).sum() for w in (" vile", " rude loud"))
+    assert one > two
+
+
 def test_toxicity_odd_rows(odd, docs):
     model = toxicity.fit(docs([(1, "a", 1)], "doc_id long, text string, label int"))
-    assert toxicity.predict(odd, model).count() == 10
+    rows = toxicity.predict(odd, model).collect()
+    assert len(rows) == 10 and collections.Counter(r.doc_id for r in rows) == {1: 2, None: 2, **{i: 1 for i in (2, 3, 4, 7, 8, 9)}}
+    assert {(round(r.score, 6), r.grade) for r in rows} == {(1.0, 1)}  # no words known: every text alike
     assert toxicity.predict(odd.limit(0), model).count() == 0
     none = toxicity.fit(docs([], "doc_id long, text string, label int"))
     assert {r.grade for r in toxicity.predict(odd, none).collect()} == {0}
