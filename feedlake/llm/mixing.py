@@ -69,14 +69,15 @@ def source_rates(docs: DataFrame, source: str, weights: dict[str, float] | None,
     """``_source, n_rows, weight, rate``: one row per source (null sources are one source).
 
     ``weights`` None gives each source the square root of its row count; a source
-    missing from given weights gets 0. ``total`` None keeps the number of rows.
+    missing from given weights gets 0, as does the one of null sources. ``total`` None keeps the number of rows.
     """
     counts = docs.groupBy(F.col(source).alias("_source")).agg(F.count(F.lit(1)).alias("n_rows"))
     if weights is None:
         weight = F.sqrt(F.col("n_rows"))
     else:
-        given = F.map_from_arrays(F.array(*[F.lit(str(name)) for name in weights]).cast("array<string>"),
-                                  F.array(*[F.lit(float(value)) for value in weights.values()]).cast("array<double>"))
+        named = {str(name): float(value) for name, value in weights.items() if name is not None}
+        given = F.map_from_arrays(F.array(*map(F.lit, named)).cast("array<string>"),
+                                  F.array(*map(F.lit, named.values())).cast("array<double>"))
         weight = F.coalesce(F.try_element_at(given, F.col("_source").cast("string")), F.lit(0.0))
     counts = counts.withColumn("weight", weight)
     weights_sum, rows = counts.agg(F.sum("weight"), F.sum("n_rows")).first()

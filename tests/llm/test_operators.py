@@ -411,6 +411,13 @@ def test_a_rare_source_of_a_large_weight(docs):
     assert abs(by["rare"] - 198_000) < 2300 and abs(by["hot"] - 2000) < 250
 
 
+def test_odd_weights(docs):
+    df = docs([(i, "t", "en", [None, "None", "a"][i % 3], 1) for i in range(30)])
+    assert mixing.mix(df, weights={}).count() == 0
+    rates = {r["_source"]: r["rate"] for r in mixing.source_rates(df, "source", {None: 5.0, "a": 1.0, "gone": 1.0}, 20).collect()}
+    assert rates == {None: 0.0, "None": 0.0, "a": 2.0}
+
+
 def test_salted_rates_give_the_same_rows(docs, monkeypatch):
     df = docs([(i, f"t{i}", "en", f"s{i % 4}" if i % 9 else None, 1) for i in range(300)])
     want = ids(mixing.mix(df), "doc_id", "source", "copy_no", "shuffle_key")
