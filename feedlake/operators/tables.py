@@ -64,7 +64,9 @@ def valid_rows(msgs: DataFrame) -> DataFrame:
 
 
 def rejected_rows(msgs: DataFrame) -> DataFrame:
-    return msgs.where(~_accepted())
+    """The other rows, as a filter that reaches the scan: statistics and dictionaries of the files rule most out."""
+    refused = F.col("ts").isNull() | F.col("mt").isNull() | ~F.col("mt").isin(*MT_CODES) | F.col("m").isNull()
+    return msgs.where(refused)
 
 
 def append_messages(msgs: DataFrame, table: str, rejects: str | None = None) -> None:

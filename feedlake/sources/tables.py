@@ -11,17 +11,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows that a task of a CPU-heavy step after a scan gets (a frame decode: some seconds).
+ROWS_A_TASK = 50_000
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it has fewer input splits than cores.
+    """Spread a scan over tasks of about ``ROWS_A_TASK`` rows, and over all cores at least.
 
-    A single small file (one row group) is one split, so a CPU-heavy step
-    after it (frame decode) would run on one core. Below the core count the
-    rows are dealt round-robin; at cluster scale the scan already has far
-    more splits than cores and this is a no-op (no shuffle is added).
+    Splits are cut by compressed bytes and row groups, so a split of a narrow
+    table holds millions of rows, and a CPU-heavy step after it (frame decode)
+    would run as long in one task. The rows, counted by the footers, are dealt
+    round-robin while they are still narrow, so the number of tasks grows with
+    them; a scan with as many splits is left as it is (no shuffle is added).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+    wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_A_TASK))
+    if df.rdd.getNumPartitions() < wanted:
+        return df.repartition(wanted)
     return df
 
 

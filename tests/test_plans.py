@@ -99,3 +99,26 @@ def test_decode_compiles_and_no_method_is_too_large(no_aqe):
             df.write.format("noop").mode("overwrite").save()
     finally:
         no_aqe.conf.unset("spark.sql.codegen.fallback")
+
+
+def test_a_scan_is_spread_by_its_rows(spark, tmp_path, monkeypatch):
+    from feedlake.sources import tables
+    path = f"{tmp_path}/narrow"
+    spark.range(1000).coalesce(1).write.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    assert tables.spread(spark.read.parquet(path)).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(tables, "ROWS_A_TASK", 50, raising=False)
+    df = tables.spread(spark.read.parquet(path))      # one split of many rows becomes tasks of few
+    sizes = [len(part) for part in df.rdd.glom().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 100 and sorted(r.id for r in df.collect()) == list(range(1000))
+    assert tables.spread(df).rdd.getNumPartitions() == 20
+
+
+def test_the_check_for_refused_rows_reaches_the_scan(spark, tmp_path):
+    from feedlake.operators.tables import rejected_rows, valid_rows
+    now = __import__("datetime").datetime(2024, 1, 5)
+    rows = [(t, mt, m) for t in (now, None) for mt in ("t", "dl", "zz", None) for m in ("x", None)]
+    spark.createDataFrame(rows, "ts TIMESTAMP, mt STRING, m STRING").write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    assert valid_rows(df).count() == 2 and rejected_rows(df).count() == len(rows) - 2
+    assert "Or(Or(Or(IsNull(ts),IsNull(mt)),Not(In(mt" in _plan(rejected_rows(df)).replace(" ", "")
