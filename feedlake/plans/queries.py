@@ -662,7 +662,8 @@ def _land(frames, landing, parts=LANDINGS):
 
 def _files(spark, base):
     """A batch reads a landing's files: as many as there are divided by the landings."""
-    return max(1, spark.read.text(f"{base}/landing").select("_metadata.file_name").distinct().count() // LANDINGS)
+    files = spark.read.format("binaryFile").load(f"{base}/landing").where("length > 0")  # listed, not read
+    return max(1, files.select("path").count() // LANDINGS)
 
 
 _MESSAGE = ("event_id", "symbol", "ts", "mt", "m")
@@ -754,7 +755,8 @@ def q_stream_rates(spark, sf_dir):
 def _closing(spark, sf_dir, name, interval, grace):
     from feedlake.streaming import feed_stream as fs
     base = _twice(spark, sf_dir, name, lambda frames, base: fs.closing_stream(spark, frames, base, interval, grace))
-    return fs.over_on(fs.closed_periods(spark, base, interval), now(spark, sf_dir), grace)
+    clock = F.lit(fs.latest(spark, base))  # the latest message time, as in ``now``: no second decode of the feed
+    return fs.over_on(fs.closed_periods(spark, base, interval), clock, grace)
 
 
 @query("stream_hourly_close")

@@ -412,4 +412,15 @@ def over_on(windows: DataFrame, as_of: Column, grace: str = HOURLY_GRACE) -> Dat
 
 def open_periods(spark: SparkSession, base: str) -> DataFrame:
     """The (symbol, period) pairs whose state is still held."""
-    return spark.read.format("statestore").option("stateVarName", "sums").load(f"{base}/checkpoint").select("key")
+    return _open_sums(spark, base).select("key")
+
+
+def _open_sums(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.format("statestore").option("stateVarName", "sums").load(f"{base}/checkpoint")
+
+
+def latest(spark: SparkSession, base: str):
+    """The latest message time that ``closing_stream`` has counted, in closed and open periods (None: no message)."""
+    closed = spark.read.schema(PARTS).parquet(f"{base}/closed").select("last_us")
+    held = _open_sums(spark, base).select("value.last_us")
+    return closed.unionByName(held).agg(F.timestamp_micros(F.max("last_us"))).first()[0]

@@ -239,3 +239,16 @@ def test_a_compaction_that_fails_before_its_manifest_changes_nothing(spark, feed
     assert _rows(compaction.stored(spark, base)) == want
     monkeypatch.setattr(compaction, "_write", write)
     assert compaction.compact(spark, base) == 2 and _rows(compaction.stored(spark, base)) == want
+
+
+def test_closed_hours_take_their_clock_from_the_stream_and_files_are_only_listed(spark, feed, monkeypatch):
+    from feedlake.plans import queries
+    want = decode_messages(feed).agg(F.max("ts")).first()[0]
+    base = shared_path(spark, "test-clock")
+    queries._land(feed, f"{base}/landing")
+    files = spark.read.text(f"{base}/landing").select("_metadata.file_name").distinct().count()
+    assert queries._files(spark, base) == max(1, files // queries.LANDINGS)
+    fs.closing_stream(spark, fs.read_frames(spark, f"{base}/landing"), base)
+    assert fs.latest(spark, base) == want
+    monkeypatch.setattr(queries, "_silver", None)   # the message table is not built for a clock
+    assert queries.QUERIES["stream_hourly_close"](spark, SF_SMALL).count() > 0
