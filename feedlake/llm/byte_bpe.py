@@ -6,6 +6,8 @@ the buckets that hold anything: a bit of the upper one stands for a word of the
 one, so two find-first-set steps give the lowest rank. A bucket's pairs are joined
 from left to right; an entry whose pair has changed since is stale and skipped. Every
 join makes at most two new entries, so a pre-token of any length costs about its length.
+Many pre-tokens wait in one queue: no pair crosses their borders, so each is joined as
+if alone, and they share the search for the lowest rank.
 
 A pre-token that is a piece itself is that one token, as in the public encoders.
 Encoding is map-only. A worker keeps the ids of at most twice ``KEPT`` pre-tokens, which
@@ -27,6 +29,9 @@ from feedlake.llm.token_counts import read_vocabulary
 
 KEPT = 400_000
 LONG = 64
+#: Bytes of new pre-tokens in one queue, and characters of texts that are looked through for them at a time.
+QUEUE = 1 << 13
+AT_ONCE = 1 << 17
 ABSENT = -1
 #: A word of the bitmap has 256 bits, and its upper level up to as many words.
 SHIFT, MASK = 8, 255
@@ -81,18 +86,52 @@ class Encoder:
         if absent:
             raise ValueError(f"the vocabulary has no piece for the bytes {absent}")
         self.ranks = ranks
+        self.of_byte = [ranks[bytes([b])] for b in range(256)]
         self.words = [0] * ((max(ranks.values()) >> SHIFT) + 1)
 
-    def encode(self, word: bytes) -> list[int]:
-        whole = self.ranks.get(word)
-        return [whole] if whole is not None else self.merge(word)
+        self.of_pair: list[int | None] = [None] * (1 << 16)
+        for piece, rank in ranks.items():
+            if len(piece) == 2:
+                self.of_pair[piece[0] << 8 | piece[1]] = rank
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as little-endian unsigned 32-bit integers."""
+        out: list[bytes | None] = []
+        queue: list[bytes] = []
+        places: list[int] = []
+        size = 0
+        for word in words:
+            whole = self.ranks.get(word)
+            if whole is None:
+                queue.append(word)
+                places.append(len(out))
+                size += len(word)
+            out.append(None if whole is None else struct.pack("<I", whole))
+            if size >= QUEUE:
+                for at, ids in zip(places, self.merge_all(queue)):
+                    out[at] = ids
+                queue, places, size = [], [], 0
+        for at, ids in zip(places, self.merge_all(queue)):
+            out[at] = ids
+        return out
 
     def merge(self, word: bytes) -> list[int]:
-        ranks, size = self.ranks.get, len(word)
-        after = list(range(1, size + 1))    # where the part that begins here ends
-        before = list(range(-1, size - 1))  # where the part before begins
-        pair = [ranks(word[at:at + 2]) for at in range(size)]  # the rank of this part joined with the next
-        pair[-1] = None
+        return [rank for rank, in struct.iter_unpack("<I", self.merge_all([word])[0])]
+
+    def merge_all(self, queued: list[bytes]) -> list[bytes]:
+        ranks, word = self.ranks.get, b"".join(queued)
+        size = len(word)
+        parts = [self.of_byte[b] for b in word]  # the rank of the part that begins here
+        after = list(range(1, size + 1))         # where it ends
+        before = list(range(-1, size))           # where the part before begins, if it is of the same pre-token
+        of_pair = self.of_pair                   # the rank of this part joined with the next
+        pair = [of_pair[a << 8 | b] for a, b in zip(word, word[1:])]
+        pair.append(None)
+        before[size], end = -1, 0
+        for one in queued:
+            before[end] = -1
+            end += len(one)
+            pair[end - 1] = None
         # the queue: positions by rank, and a bitmap of the ranks that have any; all empty again at the end
         buckets: dict[int, list[int]] = {}
         words, top = self.words, 0
@@ -121,8 +160,9 @@ class Encoder:
                     continue  # stale: joined or grown since
                 middle = after[at]
                 end = after[at] = after[middle]
+                parts[at] = rank
                 pair[at] = pair[middle] = None
-                if end < size:
+                if before[end] >= 0:
                     before[end] = at
                     new = ranks(word[at:after[end]])
                     if new is not None:
@@ -154,11 +194,15 @@ class Encoder:
                 words[at_word] = bits = words[at_word] ^ lower
                 if not bits:
                     top ^= upper
-        out, at = [], 0
-        while at < size:
-            out.append(self.ranks[word[at:after[at]]])
-            at = after[at]
-        return out
+        found, marks, at, end = [], [0], 0, 0
+        for one in queued:
+            end += len(one)
+            while at < end:
+                found.append(parts[at])
+                at = after[at]
+            marks.append(4 * len(found))
+        ids = struct.pack(f"<{len(found)}I", *found)
+        return [ids[a:b] for a, b in zip(marks, marks[1:])]
 
 
 class Texts:
@@ -173,25 +217,41 @@ class Texts:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        get, parts = self.kept.get, []
-        for token in (self.find_ascii if text.isascii() else self.find)(text):
-            ids = get(token)
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """The same of each text; texts of ``AT_ONCE`` characters in all are looked through together."""
+        start, size = 0, 0
+        for end, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= AT_ONCE or end == len(texts):
+                yield from self._encode(texts[start:end])
+                start, size = end, 0
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        cut = [(self.find_ascii if text.isascii() else self.find)(text) for text in texts]
+        known = [list(map(self.kept.get, tokens)) for tokens in cut]
+        new = {token: b"" for tokens, ids in zip(cut, known) if None in ids for token, one in zip(tokens, ids) if one is None}
+        if new:
+            self._learn(new)
+        for tokens, ids in zip(cut, known):
+            yield b"".join([new[token] if one is None else one for token, one in zip(tokens, ids)] if None in ids else ids)
+
+    def _learn(self, new: dict[str, bytes]) -> None:
+        """Fill in the ids of pre-tokens that are not kept, and keep them."""
+        unmet = []
+        for token in new:
+            ids = self.aged.get(token)
             if ids is None:
-                ids = self._learn(token)
-                get = self.kept.get
-            parts.append(ids)
-        return b"".join(parts)
-
-    def _learn(self, token: str) -> bytes:
-        ids = self.aged.get(token)
-        if ids is None:
-            found = self.encoder.encode(token.encode())
-            ids = struct.pack(f"<{len(found)}I", *found)
-        if len(token) <= LONG:
-            if len(self.kept) >= KEPT:
-                self.aged, self.kept = self.kept, {}
-            self.kept[token] = ids
-        return ids
+                unmet.append(token)
+            else:
+                new[token] = ids
+        new.update(zip(unmet, self.encoder.encode([token.encode() for token in unmet])))
+        for token, ids in new.items():
+            if len(token) <= LONG:
+                if len(self.kept) >= KEPT:
+                    self.aged, self.kept = self.kept, {}
+                self.kept[token] = ids
 
 
 _AT_HAND: list[Texts] = []
@@ -219,7 +279,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
         texts = _texts(ranks.value, pattern)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [texts.encode(t) if t else b"" for t in part.column(1).to_pylist()]
+                ids = list(texts.encode_all([t or "" for t in part.column(1).to_pylist()]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["key", "ids"])
     return (picked.mapInArrow(run, f"key {picked.schema['key'].dataType.simpleString()}, ids binary")
             .withColumnRenamed("key", key))

@@ -220,6 +220,31 @@ def test_merges_go_by_rank_then_from_the_left():
         assert not any(encoder.words)  # the bitmap is empty again
 
 
+def test_pre_tokens_in_one_queue_are_joined_as_if_alone(monkeypatch):
+    rng = random.Random(15)
+    for size in (20, 300, 3000):
+        pieces = list({bytes(rng.choices(b"abc", k=rng.randint(2, 7))) for _ in range(size)})
+        rng.shuffle(pieces)
+        ranks = {bytes([b]): b for b in range(256)} | {p: 256 + i for i, p in enumerate(pieces)}
+        encoder = byte_bpe.Encoder(ranks)
+        words = [bytes(rng.choices(b"abcd", k=rng.randint(1, 30))) for _ in range(500)]
+        want = [np.array(_plain_merge(ranks, w), "<u4").tobytes() for w in words]
+        assert encoder.merge_all(words) == want and not any(encoder.words)
+        whole = [np.array([ranks[w]] if w in ranks else _plain_merge(ranks, w), "<u4").tobytes() for w in words]
+        for queue in (1, 40, byte_bpe.QUEUE):
+            monkeypatch.setattr(byte_bpe, "QUEUE", queue)
+            assert encoder.encode(words) == whole
+
+
+def test_bpe_texts_together_equal_texts_alone(texts, public, monkeypatch):
+    some = ["", "one  two", "zzxqj zzxqj", "caf\u00e9 \u4e2d\u6587 \U0001f600", "q" * 300, "one two"] * 3
+    want = [np.array(public.encode_ordinary(t), "<u4").tobytes() for t in some]
+    for at_once in (1, 30, byte_bpe.AT_ONCE):
+        monkeypatch.setattr(byte_bpe, "AT_ONCE", at_once)
+        assert list(texts.encode_all(some)) == want
+    assert list(texts.encode_all([])) == []
+
+
 def test_bpe_query_on_given_documents(spark, public):
     want = {}
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
