@@ -16,75 +16,75 @@ from feedlake.schema import ERROR_BUDGET
 MESSAGE_COLS = ("event_id", "symbol", "ts", "mt", "m")
 
 
-def _side_error(data, side: str):
+def _side_error(frame, side: str):
     fast = F.col(f"_{side}_fast")
     return (F.when(fast.isNotNull(), jf.depth_fast_short(fast))
-            .otherwise(jf.depth_side_error(data, side, F.col(f"_{side}"))))
+            .otherwise(jf.depth_side_error(frame, side, F.col(f"_{side}"))))
 
 
 def _side_text(side: str):
     fast = F.col(f"_{side}_fast")
-    return (F.when(fast.isNotNull(), jf.depth_fast_text(fast, F.col("_data"), side))
+    return (F.when(fast.isNotNull(), jf.depth_fast_text(fast, F.col("_frame"), side))
             .otherwise(jf.depth_side_text(F.col(f"_{side}"))))
 
 
 def _classify(raw: DataFrame) -> tuple[DataFrame, Column]:
-    """Parse each frame once: internal ``_*`` columns, and the outcome as an expression over them."""
+    """Parse each frame once: internal ``_*`` columns, and the outcome as an expression over them.
+
+    ``_frame`` is a list with the frame as its element. An ordinary frame is one object and is parsed
+    as that element alone; any other (no JSON, no object, text after it) is parsed by itself as well.
+    """
     value = F.col("value")
     # Parse once; keep the variant as a column so later expressions reuse it.
-    parsed = raw.withColumn("_j", F.try_parse_json(value))
-    j = F.col("_j")
-    ch = jf.vget(j, "$.channel")
+    listed = raw.withColumn("_list", jf.in_list(value)).withColumn("_one", jf.is_one_object(F.col("_list")))
+    one = F.col("_one")
+    parsed = listed.withColumn("_alone", F.when(~one, F.try_parse_json(value)))
+    alone = F.col("_alone")
+    frame = F.col("_frame")
     step1 = parsed.withColumns({
         "_control": jf.is_control(value),
-        "_trailing": jf.has_trailing_text(value),
-        "_ch": ch,
-        "_data": jf.vget(j, "$.data"),
+        "_trailing": jf.has_trailing_text(value, F.col("_list"), one),
+        "_frame": F.when(one, F.col("_list")).when(alone.isNotNull(), F.array(alone).cast("variant")),
+    }).withColumns({
+        "_ch": jf.vget(frame, f"{jf.FRAME}.channel"),
+        # Object test without walking the value (a depth object is large);
+        # other data is taken out, and the full type name is only needed for it.
+        "_data_obj": F.coalesce(jf.vget(frame, jf.DATA, "struct<>").isNotNull(), F.lit(False)),
+        "_ts_v": jf.event_time_source(frame),
     })
     ch_type = jf.vtype(F.col("_ch"))
-    channel = jf.vget(F.col("_ch"), "$", "string")
-    data = F.col("_data")
+    data_is_object = F.col("_data_obj")
     step2 = step1.withColumns({
         "_ch_type": ch_type,
-        "_channel": F.when(ch_type == "STRING", channel),
-        # Object test without walking the value (a depth object is large);
-        # the full type name is only needed for the rare non-object data.
-        "_data_obj": F.coalesce(jf.vget(data, "$", "struct<>").isNotNull(), F.lit(False)),
+        "_channel": F.when(ch_type == "STRING", jf.vget(F.col("_ch"), "$", "string")),
+        "_data": F.when(~data_is_object, jf.vget(frame, jf.DATA)),
+        "_ms": jf.event_millis(F.col("_ts_v")),
     })
     channel = F.col("_channel")
-    data_is_object = F.col("_data_obj")
-    data_type = F.when(~data_is_object, jf.vtype(data))
+    data = F.col("_data")
     kind = (F.when(channel.contains("ticker"), "t")
             .when(channel.contains("deal"), "d")
             .when(channel.contains("depth"), "dp")
             .otherwise("dl"))
-    step3 = step2.withColumns({
-        "_kind": kind,
-        "_ts_v": jf.event_time_source(j, data, data_is_object),
-    })
-    is_depth = (F.col("_kind") == "dp") & F.col("_data_obj")
-    step3 = step3.withColumns({
-        "_bids_fast": F.when(is_depth, jf.depth_side_first_levels(data, "bids")),
-        "_asks_fast": F.when(is_depth, jf.depth_side_first_levels(data, "asks")),
-    })
+    step3 = step2.withColumn("_kind", kind)
+    is_depth = (F.col("_kind") == "dp") & data_is_object
+    sides = ("bids", "asks")
+    step3 = step3.withColumns({f"_{s}_json": F.when(is_depth, jf.vget(frame, f"{jf.DATA}.{s}", "string")) for s in sides})
+    step3 = step3.withColumns({f"_{s}_fast": jf.depth_side_first_levels(F.col(f"_{s}_json")) for s in sides})
     # General path only for depth sides the fast path does not cover.
-    step3 = step3.withColumns({
-        "_bids": F.when(is_depth & F.col("_bids_fast").isNull(), jf.depth_side_json(data, "bids")),
-        "_asks": F.when(is_depth & F.col("_asks_fast").isNull(), jf.depth_side_json(data, "asks")),
-    })
+    step3 = step3.withColumns({f"_{s}": F.when(is_depth & F.col(f"_{s}_fast").isNull(), jf.depth_side_json(frame, s)) for s in sides})
     kind = F.col("_kind")
-    ts_v = F.col("_ts_v")
-    data_is_object = F.col("_data_obj")
+    data_type = jf.vtype(data)
     # 'ts' in data: TypeError when data is null/number/bool; for a list or a
     # string that contains "ts" the following lookup fails too.
-    data_lookup_error = data.isNotNull() & ~data_is_object & F.coalesce(
+    data_lookup_error = data.isNotNull() & F.coalesce(
         data_type.isin("VOID", "BOOLEAN") | jf.is_numeric_type(data_type)
         | jf.text_contains_ts_key(data, data_type), F.lit(False))
-    payload_shape_error = (kind != "dl") & data.isNotNull() & ~data_is_object
-    error = (data_lookup_error | jf.event_time_error(ts_v) | payload_shape_error
-             | ((kind == "dp") & data_is_object & (_side_error(data, "bids") | _side_error(data, "asks"))))
+    payload_shape_error = (kind != "dl") & data.isNotNull()
+    error = (data_lookup_error | jf.event_time_error(F.col("_ts_v"), F.col("_ms")) | payload_shape_error
+             | ((kind == "dp") & data_is_object & (_side_error(frame, "bids") | _side_error(frame, "asks"))))
     outcome = (F.when(F.col("_control"), "control")
-               .when(j.isNull() | F.col("_trailing"), "malformed")
+               .when(frame.isNull() | F.col("_trailing"), "malformed")
                .when(F.col("_ch").isNull(), "not_envelope")
                .when(channel == "pong", "ack")
                .when(F.col("_ch_type") != "STRING", "error")
@@ -98,12 +98,12 @@ def _classify(raw: DataFrame) -> tuple[DataFrame, Column]:
 def _stored_cols() -> dict:
     """``ts, mt, m`` of a stored frame (meaningful only when outcome is 'stored')."""
     kind = F.col("_kind")
-    data = F.col("_data")
-    payload = (F.when(kind == "t", jf.ticker_text(data))
-               .when(kind == "d", jf.deal_text(data))
+    frame = F.col("_frame")
+    payload = (F.when(kind == "t", jf.ticker_text(frame))
+               .when(kind == "d", jf.deal_text(frame))
                .when(kind == "dp", F.concat(_side_text("bids"), F.lit("|"), _side_text("asks")))
                .otherwise(jf.deadletter_text(F.col("value"))))
-    return {"ts": jf.event_time(F.col("_ts_v"), F.col("arrival_ts")), "mt": kind, "m": payload}
+    return {"ts": jf.event_time(F.col("_ts_v"), F.col("_ms"), F.col("arrival_ts")), "mt": kind, "m": payload}
 
 
 def decode(raw: DataFrame) -> DataFrame:

@@ -142,3 +142,27 @@ def test_error_budget_flag(spark):
 def test_depth_exponent_numbers_print_as_plain_decimals(decode_one):
     out = decode_one('{"channel":"push.depth","data":{"bids":[[1e-8,2.5E3,1],[120.50,7]],"asks":[[3,4]]},"ts":1}')
     assert out[0][0] == "stored" and out[0][3] == "[0.00000001,2500],[120.5,7]|[3,4]"
+
+
+def test_an_ordinary_frame_is_parsed_once_and_its_data_not_copied(spark):
+    from feedlake.functions import json_frame as jf
+    from feedlake.operators.decode import decode_messages
+    from feedlake.schema import RAW_FEED_SCHEMA
+    depth = '{"channel":"push.depth","data":{"bids":[[1,2,1],[3,4,1]],"asks":[[5,6,1],[7,8,1]]},"ts":1}'
+    frames = spark.createDataFrame([(0, "btc", ARRIVAL, depth), (1, "btc", ARRIVAL, depth + "{}"), (2, "btc", ARRIVAL, "[1]"), (3, "btc", ARRIVAL, None)],
+                                   RAW_FEED_SCHEMA)
+    one = frames.select("event_id", jf.is_one_object(jf.in_list(frames.value)).alias("one"))
+    assert [r.one for r in one.orderBy("event_id").collect()] == [True, False, False, False]
+    plan = decode_messages(frames)._jdf.queryExecution().optimizedPlan().toString()
+    # a payload comes out as a VARIANT of its own only where it is no object
+    copies = plan.count("$[0].data, VariantType") + plan.count("$.data, VariantType")
+    guarded = plan.count("THEN try_variant_get(_frame#") if copies else 0
+    assert copies == plan.count("CASE WHEN NOT _data_obj#") == 1 and guarded >= 1
+
+
+def test_what_follows_a_document_decides_as_it_did(decode_one):
+    f = '{"channel":"push.deal","data":{"p":1,"v":2,"T":1}}'
+    lists = '{"channel":"push.depth","data":{"bids":[[1,2],[3,4]],"asks":[]}}'
+    tails = {"": "stored", " \n": "stored", "{}": "malformed", ",{}": "malformed", " [1]": "malformed", ",5}": "malformed", "x": "malformed"}
+    assert [o for o, *_ in decode_one(*[lists + t for t in tails])] == list(tails.values())
+    assert [o for o, *_ in decode_one(f + "abc}", f + "]", f + "[1],}")] == ["stored", "malformed", "malformed"]
