@@ -45,8 +45,13 @@ def get_session(master: str | None = None, app: str = "feedlake",
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to a session someone else built."""
-    for key, value in SESSION_CONF.items():
+    """Apply the runtime SQL settings to a session someone else built.
+
+    Folders are listed in a few tasks a core: Spark's default is a task a folder
+    (up to 10,000), and a table of thousands of units takes longer to schedule than to list.
+    """
+    listing = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(max(32, 4 * spark.sparkContext.defaultParallelism))}
+    for key, value in (SESSION_CONF | listing).items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

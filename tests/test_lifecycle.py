@@ -200,3 +200,17 @@ def test_recent_reports_prune_by_day(spark):
     for df in (stats.activity(rows, at, symbols_df(spark)), stats.liveness(rows, at, symbols_df(spark)), stats.flush_check(rows, at, 1, symbols_df(spark))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan parquet") <= 2 and "PartitionFilters: [isnotnull(day" in plan and "GreaterThanOrEqual(ts" in plan
+
+
+def test_many_units_are_listed_in_a_few_tasks(spark):
+    from feedlake.session import prepare_session
+    path, sc = shared_path(spark, "test-listing"), prepare_session(spark).sparkContext
+    spark.range(120).withColumn("unit", F.col("id")).repartition(2).write.partitionBy("unit").parquet(path)
+    sc.setJobGroup("test-listing", "listing")
+    try:
+        assert spark.read.schema("id LONG, unit LONG").parquet(path).count() == 120
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    status = sc.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("test-listing") for s in status.getJobInfo(j).stageIds]
+    assert 0 < max(s.numTasks for s in stages if s) <= max(32, 4 * sc.defaultParallelism)   # not a task a folder
